@@ -79,7 +79,7 @@ def now_millis() -> Column:
 
 def iso_now() -> Column:
     """The current instant as ISO-8601 text in UTC."""
-    utc = F.convert_timezone(F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz"))
+    utc = F.convert_timezone(None, F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz"))
     return F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
 
 

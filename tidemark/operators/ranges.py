@@ -26,17 +26,17 @@ WORD_BITS = 6
 BUCKET_BITS = 20
 
 
-def pack_offsets(df: DataFrame, offset: Column | str = "offset") -> DataFrame:
-    """Offsets packed to one row per 64: ``topic, partition, word, bits, n``.
+def pack_offsets(df: DataFrame, offset: Column | str = "offset", by: tuple[str, ...] = ()) -> DataFrame:
+    """Offsets packed to one row per 64: ``topic, partition, *by, word, bits, n``.
 
     ``n`` counts input rows, so ``n > bit_count(bits)`` marks words that hold
     some offset more than once.
     """
     offset = F.col(offset) if isinstance(offset, str) else offset
     return (
-        df.select(*KEY, offset.alias("o"))
+        df.select(*KEY, *by, offset.alias("o"))
         .where("topic is not null and partition is not null and o is not null")
-        .groupBy(*KEY, F.expr(f"shiftright(o, {WORD_BITS})").alias("word"))
+        .groupBy(*KEY, *by, F.expr(f"shiftright(o, {WORD_BITS})").alias("word"))
         .agg(
             F.expr("bit_or(shiftleft(1L, cast(o & 63 as int)))").alias("bits"),
             F.count(F.lit(1)).alias("n"),
@@ -44,7 +44,7 @@ def pack_offsets(df: DataFrame, offset: Column | str = "offset") -> DataFrame:
     )
 
 
-def unpack_ranges(words: DataFrame) -> DataFrame:
+def unpack_ranges(words: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Maximal runs inside each packed word, as ``start_offset .. end_offset``."""
     # A run starts (ends) at a set bit whose lower (upper) neighbour is not set.
     bits_of = "filter(sequence(0, 63), i -> getbit(bits & ~{neighbours}, i) = 1)"
@@ -55,15 +55,19 @@ def unpack_ranges(words: DataFrame) -> DataFrame:
                        as array<struct<s: int, e: int>>) end
     """
     return (
-        words.select(*KEY, F.expr(f"shiftleft(word, {WORD_BITS})").alias("base"), F.expr(runs).alias("runs"))
-        .select(*KEY, "base", F.inline_outer("runs"))
-        .select(*KEY, F.expr("base + s").alias("start_offset"), F.expr("base + e").alias("end_offset"))
+        words.select(*KEY, *by, F.expr(f"shiftleft(word, {WORD_BITS})").alias("base"), F.expr(runs).alias("runs"))
+        .select(*KEY, *by, "base", F.inline_outer("runs"))
+        .select(*KEY, *by, F.expr("base + s").alias("start_offset"), F.expr("base + e").alias("end_offset"))
     )
 
 
-def offsets_to_ranges(df: DataFrame, offset: Column | str = "offset") -> DataFrame:
-    """Distinct offsets as disjoint ranges (not yet merged across words)."""
-    return unpack_ranges(pack_offsets(df, offset))
+def offsets_to_ranges(df: DataFrame, offset: Column | str = "offset", by: tuple[str, ...] = ()) -> DataFrame:
+    """Distinct offsets as disjoint ranges (not yet merged across words).
+
+    ``by`` names columns that are kept apart, such as a reason; ranges of
+    different values may then overlap.
+    """
+    return unpack_ranges(pack_offsets(df, offset, by), by)
 
 
 def floor_ranges(floors: DataFrame) -> DataFrame:
