@@ -46,19 +46,28 @@ def buffered_offsets(handled: DataFrame, frontier: DataFrame) -> DataFrame:
     return explode_ranges(merge_ranges(beyond))
 
 
-def due_commits(
-    frontier: DataFrame, committed: DataFrame, now_ms: int | Column, interval_ms: str | Column = "interval_ms"
-) -> DataFrame:
-    """Keys whose frontier moved and whose commit interval has passed.
+def pending_acks(frontier: DataFrame, previous: DataFrame, now_ms: int | Column) -> DataFrame:
+    """Add ``committed_next`` and ``pending_since_ms`` to the frontier.
 
-    ``committed`` holds the last commit per key (``next_offset, updated_at_ms``);
-    ``frontier`` carries ``interval_ms``. A key never committed is due at once.
+    ``previous`` holds both per key from the last step. A key starts to wait when
+    its frontier first passes what is committed, and keeps only its newest value.
     """
     now = now_ms if isinstance(now_ms, Column) else F.lit(now_ms)
-    interval = F.col(interval_ms) if isinstance(interval_ms, str) else interval_ms
-    last = committed.select(
-        *KEY, F.col("next_offset").alias("_committed"), F.col("updated_at_ms").alias("_at")
+    last = previous.select(
+        *KEY, F.col("committed_next").alias("_committed"), F.col("pending_since_ms").alias("_since")
     )
-    moved = F.col("next_offset") > F.coalesce("_committed", F.lit(0))
-    waited = F.col("_at").isNull() | (now - F.col("_at") >= interval)
-    return frontier.join(last, KEY, "left").where(moved & waited).drop("_committed", "_at")
+    return (
+        frontier.join(last, KEY, "left")
+        .withColumn("committed_next", F.coalesce("_committed", F.lit(0).cast("bigint")))
+        .withColumn(
+            "pending_since_ms",
+            F.when(F.col("next_offset") > F.col("committed_next"), F.coalesce("_since", now.cast("bigint"))),
+        )
+        .drop("_committed", "_since")
+    )
+
+
+def is_due(now_ms: int | Column, interval_ms: Column) -> Column:
+    """True for a pending key that has waited for its commit interval."""
+    now = now_ms if isinstance(now_ms, Column) else F.lit(now_ms)
+    return F.coalesce(now - F.col("pending_since_ms") >= interval_ms, F.lit(False))

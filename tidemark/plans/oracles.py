@@ -231,9 +231,8 @@ SQL: dict[str, str] = {
         select distinct {_KEYS}, w.off as "offset" from wanted w join frontier using (topic, part)
         where w.off >= next_off"""),
     "commit_pending": _with(_HANDLED + "," + _frontier("handled"), f"""
-        select {_KEYS}, next_off as next_offset, next_off - 1 as last_acked from frontier
-        where part <> 1 and (part in (2, 4) or next_off > (select max(next_off) from seed s
-                                                           where s.part = frontier.part))"""),
+        select {_KEYS}, f.next_off as next_offset, f.next_off - 1 as last_acked, s.next_off as committed_next
+        from frontier f join seed s using (topic, part) where part in (0, 3) and f.next_off > s.next_off"""),
     # windows and metrics
     "tumbling_counts": _with(_LOG, """
         select time_bucket(interval 10 seconds, ts) as window_start, part as "partition", count(*) as n

@@ -264,9 +264,13 @@ def buffered_handled(spark, sf):
 
 
 def commit_pending(spark, sf):
-    ahead = commit_frontier(spark, sf).withColumn("interval_ms", F.expr("cast(if(partition = 1, 90000, 30000) as bigint)"))
-    committed = _seed(spark, sf).where("partition <> 2").withColumn("updated_at_ms", F.lit(fx.VERSION_MS))
-    return fr.due_commits(ahead, committed, fx.VERSION_MS + 60_000).drop("interval_ms")
+    previous = _seed(spark, sf).where("partition <> 2").select(
+        *KEY, F.col("next_offset").alias("committed_next"), F.lit(fx.VERSION_MS).alias("pending_since_ms")
+    )
+    now = fx.VERSION_MS + 60_000
+    pending = fr.pending_acks(commit_frontier(spark, sf), previous, now)
+    interval_ms = F.expr("if(partition = 1, 90000, 30000)")
+    return pending.where(fr.is_due(now, interval_ms)).select(*KEY, "next_offset", "last_acked", "committed_next")
 
 
 # Windows and metrics
