@@ -1,54 +1,51 @@
-"""End to end: each list of offsets is one micro-batch; the clock is set by the test."""
+"""End to end with a clock set by the test.
+
+Scenarios run side by side as topics of one flow, so a few batches cover all.
+"""
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from tidemark.schemas import LOG_RECORD
+from tidemark.plans.replay import account
+from tidemark.schemas import KEY, LOG_RECORD
+from tidemark.sources.tables import read_table
 from tidemark.streaming.ingest import Ingest
 
 SEC = 1000
 MIN = 60 * SEC
 
 
-class Clock:
-    def __init__(self):
-        self.now = 1_700_000_000_000
-
-    def __call__(self):
-        return self.now
-
-
-def records(spark, offsets, topic="test_df", partition=0, bad=()):
-    rows = [
-        (topic, partition, o, None, f"key-{o}", '{"errorMessage":"bad"}' if o in bad else f"payload-{o}")
-        for o in offsets
-    ]
-    return spark.createDataFrame(rows, LOG_RECORD)
-
-
 class Run:
     def __init__(self, spark, root, run_id="r1", **kw):
-        self.spark, self.clock, self.batch = spark, Clock(), -1
+        self.spark, self.now, self.batch = spark, 1_700_000_000_000, -1
         kw.setdefault("commit_interval_s", 0)
-        self.flow = Ingest(spark, root, run_id, clock=self.clock, **kw)
+        self.flow = Ingest(spark, root, run_id, clock=lambda: self.now, **kw)
 
-    def feed(self, offsets=(), after=0, **kw):
-        self.clock.now += after
+    def feed(self, arrivals, after=0, invalid=()):
+        """One micro-batch: ``{(topic, partition): offsets}``."""
+        self.now += after
         self.batch += 1
-        self.flow.process(records(self.spark, list(offsets), **kw), self.batch)
+        rows = [
+            (t, p, o, None, f"key-{o}", '{"errorMessage":"bad"}' if (t, o) in invalid else f"payload-{o}")
+            for (t, p), offsets in arrivals.items() for o in offsets
+        ]
+        self.flow.process(self.spark.createDataFrame(rows, LOG_RECORD), self.batch)
         return self
 
-    def next_offset(self, topic="test_df", partition=0):
-        row = self.flow.checkpoint.current().where(f"topic = '{topic}' and partition = {partition}").first()
-        return row.next_offset if row else None
+    def next(self):
+        return {(r.topic, r.partition): r.next_offset for r in self.flow.checkpoint.current().collect()}
 
     def raw(self):
-        rows = self.flow.raw_table().select(F.col("__metadata._meta_kafka_offset").alias("o")).collect()
-        return sorted(r.o for r in rows)
+        found = {}
+        for r in self.flow.raw_table().select("kafka_topic", F.col("__metadata._meta_kafka_offset").alias("o")).collect():
+            found.setdefault(r.kafka_topic, []).append(r.o)
+        return {t: sorted(o) for t, o in found.items()}
 
-    def audit(self):
-        rows = self.spark.read.parquet(self.flow.gaps.path).collect()
-        return sorted((r.partition, r.missing_offset, r.last_missing_offset) for r in rows)
+    def table(self, table, *columns):
+        layout = "topic string, missing_offset long, last_missing_offset long, offset long, kafka_topic string, error string"
+        rows = read_table(self.spark, table.path, StructType.fromDDL(layout)).select(*columns).collect()
+        return sorted(tuple(r) for r in rows)
 
 
 @pytest.fixture
@@ -56,109 +53,99 @@ def root(tmp_path):
     return str(tmp_path / "flow")
 
 
-def test_success(spark, root):
-    run = Run(spark, root).feed([0, 1])
-    assert run.next_offset() == 2 and run.raw() == [0, 1]
-
-
-def test_failed_write_counts_as_handled(spark, root):
-    run = Run(spark, root, rules={"boom": F.col("offset") == 1}).feed([0, 1, 2])
-    assert run.next_offset() == 3 and run.raw() == [0, 2]
-    bad = spark.read.parquet(run.flow.quarantine.path).collect()
-    assert [(r["__metadata"]["_meta_kafka_offset"], r.error) for r in bad] == [(1, "boom")]
-
-
-def test_gap_times_out(spark, root):
-    run = Run(spark, root).feed([0, 2])
-    assert run.next_offset() == 1 and run.raw() == [0]
-    run.feed([], after=4 * MIN)
-    assert run.next_offset() == 1
-    run.feed([], after=2 * MIN)
-    assert run.next_offset() == 3 and run.raw() == [0, 2] and run.audit() == [(0, 1, 1)]
-
-
-def test_gap_and_failed_write(spark, root):
-    run = Run(spark, root, rules={"boom": F.col("offset") == 2}).feed([0, 2]).feed([], after=7 * MIN)
-    assert run.next_offset() == 3 and run.raw() == [0]
-
-
-def test_invalid_payload_is_dropped(spark, root):
-    run = Run(spark, root).feed([0, 1, 2], bad=(1,))
-    assert run.next_offset() == 3 and run.raw() == [0, 2]
-
-
-def test_gap_resolves_and_order_does_not_matter(spark, root):
-    run = Run(spark, root).feed([2, 0]).feed([1], after=30 * SEC)
-    assert run.next_offset() == 3 and run.raw() == [0, 1, 2] and run.audit() == []
-
-
-def test_wide_gap_is_one_range_and_late_record_is_kept_out(spark, root):
-    run = Run(spark, root).feed([0, 4]).feed([], after=6 * MIN)
-    assert run.audit() == [(0, 1, 3)] and run.next_offset() == 5
-    run.feed([2, 5], after=SEC)
-    assert run.next_offset() == 6 and run.raw() == [0, 4, 5]
-    assert [r.offset for r in spark.read.parquet(run.flow.late.path).collect()] == [2]
-
-
-def test_two_gaps_wait_one_after_the_other(spark, root):
-    run = Run(spark, root).feed([0, 2, 4]).feed([], after=6 * MIN)
-    assert run.next_offset() == 3 and run.audit() == [(0, 1, 1)]
-    run.feed([], after=1 * MIN)
-    assert run.next_offset() == 3
-    run.feed([], after=5 * MIN)
-    assert run.next_offset() == 5 and run.audit() == [(0, 1, 1), (0, 3, 3)] and run.raw() == [0, 2, 4]
+def test_scenarios(spark, root):
+    refused = {"boom": F.expr("topic = 'failed' and offset = 1 or topic = 'gap_failed' and offset = 2")}
+    run = Run(spark, root, rules=refused)
+    run.feed(
+        {
+            ("success", 0): [0, 1],
+            ("failed", 0): [0, 1, 2],
+            ("gap", 0): [0, 2],
+            ("gap_failed", 0): [0, 2],
+            ("invalid", 0): [0, 1, 2],
+            ("resolved", 0): [2, 0],
+            ("wide", 0): [0, 4],
+            ("two", 0): [0, 2, 4],
+            ("double", 0): [0, 2],
+            ("many", 0): [0, 1, 2],
+            ("many", 1): [0, 5],
+            ("head", 0): [50],
+        },
+        invalid={("invalid", 1)},
+    )
+    first = run.next()
+    assert first[("success", 0)] == 2 and first[("failed", 0)] == 3 and first[("invalid", 0)] == 3
+    assert first[("gap", 0)] == first[("gap_failed", 0)] == first[("resolved", 0)] == 1
+    assert (first[("many", 0)], first[("many", 1)]) == (3, 1)
+    assert ("head", 0) not in first  # nothing handled yet
+
+    run.feed({("resolved", 0): [1], ("double", 0): [2, 2, 1]}, after=30 * SEC)
+    assert run.next()[("resolved", 0)] == 3 and run.next()[("double", 0)] == 3 and run.next()[("gap", 0)] == 1
+
+    run.feed({("double", 0): [1, 3]}, after=5 * MIN)
+    third = run.next()
+    assert third[("gap", 0)] == third[("gap_failed", 0)] == 3 and third[("wide", 0)] == 5
+    assert third[("two", 0)] == 3  # the second gap starts a wait of its own
+    assert third[("head", 0)] == 51
+
+    run.feed({("wide", 0): [2, 5]}, after=6 * MIN)
+    last = run.next()
+    assert last[("two", 0)] == 5 and last[("wide", 0)] == 6 and last[("double", 0)] == 4
+
+    raw = run.raw()
+    assert raw["success"] == [0, 1] and raw["failed"] == [0, 2] and raw["gap_failed"] == [0]
+    assert raw["invalid"] == [0, 2] and raw["resolved"] == [0, 1, 2] and raw["double"] == [0, 1, 2, 3]
+    assert raw["wide"] == [0, 4, 5] and raw["two"] == [0, 2, 4] and raw["head"] == [50]
+    assert run.table(run.flow.gaps, "topic", "missing_offset", "last_missing_offset") == [
+        ("gap", 1, 1), ("gap_failed", 1, 1), ("head", 0, 49), ("many", 1, 4), ("two", 1, 1), ("two", 3, 3), ("wide", 1, 3),
+    ]
+    assert run.table(run.flow.late, "topic", "offset") == [("double", 1), ("wide", 2)]
+    assert run.table(run.flow.quarantine, "kafka_topic", "error") == [("failed", "boom"), ("gap_failed", "boom")]
 
 
 def test_zero_timeout_declares_all_gaps_at_once(spark, root):
-    run = Run(spark, root, gap_timeout_s=0).feed([3, 7])
-    assert run.next_offset() == 8 and run.audit() == [(0, 0, 2), (0, 4, 6)]
-
+    run = Run(spark, root, gap_timeout_s=0).feed({("t", 0): [3, 7]})
+    assert run.next() == {("t", 0): 8} and run.raw() == {"t": [3, 7]}
+    assert run.table(run.flow.gaps, "missing_offset", "last_missing_offset") == [(0, 2), (4, 6)]
 
-def test_duplicates_before_and_after_release(spark, root):
-    run = Run(spark, root).feed([0, 2]).feed([2, 2]).feed([1]).feed([1, 3])
-    assert run.raw() == [0, 1, 2, 3] and run.next_offset() == 4
-    assert [r.offset for r in spark.read.parquet(run.flow.late.path).collect()] == [1]
 
-
-def test_replayed_batch_changes_nothing(spark, root):
-    run = Run(spark, root).feed([0, 1]).feed([2, 4])
-    before = (run.raw(), run.next_offset())
+def test_replayed_batch_changes_nothing_and_a_new_run_resumes(spark, root):
+    run = Run(spark, root).feed({("t", 0): [0, 1]}).feed({("t", 0): [2, 4]})
+    before = (run.raw(), run.next())
+    assert before == ({"t": [0, 1, 2]}, {("t", 0): 3})
     run.batch -= 1
-    run.feed([2, 4], after=5 * SEC)
-    assert (run.raw(), run.next_offset()) == before
-    run.feed([3])
-    assert run.raw() == [0, 1, 2, 3, 4] and run.next_offset() == 5
-
+    run.feed({("t", 0): [2, 4]}, after=5 * SEC)
+    assert (run.raw(), run.next()) == before
 
-def test_restart_resumes_from_the_checkpoint(spark, root):
-    first = Run(spark, root).feed([0, 1, 3])
-    assert first.next_offset() == 2
     second = Run(spark, root, run_id="r2")
-    second.feed([0, 1, 2, 3, 4])  # the log is read again from the start
-    assert second.next_offset() == 5 and second.raw() == [0, 1, 2, 3, 4]
-
-
-def test_commit_interval_batches_commits(spark, root):
-    run = Run(spark, root, commit_interval_s=60).feed([1]).feed([0, 2], after=SEC)
-    assert run.next_offset() is None
-    run.feed([3], after=30 * SEC)
-    assert run.next_offset() is None
-    run.feed([], after=30 * SEC)
-    assert run.next_offset() == 4 and run.flow.checkpoint.entries().count() == 1
+    second.feed({("t", 0): [0, 1, 2, 3, 4]})  # the log is read again from its start
+    assert second.raw() == {"t": [0, 1, 2, 3, 4]} and second.next() == {("t", 0): 5}
 
 
-def test_partitions_are_independent(spark, root):
-    run = Run(spark, root).feed([0, 1, 2]).feed([0, 5], partition=1).feed([0], topic="other")
-    assert (run.next_offset(), run.next_offset(partition=1), run.next_offset("other")) == (3, 1, 1)
-
-
-def test_routing_sets_destination_and_interval(spark, root):
+def test_commits_wait_for_the_topic_interval_and_rows_go_to_its_table(spark, root):
     routing = spark.createDataFrame(
         [("a", "ds", None, 10), ("b", "ds", "tb", None)],
         "topic string, dataset string, table string, commit_interval_seconds long",
     )
     run = Run(spark, root, routing=routing, commit_interval_s=60)
-    run.feed([0], topic="a").feed([0], topic="b").feed([0], topic="unrouted").feed([], after=15 * SEC)
+    run.feed({("a", 0): [1], ("b", 0): [0], ("unrouted", 0): [0]})
+    assert run.next() == {}
+    run.feed({("a", 0): [0, 2]}, after=SEC)
+    run.feed({}, after=15 * SEC)
+    assert run.next() == {("a", 0): 3}
+    run.feed({}, after=60 * SEC)
+    assert run.next() == {("a", 0): 3, ("b", 0): 1} and run.flow.checkpoint.entries().count() == 2
     found = {(r.kafka_topic, r.destination) for r in run.flow.raw_table().collect()}
     assert found == {("a", "ds.KAFKA_RAW_MESSAGE"), ("b", "ds.tb")}
-    assert run.next_offset("a") == 1 and run.next_offset("b") is None
+
+
+def test_state_matches_batch_formula_on_any_arrival_order(spark, root):
+    offsets = [o for o in range(40) if o not in (7, 8, 21)]
+    orders = [offsets[::-1], offsets[1::2] + offsets[::2]]
+    run = Run(spark, root, gap_timeout_s=0)
+    run.feed({(f"order{i}", 0): order for i, order in enumerate(orders)})
+    rows = [(f"order{i}", 0, o, None, None, "x") for i in range(len(orders)) for o in offsets]
+    batch = account(spark.createDataFrame(rows, LOG_RECORD))
+    assert run.next() == {(r.topic, r.partition): r.next_offset for r in batch.frontier.select(*KEY, "next_offset").collect()}
+    declared = {(r.topic, r.start_offset, r.end_offset) for r in batch.gaps.collect()}
+    assert set(run.table(run.flow.gaps, "topic", "missing_offset", "last_missing_offset")) == declared

@@ -141,7 +141,11 @@ def gaps_in(ranges: DataFrame, floors: DataFrame | None = None, disjoint: bool =
 
 
 def frontier_of(ranges: DataFrame, floors: DataFrame | None = None, disjoint: bool = False) -> DataFrame:
-    """First offset per key, from its floor on, that no range covers: ``next_offset``."""
+    """First offset per key, from its floor on, that no range covers: ``next_offset``.
+
+    ``last_covered`` is the key's largest covered offset, at or beyond the frontier
+    only where something waits behind a hole.
+    """
     return (
         with_reach(_with_floors(ranges, floors), disjoint)
         .groupBy(*KEY)
@@ -149,7 +153,7 @@ def frontier_of(ranges: DataFrame, floors: DataFrame | None = None, disjoint: bo
             F.min(F.when(F.col("start_offset") > _first_missing(), _first_missing())).alias("first_gap"),
             F.max("end_offset").alias("last_covered"),
         )
-        .select(*KEY, F.coalesce("first_gap", F.col("last_covered") + 1).alias("next_offset"))
+        .select(*KEY, F.coalesce("first_gap", F.col("last_covered") + 1).alias("next_offset"), "last_covered")
     )
 
 

@@ -10,14 +10,16 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 500_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, rows: int | None = None) -> DataFrame:
     """``df`` with a broadcast hint if it has at most ``max_rows`` rows, else as it is.
 
     Without the hint Spark joins by shuffle, where AQE splits a hot key. The
     check runs ``df`` once and keeps the small result for the join itself; a
     hint is needed because AQE learns the size of an aggregate only after the
-    big side has been shuffled.
+    big side has been shuffled. A caller that knows the row count passes ``rows``.
     """
+    if rows is not None:
+        return F.broadcast(df) if rows <= max_rows else df
     if df.isStreaming:
         return df
     kept = df.persist()

@@ -126,14 +126,13 @@ class Ingest:
             ranges = self.spark.createDataFrame([], RANGE_STATE)
         return keys, ranges
 
-    def _staged_before(self, batch_id: int, waiting: DataFrame) -> DataFrame:
-        """Records staged by earlier batches that may be released now."""
-        oldest = waiting.agg(F.min("batch_id")).first()[0]
-        rows = read_table(self.spark, self.staged.path, STAGED)
+    def _staged_before(self, batch_id: int, oldest: int | None) -> DataFrame:
+        """Records staged by earlier batches, from ``oldest`` on, that may be released now."""
         if oldest is None:
-            return rows.drop("run_id").where("false")
+            layout = T.StructType(STAGED.fields + [T.StructField("batch_id", T.LongType())])
+            return self.spark.createDataFrame([], layout)
         mine = (F.col("run_id") == self.run_id) & F.col("batch_id").between(oldest, batch_id - 1)
-        return rows.where(mine).drop("run_id")
+        return read_table(self.spark, self.staged.path, STAGED).where(mine).drop("run_id")
 
     # One batch
 
@@ -147,27 +146,41 @@ class Ingest:
         arrivals = arrivals.withColumn("batch_id", F.lit(batch_id).cast("bigint")).persist()
         keys, ranges = self._state(batch_id - 1)
         waiting = ranges.where("kind = 'waiting'").drop("kind")
+        oldest = waiting.agg(F.min("batch_id")).first()[0]
         fresh = offsets_to_ranges(arrivals).persist()
 
-        decided, all_gaps = mo.decide(fresh, waiting, keys, now, int(self.gap_timeout_s * 1000))
+        decided, all_gaps = mo.decide(
+            fresh, None if oldest is None else waiting, keys, now, int(self.gap_timeout_s * 1000)
+        )
         self.decisions.write(decided.coalesce(1), batch_id)
-        decisions = broadcast_if_small(self.decisions.read_batch(self.spark, batch_id, mo.DECISION))
-
-        gaps = mo.declared(all_gaps, decisions).persist()
-        self.gaps.write(gap_audit(gaps, int(self.gap_timeout_s * 1000)), batch_id)
-        self.late.write(mo.late(arrivals, decisions).select(*LATE.fieldNames()), batch_id)
-        self.staged.write(mo.held_back(arrivals, decisions).select(*STAGED.fieldNames()), batch_id)
-
-        in_order = mo.released(arrivals, self._staged_before(batch_id, waiting), decisions)
+        decisions = self.decisions.read_batch(self.spark, batch_id, mo.DECISION).persist()
+        found = decisions.agg(
+            F.count(F.lit(1)).alias("keys"),
+            F.bool_or(F.col("gap_since_ms").isNotNull()).alias("waits"),
+            F.bool_or(F.col("skipped") > 0).alias("skips"),
+        ).first()
+        decisions = broadcast_if_small(decisions, rows=found["keys"])
+
+        in_order = mo.released(arrivals, self._staged_before(batch_id, oldest), decisions)
         tagged = self._sink(in_order, now).persist()
         self._write_rows(tagged, batch_id, now)
+        late = mo.late(arrivals, decisions)
+        if not late.isEmpty():
+            self.late.write(late.select(*LATE.fieldNames()), batch_id)
         # Written and rejected rows count as handled only now that both writes are done.
-        handled = hd.merge_handled(hd.handled_ranges(tagged), hd.gap_ranges_handled(gaps))
+        handled = hd.handled_ranges(tagged)
+        if found.skips:
+            gaps = mo.declared(all_gaps, decisions)
+            self.gaps.write(gap_audit(gaps, int(self.gap_timeout_s * 1000)), batch_id)
+            handled = hd.merge_handled(handled, hd.gap_ranges_handled(gaps))
         self.handled.write(handled, batch_id)
 
-        still = mo.still_waiting(fresh, waiting, decisions, batch_id)
+        still = None
+        if found.waits:
+            self.staged.write(mo.held_back(arrivals, decisions).select(*STAGED.fieldNames()), batch_id)
+            still = mo.still_waiting(fresh, waiting, decisions, batch_id)
         self._commit(batch_id, now, keys, ranges, decisions, still)
-        for kept in (arrivals, fresh, all_gaps, gaps, tagged, decisions):
+        for kept in (arrivals, fresh, tagged, decisions):
             kept.unpersist()
 
     def _sink(self, in_order: DataFrame, now: int) -> DataFrame:
@@ -188,17 +201,17 @@ class Ingest:
         ok = fit(tagged.where("reason = 'written'"), struct_type(self.fields), keep=("destination",))
         self.raw.write(with_ingest_date(ok, now), batch_id, ("destination", "ingest_date"))
         bad = tagged.where("reason = 'rejected'").drop(*KEY, "offset", "reason")
-        self.quarantine.write(with_ingest_date(bad, now), batch_id, ("destination", "ingest_date"))
+        if not bad.isEmpty():
+            self.quarantine.write(with_ingest_date(bad, now), batch_id, ("destination", "ingest_date"))
 
     def _commit(
-        self, batch_id: int, now: int, keys: DataFrame, ranges: DataFrame, decisions: DataFrame, waiting: DataFrame
+        self, batch_id: int, now: int, keys: DataFrame, ranges: DataFrame, decisions: DataFrame,
+        waiting: DataFrame | None,
     ) -> None:
         """Advance the frontier, commit what is due, write the state of this batch."""
-        handled = self.handled.read_batch(self.spark, batch_id, HANDLED_RANGE)
-        open_before = ranges.where("kind = 'open'").select(*KEY, "start_offset", "end_offset")
-        covered = handled.select(*KEY, "start_offset", "end_offset").unionByName(open_before)
-        floors = keys.select(*KEY, F.col("frontier").alias("next_offset"))
-        frontier = fr.commit_frontier(covered, floors)
+        handled = self.handled.read_batch(self.spark, batch_id, HANDLED_RANGE).select(*KEY, "start_offset", "end_offset")
+        before = ranges.where("kind = 'open'").select(*KEY, "start_offset", "end_offset")
+        frontier = self._frontier(keys, handled, before, decisions)
         pending = fr.pending_acks(frontier, keys, now)
         own = F.lit(None).cast("bigint")
         if self._routes is not None:
@@ -206,16 +219,21 @@ class Ingest:
             own = F.col("own_seconds")
         interval_ms = F.coalesce(own, F.lit(self.commit_interval_s)) * 1000
         pending = pending.withColumn("due", fr.is_due(now, interval_ms)).persist()
-        due = pending.where("due")
-        if not due.isEmpty():
-            self.checkpoint.append(due, self.job_id, now, tag=f"{self.run_id}-{batch_id}")
-
-        open_now = fr.buffered_handled(covered, frontier)
-        open_now = merge_ranges(open_now).select(
-            *KEY, F.lit("open").alias("kind"), "start_offset", "end_offset", F.lit(batch_id).cast("bigint").alias("batch_id")
-        )
-        kept = waiting.select(*KEY, F.lit("waiting").alias("kind"), "start_offset", "end_offset", "batch_id")
-        self.ranges.write(kept.unionByName(open_now).coalesce(1), batch_id)
+        found = pending.agg(
+            F.bool_or("due").alias("due"), F.bool_or(F.col("last_covered") >= F.col("next_offset")).alias("open")
+        ).first()
+        if found.due:
+            self.checkpoint.append(pending.where("due"), self.job_id, now, tag=f"{self.run_id}-{batch_id}")
+
+        kept = self.spark.createDataFrame([], RANGE_STATE)
+        if waiting is not None:
+            kept = kept.unionByName(waiting.withColumn("kind", F.lit("waiting")))
+        if found.open:
+            open_now = merge_ranges(fr.buffered_handled(handled.unionByName(before), pending).select(*before.columns))
+            kept = kept.unionByName(
+                open_now.withColumn("kind", F.lit("open")).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            )
+        self.ranges.write(kept.coalesce(1), batch_id)
         acked = pending.select(
             *KEY, F.col("next_offset").alias("frontier"),
             F.when(F.col("due"), F.col("next_offset")).otherwise(F.col("committed_next")).alias("committed_next"),
@@ -227,6 +245,27 @@ class Ingest:
         self.keys.write(state.select(*KEY_STATE.fieldNames()).coalesce(1), batch_id)
         pending.unpersist()
 
+    def _frontier(
+        self, keys: DataFrame, handled: DataFrame, before: DataFrame, decisions: DataFrame
+    ) -> DataFrame:
+        """The commit frontier after this batch.
+
+        Each offset is handled once, so a key whose count equals the distance it
+        advanced is handled without a hole, and its frontier is what it expects
+        next. Only if some key's count differs is the frontier searched for.
+        """
+        counts = handled.groupBy(*KEY).agg(F.sum(F.expr("end_offset - start_offset + 1")).alias("n"))
+        at = keys.select(*KEY, "frontier")
+        summed = decisions.join(counts, KEY, "left").join(at, KEY, "left").select(
+            *KEY, F.col("expected").alias("next_offset"), (F.col("expected") - 1).alias("last_acked"),
+            (F.col("expected") - 1).alias("last_covered"),
+            (F.coalesce("frontier", F.lit(0)) + F.coalesce("n", F.lit(0)) == F.col("expected")).alias("whole"),
+        ).persist()
+        if before.isEmpty() and summed.where("not whole").isEmpty():
+            return summed.drop("whole")
+        floors = at.withColumnRenamed("frontier", "next_offset")
+        return fr.commit_frontier(handled.unionByName(before), floors, with_last=True)
+
     # Running
 
     def start(

@@ -28,49 +28,91 @@ DECISION = T.StructType([
 ])
 
 
+def _contiguous(fresh: DataFrame, keys: DataFrame) -> DataFrame:
+    """Per key: number of offsets that arrived from its floor on, and where they end.
+
+    ``fresh`` must be disjoint: then ``n = end - expected_before`` says, without
+    any ordering, that no offset is missing.
+    """
+    start = F.coalesce("next_offset", F.lit(0).cast("bigint"))
+    width = F.greatest(F.col("end_offset") + 1 - F.greatest(F.col("start_offset"), start), F.lit(0))
+    known = keys.select(*KEY, "next_offset", "gap_since_ms")
+    return (
+        fresh.join(known, KEY, "full_outer")
+        .groupBy(*KEY, start.alias("expected_before"), F.col("gap_since_ms").alias("gap_since_before"))
+        .agg(F.coalesce(F.sum(width), F.lit(0)).alias("n"), F.max("end_offset").alias("last"))
+        .withColumn("end", F.greatest(F.col("last") + 1, F.col("expected_before")))
+    )
+
+
 def decide(
-    fresh: DataFrame, waiting: DataFrame, keys: DataFrame, now_ms: int, timeout_ms: int
-) -> tuple[DataFrame, DataFrame]:
-    """(one decision per key, all gaps).
-
-    ``fresh`` and ``waiting`` are offset ranges that arrived now and earlier;
-    ``keys`` holds ``next_offset, gap_since_ms``. A key releases up to its first
-    gap. If that gap has waited for the timeout it is skipped and the run behind
-    it is released too, and a next gap starts a wait of its own. A timeout of 0
-    skips all gaps at once.
+    fresh: DataFrame, waiting: DataFrame | None, keys: DataFrame, now_ms: int, timeout_ms: int
+) -> tuple[DataFrame, DataFrame | None]:
+    """(one decision per key, all gaps or None).
+
+    ``fresh`` holds the disjoint offset ranges that arrived now, ``waiting`` those
+    that wait behind a gap (None if nothing does); ``keys`` has ``next_offset,
+    gap_since_ms``. A key releases up to its first gap. If that gap has waited for
+    the timeout it is skipped and the run behind it is released too, and a next
+    gap starts a wait of its own. A timeout of 0 skips all gaps at once.
     """
+    if waiting is None:
+        counted = _contiguous(fresh, keys).persist()
+        if counted.where("n <> end - expected_before").isEmpty():
+            none = F.lit(None).cast("bigint")
+            return counted.select(
+                *KEY, "expected_before", F.col("end").alias("expected"), "gap_since_before",
+                none.alias("gap_since_ms"), F.lit(0).cast("bigint").alias("skipped"), none.alias("skip_until"),
+            ), None
+        waiting = fresh.where("false")
     seen = fresh.select(*KEY, "start_offset", "end_offset").unionByName(
         waiting.select(*KEY, "start_offset", "end_offset")
     )
     gaps = gaps_in(seen, keys).persist()
-    first = gaps.groupBy(*KEY).agg(F.min(F.struct("start_offset", "end_offset")).alias("g1"))
-    second = (
-        gaps.join(first, KEY).where("start_offset > g1.start_offset")
-        .groupBy(*KEY).agg(F.min("start_offset").alias("second_gap"))
-    )
     last = seen.unionByName(floor_ranges(keys)).groupBy(*KEY).agg(F.max("end_offset").alias("last"))
+    first = gaps.groupBy(*KEY).agg(F.min("start_offset").alias("first_gap"))
     now = F.lit(now_ms).cast("bigint")
     start = F.coalesce("next_offset", F.lit(0).cast("bigint"))
-    end = F.greatest(F.col("last") + 1, start)
-    first_gap = F.col("g1.start_offset")
-    since = F.when((first_gap == start) & F.col("gap_since_ms").isNotNull(), F.col("gap_since_ms")).otherwise(now)
-    skips = first_gap.isNotNull() & (now - since >= timeout_ms)
-    after_skip = end if timeout_ms == 0 else F.coalesce("second_gap", end)
-    gap_left = F.lit(False) if timeout_ms == 0 else F.col("second_gap").isNotNull()
-    decisions = (
-        last.join(keys.select(*KEY, "next_offset", "gap_since_ms"), KEY, "left")
-        .join(first, KEY, "left")
-        .join(second, KEY, "left")
+    same_wait = (F.col("first_gap") == start) & F.col("gap_since_ms").isNotNull()
+    since = F.when(F.col("first_gap").isNotNull(), F.when(same_wait, F.col("gap_since_ms")).otherwise(now))
+    at_gap = (
+        last.join(first, KEY, "left")
+        .join(keys.select(*KEY, "next_offset", "gap_since_ms"), KEY, "left")
         .select(
             *KEY,
             start.alias("expected_before"),
-            F.when(skips, after_skip).otherwise(F.coalesce(first_gap, end)).alias("expected"),
+            F.greatest(F.col("last") + 1, start).alias("end"),
+            "first_gap",
             F.col("gap_since_ms").alias("gap_since_before"),
-            F.when(skips, F.when(gap_left, now)).when(first_gap.isNotNull(), since).alias("gap_since_ms"),
-            skips.cast("bigint").alias("skipped"),
-            # Gaps that start below this offset are declared missing.
-            F.when(skips, F.lit(2**63 - 1) if timeout_ms == 0 else first_gap + 1).cast("bigint").alias("skip_until"),
+            since.alias("since"),
+            F.coalesce(now - since >= timeout_ms, F.lit(False)).alias("skips"),
         )
+    ).persist()
+    second = None
+    if timeout_ms > 0 and not at_gap.where("skips").isEmpty():
+        # Only keys that skip a gap now need to know their next one.
+        skipping = at_gap.where("skips").select(*KEY, "first_gap")
+        second = (
+            gaps.join(skipping, KEY).where("start_offset > first_gap")
+            .groupBy(*KEY).agg(F.min("start_offset").alias("second_gap"))
+        )
+    known = at_gap.withColumn("second_gap", F.lit(None).cast("bigint")) if second is None else at_gap.join(
+        second, KEY, "left"
+    )
+    # With no timeout every gap is skipped; else those that start up to the first one.
+    skip_until = F.lit(2**63 - 1) if timeout_ms == 0 else F.col("first_gap") + 1
+    decisions = known.select(
+        *KEY,
+        "expected_before",
+        F.when(F.col("skips"), F.coalesce("second_gap", "end")).otherwise(F.coalesce("first_gap", "end")).alias(
+            "expected"
+        ),
+        "gap_since_before",
+        F.when(F.col("skips"), F.when(F.col("second_gap").isNotNull(), now)).otherwise(F.col("since")).alias(
+            "gap_since_ms"
+        ),
+        F.col("skips").cast("bigint").alias("skipped"),
+        F.when(F.col("skips"), skip_until).alias("skip_until"),
     )
     return decisions, gaps
 
