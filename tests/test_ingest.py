@@ -80,10 +80,16 @@ def test_scenarios(spark, root):
     assert ("head", 0) not in first  # nothing handled yet
 
     run.feed({("resolved", 0): [1], ("double", 0): [2, 2, 1]}, after=30 * SEC)
+    outcome = {r.topic: r for r in run.flow.batch_metrics(1).collect()}
+    assert outcome["resolved"].gap_resolved_before_timeout == 1 and outcome["wide"].gap_detected == 0
     assert run.next()[("resolved", 0)] == 3 and run.next()[("double", 0)] == 3 and run.next()[("gap", 0)] == 1
 
     run.feed({("double", 0): [1, 3]}, after=5 * MIN)
     third = run.next()
+    metrics = {r.topic: r for r in run.flow.batch_metrics(2).where("partition = 0").collect()}
+    assert (metrics["gap"].gap_timeout_skip, metrics["gap"].offsets_gap, metrics["gap"].offsets_written) == (1, 1, 1)
+    assert metrics["gap"].offsets_contiguously_acked == 2 and metrics["gap"].offsets_pending_commit == 0
+    assert metrics["success"].contiguous_advance_size == 0 and metrics["double"].offsets_written == 1
     assert third[("gap", 0)] == third[("gap_failed", 0)] == 3 and third[("wide", 0)] == 5
     assert third[("two", 0)] == 3  # the second gap starts a wait of its own
     assert third[("head", 0)] == 51
@@ -117,6 +123,10 @@ def test_replayed_batch_changes_nothing_and_a_new_run_resumes(spark, root):
     run.feed({("t", 0): [2, 4]}, after=5 * SEC)
     assert (run.raw(), run.next()) == before
 
+    run.batch = -1
+    run.feed({("t", 0): [0, 1]})  # even the first batch, although its commit stands
+    assert (run.raw(), run.next()) == before
+
     second = Run(spark, root, run_id="r2")
     second.feed({("t", 0): [0, 1, 2, 3, 4]})  # the log is read again from its start
     assert second.raw() == {"t": [0, 1, 2, 3, 4]} and second.next() == {("t", 0): 5}

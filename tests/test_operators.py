@@ -302,11 +302,12 @@ def test_gap_metrics_and_outcomes(spark):
     rows = [("t", 0, "record", 0, 0), ("t", 0, "gap", 1, 3), ("t", 0, "late", 2, 2), ("t", 0, "record", 4, 4)]
     df = spark.createDataFrame(rows, "topic string, partition int, kind string, offset long, end_offset long")
     assert tuple(one(mt.gap_metrics(df))) == ("t", 0, 2, 1, 3, 1)
-    state = "topic string, partition int, gap_since_ms long"
-    before = spark.createDataFrame([("t", 0, None), ("t", 1, 5), ("t", 2, 5)], state)
-    after = spark.createDataFrame([("t", 0, 9, 0), ("t", 1, None, 0), ("t", 2, None, 1)], state + ", skipped long")
-    got = {r.partition: (r.gap_detected, r.gap_resolved_before_timeout) for r in mt.gap_outcomes(before, after).collect()}
-    assert got == {0: (1, 0), 1: (0, 1), 2: (0, 0)}
+    decisions = spark.createDataFrame(
+        [("t", 0, None, 9, 0, 0, 1), ("t", 1, 5, None, 0, 1, 5), ("t", 2, 5, None, 1, 1, 9)],
+        "topic string, partition int, gap_since_before long, gap_since_ms long, skipped long, "
+        "expected_before long, expected long",
+    )
+    assert {tuple(r)[1:] for r in mt.gap_outcomes(decisions).collect()} == {(0, 1, 0, 0, 1), (1, 0, 1, 0, 4), (2, 0, 0, 1, 8)}
 
 
 def test_tumbling_counts_on_a_stream(spark, tmp_path):

@@ -9,15 +9,17 @@ from ..schemas import KEY
 from .ranges import explode_ranges, frontier_of, merge_ranges
 
 
-def commit_frontier(handled: DataFrame, checkpoint: DataFrame | None = None, with_last: bool = False) -> DataFrame:
+def commit_frontier(
+    handled: DataFrame, checkpoint: DataFrame | None = None, with_last: bool = False, disjoint: bool = False
+) -> DataFrame:
     """``topic, partition, next_offset, last_acked`` over handled ranges.
 
     Starts at the checkpoint (0 without one), never falls below it, and stops at
     the first offset that nothing handled yet. ``with_last`` adds
-    ``last_covered``, the largest handled offset.
+    ``last_covered``, the largest handled offset; ``disjoint`` as in ``with_reach``.
     """
     more = ["last_covered"] if with_last else []
-    return frontier_of(handled, checkpoint).select(
+    return frontier_of(handled, checkpoint, disjoint).select(
         *KEY, "next_offset", (F.col("next_offset") - 1).alias("last_acked"), *more
     )
 

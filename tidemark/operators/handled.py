@@ -28,15 +28,17 @@ def _nested_or_flat(rows: DataFrame, field: str) -> Column:
 
 def extract_handled(rows: DataFrame) -> DataFrame:
     """``topic, partition, offset`` of each raw-table row; all NULL where unreadable."""
-    topic = _nested_or_flat(rows, META_TOPIC)
-    partition = strict_int(_nested_or_flat(rows, META_PARTITION))
-    offset = strict_long(_nested_or_flat(rows, META_OFFSET))
-    readable = topic.isNotNull() & partition.isNotNull() & offset.isNotNull()
-    return rows.select(
-        F.when(readable, topic).alias("topic"),
-        F.when(readable, partition).alias("partition"),
-        F.when(readable, offset).alias("offset"),
+    read = F.struct(
+        _nested_or_flat(rows, META_TOPIC).alias("topic"),
+        strict_int(_nested_or_flat(rows, META_PARTITION)).alias("partition"),
+        strict_long(_nested_or_flat(rows, META_OFFSET)).alias("offset"),
     )
+    # As a list of at most one element each field is parsed once per row, where
+    # filters on plain columns would repeat the parsing for every use.
+    readable = F.filter(
+        F.array(read), lambda h: h["topic"].isNotNull() & h["partition"].isNotNull() & h["offset"].isNotNull()
+    )
+    return rows.select(F.inline_outer(readable))
 
 
 def drop_invalid_handled(handled: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ..schemas import DEFAULT_WINDOW_SECONDS, KEY
 
@@ -36,27 +37,49 @@ def gap_metrics(ordered: DataFrame) -> DataFrame:
     )
 
 
-def gap_outcomes(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Per key: gaps opened and gaps closed without a skip, between two key states.
+def gap_outcomes(decisions: DataFrame) -> DataFrame:
+    """Per key: gaps opened, closed without a skip, and skipped in one step.
 
-    Both states hold ``gap_since_ms`` (NULL without an open gap) per key;
-    ``after`` also tells ``skipped`` gaps.
+    ``decisions`` tells per key when its open gap began before and after the step
+    (NULL without one) and whether a gap was ``skipped``.
     """
-    was = before.select(*KEY, F.col("gap_since_ms").alias("_was"))
-    return (
-        after.join(was, KEY, "left")
-        .groupBy(*KEY)
-        .agg(
-            F.count_if(F.col("_was").isNull() & (F.col("gap_since_ms").isNotNull() | (F.col("skipped") > 0))).alias(
-                "gap_detected"
-            ),
-            F.count_if(F.col("_was").isNotNull() & F.col("gap_since_ms").isNull() & (F.col("skipped") == 0)).alias(
-                "gap_resolved_before_timeout"
-            ),
-        )
+    had, has = F.col("gap_since_before").isNotNull(), F.col("gap_since_ms").isNotNull()
+    skipped = F.col("skipped") > 0
+    return decisions.select(
+        *KEY,
+        (~had & (has | skipped)).cast("bigint").alias("gap_detected"),
+        (had & ~has & ~skipped).cast("bigint").alias("gap_resolved_before_timeout"),
+        F.col("skipped").alias("gap_timeout_skip"),
+        (F.col("expected") - F.col("expected_before")).alias("contiguous_advance_size"),
     )
 
 
+def handled_by_reason(handled: DataFrame) -> DataFrame:
+    """Per key: handled offsets of each path."""
+    def count(reason: str) -> Column:
+        found = F.sum(F.when(F.col("reason") == reason, _width()))
+        return F.coalesce(found, F.lit(0).cast("bigint")).alias(f"offsets_{reason}")
+
+    return handled.groupBy(*KEY).agg(*[count(r) for r in ("written", "rejected", "dropped", "gap")])
+
+
+def frontier_progress(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Per key: offsets acknowledged and committed between two key states, and the lag of the commit."""
+    was = before.select(*KEY, F.col("frontier").alias("_frontier"), F.col("committed_next").alias("_committed"))
+    zero = F.lit(0).cast("bigint")
+    return after.join(was, KEY, "left").select(
+        *KEY,
+        (F.col("frontier") - F.coalesce("_frontier", zero)).alias("offsets_contiguously_acked"),
+        (F.col("committed_next") - F.coalesce("_committed", zero)).alias("offsets_committed"),
+        (F.col("frontier") - F.col("committed_next")).alias("offsets_pending_commit"),
+    )
+
+
+def step_latencies(query: StreamingQuery) -> list[dict]:
+    """Durations of the recent steps of a live query, in milliseconds by phase."""
+    return [{"batch_id": p["batchId"], **p["durationMs"]} for p in query.recentProgress]
+
+
 def _width() -> Column:
     return F.col("end_offset") - F.col("start_offset") + 1
 

@@ -12,18 +12,15 @@ from pyspark.sql import functions as F
 
 from ..schemas import DEFAULT_GAP_TIMEOUT_SECONDS, KEY
 from .ranges import WORD_BITS, explode_ranges, frontier_of, gaps_in, merge_ranges, offsets_to_ranges, pack_offsets
-from .sizes import MAX_BROADCAST_ROWS, broadcast_if_small
+from .sizes import MAX_HINT_ROWS, with_known_size
 
 def with_expected(df: DataFrame, floors: DataFrame | None) -> DataFrame:
     """Add ``expected``: the key's next wanted offset, 0 without a checkpoint."""
     if floors is None:
         return df.withColumn("expected", F.lit(0).cast("bigint"))
-    known = floors.select(*KEY, F.col("next_offset").alias("_next"))
-    return (
-        df.join(broadcast_if_small(known), KEY, "left")
-        .withColumn("expected", F.coalesce("_next", F.lit(0).cast("bigint")))
-        .drop("_next")
-    )
+    known = with_known_size(floors.select(*KEY, F.col("next_offset").alias("_next")))
+    expected = F.coalesce("_next", F.lit(0).cast("bigint")).alias("expected")
+    return df.join(known, KEY, "left").select(*df.columns, expected)
 
 
 def at_or_above(df: DataFrame, floors: DataFrame | None) -> DataFrame:
@@ -67,11 +64,12 @@ def latest_per_offset(
     if not probe:
         return _keep_last(df, order)
     repeated = pack_offsets(df).where("n > bit_count(bits)").select(*KEY, F.col("word").alias("_word"))
-    repeated = repeated.persist()
+    repeated = with_known_size(repeated)
     found = repeated.count()
-    if found == 0 or found > MAX_BROADCAST_ROWS:
-        repeated.unpersist()
-        return df if found == 0 else _keep_last(df, order)
+    if found == 0:
+        return df
+    if found > MAX_HINT_ROWS:
+        return _keep_last(df, order)
     marked = df.withColumn("_word", F.expr(f"shiftright(offset, {WORD_BITS})"))
     few = F.broadcast(repeated)
     once = marked.join(few, [*KEY, "_word"], "left_anti").drop("_word")
@@ -86,10 +84,12 @@ def contiguous_records(df: DataFrame, floors: DataFrame | None = None, probe: bo
 
 def contiguous_prefix(df: DataFrame, floors: DataFrame | None = None, probe: bool = False) -> DataFrame:
     """Records released before the first gap of their key."""
-    reached = frontier_of(offsets_to_ranges(df), floors, disjoint=True)
-    reached = reached.select(*KEY, F.col("next_offset").alias("_stop"))
-    before_gap = at_or_above(df, floors).join(broadcast_if_small(reached), KEY).where("offset < _stop").drop("_stop")
-    return latest_per_offset(before_gap, probe=probe)
+    if floors is not None:
+        floors = with_known_size(floors.select(*KEY, "next_offset"))
+    stop = frontier_of(offsets_to_ranges(df), floors, disjoint=True).select(*KEY, F.col("next_offset").alias("_stop"))
+    reached = with_known_size(stop)
+    ready = with_expected(df, floors).join(reached, KEY).where("offset >= expected and offset < _stop")
+    return latest_per_offset(ready.drop("expected", "_stop"), probe=probe)
 
 
 def in_offset_order(df: DataFrame) -> DataFrame:

@@ -107,20 +107,19 @@ def with_reach(ranges: DataFrame, disjoint: bool = False) -> DataFrame:
 
     NULL on a key's first range. Ranges may overlap. Ranges with one start are
     first reduced to the longest, which bounds a bucket by its distinct starts;
-    ``disjoint`` skips that step where starts are known to repeat at most once.
+    ``disjoint`` skips that step where a start is known to repeat a few times at
+    most, as in the union of a few sets of disjoint ranges.
     """
     if not disjoint:
         ranges = ranges.groupBy(*KEY, "start_offset").agg(F.max("end_offset").alias("end_offset"))
     spread = _by_bucket(ranges)
     inside = (
-        Window.partitionBy(*KEY, "bucket").orderBy("start_offset").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*KEY, _bucket()).orderBy("start_offset").rowsBetween(Window.unboundedPreceding, -1)
     )
-    local = spread.withColumn("bucket", _bucket()).withColumn("in_bucket", F.max("end_offset").over(inside))
+    local = spread.select("*", _bucket().alias("bucket"), F.max("end_offset").over(inside).alias("in_bucket"))
     buckets = spread.groupBy(*KEY, _bucket().alias("bucket")).agg(F.max("end_offset").alias("bucket_end"))
-    return (
-        local.join(_carry(buckets, "bucket_end", "carry"), [*KEY, "bucket"], "left")
-        .withColumn("reach", F.greatest("in_bucket", "carry"))
-        .drop("in_bucket", "carry")
+    return local.join(_carry(buckets, "bucket_end", "carry"), [*KEY, "bucket"], "left").select(
+        *KEY, "bucket", "start_offset", "end_offset", F.expr("greatest(in_bucket, carry)").alias("reach")
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import is_blank
 from ..schemas import DEFAULT_COMMIT_INTERVAL_SECONDS, DEFAULT_TABLE
-from .sizes import broadcast_if_small
+from .sizes import with_known_size
 
 
 def split_names(names: str) -> list[str]:
@@ -54,8 +54,8 @@ def with_route(routing: DataFrame, default_seconds: int | str | None = DEFAULT_C
 def route_records(records: DataFrame, routing: DataFrame) -> DataFrame:
     """Records of routed topics with their destination; others are left out.
 
-    The routing table is broadcast if its checked size allows, so the records
-    are not shuffled; beyond that Spark joins by shuffle with skew handling.
+    Spark broadcasts the routing table if its known size allows, so the records
+    are not shuffled; beyond that it joins by shuffle with skew handling.
     """
     routes = routing.select("topic", destination().alias("destination"))
-    return records.join(broadcast_if_small(routes), "topic")
+    return records.join(with_known_size(routes), "topic")

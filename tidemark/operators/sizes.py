@@ -1,29 +1,42 @@
-"""Broadcast behind a size check."""
+"""Small tables of known size, so that Spark itself decides what to broadcast."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-#: Row limit for broadcasting a table of a few short columns (per-key offsets,
-#: routes): at up to 300 bytes a row this stays below 150 MB.
-MAX_BROADCAST_ROWS = 500_000
+from ..sources.shared import scratch_path, written
 
+#: Row limit for an explicit broadcast hint: three short columns a row, so
+#: below 50 MB.
+MAX_HINT_ROWS = 1_000_000
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, rows: int | None = None) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``max_rows`` rows, else as it is.
 
-    Without the hint Spark joins by shuffle, where AQE splits a hot key. The
-    check runs ``df`` once and keeps the small result for the join itself; a
-    hint is needed because AQE learns the size of an aggregate only after the
-    big side has been shuffled. A caller that knows the row count passes ``rows``.
+def with_known_size(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read back.
+
+    Of a computed table Spark knows the size only after the other side of a join
+    has been shuffled. Of files it knows it at planning: below
+    ``spark.sql.autoBroadcastJoinThreshold`` it broadcasts them, above it joins
+    by shuffle, where AQE splits a hot key. Meant for tables of one row per key.
     """
-    if rows is not None:
-        return F.broadcast(df) if rows <= max_rows else df
     if df.isStreaming:
         return df
-    kept = df.persist()
-    if kept.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(kept)
-    kept.unpersist()
-    return df
+    return written(df, scratch_path(df.sparkSession, "sized"))
+
+
+class Cached:
+    """Cache for the frames of one step; leaving the ``with`` block frees them all."""
+
+    def __init__(self) -> None:
+        self._frames: list[DataFrame] = []
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        self._frames.append(df.persist())
+        return self._frames[-1]
+
+    def __enter__(self) -> Cached:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        for df in self._frames:
+            df.unpersist()

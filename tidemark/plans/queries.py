@@ -184,11 +184,11 @@ def conform_failed(spark, sf):
 # Ordering and gaps
 
 def contiguous_prefix(spark, sf):
-    return od.contiguous_prefix(_envelopes(spark, sf), _seed(spark, sf), probe=True)
+    return od.contiguous_prefix(_envelopes(spark, sf), _seed(spark, sf))
 
 
 def contiguous_records(spark, sf):
-    return od.contiguous_records(_envelopes(spark, sf), _seed(spark, sf), probe=True)
+    return od.contiguous_records(_envelopes(spark, sf), _seed(spark, sf))
 
 
 def gap_ranges(spark, sf):

@@ -62,9 +62,12 @@ def replay_rows(
     version_ms: int = 0,
     rules: dict[str, Column] | None = None,
     keyword: str = INVALID_KEYWORD,
-    probe: bool = True,
+    probe: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """(rows for the raw table, rows for quarantine) of everything above the checkpoint."""
+    """(rows for the raw table, rows for quarantine) of everything above the checkpoint.
+
+    ``probe`` as in ``latest_per_offset``: for wide payloads with rare redelivery.
+    """
     envelopes = to_envelope(log, keep=("timestamp",))
     fresh = latest_per_offset(at_or_above(envelopes, checkpoint), probe=probe)
     checked = sink_rows(fresh, version_ms, rules, keyword)
@@ -85,6 +88,7 @@ def account(
     every gap still waits for its timeout.
     """
     ranges = handled_ranges(classify(to_envelope(log), rules, keyword))
-    gaps = gaps_in(ranges, checkpoint)
+    # Disjoint per reason, so a start repeats at most once per reason.
+    gaps = gaps_in(ranges, checkpoint, disjoint=True)
     handled = merge_handled(ranges, gap_ranges_handled(gaps)) if declare_gaps else ranges
-    return Accounting(gaps, handled, commit_frontier(handled, checkpoint))
+    return Accounting(gaps, handled, commit_frontier(handled, checkpoint, disjoint=True))

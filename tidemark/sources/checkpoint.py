@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.sizes import broadcast_if_small
+from ..operators.sizes import with_known_size
 from ..schemas import CHECKPOINT, KEY
 from .shared import read_or_empty
 
@@ -42,7 +42,7 @@ def current_of(entries: DataFrame) -> DataFrame:
 
 def lookup(current: DataFrame, keys: DataFrame) -> DataFrame:
     """``keys`` with their ``next_offset``; 0 without a checkpoint."""
-    known = broadcast_if_small(current.select(*KEY, F.col("next_offset")))
+    known = with_known_size(current.select(*KEY, "next_offset"))
     return keys.join(known, KEY, "left").withColumn("next_offset", F.coalesce("next_offset", F.lit(0).cast("bigint")))
 
 
@@ -72,7 +72,7 @@ class CheckpointLog:
     def append(self, acked: DataFrame, job_id: str, now_ms: int, tag: str | None = None) -> None:
         """Append ``topic, partition, last_acked``; a failed write raises."""
         rows = checkpoint_rows(acked, job_id, now_ms)
-        rows.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/commit={tag or uuid.uuid4().hex}")
+        rows.write.mode("overwrite").parquet(f"{self.path}/commit={tag or uuid.uuid4().hex}")
 
     def compacted(self, path: str) -> CheckpointLog:
         """A new log at ``path`` that holds only the current rows."""

@@ -21,13 +21,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import frontier as fr
 from ..operators import handled as hd
+from ..operators import metrics as mt
 from ..operators.conform import check, fit
 from ..operators.envelope import is_valid, to_envelope, to_raw_rows
 from ..operators.ordering import gap_audit
 from ..operators.ranges import merge_ranges, offsets_to_ranges
 from ..operators.routing import with_route
 from ..operators.schema_defs import RAW_MESSAGE_FIELDS, struct_type
-from ..operators.sizes import broadcast_if_small
+from ..operators.sizes import Cached, with_known_size
 from ..schemas import (
     DEFAULT_COMMIT_INTERVAL_SECONDS,
     DEFAULT_GAP_TIMEOUT_SECONDS,
@@ -106,7 +107,7 @@ class Ingest:
                 "topic", "destination", F.when(F.col("commit_interval_seconds") > 0, F.col("commit_interval_seconds"))
                 .alias("own_seconds"),
             )
-            self._routes = broadcast_if_small(routes)
+            self._routes = with_known_size(routes)
 
     def _table(self, name: str) -> BatchTable:
         return BatchTable(f"{self.root}/{name}", self.run_id)
@@ -114,17 +115,22 @@ class Ingest:
     # State
 
     def _state(self, batch_id: int) -> tuple[DataFrame, DataFrame]:
-        """Key and range state after ``batch_id``; the checkpoint before the first batch."""
-        keys = self.keys.read_batch(self.spark, batch_id, KEY_STATE) if batch_id >= 0 else None
-        ranges = self.ranges.read_batch(self.spark, batch_id, RANGE_STATE) if batch_id >= 0 else None
-        if keys is None or ranges is None:
-            keys = self.checkpoint.current().select(
-                *KEY, "next_offset", F.lit(None).cast("bigint").alias("gap_since_ms"),
-                F.col("next_offset").alias("frontier"), F.col("next_offset").alias("committed_next"),
-                F.lit(None).cast("bigint").alias("pending_since_ms"),
+        """Key and range state after ``batch_id``; for -1 that of the start of the run."""
+        keys = self.keys.read_batch(self.spark, batch_id, KEY_STATE)
+        if keys is None and batch_id >= 0:
+            raise FileNotFoundError(f"no state of batch {batch_id} in run {self.run_id}: start a new run_id")
+        if keys is None:
+            # Kept as a batch of its own: a retry of batch 0 must not start from
+            # what its first attempt committed.
+            none = F.lit(None).cast("bigint")
+            start = self.checkpoint.current().select(
+                *KEY, "next_offset", none.alias("gap_since_ms"), F.col("next_offset").alias("frontier"),
+                F.col("next_offset").alias("committed_next"), none.alias("pending_since_ms"),
             )
-            ranges = self.spark.createDataFrame([], RANGE_STATE)
-        return keys, ranges
+            self.ranges.write(self.spark.createDataFrame([], RANGE_STATE), batch_id)
+            self.keys.write(start, batch_id)
+            keys = self.keys.read_batch(self.spark, batch_id, KEY_STATE)
+        return keys, self.ranges.read_batch(self.spark, batch_id, RANGE_STATE)
 
     def _staged_before(self, batch_id: int, oldest: int | None) -> DataFrame:
         """Records staged by earlier batches, from ``oldest`` on, that may be released now."""
@@ -138,31 +144,32 @@ class Ingest:
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         """The ``foreachBatch`` step."""
+        with Cached() as cached:
+            self._process(batch, batch_id, cached)
+
+    def _process(self, batch: DataFrame, batch_id: int, cached: Cached) -> None:
         now = self.clock()
         arrivals = to_envelope(batch.where("topic is not null"), keep=("timestamp",))
         if self._routes is not None:
             arrivals = arrivals.join(self._routes.select("topic"), "topic")
         arrivals = arrivals.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
-        arrivals = arrivals.withColumn("batch_id", F.lit(batch_id).cast("bigint")).persist()
+        arrivals = cached(arrivals.withColumn("batch_id", F.lit(batch_id).cast("bigint")))
         keys, ranges = self._state(batch_id - 1)
         waiting = ranges.where("kind = 'waiting'").drop("kind")
         oldest = waiting.agg(F.min("batch_id")).first()[0]
-        fresh = offsets_to_ranges(arrivals).persist()
+        fresh = cached(offsets_to_ranges(arrivals))
 
         decided, all_gaps = mo.decide(
-            fresh, None if oldest is None else waiting, keys, now, int(self.gap_timeout_s * 1000)
+            fresh, None if oldest is None else waiting, keys, now, int(self.gap_timeout_s * 1000), cached
         )
-        self.decisions.write(decided.coalesce(1), batch_id)
-        decisions = self.decisions.read_batch(self.spark, batch_id, mo.DECISION).persist()
+        self.decisions.write(decided, batch_id)
+        decisions = self.decisions.read_batch(self.spark, batch_id, mo.DECISION)
         found = decisions.agg(
-            F.count(F.lit(1)).alias("keys"),
             F.bool_or(F.col("gap_since_ms").isNotNull()).alias("waits"),
             F.bool_or(F.col("skipped") > 0).alias("skips"),
         ).first()
-        decisions = broadcast_if_small(decisions, rows=found["keys"])
-
         in_order = mo.released(arrivals, self._staged_before(batch_id, oldest), decisions)
-        tagged = self._sink(in_order, now).persist()
+        tagged = cached(self._sink(in_order, now))
         self._write_rows(tagged, batch_id, now)
         late = mo.late(arrivals, decisions)
         if not late.isEmpty():
@@ -179,9 +186,7 @@ class Ingest:
         if found.waits:
             self.staged.write(mo.held_back(arrivals, decisions).select(*STAGED.fieldNames()), batch_id)
             still = mo.still_waiting(fresh, waiting, decisions, batch_id)
-        self._commit(batch_id, now, keys, ranges, decisions, still)
-        for kept in (arrivals, fresh, tagged, decisions):
-            kept.unpersist()
+        self._commit(batch_id, now, keys, ranges, decisions, still, cached)
 
     def _sink(self, in_order: DataFrame, now: int) -> DataFrame:
         """Raw rows of all released records with ``reason`` and ``error``."""
@@ -206,19 +211,19 @@ class Ingest:
 
     def _commit(
         self, batch_id: int, now: int, keys: DataFrame, ranges: DataFrame, decisions: DataFrame,
-        waiting: DataFrame | None,
+        waiting: DataFrame | None, cached: Cached,
     ) -> None:
         """Advance the frontier, commit what is due, write the state of this batch."""
         handled = self.handled.read_batch(self.spark, batch_id, HANDLED_RANGE).select(*KEY, "start_offset", "end_offset")
         before = ranges.where("kind = 'open'").select(*KEY, "start_offset", "end_offset")
-        frontier = self._frontier(keys, handled, before, decisions)
+        frontier = self._frontier(keys, handled, before, decisions, cached)
         pending = fr.pending_acks(frontier, keys, now)
         own = F.lit(None).cast("bigint")
         if self._routes is not None:
             pending = pending.join(self._routes.select("topic", "own_seconds"), "topic", "left")
             own = F.col("own_seconds")
         interval_ms = F.coalesce(own, F.lit(self.commit_interval_s)) * 1000
-        pending = pending.withColumn("due", fr.is_due(now, interval_ms)).persist()
+        pending = cached(pending.withColumn("due", fr.is_due(now, interval_ms)))
         found = pending.agg(
             F.bool_or("due").alias("due"), F.bool_or(F.col("last_covered") >= F.col("next_offset")).alias("open")
         ).first()
@@ -233,7 +238,7 @@ class Ingest:
             kept = kept.unionByName(
                 open_now.withColumn("kind", F.lit("open")).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
             )
-        self.ranges.write(kept.coalesce(1), batch_id)
+        self.ranges.write(kept, batch_id)
         acked = pending.select(
             *KEY, F.col("next_offset").alias("frontier"),
             F.when(F.col("due"), F.col("next_offset")).otherwise(F.col("committed_next")).alias("committed_next"),
@@ -242,11 +247,10 @@ class Ingest:
         state = decisions.select(*KEY, F.col("expected").alias("next_offset"), "gap_since_ms").join(acked, KEY, "left")
         state = state.withColumn("frontier", F.coalesce("frontier", F.lit(0).cast("bigint")))
         state = state.withColumn("committed_next", F.coalesce("committed_next", F.lit(0).cast("bigint")))
-        self.keys.write(state.select(*KEY_STATE.fieldNames()).coalesce(1), batch_id)
-        pending.unpersist()
+        self.keys.write(state.select(*KEY_STATE.fieldNames()), batch_id)
 
     def _frontier(
-        self, keys: DataFrame, handled: DataFrame, before: DataFrame, decisions: DataFrame
+        self, keys: DataFrame, handled: DataFrame, before: DataFrame, decisions: DataFrame, cached: Cached
     ) -> DataFrame:
         """The commit frontier after this batch.
 
@@ -256,11 +260,14 @@ class Ingest:
         """
         counts = handled.groupBy(*KEY).agg(F.sum(F.expr("end_offset - start_offset + 1")).alias("n"))
         at = keys.select(*KEY, "frontier")
-        summed = decisions.join(counts, KEY, "left").join(at, KEY, "left").select(
-            *KEY, F.col("expected").alias("next_offset"), (F.col("expected") - 1).alias("last_acked"),
-            (F.col("expected") - 1).alias("last_covered"),
-            (F.coalesce("frontier", F.lit(0)) + F.coalesce("n", F.lit(0)) == F.col("expected")).alias("whole"),
-        ).persist()
+        whole = F.coalesce("frontier", F.lit(0)) + F.coalesce("n", F.lit(0)) == F.col("expected")
+        last = F.col("expected") - 1
+        summed = cached(
+            decisions.join(counts, KEY, "left").join(at, KEY, "left").select(
+                *KEY, F.col("expected").alias("next_offset"), last.alias("last_acked"), last.alias("last_covered"),
+                whole.alias("whole"),
+            )
+        )
         if before.isEmpty() and summed.where("not whole").isEmpty():
             return summed.drop("whole")
         floors = at.withColumnRenamed("frontier", "next_offset")
@@ -294,6 +301,18 @@ class Ingest:
 
     # Reading back
 
+    def batch_metrics(self, batch_id: int) -> DataFrame:
+        """Per key: what one batch did, from the tables it wrote."""
+        done = self.handled.read_batch(self.spark, batch_id, HANDLED_RANGE)
+        outcome = mt.gap_outcomes(self.decisions.read_batch(self.spark, batch_id, mo.DECISION))
+        before = self.keys.read_batch(self.spark, batch_id - 1, KEY_STATE)
+        after = self.keys.read_batch(self.spark, batch_id, KEY_STATE)
+        return (
+            outcome.join(mt.handled_by_reason(done), KEY, "left")
+            .join(mt.frontier_progress(before, after), KEY, "left")
+            .na.fill(0)
+        )
+
     def raw_table(self) -> DataFrame:
         layout = T.StructType(struct_type(self.fields).fields + [
             T.StructField("destination", T.StringType()), T.StructField("ingest_date", T.DateType()),

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from ..operators.ordering import latest_per_offset
 from ..operators.ranges import floor_ranges, gaps_in, merge_ranges, offsets_to_ranges
+from ..operators.sizes import Cached
 from ..schemas import KEY
 
 DECISION = T.StructType([
@@ -46,7 +47,7 @@ def _contiguous(fresh: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def decide(
-    fresh: DataFrame, waiting: DataFrame | None, keys: DataFrame, now_ms: int, timeout_ms: int
+    fresh: DataFrame, waiting: DataFrame | None, keys: DataFrame, now_ms: int, timeout_ms: int, cached: Cached
 ) -> tuple[DataFrame, DataFrame | None]:
     """(one decision per key, all gaps or None).
 
@@ -57,7 +58,7 @@ def decide(
     gap starts a wait of its own. A timeout of 0 skips all gaps at once.
     """
     if waiting is None:
-        counted = _contiguous(fresh, keys).persist()
+        counted = cached(_contiguous(fresh, keys))
         if counted.where("n <> end - expected_before").isEmpty():
             none = F.lit(None).cast("bigint")
             return counted.select(
@@ -68,14 +69,14 @@ def decide(
     seen = fresh.select(*KEY, "start_offset", "end_offset").unionByName(
         waiting.select(*KEY, "start_offset", "end_offset")
     )
-    gaps = gaps_in(seen, keys).persist()
+    gaps = cached(gaps_in(seen, keys))
     last = seen.unionByName(floor_ranges(keys)).groupBy(*KEY).agg(F.max("end_offset").alias("last"))
     first = gaps.groupBy(*KEY).agg(F.min("start_offset").alias("first_gap"))
     now = F.lit(now_ms).cast("bigint")
     start = F.coalesce("next_offset", F.lit(0).cast("bigint"))
     same_wait = (F.col("first_gap") == start) & F.col("gap_since_ms").isNotNull()
     since = F.when(F.col("first_gap").isNotNull(), F.when(same_wait, F.col("gap_since_ms")).otherwise(now))
-    at_gap = (
+    at_gap = cached(
         last.join(first, KEY, "left")
         .join(keys.select(*KEY, "next_offset", "gap_since_ms"), KEY, "left")
         .select(
@@ -87,7 +88,7 @@ def decide(
             since.alias("since"),
             F.coalesce(now - since >= timeout_ms, F.lit(False)).alias("skips"),
         )
-    ).persist()
+    )
     second = None
     if timeout_ms > 0 and not at_gap.where("skips").isEmpty():
         # Only keys that skip a gap now need to know their next one.
