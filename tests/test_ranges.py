@@ -123,3 +123,15 @@ def test_hot_key_window_is_split_by_bucket(spark):
     assert "REPARTITION_BY_COL" in plan
     scan_side = [line for line in plan.splitlines() if "partial_bit_or" in line]
     assert scan_side  # offsets are combined before the shuffle
+
+
+def test_word_unpacking_bit_by_bit(spark):
+    rng = random.Random(3)
+    words = [-1, 1, -2, 5, 2**62, 3 << 61, -(2**62), 2**63 - 1, -(2**63), -(2**63) + 1]
+    words += [rng.getrandbits(64) - 2**63 for _ in range(200)]
+    df = spark.createDataFrame([("t", 0, i, w) for i, w in enumerate(words)], "topic string, partition int, word long, bits long")
+    got = {}
+    for r in rg.unpack_ranges(df).collect():
+        got.setdefault(r.start_offset >> 6, []).append((r.start_offset & 63, r.end_offset & 63))
+    for i, w in enumerate(words):
+        assert sorted(got[i]) == runs_of([b for b in range(64) if w >> b & 1])

@@ -47,17 +47,20 @@ def pack_offsets(df: DataFrame, offset: Column | str = "offset", by: tuple[str,
 def unpack_ranges(words: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Maximal runs inside each packed word, as ``start_offset .. end_offset``."""
     # A run starts (ends) at a set bit whose lower (upper) neighbour is not set.
-    bits_of = "filter(sequence(0, 63), i -> getbit(bits & ~{neighbours}, i) = 1)"
-    runs = f"""
-        case when bits = -1L then array(named_struct('s', 0, 'e', 63))
-             else cast(arrays_zip({bits_of.format(neighbours="shiftleft(bits, 1)")},
-                                  {bits_of.format(neighbours="shiftrightunsigned(bits, 1)")})
-                       as array<struct<s: int, e: int>>) end
-    """
-    return (
-        words.select(*KEY, *by, F.expr(f"shiftleft(word, {WORD_BITS})").alias("base"), F.expr(runs).alias("runs"))
-        .select(*KEY, *by, "base", F.inline_outer("runs"))
-        .select(*KEY, *by, F.expr("base + s").alias("start_offset"), F.expr("base + e").alias("end_offset"))
+    # A full word is one run from bit 0; the others try each position.
+    tried = words.select(
+        *KEY, *by,
+        F.expr(f"shiftleft(word, {WORD_BITS})").alias("base"),
+        F.expr("bits & ~shiftleft(bits, 1)").alias("starts"),
+        F.expr("bits & ~shiftrightunsigned(bits, 1)").alias("ends"),
+        F.explode(F.expr("if(bits = -1L, array(0), sequence(0, 63))")).alias("i"),
+    ).where("getbit(starts, i) = 1")
+    # Trailing zeros of the ends from bit i on: the length of the run minus one.
+    # The sign bit is masked, as its negation would overflow; nothing else set means bit 63.
+    ends = "(shiftrightunsigned(ends, i) & 9223372036854775807L)"
+    length = f"if({ends} = 0, 63, bit_count(({ends} & -{ends}) - 1))"
+    return tried.select(
+        *KEY, *by, F.expr("base + i").alias("start_offset"), F.expr(f"base + i + {length}").alias("end_offset")
     )
 
 
