@@ -94,6 +94,10 @@ def test_overlapping_ranges_against_brute_force(spark):
     got = by_key(rg.frontier_of(df, fl), "next_offset")
     assert got.pop(6) == [(10**10 + 6,)]
     assert got == {p: [(frontier_of(os, floors[p]),)] for p, os in small.items()}
+    got = by_key(rg.disjoint_parts(df.where("partition < 6")), "start_offset", "end_offset")
+    assert {p: sorted(o for s, e in rs for o in range(s, e + 1)) for p, rs in got.items()} == {
+        p: sorted(set(os)) for p, os in small.items()
+    }
     got = by_key(rg.merge_ranges(df), "start_offset", "end_offset")
     assert got.pop(6) == [(0, 10**10 + 5)]
     assert got == {p: runs_of(os) for p, os in small.items()}

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import KEY
-from .ranges import explode_ranges, frontier_of, merge_ranges
+from .ranges import disjoint_parts, explode_ranges, frontier_of
 
 
 def commit_frontier(
@@ -46,10 +46,10 @@ def buffered_handled(handled: DataFrame, frontier: DataFrame) -> DataFrame:
     )
 
 
-def buffered_offsets(handled: DataFrame, frontier: DataFrame) -> DataFrame:
-    """Distinct offsets of ``buffered_handled``."""
+def buffered_offsets(handled: DataFrame, frontier: DataFrame, disjoint: bool = False) -> DataFrame:
+    """Distinct offsets of ``buffered_handled``; ``disjoint`` as in ``with_reach``."""
     beyond = buffered_handled(handled, frontier).select(*KEY, "start_offset", "end_offset")
-    return explode_ranges(merge_ranges(beyond))
+    return explode_ranges(disjoint_parts(beyond, disjoint))
 
 
 def pending_acks(frontier: DataFrame, previous: DataFrame, now_ms: int | Column) -> DataFrame:

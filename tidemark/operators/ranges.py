@@ -159,6 +159,18 @@ def frontier_of(ranges: DataFrame, floors: DataFrame | None = None, disjoint: bo
     )
 
 
+def disjoint_parts(ranges: DataFrame, disjoint: bool = False) -> DataFrame:
+    """The same offsets as non-overlapping ranges: each keeps what no earlier one covers.
+
+    Cheaper than ``merge_ranges``, as runs are not joined across ranges.
+    """
+    return (
+        with_reach(ranges, disjoint)
+        .where("reach is null or end_offset > reach")
+        .select(*KEY, F.expr("greatest(start_offset, reach + 1)").alias("start_offset"), "end_offset")
+    )
+
+
 def merge_ranges(ranges: DataFrame, disjoint: bool = False) -> DataFrame:
     """Maximal contiguous runs: overlapping and adjacent ranges become one."""
     reached = with_reach(ranges, disjoint)

@@ -260,7 +260,7 @@ def stale_handled(spark, sf):
 
 def buffered_handled(spark, sf):
     stalled = _account(spark, sf, declare_gaps=False)
-    return fr.buffered_offsets(stalled.handled, stalled.frontier)
+    return fr.buffered_offsets(stalled.handled, stalled.frontier, disjoint=True)
 
 
 def commit_pending(spark, sf):

@@ -69,7 +69,7 @@ def decide(
     seen = fresh.select(*KEY, "start_offset", "end_offset").unionByName(
         waiting.select(*KEY, "start_offset", "end_offset")
     )
-    gaps = cached(gaps_in(seen, keys))
+    gaps = cached(gaps_in(seen, keys, disjoint=True))
     last = seen.unionByName(floor_ranges(keys)).groupBy(*KEY).agg(F.max("end_offset").alias("last"))
     first = gaps.groupBy(*KEY).agg(F.min("start_offset").alias("first_gap"))
     now = F.lit(now_ms).cast("bigint")
@@ -157,4 +157,4 @@ def still_waiting(fresh: DataFrame, waiting: DataFrame, decisions: DataFrame, ba
     beyond = ranges.join(marks, KEY).where("end_offset >= expected")
     beyond = beyond.withColumn("start_offset", F.greatest("start_offset", "expected"))
     since = beyond.groupBy(*KEY).agg(F.min("batch_id").alias("batch_id"))
-    return merge_ranges(beyond).join(since, KEY)
+    return merge_ranges(beyond, disjoint=True).join(since, KEY)
