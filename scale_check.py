@@ -13,10 +13,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 import bench
+from tidemark.operators.envelope import to_envelope
 from tidemark.operators.ranges import frontier_of, gaps_in, offsets_to_ranges
 from tidemark.plans import fixtures as fx
 from tidemark.schemas import KEY
 from tidemark.sources.generator import random_records
+from tidemark.sources.log import LogSpec, read_log
+from tidemark.streaming.gap_processor import order_stream
 from tidemark.streaming.ingest import Ingest
 
 
@@ -54,7 +57,8 @@ def main() -> None:
     timed("generator, batch form", n, lambda: bench.run(random_records(spark.range(n // 10), 10)))
 
     folder = "/root/testdata/sf0.1"
-    records = fx.observed(fx.log_records(spark, folder)).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    whole = fx.log_records(spark, folder).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    records = fx.observed(whole)
     rows = records.count()
     flow = Ingest(spark, tempfile.mkdtemp(prefix="tidemark-"), "scale", gap_timeout_s=0, commit_interval_s=0)
     timed("ingest, one micro-batch, all gaps declared", rows, lambda: flow.process(records, 0))
@@ -63,6 +67,33 @@ def main() -> None:
         part = records.where(f"offset >= {i * 9000} and offset < {(i + 1) * 9000}")
         timed(f"ingest, micro-batch {i} behind an open gap", part.count(), lambda: flow.process(part, i))
 
+    big = spark.range(2_000_000).selectExpr(
+        "'t' as topic", "if(id % 3 = 0, 0, 1) as partition", "if(id % 3 = 0, id div 3, id - id div 3 - 1) as offset",
+        "timestamp_seconds(id) as timestamp", "cast(id as string) as key", "repeat(md5(cast(id as string)), 8) as value",
+    )
+    flow = Ingest(spark, tempfile.mkdtemp(prefix="tidemark-"), "big", commit_interval_s=0)
+    timed("ingest, one micro-batch of 2 million rows", 2_000_000, lambda: flow.process(big, 0))
+
+    spark.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
+    for name, log in {"in order": whole, "behind open gaps": records}.items():
+        source = tempfile.mkdtemp(prefix="tidemark-")
+        log.repartitionByRange(8, "offset").sortWithinPartitions("offset").write.mode("overwrite").json(source)
+        timed(f"order_stream, file log, {name}", log.count(), lambda: drain(spark, source, log.count()))
+
+
+def drain(spark, source: str, rows: int) -> None:
+    """Run ``order_stream`` over a file log until it has read all rows."""
+    stream = read_log(spark, LogSpec("json", source), streaming=True)
+    ordered = order_stream(to_envelope(stream, keep=("timestamp",)), timeout_s=10_000)
+    query = ordered.writeStream.format("noop").option("checkpointLocation", tempfile.mkdtemp()).start()
+    deadline = time.time() + 120
+    while sum(p["numInputRows"] for p in query.recentProgress) < rows and time.time() < deadline:
+        time.sleep(0.1)
+    query.stop()
+
 
 if __name__ == "__main__":
     main()

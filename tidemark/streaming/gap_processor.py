@@ -23,6 +23,7 @@ ORDERED = (
     "topic string, partition int, kind string, offset bigint, end_offset bigint, ts_us bigint, payload string"
 )
 _EMIT_ROWS = 10_000
+_HOLD_ROWS = 200_000  # rows of one key kept in memory before they go to the state store
 
 
 def leading_run(offsets: np.ndarray, expected: int) -> int:
@@ -108,29 +109,43 @@ class GapAwareProcessor(StatefulProcessor):
         if since is not None:
             self.handle.registerTimer(since + self.timeout_ms)
 
+    def _buffer(self, rows: pd.DataFrame) -> None:
+        for o, ts, payload in zip(rows["offset"], rows["ts_us"], rows["payload"]):
+            self.buffered.updateValue((int(o),), (None if pd.isna(ts) else int(ts), payload))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         expected, since, starts, ends = self._load()
         before = expected
+        held = None  # rows of this batch that a later chunk may still connect
         for chunk in rows:
             late = chunk[chunk["offset"] < expected]
             if len(late):
                 yield self._records(key, late, "late")
-            fresh = chunk[chunk["offset"] >= expected].sort_values("offset", kind="stable")
-            fresh = fresh.drop_duplicates("offset", keep="last")
-            offsets = fresh["offset"].to_numpy()
-            # Records below the buffered ones can be released as they are.
-            free = int(np.searchsorted(offsets, starts[0])) if starts else len(offsets)
-            run = leading_run(offsets[:free], expected)
-            if run:
-                yield self._records(key, fresh.iloc[:run])
-                expected += run
-            rest = fresh.iloc[run:]
-            for o, ts, payload in zip(rest["offset"], rest["ts_us"], rest["payload"]):
-                self.buffered.updateValue((int(o),), (None if pd.isna(ts) else int(ts), payload))
-            starts, ends = add_to_ranges(starts, ends, offsets[run:])
-            if starts and starts[0] == expected:
+            fresh = chunk[chunk["offset"] >= expected]
+            held = fresh if held is None or held.empty else pd.concat([held, fresh], ignore_index=True)
+            held = held.sort_values("offset", kind="stable").drop_duplicates("offset", keep="last")
+            while True:
+                offsets = held["offset"].to_numpy()
+                # Rows below the buffered ones can be released as they are.
+                free = int(np.searchsorted(offsets, starts[0])) if starts else len(offsets)
+                run = leading_run(offsets[:free], expected)
+                if run:
+                    yield self._records(key, held.iloc[:run])
+                    expected, held = expected + run, held.iloc[run:]
+                if not starts or starts[0] != expected:
+                    break
+                again = held["offset"] <= ends[0]  # newer copies of buffered records
+                self._buffer(held[again])
+                held = held[~again]
                 yield from self._drain(key, starts[0], ends[0])
                 expected, starts, ends = ends[0] + 1, starts[1:], ends[1:]
+            if len(held) > _HOLD_ROWS:
+                self._buffer(held)
+                starts, ends = add_to_ranges(starts, ends, held["offset"].to_numpy())
+                held = None
+        if held is not None and len(held):
+            self._buffer(held)
+            starts, ends = add_to_ranges(starts, ends, held["offset"].to_numpy())
         while starts and self.timeout_ms == 0:
             yield self._gap(key, expected, starts[0] - 1)
             yield from self._drain(key, starts[0], ends[0])
