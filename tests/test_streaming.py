@@ -89,7 +89,7 @@ def test_gap_filled_in_time_is_not_declared(spark, log_dir):
         query.stop()
 
 
-def test_live_ingest_with_heartbeat(spark, log_dir, tmp_path):
+def test_live_ingest_with_heartbeat_and_restart(spark, log_dir, tmp_path):
     drop_file(log_dir, "a", [0, 1, 3])
     flow = Ingest(spark, str(tmp_path / "flow"), "live", gap_timeout_s=2, commit_interval_s=0)
     query = flow.start(LogSpec("json", log_dir), str(tmp_path / "query"), trigger_s=1)
@@ -98,8 +98,16 @@ def test_live_ingest_with_heartbeat(spark, log_dir, tmp_path):
         wait_for(lambda: [r.next_offset for r in flow.checkpoint.current().collect()] == [4], seconds=150)
     finally:
         query.stop()
-    offsets = flow.raw_table().select(F.col("__metadata._meta_kafka_offset").alias("o")).collect()
-    assert sorted(r.o for r in offsets) == [0, 1, 3]
+
+    drop_file(log_dir, "b", [4])
+    again = Ingest(spark, str(tmp_path / "flow"), "live2", commit_interval_s=0)
+    query = again.start(LogSpec("json", log_dir), str(tmp_path / "query2"), trigger_s=1)
+    try:
+        wait_for(lambda: [r.next_offset for r in again.checkpoint.current().collect()] == [5], seconds=150)
+    finally:
+        query.stop()
+    offsets = again.raw_table().select("run_id", F.col("__metadata._meta_kafka_offset").alias("o")).collect()
+    assert sorted((r.run_id, r.o) for r in offsets) == [("live", 0), ("live", 1), ("live", 3), ("live2", 4)]
 
 
 def test_generated_stream_reaches_a_file_log(spark, tmp_path):

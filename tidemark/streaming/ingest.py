@@ -40,7 +40,7 @@ from ..schemas import (
     LOG_RECORD,
 )
 from ..sources.checkpoint import CheckpointLog
-from ..sources.log import LogSpec, read_log, starting_offsets
+from ..sources.log import LogSpec, read_log, resume, starting_offsets
 from ..sources.tables import BatchTable, read_table, with_ingest_date
 from . import micro_order as mo
 
@@ -281,13 +281,16 @@ class Ingest:
     ) -> StreamingQuery:
         """Run on a live log. ``query_checkpoint`` belongs to this ``run_id``.
 
-        A Kafka log starts at the external checkpoint. ``heartbeat`` adds an empty
-        tick to each trigger, so gap timeouts and commits come due on a silent log.
+        Reading starts where the checkpoint stood when the run began: Kafka seeks
+        there, a file log is filtered. ``heartbeat`` adds an empty tick to each
+        trigger, so gap timeouts and commits come due on a silent log.
         """
-        starting = "earliest"
+        begin = self._state(-1)[0].select(*KEY, "next_offset")
         if log.format == "kafka":
-            starting = starting_offsets(self.checkpoint.current(), log.topics, partitions)
-        records = read_log(self.spark, log, streaming=True, starting=starting)
+            starting = starting_offsets(begin, log.topics, partitions)
+            records = read_log(self.spark, log, streaming=True, starting=starting)
+        else:
+            records = resume(read_log(self.spark, log, streaming=True), begin)
         if heartbeat:
             empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in LOG_RECORD.fields]
             beats = self.spark.readStream.format("rate").option("rowsPerSecond", 1).load()
