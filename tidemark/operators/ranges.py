@@ -188,19 +188,23 @@ def merge_ranges(ranges: DataFrame, disjoint: bool = False) -> DataFrame:
     )
 
 
+def cut_ranges(ranges: DataFrame, bits: int) -> DataFrame:
+    """Ranges cut at multiples of ``2^bits``; other columns are repeated."""
+    rest = [c for c in ranges.columns if c not in ("start_offset", "end_offset")]
+    pieces = F.explode(F.expr(f"sequence(shiftright(start_offset, {bits}), shiftright(end_offset, {bits}))"))
+    return ranges.select(*rest, "start_offset", "end_offset", pieces.alias("piece")).select(
+        *rest,
+        F.expr(f"greatest(start_offset, shiftleft(piece, {bits}))").alias("start_offset"),
+        F.expr(f"least(end_offset, shiftleft(piece + 1, {bits}) - 1)").alias("end_offset"),
+    )
+
+
 def explode_ranges(ranges: DataFrame, name: str = "offset", chunk_bits: int = 16) -> DataFrame:
     """One row per offset of each range; other columns are repeated.
 
-    A wide range is first cut into chunks that are spread over the cluster, so
-    no task and no array has to hold all of it.
+    Wide ranges are first cut in two steps and the pieces spread over the cluster,
+    so no task and no array has to hold a wide range.
     """
     rest = [c for c in ranges.columns if c not in ("start_offset", "end_offset")]
-    chunks = ranges.select(
-        *rest, "start_offset", "end_offset",
-        F.explode(F.expr(
-            f"sequence(shiftright(start_offset, {chunk_bits}), shiftright(end_offset, {chunk_bits}))"
-        )).alias("chunk"),
-    ).repartition(*KEY, "chunk")
-    low = F.greatest("start_offset", F.expr(f"shiftleft(chunk, {chunk_bits})"))
-    high = F.least("end_offset", F.expr(f"shiftleft(chunk + 1, {chunk_bits}) - 1"))
-    return chunks.select(*rest, F.explode(F.sequence(low, high)).alias(name))
+    pieces = cut_ranges(cut_ranges(ranges, 2 * chunk_bits), chunk_bits).repartition(*KEY, "start_offset")
+    return pieces.select(*rest, F.explode(F.expr("sequence(start_offset, end_offset)")).alias(name))
