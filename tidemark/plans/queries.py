@@ -59,7 +59,8 @@ def log_scan(spark, sf):
 
 def log_sink_roundtrip(spark, sf):
     path = scratch_path(spark, "log")
-    write_log(fx.log_records(spark, sf), LogSpec("parquet", path))
+    instants = fx.log_records(spark, sf).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    write_log(instants, LogSpec("parquet", path))
     back = read_log(spark, LogSpec("parquet", path, topics=("events",)))
     return back.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.ordering import latest_per_offset
-from ..operators.ranges import floor_ranges, gaps_in, merge_ranges, offsets_to_ranges
+from ..operators.ranges import floor_ranges, gaps_in, merge_ranges
 from ..operators.sizes import Cached
 from ..schemas import KEY
 
