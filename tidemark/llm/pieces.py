@@ -43,6 +43,21 @@ def uniform(key: np.ndarray, *counters) -> np.ndarray:
     return ((x >> np.uint64(12)).astype(np.float64) + 0.5) / 2.0**52
 
 
+def uniform_one(key: int, *counters: int) -> float:
+    """The same for one key, by plain numbers."""
+    full = (1 << 64) - 1
+
+    def mixed(x: int) -> int:
+        x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & full
+        x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & full
+        return x ^ (x >> 31)
+
+    x = mixed(key)
+    for c in counters:
+        x = mixed((x + int(_BASE) * (c + 1)) & full)
+    return ((x >> 12) + 0.5) / 2.0**52
+
+
 def truncated(mass: np.ndarray, bound, u: np.ndarray) -> np.ndarray:
     """Gumbel variables at ``mass``, given that they are at most ``bound``."""
     return mass - np.log(np.exp(np.minimum(mass - bound, 700)) - np.log(u))
@@ -62,6 +77,7 @@ class Pieces:
         ranks = {i: r for r, i in enumerate(sorted(usual, key=lambda i: (-m.get_score(i), i)))}
         self.weight = np.full(size + 1, -theta * np.log(size + 2.0))
         self.weight[usual] = [-theta * np.log(ranks[i] + 2.0) for i in usual]
+        self.ascii = np.array([self.byte[b] for b in range(128)], np.int64)
         self.space = m.piece_to_id(MARK)
         by_length: dict[int, dict[int, int]] = {}
         for i in usual:
@@ -121,7 +137,7 @@ class Lattice:
                 other = np.setdiff1d(np.arange(len(codes)), starts[0], assume_unique=True)
                 starts.append(other)
                 ends.append(other + 1)
-                ids.append(np.full(len(other), -1))
+                ids.append(np.where(codes[other] < 128, pieces.ascii[np.minimum(codes[other], 127).astype(np.int64)], -1))
         start, end, ids = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (starts, ends, ids))
         order = np.lexsort((end, start))
         self.start, self.end, self.id = start[order], end[order], ids[order]
@@ -186,7 +202,7 @@ class Search:
     """Gumbel top-k for one text: paths emitted so far and the open sets along each."""
 
     def __init__(self, lattice: Lattice, key: int):
-        self.lattice, self.key = lattice, np.uint64(key)
+        self.lattice, self.key = lattice, key
         self.paths: list[np.ndarray] = []
         self.open: list[np.ndarray] = []
         self.before: list[np.ndarray] = []
@@ -198,7 +214,7 @@ class Search:
         n, own = len(self.paths), self.lattice.log_p[path]
         before = np.cumsum(own) - own
         mass = before + self.lattice.log_rest[path]
-        u = uniform(np.full(len(path), self.key), 1000 + n, np.arange(len(path)))
+        u = uniform(np.full(1, self.key, np.uint64), 1000 + n, np.arange(len(path)))
         with np.errstate(invalid="ignore"):
             priority = np.where(np.isfinite(mass), truncated(mass, value, u), -np.inf)
         priority[: since + 1] = -np.inf
@@ -223,14 +239,14 @@ class Search:
         node = int(lat.start[self.paths[r][j]])
         arcs = np.setdiff1d(np.arange(lat.ptr[node], lat.ptr[node + 1]), out)
         share = np.exp(lat.log_p[arcs] - lat.log_p[arcs].max()).cumsum()
-        draw = float(uniform(self.key, 2000 + n, j)) * share[-1]
+        draw = uniform_one(self.key, 2000 + n, j) * share[-1]
         taken = [int(arcs[min(int(np.searchsorted(share, draw, side="right")), len(arcs) - 1)])]
         out.append(taken[0])
         rest = np.setdiff1d(arcs, taken)
         mass = self.before[r][j] + np.logaddexp.reduce(lat.log_p[rest]) if len(rest) else -np.inf
-        self.open[r][j] = truncated(mass, value, uniform(self.key, 3000 + n, j)) if len(rest) else -np.inf
+        self.open[r][j] = truncated(mass, value, uniform_one(self.key, 3000 + n, j)) if len(rest) else -np.inf
         while (at := int(lat.end[taken[-1]])) != lat.last[node]:
-            u = uniform(self.key, 4000 + n, j, len(taken))
+            u = uniform_one(self.key, 4000 + n, j, len(taken))
             taken.append(int(lat.step(np.array([at]), np.array([u]))[0]))
         return taken
 
@@ -250,7 +266,7 @@ def sample(lattice: Lattice, rows: list[np.ndarray], keys: np.ndarray, k: int) -
             a, b = bounds[d], bounds[d + 1]
             if n == 0:
                 s.counts = [count[a:b]]
-                s.emit(arcs[ends[a] : ends[b]], -np.log(-np.log(float(uniform(s.key, 999)))), -1)
+                s.emit(arcs[ends[a] : ends[b]], -np.log(-np.log(uniform_one(s.key, 999))), -1)
                 continue
             value, r, j = s.best()
             if value == -np.inf:
@@ -300,7 +316,7 @@ def encode(docs: DataFrame, path: str, k: int = 2, theta: float = 1.0, seed: int
     def run(batches):
         pieces = pieces_of(path, theta)
         for batch in batches:
-            for part in slices(batch, 2_000_000):
+            for part in slices(batch):
                 rows = texts(part)
                 number: dict[str, int] = {}
                 cut = [np.array([number.setdefault(c, len(number)) for c in pieces.chunks(t)], np.int64) for t in rows]
