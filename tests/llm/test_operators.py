@@ -1,0 +1,242 @@
+"""The operators against brute force, the libraries, round trips and held-out labels; odd rows and empty tables."""
+
+import hashlib
+import re
+
+import numpy as np
+import public_tokenizers as P
+import pytest
+
+from tidemark.llm import decontam, embed_dedup, graph, langid, line_dedup, pieces, pii, quality, simhash, token_counts, toxicity
+
+ODD = [
+    (1, "The cat sat on the mat.\nThe cat sat on the mat."), (2, None), (3, ""), (4, "  \n "), (5, "İstanbul ΣΑΣ é 你好 😀 ½²"),
+    (6, "<|endoftext|> don't I'VE <|startoftext|>x"), (7, "x" * 5000), (7, "x" * 5000), (None, "no id here at all"), (8, "a\x00b\x1c c\x85d"),
+    (9, "many words " * 3000), (10, "▁ already marked"),
+]
+WORDS = P.path("word_bpe_49k.json")
+PIECES = P.path("piece_bpe_32k.model")
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Rows with nulls, empty, repeated and long texts, and columns whose names clash with the operators' own."""
+    return spark.createDataFrame([(*r, "en", 5, 6) for r in ODD], "doc_id long, text string, lang string, n_tokens int, component_id int").repartition(3)
+
+
+@pytest.fixture(scope="module")
+def docs(spark, sf_small):
+    return spark.read.parquet(f"{sf_small}/documents.parquet")
+
+
+@pytest.fixture(scope="module")
+def sf_small():
+    return "/root/testdata/sf0.001"
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def test_token_counts_match_library(odd, docs):
+    library = token_counts.counter(WORDS).library
+    for table in (odd, docs):
+        want = sorted((r.doc_id, len(library.encode(r.text or "", add_special_tokens=False).ids), len((r.text or "").encode())) for r in table.select("doc_id", "text").collect() if r.doc_id)
+        got = sorted((r.doc_id, r.n_tokens, r.n_bytes) for r in token_counts.count_tokens(table, WORDS, budget=50).collect() if r.doc_id)
+        assert got == want
+
+
+def test_token_prefixes_and_budget():
+    c = token_counts.PrefixCounter(WORDS)
+    text = "Thntblere of then, it's edtioner 42x"
+    want = [len(c.library.encode(text[:i], add_special_tokens=False).ids) for i in range(1, len(text) + 1) if not text[i - 1].isspace()]
+    assert list(c.prefix_counts(text)) == want
+    for budget in range(len(want)):
+        n, chars, tokens = c.cut(text, budget)
+        fits = [i + 1 for i, w in enumerate(want) if w <= budget]
+        assert (n, tokens <= budget) == (want[-1], True)
+        assert chars == (max(fits) if fits else 0)
+
+
+def test_embeddings_against_all_pairs(spark):
+    random = np.random.default_rng(1)
+    base = random.normal(size=(40, 24))
+    x = np.concatenate([base, base[:20] + 0.05 * random.normal(size=(20, 24)), base[:5], np.repeat(base[:1], 30, 0) + 0.08 * random.normal(size=(30, 24))])
+    ids = random.permutation(len(x))
+    frame = spark.createDataFrame([(int(i), v.tolist(), 0) for i, v in zip(ids, x)], "vec_id long, embedding array<double>, n_links int")
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    near = u @ u.T >= 0.95
+    label = ids.copy()
+    for _ in range(len(x)):
+        label = np.array([label[g].min() for g in near])
+    want = sorted((int(i), int(g.sum() - 1), int(c), bool(i == c)) for i, g, c in zip(ids, near, label))
+    for tile in (4096, 16):
+        assert sorted(map(tuple, embed_dedup.near_duplicates(frame, tile=tile).collect())) == want
+
+
+def test_embeddings_odd_rows(spark):
+    nan = float("nan")
+    frame = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 0.0]), (2, [1.0, 0.0]), (3, None), (4, [0.0, 0.0]), (5, [nan, 1.0]), (6, [1.0, None]), (7, [1.0, 0.0, 0.0]), (10, [])], "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embed_dedup.near_duplicates(frame).collect()}
+    assert got == {1: (1, 1), 2: (1, 1), **{i: (0, i) for i in (3, 4, 5, 6, 7, 10)}}
+    assert embed_dedup.near_duplicates(frame.where("vec_id > 99")).count() == 0
+
+
+PLAIN = (("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"), ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"))
+
+
+def base_of(text):
+    out = []
+    for no, (kind, pattern) in enumerate(PLAIN):
+        for m in re.finditer(pattern, text):
+            d = re.sub("[^0-9]", "", m[0])
+            luhn = sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(d[::-1])) % 10 == 0
+            if {"email": True, "ip": all(int(x) <= 255 for x in m[0].split(".")) if kind == "ip" else True, "card": 14 <= len(d) <= 19 and luhn, "phone": 10 <= len(d) <= 15}[kind]:
+                out.append((m.start(), no, f"{kind}:{m.start()}:{m.end()}"))
+    return ",".join(s for *_, s in sorted(out))
+
+
+def test_pii_base_spans(spark, docs):
+    more = ["a@b.c_d@e.f g@h.i@j.k", "1.2.3.4.5.6.7.8 300.1.1.1 001.002.003.0004", "4111 1111 1111 1111-2 4111-1111-1111-1111", "+1 (555) 123-4567. +12345678901234567", "é😀 x@y.zz", "1-2" * 3000, "9" * 9000, "", None]
+    table = docs.select("doc_id", "text").union(spark.createDataFrame([(10**6 + i, t) for i, t in enumerate(more)], "doc_id long, text string"))
+    texts = {r.doc_id: r.text or "" for r in table.collect()}
+    for r in pii.find(table).collect():
+        assert r.base_sha256 == hashlib.sha256(base_of(texts[r.doc_id]).encode()).hexdigest(), r.doc_id
+
+
+def test_pii_disclosing_terms(spark):
+    some = [(i, f"agent zorblax wrote {w} to spy@x.org today") for i, w in enumerate("alpha beta gamma delta".split())]
+    table = spark.createDataFrame([*some, *((10 + i, f"today nothing was wrote number {i}") for i in range(60)), (100, "the Zorblax is here"), (101, None)], "doc_id long, text string")
+    assert {r.term for r in pii.disclosing_terms(table).collect()} == {"agent", "zorblax"}
+    clean = {r.doc_id: r.text for r in pii.sanitise(table, removed=2.0).where("doc_id in (0, 100, 101)").collect()}
+    assert clean == {0: "[term] [term] wrote alpha to [email] today", 100: "the [term] is here", 101: None}
+
+
+def print_of(text):
+    import xxhash
+
+    words = [w for w in re.split("[\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")) if w]
+    parts = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or ([" ".join(words)] if words else [])
+    hashes = [xxhash.xxh64_intdigest(p.encode(), 42) for p in parts]
+    return sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hashes) * 2 > len(hashes))
+
+
+def test_simhash_against_all_pairs(odd, docs):
+    for table in (docs.select("doc_id", "text"), odd.where("doc_id is not null").select("doc_id", "text")):
+        prints = {r.doc_id: print_of(r.text) for r in table.collect()}
+        label = {d: d for d in prints}
+        for _ in prints:
+            new = {d: min(label[e] for e, q in prints.items() if (p ^ q).bit_count() <= 2) for d, p in prints.items()}
+            if new == label:
+                break
+            label = new
+        got = {r.doc_id: (r.fp % 2**64, r.component_id) for r in simhash.near_duplicates(table).collect()}
+        assert got == {d: (prints[d], label[d]) for d in prints}
+    kept = simhash.keep_one(odd)
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(map(str, [*set(label.values()), None])) and kept.columns == odd.columns
+
+
+def test_thresholds_cover_the_distance():
+    costs = [[0.0, 5.0, 9.0, 50.0], [0.0, 1.0, 2.0, 3.0], [0.0, 7.0, 8.0, 9.0]]
+    cost, chosen = simhash.allocate(costs, 2)
+    assert sum(chosen) == 2 - 3 + 1 and cost == min(costs[0][a + 1] + costs[1][b + 1] + costs[2][c + 1] for a in range(-1, 3) for b in range(-1, 3) for c in range(-1, 3) if a + b + c == 0)
+
+
+def test_decontamination(spark):
+    items = spark.createDataFrame([(1, "If Anna buys 12 apples for 3 dollars and sells 12 apples to Bob for 5 dollars what is her profit"), (2, "Short one here is ok"), (3, None), (4, "two words")], "item_id long, text string")
+    docs = [
+        (1, "junk. If Carla buys 40 apples for 7 dollars and sells 40 apples to Dan for 9 dollars what is her profit? end"),
+        (2, "If Carla buys 40 apples for 7 dollars and sells 41 apples to Dan for 9 dollars what is her profit"),
+        (3, None), (4, ""), (5, "if anna buys 12 apples for 3 dollars and sells 12 apples to bob for 5 dollars what is her profit"), (6, "so: short one here is ok"), (7, "two words"),
+    ]
+    table = spark.createDataFrame([(*d, 1) for d in docs], "doc_id long, text string, item_id int")
+    got = {(r.doc_id, r.item_id): r.changed > 0 for r in decontam.contaminations(table, items).collect()}
+    assert got == {(1, 1): True, (5, 1): False, (6, 2): False}  # 2: one value of the item meets two in the document
+    assert sorted(r.doc_id for r in decontam.remove_contaminated(table, items).collect()) == [2, 3, 4, 7]
+    assert decontam.contaminations(table.where("doc_id > 99"), items).count() == decontam.contaminations(table, items.where("item_id > 9")).count() == 0
+
+
+def test_line_dedup(spark, odd):
+    line = "the quick brown fox jumps over the lazy dog while nine other animals of the wood look on from the hill and wait for the evening to come"
+    near = line.replace("evening", "evenings")
+    other = "completely different words stand here and nothing of them was seen in any line before"
+    table = spark.createDataFrame([(1, f"{line}\nshort\n{other}", 0), (2, f"{near}\nshort", 0), (3, f"{line.upper()}!\n{'-' * 30}", 0), (4, None, 0), (5, "", 0), (None, line, 0)], "doc_id long, text string, _pos int")
+    got = {r.doc_id: (r.text, r["_removed"]) for r in line_dedup.dedup_lines(table).collect()}
+    assert got == {1: (f"{line}\nshort\n{other}", 0), 2: ("short", 1), 3: ("-" * 30, 1), 4: (None, 0), 5: ("", 0), None: (line, 0)}
+    assert line_dedup.without_repeated_lines(odd).columns == odd.columns and line_dedup.without_repeated_lines(odd).count() == len(ODD)
+    assert line_dedup.without_repeated_lines(odd.where("doc_id > 99")).count() == 0
+
+
+def test_components(spark):
+    edges = [(i, i + 1) for i in range(50)] + [(100, 200), (200, 100), (300, 300), (None, 1)]
+    got = dict(map(tuple, graph.components(spark.createDataFrame(edges, "a long, b long")).collect()))
+    assert got == {**{i: 0 for i in range(51)}, 100: 100, 200: 100}
+
+
+def test_language(odd, spark, sf_small):
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = langid.identify(table).join(table.select("doc_id", "lang"), "doc_id").where("held_out and lang is not null").collect()
+    assert np.mean([r.lang == r.lang_pred for r in found]) > 0.97
+    by = {r.doc_id: r for r in langid.identify(odd).collect()}
+    assert all(by[i].lang_pred == "und" and by[i].score == 0 for i in (2, 3, 4)) and len(langid.identify(odd).collect()) == len(ODD)
+    assert langid.identify(odd.where("doc_id > 99")).count() == 0
+    kept = langid.keep_identified(odd)
+    assert kept.schema == odd.schema and {r.doc_id for r in kept.collect()} >= {1, 9} and not {2, 3, 4} & {r.doc_id for r in kept.collect()}
+
+
+@pytest.mark.parametrize("module,label,least", [(quality, "quality", 0.9), (toxicity, "toxic", 0.85)])
+def test_classifiers(spark, odd, module, label, least):
+    folder = "/root/testdata/sf0.01"
+    table, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
+    found = module.assess(table, labels).join(labels, "doc_id").where("held_out").collect()
+    assert np.mean([r.predicted == r[label] for r in found]) > least
+    for chosen in (labels.where("doc_id < 0"), labels):
+        got = module.assess(odd, chosen).collect()
+        assert len(got) == len(ODD) and all(0 <= r.score <= 1 for r in got)
+    assert module.assess(odd.where("doc_id > 99"), labels).count() == 0
+
+
+def test_isotonic_is_monotone():
+    x, y = quality.isotonic(np.arange(6.0), np.array([0, 0.4, 0.2, 0.9, 0.5, 1.0]), np.ones(6))
+    assert np.allclose(y, [0, 0.3, 0.7, 1.0]) and np.allclose(x, [0, 1.5, 3.5, 5])
+
+
+def test_pieces_encode_and_decode(odd, docs):
+    model = pieces.pieces_of(PIECES, 1.0).model
+    for table in (odd, docs):
+        encoded = pieces.encode(table, PIECES)
+        texts = [(r.doc_id, r.text or "") for r in table.select("doc_id", "text").collect()]
+        assert sorted((str(d), model.encode(t)) for d, t in texts) == sorted((str(r.doc_id), r.ids) for r in encoded.collect())
+        back = sorted((str(r.doc_id), r.text) for r in pieces.decode(encoded, PIECES).collect())
+        assert back == sorted((str(d), t.replace("▁", " ")) for d, t in texts)
+        for r in encoded.collect():
+            spelt = {model.decode(s.ids) for s in r.samples}
+            assert len({tuple(s.ids) for s in r.samples}) == len(r.samples) and len(spelt) == 1
+    assert pieces.encode(odd.where("doc_id > 99"), PIECES).count() == 0
+
+
+def test_samples_are_without_replacement():
+    p = pieces.pieces_of(PIECES, 1.0)
+    chunks = ["▁then", "▁of"]
+    lattice = pieces.Lattice(p, chunks)
+
+    def ways(c, i=0):
+        if i == len(c):
+            yield (), 0.0
+        for j in range(i + 1, len(c) + 1):
+            k = p.model.piece_to_id(c[i:j])
+            if p.text[k] == c[i:j]:
+                for rest, w in ways(c, j):
+                    yield (k, *rest), w + p.weight[k]
+
+    every = [(a + b, v + w) for a, v in ways(chunks[0]) for b, w in ways(chunks[1])]
+    total = np.logaddexp.reduce([w for _, w in every])
+    prob = {a: float(np.exp(w - total)) for a, w in every}
+    n = 4000
+    found = pieces.sample(lattice, [np.array([0, 1])] * n, pieces.mix(np.arange(n, dtype=np.uint64)), 3)
+    names = [[tuple(lattice.ids(s[0]).tolist()) for s in f] for f in found]
+    assert all(len(set(f)) == 3 for f in names)
+    for a, q in prob.items():
+        assert abs(np.mean([f[0] == a for f in names]) - q) < 0.04
+        assert abs(np.mean([f[1] == a for f in names]) - sum(r * q / (1 - r) for b, r in prob.items() if b != a)) < 0.04
+    assert abs(np.mean([sum(np.exp(s[1]) / s[3] for s in f) for f in found]) - 1) < 0.05  # inclusion scores are unbiased
