@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import checkpointed
+from tidemark.llm.common import checkpointed, likely
 
 # The base patterns, leftmost and non-overlapping. Possessive groups and the look-behinds change no match;
 # they keep the time linear and the stack flat in long runs.
@@ -109,7 +109,7 @@ def disclosing_terms(docs: DataFrame, share: float = 0.8, support: int = 2) -> D
     n_e = entities.groupBy("entity").agg(F.count("*").alias("n_e"))
     terms = met.select("term").distinct()
     keyed = lines.select(F.xxhash64("line").alias("line_hash"), F.explode(words(F.col("line"))).alias("term"))
-    n_t = keyed.join(terms, "term", "left_semi").distinct().groupBy("term").agg(F.count("*").alias("n_t"))
+    n_t = likely(keyed, "term", terms).join(terms, "term", "left_semi").distinct().groupBy("term").agg(F.count("*").alias("n_t"))
     all_lines = lines.select(F.xxhash64("line").alias("h")).distinct().agg(F.count("*").alias("n"))
     pmi = F.log(F.col("n_et") * F.col("n") / (F.col("n_e") * F.col("n_t")))
     told = met.join(n_e, "entity").join(n_t, "term").join(F.broadcast(all_lines)).withColumn("told", pmi / F.log(F.col("n") / F.col("n_e")))
@@ -120,7 +120,7 @@ def term_spans(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """doc_id, _text (a hash of the text) and ``terms``: the spans of all occurrences of the terms, by start."""
     named = docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("_text"), "text")
     tokens = named.select("doc_id", "_text", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), 0))).alias("term"))
-    holding = tokens.join(terms.select("term"), "term").select("doc_id", "_text").distinct()
+    holding = likely(tokens, "term", terms.select("term")).join(terms.select("term"), "term").select("doc_id", "_text").distinct()
     texts = named.join(holding, [named.doc_id.eqNullSafe(holding.doc_id), named["_text"] == holding["_text"]], "left_semi").dropDuplicates(["doc_id", "_text"])
     cut = F.arrays_zip(F.split("text", TERM, -1).alias("gap"), F.regexp_extract_all("text", F.lit(TERM), 0).alias("word"))
     rows = texts.select("doc_id", "_text", F.posexplode(cut).alias("i", "x")).select("doc_id", "_text", "i", F.length("x.gap").alias("g"), F.col("x.word").alias("word"))
