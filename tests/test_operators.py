@@ -157,17 +157,30 @@ def test_starting_offsets(spark):
     current = spark.createDataFrame([("a", 0, 5), ("b", 1, 7)], "topic string, partition int, next_offset long")
     assert json.loads(lg.starting_offsets(current, ("a",), {"a": 2})) == {"a": {"0": 5, "1": -2}}
     assert lg.starting_offsets(current, ("c",)) == "earliest"
+    with pytest.raises(ValueError, match="b"):
+        lg.starting_offsets(current, ("a", "b"), {"a": 2})
+
+
+def test_interrupted_batch_counts_as_not_written(spark, tmp_path):
+    table = BatchTable(str(tmp_path), "r")
+    rows = spark.range(3)
+    table.write(rows, -1)
+    assert table.read_batch(spark, -1, rows.schema).count() == 3
+    (tmp_path / "run_id=r" / "batch_id=0" / "_temporary").mkdir(parents=True)
+    assert table.read_batch(spark, 0, rows.schema) is None
 
 
 # Log options
 
 def test_broker_list_and_protocol():
-    assert lg.bootstrap_servers("SASL_SSL://broker-1.example.com:9092") == "broker-1.example.com:9092"
-    assert lg.bootstrap_servers("SASL_SSL://broker-1:9092, SASL_SSL://broker-2:9092/") == "broker-1:9092,broker-2:9092"
-    with pytest.raises(ValueError):
-        lg.bootstrap_servers("  ")
-    assert lg.security_protocol("plaintext://broker-1:9092") == "PLAINTEXT"
-    assert lg.security_protocol("broker-1:9092") == lg.security_protocol("") == "SASL_SSL"
+    mixed = "ssl://log-east:19092 ,  log-west , PLAINTEXT://10.0.0.7:29092/"
+    assert lg.bootstrap_servers(mixed) == "log-east:19092,log-west,10.0.0.7:29092"
+    for blank in ("", "   "):
+        with pytest.raises(ValueError):
+            lg.bootstrap_servers(blank)
+    assert lg.security_protocol(mixed) == "SSL"
+    assert lg.security_protocol("log-west, sasl_plaintext://log-east") == "SASL_PLAINTEXT"
+    assert lg.security_protocol("log-west:1") == lg.security_protocol(None) == "SASL_SSL"
 
 
 def test_kafka_options_carry_the_connection():

@@ -3,7 +3,6 @@ from .columns import (
     is_blank,
     iso_now,
     normalise_name,
-    now_millis,
     parse_partition_key,
     partition_key,
     strict_int,
@@ -11,6 +10,6 @@ from .columns import (
 )
 
 __all__ = [
-    "format_message", "is_blank", "iso_now", "normalise_name", "now_millis",
+    "format_message", "is_blank", "iso_now", "normalise_name",
     "parse_partition_key", "partition_key", "strict_int", "strict_long",
 ]

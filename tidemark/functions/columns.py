@@ -72,11 +72,6 @@ def normalise_name(name: Column | str) -> Column | str:
     return F.lower(out)
 
 
-def now_millis() -> Column:
-    """Milliseconds since the epoch; one value per query execution."""
-    return F.unix_millis(F.current_timestamp())
-
-
 def iso_now() -> Column:
     """The current instant as ISO-8601 text in UTC."""
     utc = F.convert_timezone(None, F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz"))

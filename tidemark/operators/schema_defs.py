@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -60,11 +61,15 @@ FIELD_ROW = T.StructType([
 
 
 def load_fields(spark: SparkSession, path: str) -> list[dict]:
-    """Field definitions from a JSON file; an unreadable one gives none."""
+    """Field definitions from a JSON file; a missing one, or one that isn't JSON, gives none."""
     try:
         text = spark.read.text(path, wholetext=True).first()
         fields = json.loads(text["value"]) if text else []
-    except Exception:
+    except json.JSONDecodeError:
+        return []
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return []
     return fields if isinstance(fields, list) else []
 

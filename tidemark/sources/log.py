@@ -86,6 +86,8 @@ def starting_offsets(current: DataFrame, topics: tuple[str, ...], partitions: di
     The source wants it as one text, so it passes through the driver; its size is
     one number per log partition. ``partitions`` gives the partition count per
     topic, so that partitions without a checkpoint start at the earliest offset.
+    The source wants every partition of every topic once offsets are named, so
+    with any checkpoint the counts of all topics must be given.
     """
     rows = current.where(F.col("topic").isin(list(topics))).select(*KEY, "next_offset")
     found: dict[str, dict[str, int]] = {
@@ -93,6 +95,9 @@ def starting_offsets(current: DataFrame, topics: tuple[str, ...], partitions: di
     }
     for r in rows.toLocalIterator():
         found[r.topic][str(r.partition)] = r.next_offset
+    unknown = [t for t in topics if t not in (partitions or {})]
+    if any(found.values()) and unknown:
+        raise ValueError(f"partition counts are needed to resume: {', '.join(unknown)}")
     found = {t: ps for t, ps in found.items() if ps}
     return json.dumps(found, sort_keys=True) if found else "earliest"
 

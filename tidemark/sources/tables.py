@@ -31,13 +31,11 @@ class BatchTable:
         df.write.mode("overwrite").partitionBy(*partition_by).parquet(self.batch_path(batch_id))
 
     def read_batch(self, spark: SparkSession, batch_id: int, schema: T.StructType) -> DataFrame | None:
-        """One batch, or None if it was never written."""
-        try:
-            return spark.read.schema(schema).parquet(self.batch_path(batch_id))
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
+        """One batch, or None if it was never written to the end."""
+        mark = spark._jvm.org.apache.hadoop.fs.Path(f"{self.batch_path(batch_id)}/_SUCCESS")
+        if not mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark):
             return None
+        return spark.read.schema(schema).parquet(self.batch_path(batch_id))
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
