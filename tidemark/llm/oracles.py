@@ -6,8 +6,8 @@ SQL: dict[str, str] = {
     "op2_embedding_dedup": """
 with recursive v as (
   select distinct vec_id, embedding::double[] as e,
-    coalesce(len(embedding) > 0 and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
-             and len(list_filter(embedding, x -> x <> 0)) > 0, false) as ok
+    coalesce(len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+             and len(list_filter(embedding, lambda x: x <> 0)) > 0, false) as ok
   from embeddings
 ), links as (
   select a.vec_id as a, b.vec_id as b from v a join v b on a.ok and b.ok and a.vec_id <> b.vec_id and len(a.e) = len(b.e)
