@@ -25,6 +25,7 @@ from tidemark.llm.common import slices, texts
 MARK = "▁"
 _CHUNK = re.compile(rf"{MARK}*[^{MARK}]+|{MARK}+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+CACHED_CHARACTERS = 2_000_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -160,16 +161,34 @@ class Lattice:
             total[arcs] = value
         self.log_p = np.minimum(total - beta[self.start], 0.0) if len(by) else total
         p = np.exp(self.log_p)
-        running = np.cumsum(p)
-        before = running[self.ptr[self.start]] - p[self.ptr[self.start]] if len(by) else running
-        self.upto = self.start + np.minimum(running - before, 1.0)  # node number plus share: one sorted list for all nodes
+        self.upto = p.copy()  # shares summed within a node, so that draws depend on the node's arcs alone
+        degree = np.diff(self.ptr)
+        nodes = np.flatnonzero(degree > 1)
+        self.widest = int(degree.max()) if len(degree) else 0
+        for d in range(1, self.widest):
+            at = self.ptr[nodes] + d
+            self.upto[at] += self.upto[at - 1]
+            nodes = nodes[degree[nodes] > d + 1]
         self.log_rest = np.log(np.maximum(1 - p, 1e-300))
         self.log_rest[self.ptr[self.start + 1] - self.ptr[self.start] == 1] = -np.inf  # a node's only arc leaves nothing
 
+    def grow(self, chunks: list[str]) -> None:
+        """Put the lattices of more chunks after those that are here; these stay as they are."""
+        more, nodes, arcs = Lattice(self.pieces, chunks), len(self.codes), len(self.start)
+        for name, by in (("codes", 0), ("last", nodes), ("first", nodes), ("start", nodes), ("end", nodes), ("id", 0), ("log_p", 0), ("upto", 0), ("log_rest", 0)):
+            own = getattr(more, name)
+            setattr(self, name, np.concatenate([getattr(self, name), own + by if by else own]))
+        self.ptr = np.concatenate([self.ptr[:-1], more.ptr + arcs])
+        self.widest = max(self.widest, more.widest)
+
     def step(self, node: np.ndarray, u: np.ndarray) -> np.ndarray:
         """An arc from each node, drawn by ``u``."""
-        arc = np.searchsorted(self.upto, node + u, side="right")
-        return np.clip(arc, self.ptr[node], self.ptr[node + 1] - 1)
+        low, high = self.ptr[node], self.ptr[node + 1] - 1
+        for _ in range(max(0, self.widest - 1).bit_length()):
+            middle = (low + high) >> 1
+            beyond = (self.upto[middle] <= u) & (low < high)
+            low, high = np.where(beyond, middle + 1, low), np.where(beyond, high, middle)
+        return low
 
     def walk(self, chunk: np.ndarray, key: np.ndarray, place: np.ndarray, path: int) -> tuple[np.ndarray, np.ndarray]:
         """(arcs, how many of each): a segmentation drawn for each occurrence of a chunk."""
@@ -251,6 +270,47 @@ class Search:
         return taken
 
 
+class Chunks:
+    """Encodings and lattices of the chunks met, kept until they hold too many characters."""
+
+    def __init__(self, pieces: Pieces, kept: int = CACHED_CHARACTERS):
+        self.pieces, self.kept = pieces, kept
+        self.clear()
+
+    def clear(self) -> None:
+        self.number: dict[str, int] = {}
+        self.lattice = Lattice(self.pieces, [])
+        self.size = self.first = self.flat = np.zeros(0, np.int64)
+        self.same = np.zeros(0, bool)  # whether the chunk's encoding is decoded to the chunk
+
+    def take(self, rows: list[list[str]]) -> list[np.ndarray]:
+        """The rows' chunks by number; new ones are encoded, decoded and given a lattice."""
+        if len(self.lattice.codes) > self.kept:
+            self.clear()
+        new = list(dict.fromkeys(c for r in rows for c in r if c not in self.number))
+        if new:
+            self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
+            best = self.pieces.encode(new)
+            size = np.array([len(b) for b in best], np.int64)
+            self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(size) - size])
+            self.size = np.concatenate([self.size, size])
+            self.flat = np.concatenate([self.flat, np.array([i for b in best for i in b], np.int64)])
+            spelt = self.pieces.model.decode(best)
+            self.same = np.concatenate([self.same, np.array([c[1:].replace(MARK, " ") == t for c, t in zip(new, spelt)], bool)])
+            self.lattice.grow(new)
+        return [np.array(list(map(self.number.__getitem__, r)), np.int64) for r in rows]
+
+    def encoded(self, row: np.ndarray) -> np.ndarray:
+        n = self.size[row]
+        return self.flat[np.repeat(self.first[row] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+
+    def round_trip(self, text: str, row: np.ndarray) -> bool:
+        """Whether decoding gives the text back. Every chunk begins with a mark, so chunks are decoded independently."""
+        if MARK not in text and self.same[row].all():
+            return True
+        return self.pieces.spell(self.encoded(row).tolist()) == text
+
+
 def sample(lattice: Lattice, rows: list[np.ndarray], keys: np.ndarray, k: int) -> list[list[tuple[np.ndarray, float, float, float]]]:
     """For each row (numbers of its chunks): up to k segmentations (arcs, log p, perturbed log p, inclusion probability)."""
     sizes = np.array([len(r) for r in rows], np.int64)
@@ -259,25 +319,28 @@ def sample(lattice: Lattice, rows: list[np.ndarray], keys: np.ndarray, k: int) -
     place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     bounds = np.r_[0, np.cumsum(sizes)]
     searches = [Search(lattice, int(x)) for x in keys]
-    for n in range(k):
-        arcs, count = lattice.walk(flat, key, place, n)
-        ends = np.r_[0, np.cumsum(count)]
-        for d, s in enumerate(searches):
-            a, b = bounds[d], bounds[d + 1]
-            if n == 0:
-                s.counts = [count[a:b]]
-                s.emit(arcs[ends[a] : ends[b]], -np.log(-np.log(uniform_one(s.key, 999))), -1)
-                continue
+    arcs, count = lattice.walk(flat, key, place, 0)
+    ends = np.r_[0, np.cumsum(count)]
+    for s, a, b in zip(searches, bounds[:-1], bounds[1:]):
+        s.counts = [count[a:b]]
+        s.emit(arcs[ends[a] : ends[b]], -np.log(-np.log(uniform_one(s.key, 999))), -1)
+    for n in range(1, k):
+        going = []  # what each search leaves: value, path, place, number of the chunk, first and last occurrence after it
+        for s, a, b in zip(searches, bounds[:-1].tolist(), bounds[1:].tolist()):
             value, r, j = s.best()
-            if value == -np.inf:
-                continue
-            upto = np.cumsum(s.counts[r])
-            chunk = int(np.searchsorted(upto, j, side="right"))
-            taken = s.leave(value, r, j)
-            head = j - (int(upto[chunk - 1]) if chunk else 0)
-            path = np.concatenate([s.paths[r][:j], taken, arcs[ends[a + chunk + 1] : ends[b]]]).astype(np.int64)
-            s.counts.append(np.concatenate([s.counts[r][:chunk], [head + len(taken)], count[a + chunk + 1 : b]]).astype(np.int64))
+            if value > -np.inf:
+                upto = np.cumsum(s.counts[r])
+                chunk = int(np.searchsorted(upto, j, side="right"))
+                going.append((s, value, r, j, chunk, j - (int(upto[chunk - 1]) if chunk else 0), a + chunk + 1, b))
+        after = np.concatenate([np.arange(g[-2], g[-1]) for g in going]) if going else np.zeros(0, np.int64)
+        arcs, count = lattice.walk(flat[after], key[after], place[after], n)
+        ends, at = np.r_[0, np.cumsum(count)], 0
+        for s, value, r, j, chunk, head, a, b in going:
+            taken, upto = s.leave(value, r, j), at + b - a
+            path = np.concatenate([s.paths[r][:j], taken, arcs[ends[at] : ends[upto]]]).astype(np.int64)
+            s.counts.append(np.concatenate([s.counts[r][:chunk], [head + len(taken)], count[at:upto]]).astype(np.int64))
             s.emit(path, value, j)
+            at = upto
     out = []
     for s in searches:
         threshold = s.best()[0]
@@ -315,22 +378,15 @@ def encode(docs: DataFrame, path: str, k: int = 2, theta: float = 1.0, seed: int
 
     def run(batches):
         pieces = pieces_of(path, theta)
+        met = Chunks(pieces)
         for batch in batches:
             for part in slices(batch):
                 rows = texts(part)
-                number: dict[str, int] = {}
-                cut = [np.array([number.setdefault(c, len(number)) for c in pieces.chunks(t)], np.int64) for t in rows]
-                names = list(number)
-                best = pieces.encode(names) if names else []
-                lengths = np.array([len(b) for b in best], np.int64)
-                flat, first = np.array([i for b in best for i in b], np.int64), np.cumsum(lengths) - lengths
-                encoded = []
-                for r in cut:
-                    n = lengths[r]
-                    encoded.append(flat[np.repeat(first[r] - (np.cumsum(n) - n), n) + np.arange(n.sum())])
-                trip = [pieces.spell(e.tolist()) == t for e, t in zip(encoded, rows)]
+                cut = met.take([pieces.chunks(t) for t in rows])
+                encoded = [met.encoded(r) for r in cut]
+                trip = [met.round_trip(t, r) for t, r in zip(rows, cut)]
                 keys = mix(np.array([d or 0 for d in part.column("doc_id").to_pylist()], np.int64).view(np.uint64) + np.uint64(seed) * _BASE)
-                lattice = Lattice(pieces, names)
+                lattice = met.lattice
                 found = sample(lattice, cut, keys, k)
                 every = [s for f in found for s in f]
                 inner = pa.StructArray.from_arrays(
