@@ -119,8 +119,17 @@ class Lattice:
         self.codes = codes
         last = np.repeat(np.cumsum(lengths), lengths)  # where each character's chunk ends
         self.first = np.cumsum(lengths) - lengths
-        starts, ends, ids = [], [], []
+        starts, ranks, lengths, ids = [], [], [], []
         at, h = np.arange(len(codes)), np.zeros(len(codes), np.uint64)
+        degree = np.zeros(len(codes), np.int64)
+
+        def put(nodes, length, own):
+            starts.append(nodes)
+            ranks.append(degree[nodes])
+            lengths.append(np.full(len(nodes), length))
+            ids.append(own)
+            degree[nodes] += 1
+
         for n, (hashes, own) in enumerate(pieces.tables, 1):
             inside = at + n <= last[at]
             at, h = at[inside], h[inside]
@@ -131,24 +140,21 @@ class Lattice:
             known = hashes[place] == h
             at, h, place = at[known], h[known], own[place[known]]
             whole = place >= 0
-            starts.append(at[whole])
-            ends.append(at[whole] + n)
-            ids.append(place[whole])
+            put(at[whole], n, place[whole])
             if n == 1:  # characters that are no piece go by bytes
-                other = np.setdiff1d(np.arange(len(codes)), starts[0], assume_unique=True)
-                starts.append(other)
-                ends.append(other + 1)
-                ids.append(np.where(codes[other] < 128, pieces.ascii[np.minimum(codes[other], 127).astype(np.int64)], -1))
-        start, end, ids = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (starts, ends, ids))
-        order = np.lexsort((end, start))
-        self.start, self.end, self.id = start[order], end[order], ids[order]
+                other = np.flatnonzero(degree == 0)
+                put(other, 1, np.where(codes[other] < 128, pieces.ascii[np.minimum(codes[other], 127).astype(np.int64)], -1))
         self.last = last
+        self.ptr = np.r_[0, np.cumsum(degree)]
+        self.start, self.end, self.id = np.zeros((3, self.ptr[-1]), np.int64)
+        for nodes, rank, length, own in zip(starts, ranks, lengths, ids):  # in order of start, then of end
+            to = self.ptr[nodes] + rank
+            self.start[to], self.end[to], self.id[to] = nodes, nodes + length, own
         weight = pieces.weight[self.id]
-        self.ptr = np.searchsorted(self.start, np.arange(len(codes) + 1))
         # backward: nodes by distance from their chunk's end
         beta = np.zeros(len(codes) + 1)
         distance = (last - np.arange(len(codes)))[self.start]
-        by = np.argsort(distance, kind="stable")
+        by = np.argsort(distance.astype(np.min_scalar_type(int(distance.max()))) if len(distance) else distance, kind="stable")
         cuts = np.searchsorted(distance[by], np.arange(1, (distance.max() if len(by) else 0) + 2))
         inner = np.where(self.end == last[self.start], -1, self.end) if len(by) else self.end
         total = np.zeros(len(by))
