@@ -25,7 +25,7 @@ from tidemark.llm.common import slices, texts
 MARK = "▁"
 _CHUNK = re.compile(rf"{MARK}*[^{MARK}]+|{MARK}+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-CACHED_CHARACTERS = 2_000_000
+CACHED_CHARACTERS, SLICE = 1_200_000, 1_000_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -144,9 +144,9 @@ class Lattice:
             if n == 1:  # characters that are no piece go by bytes
                 other = np.flatnonzero(degree == 0)
                 put(other, 1, np.where(codes[other] < 128, pieces.ascii[np.minimum(codes[other], 127).astype(np.int64)], -1))
-        self.last = last
+        self.last = last.astype(np.int32)
         self.ptr = np.r_[0, np.cumsum(degree)]
-        self.start, self.end, self.id = np.zeros((3, self.ptr[-1]), np.int64)
+        self.start, self.end, self.id = np.zeros((3, self.ptr[-1]), np.int32)
         for nodes, rank, length, own in zip(starts, ranks, lengths, ids):  # in order of start, then of end
             to = self.ptr[nodes] + rank
             self.start[to], self.end[to], self.id[to] = nodes, nodes + length, own
@@ -175,15 +175,19 @@ class Lattice:
             at = self.ptr[nodes] + d
             self.upto[at] += self.upto[at - 1]
             nodes = nodes[degree[nodes] > d + 1]
-        self.log_rest = np.log(np.maximum(1 - p, 1e-300))
-        self.log_rest[self.ptr[self.start + 1] - self.ptr[self.start] == 1] = -np.inf  # a node's only arc leaves nothing
+
+    def log_rest(self, arcs: np.ndarray) -> np.ndarray:
+        """Log probability of the other arcs from where each arc starts; a node's only arc leaves nothing."""
+        node = self.start[arcs]
+        rest = np.log(np.maximum(1 - np.exp(self.log_p[arcs]), 1e-300))
+        return np.where(self.ptr[node + 1] - self.ptr[node] == 1, -np.inf, rest)
 
     def grow(self, chunks: list[str]) -> None:
         """Put the lattices of more chunks after those that are here; these stay as they are."""
         more, nodes, arcs = Lattice(self.pieces, chunks), len(self.codes), len(self.start)
-        for name, by in (("codes", 0), ("last", nodes), ("first", nodes), ("start", nodes), ("end", nodes), ("id", 0), ("log_p", 0), ("upto", 0), ("log_rest", 0)):
+        for name, by in (("codes", 0), ("last", nodes), ("first", nodes), ("start", nodes), ("end", nodes), ("id", 0), ("log_p", 0), ("upto", 0)):
             own = getattr(more, name)
-            setattr(self, name, np.concatenate([getattr(self, name), own + by if by else own]))
+            setattr(self, name, np.concatenate([getattr(self, name), own + own.dtype.type(by)]))
         self.ptr = np.concatenate([self.ptr[:-1], more.ptr + arcs])
         self.widest = max(self.widest, more.widest)
 
@@ -238,7 +242,7 @@ class Search:
         """Take a path; its sets begin at the arc after place ``since``."""
         n, own = len(self.paths), self.lattice.log_p[path]
         before = np.cumsum(own) - own
-        mass = before + self.lattice.log_rest[path]
+        mass = before + self.lattice.log_rest(path)
         u = uniform(np.full(1, self.key, np.uint64), 1000 + n, np.arange(len(path)))
         with np.errstate(invalid="ignore"):
             priority = np.where(np.isfinite(mass), truncated(mass, value, u), -np.inf)
@@ -386,7 +390,7 @@ def encode(docs: DataFrame, path: str, k: int = 2, theta: float = 1.0, seed: int
         pieces = pieces_of(path, theta)
         met = Chunks(pieces)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, SLICE):
                 rows = texts(part)
                 cut = met.take([pieces.chunks(t) for t in rows])
                 encoded = [met.encoded(r) for r in cut]
