@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
-from tidemark.llm.common import checkpointed, fold, sample_by_hash, slices, texts
+from tidemark.llm.common import checkpointed, fold, likely, sample_by_hash, slices, texts
 
 FOLDS = 5
 BINS = 1000
@@ -91,15 +91,16 @@ def isotonic(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, n
     return np.array([a / c for a, _, c in blocks]), np.clip([b / c for _, b, c in blocks], 0, 1)
 
 
-def fit(labelled: DataFrame, label: str, sample: int = 50_000, waves: int = 256, ridge: float = 1e-3, seed: int = 4) -> Model | None:
-    """Learn from rows (doc_id, text, label 0 or 1); None if there is none.
+def fit(docs: DataFrame, labels: DataFrame, label: str, sample: int = 50_000, waves: int = 256, ridge: float = 1e-3, seed: int = 4) -> Model | None:
+    """Learn from documents (doc_id, text) and their labels (doc_id, label 0 or 1); None if no document has one.
 
-    Bounds: about ``sample`` labelled rows, chosen by the id's hash, and ``waves`` random features. Rows with a null
-    label are left out.
+    Bounds: about ``sample`` labels, chosen by the id's hash, and ``waves`` random features. Null labels are left out, of
+    labels that repeat an id the larger counts. Texts become statistics where they are, and only those are shuffled.
     """
-    rows = labelled.where(F.col(label).isNotNull()).select("doc_id", "text", F.col(label).cast("double").alias("y"))
-    rows = sample_by_hash(rows, "doc_id", sample, rows.count(), seed)
-    rows = checkpointed(with_statistics(rows.withColumn("fold", fold(F.col("doc_id"), FOLDS).cast("int")), "fold", "y"))
+    known = one_label(labels, label).select("doc_id", F.col(label).cast("double").alias("y"))
+    chosen = checkpointed(sample_by_hash(known, "doc_id", sample, known.count(), seed))
+    stats = with_statistics(likely(docs.select("doc_id", "text"), "doc_id", chosen), "doc_id")
+    rows = checkpointed(stats.join(chosen, "doc_id").select(fold(F.col("doc_id"), FOLDS).cast("int").alias("fold"), "y", "stats"))
     one = rows.agg(F.count("*"), *(f(F.col("stats")[k]) for f in (F.avg, F.stddev_pop) for k in range(WIDTH))).first()
     if not one[0]:
         return None
@@ -169,7 +170,6 @@ def one_label(labels: DataFrame, label: str) -> DataFrame:
 
 def assess(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, **bounds) -> DataFrame:
     """Learn ``quality`` outside the held-out fold and score every document: doc_id, held_out, score, predicted."""
-    chosen = one_label(labels.where(fold(F.col("doc_id")) != 0), "quality")
-    learned = docs.select("doc_id", "text").join(chosen, "doc_id")
-    scored = predict(docs, fit(learned, "quality", **bounds))
+    open_ = fold(F.col("doc_id")) != 0
+    scored = predict(docs, fit(docs.where(open_), labels.where(open_), "quality", **bounds))
     return scored.select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
