@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import checkpointed, fold, sample_by_hash, slices, texts
+from tidemark.llm.common import checkpointed, fold, likely, sample_by_hash, slices, texts
 from tidemark.llm.quality import one_label
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -87,7 +87,8 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = 10_000, unlabelled:
     base = docs.select("doc_id", "text")
     chosen = sample_by_hash(known.where("toxic = 1").select("doc_id"), "doc_id", positives, counts[1], 6)
     plain = sample_by_hash(base, "doc_id", unlabelled, base.count(), 66)
-    rows = base.join(chosen, "doc_id").withColumn("positive", F.lit(True)).unionByName(plain.withColumn("positive", F.lit(False)))
+    chosen = checkpointed(chosen)
+    rows = likely(base, "doc_id", chosen).join(chosen, "doc_id").withColumn("positive", F.lit(True)).unionByName(plain.withColumn("positive", F.lit(False)))
 
     def cut(batches):
         for batch in batches:
