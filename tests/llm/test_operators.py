@@ -167,6 +167,18 @@ def test_line_dedup(spark, odd):
     assert line_dedup.without_repeated_lines(odd.where("doc_id > 99")).count() == 0
 
 
+def test_lines_with_one_letter_changed_go(spark):
+    text = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("text is not null").orderBy("doc_id").collect()
+    lines = [line for line in dict.fromkeys(x for r in text for x in r.text.lower().split("\n")) if re.fullmatch(r"[a-z ,.]+", line) and line[len(line) // 2].isalpha() and 11 <= len(line.split()) <= 20][:200]
+    changed = [line[: len(line) // 2] + ("q" if line[len(line) // 2] != "q" else "z") + line[len(line) // 2 + 1 :] for line in lines]
+    of = lambda s: {s[i : i + 5] for i in range(len(s) - 4)}
+    alike = [(a, b) for a, b in zip(lines, changed) if len(of(a) & of(b)) >= 0.8 * len(of(a) | of(b))]
+    assert len(alike) > 100
+    table = spark.createDataFrame([(1, "\n".join(a for a, _ in alike)), (2, "\n".join(b for _, b in alike))], "doc_id long, text string")
+    got = {r.doc_id: r["_removed"] for r in line_dedup.dedup_lines(table).collect()}
+    assert got[2] > 0.97 * len(alike)
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, 200), (200, 100), (300, 300), (None, 1)]
     got = dict(map(tuple, graph.components(spark.createDataFrame(edges, "a long, b long")).collect()))

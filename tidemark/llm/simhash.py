@@ -256,7 +256,7 @@ def shingle_classes(docs: DataFrame, shingle: int) -> DataFrame:
 
 
 def _shingle_sets(docs: DataFrame, places: DataFrame, named: DataFrame, shingle: int) -> DataFrame:
-    """place and set, one row for each of the places given; named: doc_id and place of each document."""
+    """place, ``raw`` (the set) and n, one row for each of the places given; named: doc_id and place of each document."""
 
     def run(batches):
         known: dict[bytes, int] = {}
@@ -264,11 +264,11 @@ def _shingle_sets(docs: DataFrame, places: DataFrame, named: DataFrame, shingle:
             for part in slices(batch, 1_000_000):
                 sets = [shingle_set(t, shingle, known) for t in texts(part)]
                 columns = [pa.array([place_of(s) for s in sets], pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(columns, ["place", "set"])
+                yield pa.RecordBatch.from_arrays(columns, ["place", "raw"])
 
     one = named.join(places, "place", "left_semi").groupBy("place").agg(F.min("doc_id").alias("doc_id"))
-    found = likely(docs.select("doc_id", "text"), "doc_id", checkpointed(one)).select("text").mapInArrow(run, "place long, set array<long>")
-    return checkpointed(found.join(places, "place", "left_semi").dropDuplicates(["place"]))
+    found = likely(docs.select("doc_id", "text"), "doc_id", checkpointed(one)).select("text").mapInArrow(run, "place long, raw array<long>")
+    return checkpointed(found.join(places, "place", "left_semi").dropDuplicates(["place"]).withColumn("n", F.size("raw")))
 
 
 def keep_one(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> DataFrame:
@@ -284,7 +284,7 @@ def keep_one(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> Data
     rows = checkpointed(shingle_classes(known, shingle))
     named = rows.select("doc_id", "place").distinct()
     classes = checkpointed(rows.dropDuplicates(["place"]).select("place", "keys"))
-    found = linked(classes, lambda places: _shingle_sets(known, places, named, shingle), similarity)
+    found = linked(classes, lambda places: _shingle_sets(known, places, named, shingle), similarity, F.col)
     roots = named.join(found.withColumnRenamed("node", "place"), "place", "left").select("doc_id", F.coalesce("component", "place").alias("root"))
     chosen = roots.groupBy("root").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
     kept = known.join(chosen, "doc_id", "left_semi").dropDuplicates(["doc_id"])
