@@ -156,6 +156,21 @@ def test_decontamination(spark):
     assert decontam.contaminations(table.where("doc_id > 99"), items).count() == decontam.contaminations(table, items.where("item_id > 9")).count() == 0
 
 
+def test_decontamination_of_altered_items(spark):
+    words = "the old keeper of the harbour light wrote each evening into a small blue book how many ships had passed the outer rocks before the tide turned again".split()
+    one = words[:13] + ["very"] + words[13:]
+    two = words[:10] + ["very"] + words[10:19] + ["quite"] + words[19:]
+    price = "a farmer sells 12 eggs on monday then walks home and rests for a while until the evening comes then counts what is left and finds 12 coins in a bag"
+    long = " ".join(f"{a}{b}" for a in ("ka", "lo", "mi", "nu", "pe", "ri") for b in ("bo", "da", "fi", "gu", "ho", "ja", "ke", "lu", "me", "no"))
+    items = spark.createDataFrame([(1, " ".join(words)), (2, price), (3, long), (4, "港口的老看守每晚都写下有多少船经过")], "item_id long, text string")
+    docs = [
+        (1, " ".join(one)), (2, " ".join(two)), (3, price.replace("12 coins", "13 coins")), (4, "so " + " ".join(long.split()[20:36]) + " it ends"),
+        (5, "他说港口的老看守每晚都写下有多少船经过。"), (6, " ".join(long.split()[20:30])),
+    ]
+    got = {(r.doc_id, r.item_id) for r in decontam.contaminations(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()}
+    assert got == {(1, 1), (2, 1), (3, 2), (4, 3), (5, 4)}
+
+
 def test_line_dedup(spark, odd):
     line = "the quick brown fox jumps over the lazy dog while nine other animals of the wood look on from the hill and wait for the evening to come"
     near = line.replace("evening", "evenings")

@@ -2,8 +2,10 @@
 
 Texts become templates: numbers, units and capitalised words inside a sentence turn into typed placeholders, other
 words are lower-cased, punctuation goes. Windows of template words are hashed and hash-joined with the benchmark's.
-Matches on one diagonal (document place minus item place) belong together; where enough of an item's windows match
-there, the values in its slots decide: one benchmark value must always meet the same value in the document.
+Matches on one diagonal (document place minus item place) belong together, and so do those on diagonals near to each
+other, as words put in or left out move the rest. There the values in slots decide: one benchmark value must always meet
+the same value in the document, or the windows where it has changed do not count. What counts must be enough of the
+item's windows, or a passage of 13 words or so as it stands.
 """
 
 from __future__ import annotations
@@ -12,12 +14,15 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import checkpointed, slices, texts
 
 _TOKEN = re.compile(r"[.!?:\n]|[^\W\d_]+|\d+(?:[.,]\d+)*|[%€$£°]")
+# Scripts without spaces: each letter counts as a word.
+_UNSPACED = re.compile(r"[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\ua4cf\uf900-\ufaff\U00020000-\U0003ffff]")
+_LETTERS = re.compile(rf"[.!?:\n]|(?=[^\W\d_]){_UNSPACED.pattern}|(?:(?!{_UNSPACED.pattern})[^\W\d_])+|\d+(?:[.,]\d+)*|[%€$£°]")
 # Units of measure and currency that count as one kind of slot.
 UNITS = frozenset(
     "% € $ £ ° mm cm m km inch inches foot feet ft yard yards mile miles mg g kg gram grams kilogram kilograms ton tons lb lbs pound "
@@ -72,7 +77,7 @@ class Templates:
         """(words' numbers, kinds with names only inside sentences, hashes with names as slots, hashes without)."""
         if len(self.names) > CACHED_WORDS:
             self.clear()
-        tokens = _TOKEN.findall(text)
+        tokens = (_LETTERS if not text.isascii() and _UNSPACED.search(text) else _TOKEN).findall(text)
         found = list(map(self.ids.get, tokens))
         if None in found:
             found = [self.ids[t] if t in self.ids else self._learn(t) for t in tokens]
@@ -161,12 +166,13 @@ def document_windows(docs: DataFrame, wanted: bytes, sizes: list[int]) -> DataFr
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, " + _WINDOW)
 
 
-def contaminations(docs: DataFrame, benchmark: DataFrame, size: int = 8, share: float = 0.5, least: int = 5) -> DataFrame:
+def contaminations(docs: DataFrame, benchmark: DataFrame, size: int = 8, share: float = 0.5, least: int = 5, passage: int = 6) -> DataFrame:
     """One row per (doc_id, item_id) where the document holds the item.
 
-    matched and windows: windows of the item found on the best diagonal, and all it has; changed: slots whose value
-    differs (0 for a plain copy). Needed are ``share`` of the item's windows on one diagonal, with slots that agree:
-    one value of the item always meets one value in the document. Items below ``least`` template words are not looked
+    matched and windows: different windows of the item found on the best diagonal, or on diagonals at most ``size`` and
+    half of the item's windows apart from the next, and all it has; changed: slots whose value differs (0 for a plain
+    copy). A window does not count if a value in it has changed that meets several values there. Needed are ``share`` of
+    the item's windows, or ``passage`` windows with nothing changed. Items below ``least`` template words are not looked
     for, as they stand in any text; null and empty texts hold nothing; repeated rows count once; rows without id have
     none to be named by. Other columns are not looked at.
     """
@@ -178,17 +184,31 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, size: int = 8, share:
         wanted[r.at] = r.bits
     sizes = sorted(r["size"] for r in items.select("size").distinct().collect())  # 1 to ``size``
     found = document_windows(docs.where("doc_id is not null and text is not null"), wanted.tobytes(), sizes)
-    there = items.select("item_id", "hash", "size", F.col("place").alias("item_place"), F.col("slots").alias("item_slots"))
-    matches = checkpointed(found.join(there, ["hash", "size"]).select("doc_id", "item_id", "item_place", (F.col("place") - F.col("item_place")).alias("shift"), "slots", "item_slots").distinct())
-    diagonals = matches.groupBy("doc_id", "item_id", "shift").agg(F.count_distinct("item_place").alias("matched"))
     whole = items.groupBy("item_id").agg(F.count_distinct("place").alias("windows"))
-    enough = diagonals.join(whole, "item_id").where(F.col("matched") >= F.greatest(F.lit(1), F.ceil(F.col("windows") * share)))
-    met = matches.select("doc_id", "item_id", "shift", F.explode(F.arrays_zip("slots", "item_slots")).alias("x"))
-    met = met.select("doc_id", "item_id", "shift", F.col("x.item_slots").alias("a"), F.col("x.slots").alias("b"))
-    pairs = met.groupBy("doc_id", "item_id", "shift", "a").agg(F.min("b").alias("low"), F.max("b").alias("high"))
-    slots = pairs.groupBy("doc_id", "item_id", "shift").agg(F.bool_and(F.col("low") == F.col("high")).alias("agree"), F.count_if(F.col("low") != F.col("a")).alias("changed"))
-    told = enough.join(slots, ["doc_id", "item_id", "shift"], "left").where(F.coalesce("agree", F.lit(True)))
-    best = F.max(F.struct("matched", (-F.coalesce("changed", F.lit(0))).alias("same"), "windows")).alias("x")
+    there = items.join(whole, "item_id").select("item_id", "hash", "size", "windows", F.col("place").alias("item_place"), F.col("slots").alias("item_slots"))
+    matches = found.join(there, ["hash", "size"]).select("doc_id", "item_id", "windows", "item_place", (F.col("place") - F.col("item_place")).alias("shift"), "slots", "item_slots")
+    matches = checkpointed(matches.distinct())
+    order = Window.partitionBy("doc_id", "item_id").orderBy("shift")  # an item's diagonals in one document
+    apart = F.col("shift") - F.lag("shift").over(order) > F.least(F.lit(size), F.floor(F.col("windows") / 2))
+    near = matches.select("doc_id", "item_id", "windows", "shift").distinct().withColumn("first", F.when(F.coalesce(apart, F.lit(True)), F.col("shift")))
+    near = near.select("doc_id", "item_id", "shift", F.max("first").over(order).alias("near"))
+    group = ["doc_id", "item_id", "wide", "at"]
+    ways = F.inline(F.array(F.struct(F.lit(False).alias("wide"), F.col("shift").alias("at")), F.struct(F.lit(True).alias("wide"), F.col("near").alias("at"))))
+    placed = matches.join(near, ["doc_id", "item_id", "shift"]).select("doc_id", "item_id", "windows", "item_place", F.arrays_zip("slots", "item_slots").alias("met"), ways)
+    met = placed.select(*group, F.explode("met").alias("x")).select(*group, F.col("x.item_slots").alias("a"), F.col("x.slots").alias("b"))
+    several = met.groupBy(*group, "a").agg(F.min("b").alias("low"), F.max("b").alias("high")).where("low <> high")
+    several = several.groupBy(*group).agg(F.collect_list("a").alias("several"))  # an item's own slots
+    altered = F.transform(F.filter("met", lambda x: x["slots"] != x["item_slots"]), lambda x: x["item_slots"])
+    counted = placed.join(several, group, "left").select(*group, "windows", "item_place", "several", altered.alias("altered"))
+    counted = counted.where(~F.arrays_overlap("altered", F.coalesce("several", F.array().cast("array<string>"))))
+    told = counted.groupBy(*group).agg(
+        F.count_distinct("item_place").alias("matched"),
+        F.count_distinct(F.when(F.size("altered") == 0, F.col("item_place"))).alias("same"),
+        F.max("windows").alias("windows"),
+        F.size(F.array_distinct(F.flatten(F.collect_set("altered")))).alias("changed"),
+    )
+    told = told.where((F.col("matched") >= F.greatest(F.lit(1), F.ceil(F.col("windows") * share))) | (F.col("same") >= passage))
+    best = F.max(F.struct("matched", (-F.col("changed")).cast("long").alias("same"), "windows")).alias("x")
     return told.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "x.matched", "x.windows", (-F.col("x.same")).alias("changed"))
 
 
