@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontam, embed_dedup, langid, line_dedup, pieces, pii, quality, simhash, token_counts, toxicity
+from tidemark.llm import decontam, embed_dedup, langid, line_dedup, merkle, pieces, pii, quality, simhash, token_counts, toxicity
 from tidemark.llm.common import table
 
 
@@ -58,7 +59,19 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(_documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of all documents, and whether each one as it may have been tampered with still leads to the root."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "source", "lang", "n_chars", "text")
+    values = [F.col(c) for c in docs.columns]
+    lower = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    leaves = docs.select("doc_id", "lang", merkle.leaf_of(*values).alias("leaf"), F.when(chosen, merkle.leaf_of(*values[:-1], lower)).alias("tampered"))
+    found = merkle.manifest(leaves, group="lang", key="doc_id", more=("tampered",))
+    folded = found.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"), merkle.fold(F.coalesce("tampered", "leaf"), F.col("proof")).alias("folded_root"))
+    return folded.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_token_counts, op2_embedding_dedup, op3_pii, op4_quality, op5_simhash, op6_toxicity, op7_decontamination, op8_line_dedup, op9_language_id, op10_sentencepiece)
+    for f in (op1_token_counts, op2_embedding_dedup, op3_pii, op4_quality, op5_simhash, op6_toxicity, op7_decontamination, op8_line_dedup, op9_language_id, op10_sentencepiece, op11_merkle)
 }
