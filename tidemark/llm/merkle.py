@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.ranks import kept, ranked, same
+from tidemark.llm.ranks import joined, kept, ranked
 
 BITS = 3
 FAN = 1 << BITS
@@ -113,15 +113,15 @@ def _tree(nodes: DataFrame, upper=None) -> DataFrame:
         tops = _tree(storey).select("group", F.col("own.block").alias("block"), "proof", "top")
     if upper is not None:
         tops = kept(tops, "tops")
-        over = upper(tops.groupBy("group").agg(F.any_value("top").alias("node")))
-        tops = tops.join(over, same(tops, over, ["group"])).select(
-            tops["group"], "block", F.concat(tops["proof"], over["proof"]).alias("proof"), tops["top"].alias("subroot"), over["top"].alias("top")
+        over = upper(tops.groupBy("group").agg(F.any_value("top").alias("node"))).withColumnsRenamed({"proof": "over", "top": "root"})
+        tops = joined(tops, over, ["group"]).select(
+            "group", "block", F.concat("proof", "over").alias("proof"), F.col("top").alias("subroot"), F.col("root").alias("top")
         )
     tops = kept(tops, "tops")
-    held = blocks.join(tops, same(blocks, tops, ["group", "block"]))
-    rest = [tops["subroot"]] if upper is not None else []
-    found = held.select(blocks["group"], *rest, tops["top"], F.explode(_leaves(blocks["kids"], tops["proof"], blocks["todo"])).alias("found"))
-    return found.select("group", *[c for c in ("subroot",) if rest], "top", "found.own", "found.proof")
+    held = joined(blocks, tops, ["group", "block"])
+    ends = ["subroot", "top"] if upper is not None else ["top"]
+    found = held.select("group", *ends, F.explode(_leaves(F.col("kids"), F.col("proof"), F.col("todo"))).alias("found"))
+    return found.select("group", *ends, "found.own", "found.proof")
 
 
 def _over_groups(tops: DataFrame) -> DataFrame:

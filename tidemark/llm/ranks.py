@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.sources.shared import scratch_path, written
@@ -15,9 +15,11 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return written(df, scratch_path(df.sparkSession, name))
 
 
-def same(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
-    """Equality of the columns in which null equals null."""
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in columns])
+def joined(left: DataFrame, right: DataFrame, columns: list[str], how: str = "inner") -> DataFrame:
+    """The join on equal ``columns`` in which null equals null; each of them comes out once."""
+    other = right.withColumnsRenamed({c: f"_right_{c}" for c in columns})
+    equal = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_right_{c}")) for c in columns])
+    return left.join(other, equal, how).drop(*[f"_right_{c}" for c in columns])
 
 
 def ranked(rows: DataFrame, groups: list[str], order: list[str], rank: str = "rank", total: str = "total") -> DataFrame:
@@ -40,5 +42,4 @@ def ranked(rows: DataFrame, groups: list[str], order: list[str], rank: str = "ra
         *groups, "_part", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"), F.sum("_n").over(whole).alias("_total")
     )
     starts = kept(starts, "starts")
-    found = placed.join(starts, same(placed, starts, [*groups, "_part"]))
-    return found.select(*[placed[c] for c in rows.columns], (F.col("_at") + F.col("_shift")).alias(rank), F.col("_total").alias(total))
+    return joined(placed, starts, [*groups, "_part"]).select(*rows.columns, (F.col("_at") + F.col("_shift")).alias(rank), F.col("_total").alias(total))
