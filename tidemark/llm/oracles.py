@@ -72,8 +72,46 @@ select doc_id, leaf, subroot, h as root, sha256(proof) as proof_sha256, acc as f
 from bf4 join b4 on true
 """
 
+_UTF8 = "flatten(list_transform({points}, lambda c: case when c < 128 then [c] else [192 + (c >> 6), 128 + (c & 63)] end))"
+
+#: All characters hashed here are below U+0100.
+_SPELLING = f"""
+with recursive {_CRC_TABLE}, runs as (
+  select doc_id, translate(run, '{string.ascii_uppercase}', '{string.ascii_lowercase}') as run, count(*) as n
+  from (select doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) as run from documents)
+  group by all
+), hashed as (
+  select run, n, {_crc32(_UTF8.format(points=_points("doc_id::varchar || ':' || run")))} as h from runs, crc_table
+), words as (
+  select word, sum(n)::bigint as n from (
+    select case when h % 199 = 0 then left(run, (h % length(run))::int) || substring(run, (h % length(run))::int + 2) else run end as word, n from hashed
+  ) where length(word) >= 6 group by word having sum(n) >= 5
+), cuts as (
+  select word, n, i, left(word, i::int) || substring(word, i::int + 2) as cut from (select *, unnest(range(length(word))) as i from words)
+), pairs as (
+  select a.word, b.word as other, b.n as other_n from cuts a join cuts b on a.cut = b.cut and a.i = b.i and a.word <> b.word
+  union
+  select c.word, w.word, w.n from cuts c join words w on w.word = c.cut
+  union
+  select w.word, c.word, c.n from cuts c join words w on w.word = c.cut
+), best as (
+  select word, count(*) as n_near, arg_min(other, (-other_n, other)) as other, max(other_n) as other_n from pairs group by word
+), formed as (
+  select w.word, w.n, coalesce(n_near, 0) as n_near, case when other_n >= 5 * w.n then other end as form, case when other_n >= 5 * w.n then other_n end as form_n
+  from words w left join best b on w.word = b.word
+), chains as (
+  select word, word as root, 0 as steps from formed
+  union all
+  select chains.word, formed.form, steps + 1 from chains join formed on formed.word = chains.root where formed.form is not null
+), ends as (
+  select word, arg_max(root, steps) as root from chains group by word
+)
+select formed.word, form, root, n, n_near::bigint as n_near, form_n::bigint as form_n from formed join ends on formed.word = ends.word
+"""
+
 SQL: dict[str, str] = {
     "op11_merkle": _MERKLE,
+    "op13_spelling": _SPELLING,
     "op2_embedding_dedup": """
 with recursive v as (
   select distinct vec_id, embedding::double[] as e,

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontam, embed_dedup, langid, line_dedup, merkle, pieces, pii, quality, simhash, token_counts, toxicity
+from tidemark.llm import decontam, embed_dedup, langid, line_dedup, merkle, mixing, pieces, pii, quality, simhash, spelling, token_counts, toxicity
 from tidemark.llm.common import table
 
 
@@ -71,7 +71,18 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return folded.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_documents(spark, sf_dir, "source"), weights=(5, 2, 1), share=1.5, most=2).select(
+        "doc_id", "size", "source_size", "target", "taken", "copies", "rate"
+    )
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spelling.occurrences(_documents(spark, sf_dir), least_length=6, deleted=199)
+    return spelling.grouped(spelling.counted(found, least=5), factor=5)
+
+
 ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_token_counts, op2_embedding_dedup, op3_pii, op4_quality, op5_simhash, op6_toxicity, op7_decontamination, op8_line_dedup, op9_language_id, op10_sentencepiece, op11_merkle)
+    for f in (op1_token_counts, op2_embedding_dedup, op3_pii, op4_quality, op5_simhash, op6_toxicity, op7_decontamination, op8_line_dedup, op9_language_id, op10_sentencepiece, op11_merkle, op12_mixing, op13_spelling)
 }
