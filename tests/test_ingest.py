@@ -43,10 +43,13 @@ class Run:
         return {t: sorted(o) for t, o in found.items()}
 
     def table(self, table, *columns):
-        layout = "topic string, missing_offset long, last_missing_offset long, offset long, kafka_topic string, error string"
+        layout = "topic string, missing_offset long, last_missing_offset long, offset long"
         rows = read_table(self.spark, table.path, StructType.fromDDL(layout)).select(*columns).collect()
         return sorted(tuple(r) for r in rows)
 
+    def refused(self):
+        return sorted(tuple(r) for r in self.flow.quarantine_table().select("kafka_topic", "error").collect())
+
 
 @pytest.fixture
 def root(tmp_path):
@@ -106,7 +109,7 @@ def test_scenarios(spark, root):
         ("gap", 1, 1), ("gap_failed", 1, 1), ("head", 0, 49), ("many", 1, 4), ("two", 1, 1), ("two", 3, 3), ("wide", 1, 3),
     ]
     assert run.table(run.flow.late, "topic", "offset") == [("double", 1), ("wide", 2)]
-    assert run.table(run.flow.quarantine, "kafka_topic", "error") == [("failed", "boom"), ("gap_failed", "boom")]
+    assert run.refused() == [("failed", "boom"), ("gap_failed", "boom")]
 
 
 def test_zero_timeout_declares_all_gaps_at_once(spark, root):

@@ -187,7 +187,10 @@ def test_kafka_options_carry_the_connection():
     spec = lg.LogSpec("kafka", brokers="SASL_SSL://b:9092", topics=("a", "b"), username="u", password="p", group_id="g")
     read = lg.kafka_read_options(spec, "earliest")
     assert read["subscribe"] == "a,b" and read["failOnDataLoss"] == "false" and read["kafka.bootstrap.servers"] == "b:9092"
-    assert "username='u' password='p'" in read["kafka.sasl.jaas.config"] and read["kafka.group.id"] == "g"
+    assert 'username="u" password="p"' in read["kafka.sasl.jaas.config"] and read["kafka.group.id"] == "g"
+    assert read["maxOffsetsPerTrigger"] == "50000000"
+    odd = lg.kafka_connection(lg.LogSpec("kafka", brokers="b:1", username="u", password='a"; b\\c'))
+    assert odd["kafka.sasl.jaas.config"].endswith('password="a\\"; b\\\\c";')
     assert "kafka.sasl.mechanism" not in lg.kafka_connection(lg.LogSpec("kafka", brokers="PLAINTEXT://b:1"))
 
 
@@ -205,10 +208,20 @@ def test_routes_from_json(spark, tmp_path):
     assert got == {"a": ("d.t", 15, {"owner": "x"}), "b": ("d.KAFKA_RAW_MESSAGE", 60, {}), "c": ("d.KAFKA_RAW_MESSAGE", 60, {})}
     assert sorted(r.topic for r in rt.routing_scan(routes, "a, c,ab").collect()) == ["a", "c"]
     assert [r.topic for r in rt.routing_lookup(routes, "a").collect()] == ["a"]
-    assert sorted(r.topic for r in rt.routing_lookup(routes, "cab", substring=True).collect()) == ["a", "b", "c"]
+    assert [r.topic for r in rt.routing_lookup(routes, "cab", substring=True).collect()] == ["a"]  # the first in the file
+    assert [r.topic for r in rt.routing_lookup(routes, "xcb", substring=True).collect()] == ["b"]
+    assert rt.routing_lookup(routes, "none").count() == 0
     assert one(routes.where("topic = 'b'").select(rt.commit_interval("x").alias("i"))).i == 60
 
 
+def test_topics_with_two_routes_are_refused(spark):
+    routes = spark.createDataFrame([("a", "d", "x"), ("a", "d", "y"), ("b", "d", "z")], "topic string, dataset string, table string")
+    records = spark.createDataFrame([("a", 0, 1)], "topic string, partition int, offset long")
+    with pytest.raises(ValueError, match="a"):
+        rt.route_records(records, routes)
+    assert rt.route_records(records, routes.where("table <> 'y'")).count() == 1
+
+
 # Schemas
 
 def test_struct_types():
@@ -279,9 +292,9 @@ def test_raw_projection(spark):
 # Generator
 
 def test_message_shape(spark):
-    df = spark.createDataFrame([("abc-123", "2026-04-18T00:00:00Z", 42.5)], "i string, t string, v double")
+    df = spark.createDataFrame([("m-7", "2031-11-02T17:45:10Z", 0.1234567)], "i string, t string, v double")
     message = one(df.select(fn.format_message("i", "t", "v").alias("m"))).m
-    assert message == '{"id":"abc-123","timestamp":"2026-04-18T00:00:00Z","value":42.500000}'
+    assert message == '{"id":"m-7","timestamp":"2031-11-02T17:45:10Z","value":0.123457}'
 
 
 def test_generator_counts_and_limits(spark):
@@ -336,6 +349,34 @@ def test_tumbling_counts_on_a_stream(spark, tmp_path):
     assert sorted(r.n for r in spark.table("tumbling").collect()) == [1, 2]
 
 
+def test_latest_per_offset_moves_only_what_repeats(spark):
+    rows = [("t", 0, o, f"p{o}") for o in range(200)]
+    once = envelopes(spark, *rows)
+    plan = od.latest_per_offset(once)
+    assert sorted(map(tuple, plan.collect())) == rows
+    final = plan._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "Exchange hashpartitioning" not in final
+    odd = [("t", 0, 5, "z"), ("t", 0, 5, None), (None, 0, 1, "x"), (None, 0, 1, "x"), ("t", None, 1, "x"), ("t", 0, None, "x")]
+    got = sorted(map(tuple, od.latest_per_offset(envelopes(spark, *rows, *odd)).collect()))
+    assert got == sorted(rows[:5] + [("t", 0, 5, "z")] + rows[6:])
+
+
+def test_epoch_millis(spark):
+    df = spark.createDataFrame([("2024-02-29 12:30:01.25",)], "s string").select(F.col("s").cast("timestamp_ntz").alias("t"))
+    for zone in ("UTC", "America/New_York"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            assert one(df.select(fn.epoch_millis(fn.utc_instant("t")).alias("m"))).m == 1709209801250
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_distributions_merge(spark):
+    df = spark.range(1, 1001).selectExpr("'t' as topic", "0 as partition", "id as v", "id % 10 as batch")
+    merged = mt.merged(mt.sketched(df, "v", ("topic", "partition", "batch")))
+    assert tuple(one(mt.distribution(merged, "v"))) == ("t", 0, 1000, 1, 1000, 500500, 500, 990)
+
+
 def test_batch_order(spark):
     df = envelopes(spark, ("t", 0, 2, "c"), ("t", 0, 0, "a"), ("s", 0, 5, "z"))
     assert [(r.topic, r.offset) for r in od.in_offset_order(df).collect()] == [("s", 5), ("t", 0), ("t", 2)]

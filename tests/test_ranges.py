@@ -109,16 +109,13 @@ def test_wide_range_explodes_in_chunks(spark):
     assert by_key(exploded, "offset") == {0: [(o,) for o in range(5, 5001)], 1: [(7,)]}
 
 
-def test_latest_per_offset_is_the_same_with_and_without_probe(spark):
+def test_latest_per_offset_with_given_words(spark):
     rows = [("t", 0, o, t, f"p{t}") for o in range(200) for t in ((1, 2) if o in (3, 150) else (1,))]
     df = spark.createDataFrame(rows, "topic string, partition int, offset long, timestamp int, payload string")
-    plain = sorted(od.latest_per_offset(df).collect())
-    probed = sorted(od.latest_per_offset(df, probe=True).collect())
-    assert plain == probed and len(plain) == 200
-    assert {r.offset: r.timestamp for r in plain if r.offset in (3, 4, 150)} == {3: 2, 4: 1, 150: 2}
-    clean = df.where("timestamp = 1")
-    assert od.latest_per_offset(clean, probe=True) is clean
-
+    want = sorted({r[2]: r for r in sorted(rows, key=lambda r: r[3])}.values())
+    parts = [rg.pack_offsets(df.where("timestamp = 1")), rg.pack_offsets(df.where("timestamp = 2"))]
+    assert sorted(map(tuple, od.latest_per_offset(df).collect())) == want
+    assert sorted(map(tuple, od.latest_per_offset(df, words=rg.merge_words(*parts)).collect())) == want
 
 def test_hot_key_window_is_split_by_bucket(spark):
     """The plan must not window over a whole log partition."""

@@ -1,4 +1,5 @@
 from .columns import (
+    epoch_millis,
     format_message,
     is_blank,
     iso_now,
@@ -7,9 +8,10 @@ from .columns import (
     partition_key,
     strict_int,
     strict_long,
+    utc_instant,
 )
 
 __all__ = [
-    "format_message", "is_blank", "iso_now", "normalise_name",
-    "parse_partition_key", "partition_key", "strict_int", "strict_long",
+    "epoch_millis", "format_message", "is_blank", "iso_now", "normalise_name",
+    "parse_partition_key", "partition_key", "strict_int", "strict_long", "utc_instant",
 ]

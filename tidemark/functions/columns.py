@@ -78,6 +78,16 @@ def iso_now() -> Column:
     return F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
 
 
+def epoch_millis(ts: Column | str) -> Column:
+    """Milliseconds since 1970 of an instant."""
+    return F.unix_millis(_col(ts).cast("timestamp"))
+
+
+def utc_instant(ts: Column | str) -> Column:
+    """The instant that a timestamp without time zone means if it was written in UTC, whatever the session's zone."""
+    return F.convert_timezone(F.lit("UTC"), F.current_timezone(), _col(ts)).cast("timestamp")
+
+
 def format_message(record_id: Column | str, timestamp: Column | str, value: Column | str) -> Column:
     """JSON text ``{"id":…,"timestamp":…,"value":…}`` with six decimals."""
     return F.format_string(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -122,11 +122,35 @@ def key_validity(df: DataFrame, parsed_topic: str = "topic") -> DataFrame:
     )
 
 
-def advance_stats(commits: DataFrame) -> DataFrame:
-    """Per key: number of commits and spread of the advance of each (``advance``)."""
-    return commits.groupBy(*KEY).agg(
-        F.count(F.lit(1)).alias("commits"),
-        F.min("advance").alias("advance_min"),
-        F.max("advance").alias("advance_max"),
-        F.sum("advance").alias("advance_sum"),
+#: Items that a sketch keeps exactly; beyond, ranks are off by about 1 / K of all items.
+SKETCH_K = 2048
+
+
+def sketched(values: DataFrame, value: str, by: tuple[str, ...] = tuple(KEY)) -> DataFrame:
+    """``by, count, min, max, sum, sketch`` of a column: a row of some kilobytes, however many values."""
+    v = F.col(value)
+    return values.groupBy(*by).agg(
+        F.count(v).alias("n"), F.min(v).alias("least"), F.max(v).alias("most"), F.sum(v).alias("total"),
+        F.kll_sketch_agg_bigint(v, SKETCH_K).alias("sketch"),
+    )
+
+
+def merged(sketches: DataFrame, by: tuple[str, ...] = tuple(KEY)) -> DataFrame:
+    """Distributions of several batches as one."""
+    return sketches.groupBy(*by).agg(
+        F.sum("n").alias("n"), F.min("least").alias("least"), F.max("most").alias("most"), F.sum("total").alias("total"),
+        F.kll_merge_agg_bigint("sketch", SKETCH_K).alias("sketch"),
     )
+
+
+def distribution(sketches: DataFrame, name: str, by: tuple[str, ...] = tuple(KEY)) -> DataFrame:
+    """``by, <name>_count, _min, _max, _sum, _p50, _p99`` of sketched values; exact up to ``SKETCH_K`` values."""
+    at = [F.kll_sketch_get_quantile_bigint("sketch", F.lit(q)).alias(f"{name}_{p}") for q, p in ((0.5, "p50"), (0.99, "p99"))]
+    return sketches.select(*by, *[F.col(c).alias(f"{name}_{n}") for c, n in (("n", "count"), ("least", "min"), ("most", "max"), ("total", "sum"))], *at)
+
+
+def advances(commits: DataFrame, order: str) -> DataFrame:
+    """Commits that moved their key forward, with the ``advance`` of each; commits of a key are in ``order``."""
+    earlier = Window.partitionBy(*KEY).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    moved = F.col("last_acked") - F.coalesce(F.max("last_acked").over(earlier), F.lit(-1))
+    return commits.withColumn("advance", moved.cast("bigint")).where("advance > 0")

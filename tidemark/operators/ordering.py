@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import DEFAULT_GAP_TIMEOUT_SECONDS, KEY
 from .ranges import WORD_BITS, explode_ranges, frontier_of, gaps_in, merge_ranges, offsets_to_ranges, pack_offsets
-from .sizes import MAX_HINT_ROWS, with_known_size
+from .sizes import with_known_size
 
 def with_expected(df: DataFrame, floors: DataFrame | None) -> DataFrame:
     """Add ``expected``: the key's next wanted offset, 0 without a checkpoint."""
@@ -45,51 +45,42 @@ def _keep_last(df: DataFrame, order: tuple[str, ...]) -> DataFrame:
     )
 
 
-def latest_per_offset(
-    df: DataFrame, order: tuple[str, ...] = ("timestamp", "payload"), probe: bool = False
-) -> DataFrame:
-    """One record per offset: the last by ``order``.
+def in_a_log(df: DataFrame) -> DataFrame:
+    """Records that have a place in a log; without topic, partition or offset there is nothing to order."""
+    return df.where("topic is not null and partition is not null and offset is not null")
 
-    Without ``probe`` all records are shuffled once. With it, a narrow pass over
-    the offsets first looks for words of 64 offsets that hold any repetition:
 
-    * none: the records pass through with no shuffle at all;
-    * few enough to broadcast: only records of those words are shuffled;
-    * more: the full shuffle.
+def latest_per_offset(df: DataFrame, order: tuple[str, ...] = ("timestamp", "payload"), words: DataFrame | None = None) -> DataFrame:
+    """One record per offset: the last by ``order``. Records without a place in a log are left out.
 
-    The result is the same. The probe pays off when payloads are wide and
-    redelivery is rare.
+    Which offsets may repeat is known before any payload moves: ``words`` (``pack_offsets`` of the same records, made
+    here unless given) tells for each 64 offsets whether more records came than offsets. Only records of such words
+    are shuffled. The table of these words is written first, so Spark knows its size: it is broadcast while small and
+    joined by shuffle beyond, and where it is empty the second half of the plan is dropped at run time.
     """
+    df = in_a_log(df)
     order = tuple(c for c in order if c in df.columns)
-    if not probe:
-        return _keep_last(df, order)
-    repeated = pack_offsets(df).where("n > bit_count(bits)").select(*KEY, F.col("word").alias("_word"))
-    repeated = with_known_size(repeated)
-    found = repeated.count()
-    if found == 0:
-        return df
-    if found > MAX_HINT_ROWS:
-        return _keep_last(df, order)
+    words = pack_offsets(df) if words is None else words
+    repeated = with_known_size(words.where("n > bit_count(bits)").select(*KEY, F.col("word").alias("_word")))
     marked = df.withColumn("_word", F.expr(f"shiftright(offset, {WORD_BITS})"))
-    few = F.broadcast(repeated)
-    once = marked.join(few, [*KEY, "_word"], "left_anti").drop("_word")
-    again = marked.join(few, [*KEY, "_word"], "left_semi").drop("_word")
+    once = marked.join(repeated, [*KEY, "_word"], "left_anti").drop("_word")
+    again = marked.join(repeated, [*KEY, "_word"], "left_semi").drop("_word")
     return once.unionByName(_keep_last(again, order))
 
 
-def contiguous_records(df: DataFrame, floors: DataFrame | None = None, probe: bool = False) -> DataFrame:
+def contiguous_records(df: DataFrame, floors: DataFrame | None = None) -> DataFrame:
     """Everything that is released once all gaps have timed out."""
-    return latest_per_offset(at_or_above(df, floors), probe=probe)
+    return latest_per_offset(at_or_above(df, floors))
 
 
-def contiguous_prefix(df: DataFrame, floors: DataFrame | None = None, probe: bool = False) -> DataFrame:
+def contiguous_prefix(df: DataFrame, floors: DataFrame | None = None) -> DataFrame:
     """Records released before the first gap of their key."""
     if floors is not None:
         floors = with_known_size(floors.select(*KEY, "next_offset"))
     stop = frontier_of(offsets_to_ranges(df), floors, disjoint=True).select(*KEY, F.col("next_offset").alias("_stop"))
     reached = with_known_size(stop)
     ready = with_expected(df, floors).join(reached, KEY).where("offset >= expected and offset < _stop")
-    return latest_per_offset(ready.drop("expected", "_stop"), probe=probe)
+    return latest_per_offset(ready.drop("expected", "_stop"))
 
 
 def in_offset_order(df: DataFrame) -> DataFrame:

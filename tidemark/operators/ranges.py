@@ -17,6 +17,8 @@ and shrinks a dense log up to 64 times.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,6 +46,11 @@ def pack_offsets(df: DataFrame, offset: Column | str = "offset", by: tuple[str,
     )
 
 
+def merge_words(*parts: DataFrame) -> DataFrame:
+    """Packed offsets of several sets of records as those of all of them."""
+    return reduce(DataFrame.unionByName, parts).groupBy(*KEY, "word").agg(F.expr("bit_or(bits)").alias("bits"), F.sum("n").alias("n"))
+
+
 def unpack_ranges(words: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Maximal runs inside each packed word, as ``start_offset .. end_offset``."""
     # A run starts (ends) at a set bit whose lower (upper) neighbour is not set.

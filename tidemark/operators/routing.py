@@ -21,9 +21,14 @@ def routing_scan(routing: DataFrame, names: str) -> DataFrame:
 
 
 def routing_lookup(routing: DataFrame, name: str | Column, substring: bool = False) -> DataFrame:
-    """Routes for one topic name; ``substring`` also takes routes whose topic occurs in the name."""
+    """The route for one topic name: none or one row.
+
+    ``substring`` also takes routes whose topic occurs in the name. Of several the first counts, by the place in the
+    file (``position``) where the routes were read from one, then by topic.
+    """
     name = name if isinstance(name, Column) else F.lit(name)
-    return routing.where(name.contains(F.col("topic")) if substring else F.col("topic") == name)
+    found = routing.where(name.contains(F.col("topic")) if substring else F.col("topic") == name)
+    return found.orderBy(*[c for c in ("position", "topic") if c in routing.columns]).limit(1)
 
 
 def destination(default_table: str = DEFAULT_TABLE) -> Column:
@@ -51,11 +56,19 @@ def with_route(routing: DataFrame, default_seconds: int | str | None = DEFAULT_C
     )
 
 
+def one_route_per_topic(routing: DataFrame) -> DataFrame:
+    """``routing``, refused if a topic has two routes: each record would be written twice."""
+    twice = routing.groupBy("topic").count().where("count > 1").select("topic").take(5)
+    if twice:
+        raise ValueError(f"topics with more than one route: {', '.join(sorted(str(r.topic) for r in twice))}")
+    return routing
+
+
 def route_records(records: DataFrame, routing: DataFrame) -> DataFrame:
     """Records of routed topics with their destination; others are left out.
 
     Spark broadcasts the routing table if its known size allows, so the records
     are not shuffled; beyond that it joins by shuffle with skew handling.
     """
-    routes = routing.select("topic", destination().alias("destination"))
-    return records.join(with_known_size(routes), "topic")
+    routes = with_known_size(routing.select("topic", destination().alias("destination")))
+    return records.join(one_route_per_topic(routes), "topic")

@@ -6,10 +6,6 @@ from pyspark.sql import DataFrame
 
 from ..sources.shared import scratch_path, written
 
-#: Row limit for an explicit broadcast hint: three short columns a row, so
-#: below 50 MB.
-MAX_HINT_ROWS = 1_000_000
-
 
 def with_known_size(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read back.

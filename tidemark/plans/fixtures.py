@@ -41,12 +41,41 @@ def observed(log: DataFrame) -> DataFrame:
     return log.where("offset % 97 <> 41 and offset % 89 not in (10, 11, 12)")
 
 
-def arrivals(log: DataFrame) -> DataFrame:
-    """Observed records, some delivered a second time, a second later."""
+def redelivered(log: DataFrame) -> DataFrame:
+    """All records, some delivered a second time, a second later."""
     copies = F.explode(F.expr("if(offset % 50 = 0, array(0, 1), array(0))")).alias("copy")
-    return observed(log).select("*", copies).withColumn(
-        "timestamp", F.expr("timestamp + make_dt_interval(0, 0, 0, copy)")
-    ).drop("copy")
+    return log.select("*", copies).withColumn("timestamp", F.expr("timestamp + make_dt_interval(0, 0, 0, copy)")).drop("copy")
+
+
+def arrivals(log: DataFrame) -> DataFrame:
+    """A log in which records are missing, and some came twice."""
+    return redelivered(observed(log))
+
+
+def wide_ranges(log: DataFrame) -> DataFrame:
+    """Each observed offset as a range of 2^14: a log over many buckets of the range core."""
+    return observed(log).select(*KEY, F.expr("offset << 14").alias("start_offset"), F.expr("(offset << 14) + 16383").alias("end_offset"))
+
+
+def wide_seed(log: DataFrame) -> DataFrame:
+    return checkpoint_seed(log).withColumn("next_offset", F.expr("next_offset << 14"))
+
+
+#: Steps in which the log's records become handled, and the time between two of them.
+STEPS = 2
+STEP_MS = 40_000
+
+
+def handled_steps(log: DataFrame) -> DataFrame:
+    """Every offset with the ``step`` in which it is handled: the log in halves, one in ten a step later than its
+    neighbours, and copies once more a step later. A few rows have no key."""
+    n = log.count()
+    late = F.expr("if(offset % 10 = 7, 1, 0)")
+    part = F.floor(F.col("key").cast("bigint") * F.lit(STEPS) / F.lit(n)).cast("int")
+    again = F.explode(F.expr("if(offset % 50 = 0, array(0, 1), array(0))")).alias("again")
+    steps = log.select("topic", "partition", "offset", (F.least(part, F.lit(STEPS - 1)) + late).alias("step"), again)
+    topic = F.when((F.col("offset") % 500 == 250) & (F.col("again") == 1), F.lit(None)).otherwise(F.col("topic"))
+    return steps.select(topic.alias("topic"), "partition", F.col("offset").alias("start_offset"), F.col("offset").alias("end_offset"), (F.col("step") + F.col("again")).alias("step"))
 
 
 def checkpoint_seed(log: DataFrame) -> DataFrame:
@@ -59,13 +88,15 @@ def checkpoint_seed(log: DataFrame) -> DataFrame:
 
 
 def commit_entries(log: DataFrame) -> DataFrame:
-    """A history of commits: every tenth offset of each partition was acknowledged once."""
-    return log.where("offset % 10 = 9").select(
+    """A history of commits: per key and hour, the largest offset of its records was acknowledged."""
+    hours = log.groupBy(*KEY, F.window("timestamp", "1 hour").alias("w")).agg(F.max("offset").alias("last_acked"))
+    return hours.select(
         *KEY,
-        (F.col("offset") + 1).alias("next_offset"),
-        F.col("offset").alias("last_acked"),
-        (F.lit(VERSION_MS) + F.col("offset")).alias("updated_at_ms"),
-        F.concat(F.lit("job-"), (F.col("offset") % 7).cast("string")).alias("updated_by"),
+        (F.col("last_acked") + 1).alias("next_offset"),
+        "last_acked",
+        (F.lit(VERSION_MS) + F.col("last_acked")).alias("updated_at_ms"),
+        F.concat(F.lit("job-"), (F.col("last_acked") % 7).cast("string")).alias("updated_by"),
+        F.col("w.start").alias("hour"),
     )
 
 

@@ -17,8 +17,13 @@ log as (
               else concat('{"type":"', event_type, '","props":', props, '}') end as val
   from events)"""
 
-_ARRIVALS = _LOG + """,
-observed as (select * from log where off % 97 <> 41 and off % 89 not in (10, 11, 12)),
+_HOLES = "where off % 97 <> 41 and off % 89 not in (10, 11, 12)"
+
+
+def _delivered(holes: str) -> str:
+    """Records that came, some twice; ``holes`` leaves some out."""
+    return _LOG + f""",
+observed as (select * from log {holes}),
 arrivals as (
   select topic, part, off, ts, k, event_id, val from observed
   union all
@@ -27,9 +32,13 @@ seed as (select distinct topic, part, cast(case part when 0 then 0 when 1 then 1
          from log where part < 4),
 expected as (select a.*, coalesce(s.next_off, 0) as expected from arrivals a left join seed s using (topic, part))"""
 
-_FRESH = _ARRIVALS + """,
+
+_ARRIVALS, _WHOLE = _delivered(_HOLES), _delivered("")
+
+_LATEST = """,
 fresh as (select topic, part, off, ts, val from expected where off >= expected
           qualify row_number() over (partition by topic, part, off order by ts desc, val desc nulls last) = 1)"""
+_FRESH, _FRESH_WHOLE = _ARRIVALS + _LATEST, _WHOLE + _LATEST
 
 _GAPS = _ARRIVALS + """,
 marked as (select topic, part, off, lag(off, 1, expected - 1) over (partition by topic, part order by off) as prev
@@ -39,8 +48,10 @@ gaps as (select topic, part, prev + 1 as s, off - 1 as e from marked where off >
 _REASON = """case when contains(coalesce(val, ''), 'errorMessage') then 'dropped'
                    when off % 53 = 7 then 'rejected' else 'written' end"""
 
-_HANDLED = _GAPS + f""",
-points as (select topic, part, off as s, off as e, {_REASON} as reason, ts from arrivals),
+_POINTS = f""",
+points as (select topic, part, off as s, off as e, {_REASON} as reason, ts from arrivals)"""
+
+_HANDLED = _GAPS + _POINTS + """,
 handled as (select topic, part, s, e, reason from points union all select topic, part, s, e, 'gap' from gaps)"""
 
 
@@ -59,10 +70,45 @@ _RANGE = f"{_KEYS}, cast(s as bigint) as start_offset, cast(e as bigint) as end_
 _RECORD = f'{_KEYS}, off as "offset", ts as "timestamp"'
 
 _COMMITS = _LOG + f""",
-commits as (select topic, part, off + 1 as next_off, off as acked, cast({V} + off as bigint) as at,
-                   concat('job-', cast(off % 7 as varchar)) as who from log where off % 10 = 9),
+commits as (select topic, part, max(off) + 1 as next_off, max(off) as acked, cast({V} + max(off) as bigint) as at,
+                   concat('job-', cast(max(off) % 7 as varchar)) as who, date_trunc('hour', ts) as hour
+            from log group by topic, part, date_trunc('hour', ts)),
 top as (select topic, part, max(next_off) as next_off from commits group by topic, part)"""
 
+#: Steps 40 seconds apart, a wait of 60 seconds for each commit; the store holds 10^9 for partition 3 from the start.
+_STEPS = _WHOLE + f""",
+total as (select count(*) as n from log),
+once as (select topic, part, off, cast(least(event_id * 2 // n, 1) as integer) + case when off % 10 = 7 then 1 else 0 end as step
+         from log, total),
+came as (select topic, part, off, step from once
+         union all
+         select case when off % 500 <> 250 then topic end, part, off, step + 1 from once where off % 50 = 0),
+keys as (select distinct topic, part from log),
+floors as (select topic, part, coalesce(next_off, 0) as f, next_off is not null as seeded from keys left join seed using (topic, part)),
+numbers as (select unnest(range(4)) as b),
+firsts as (select topic, part, off, min(step) as step from came where topic is not null group by topic, part, off),
+covered as (select topic, part, off, step, f, seeded, max(step) over (partition by topic, part order by off) as done
+            from firsts join floors using (topic, part) where off >= f),
+fronts as (select topic, part, b, f, seeded, f + count(*) filter (where done <= b) as now,
+                  count(*) filter (where step <= b) - count(*) filter (where done <= b) as held,
+                  count(*) filter (where step <= b) as ever
+           from covered, numbers group by topic, part, b, f, seeded),
+moves as (select *, lag(now, 1, f) over (partition by topic, part order by b) as was from fronts),
+timed as (select topic, part, -1 as b, f as committed, cast(null as bigint) as since, cast(null as bigint) as armed,
+                 case when part = 3 then 1000000001 else 0 end as stored, false as fired, false as tried from floors
+          union all
+          select x.topic, x.part, x.b,
+                 case when fires then greatest(now, stored) else committed end,
+                 case when not fires then waits end, case when since is null and waits is not null then 1 else 0 end,
+                 case when fires and now > stored then now else stored end, fires, fires and now > stored
+          from (select m.topic, m.part, m.b, m.now, t.committed, t.since, t.stored,
+                       case when m.now > t.committed then coalesce(t.since, {V} + m.b * 40000) end as waits,
+                       coalesce({V} + m.b * 40000 - case when m.now > t.committed then coalesce(t.since, {V} + m.b * 40000) end >= 60000, false) as fires
+                from moves m join timed t on m.topic = t.topic and m.part = t.part and m.b = t.b + 1) x),
+counted as (select topic, part, step as b, count(*) as seen from came where topic is not null group by all),
+placed as (select c.topic, c.part, c.step as b, count(*) filter (where off < was) as stale, count(*) filter (where off >= now) as beyond
+           from came c join moves m on c.topic = m.topic and c.part = m.part and c.step = m.b group by all)"""
+
 _ROUTES = """
 src as (select source, cast(substr(source, 4) as integer) as n, min(lang) as owner from documents group by source),
 routes as (select source as topic, concat('set', cast(n % 4 as varchar)) as dataset,
@@ -136,11 +182,11 @@ SQL: dict[str, str] = {
     # sources and sinks
     "log_scan": _with(_LOG, f"select {_RECORD}, k as key, val as value from log"),
     "log_sink_roundtrip": _with(_LOG, f"select {_RECORD}, k as key, val as value from log"),
-    "raw_table_write": _with(_FRESH, f"""select {_FLAT}, cast('2023-11-14' as date) as ingest_date
+    "raw_table_write": _with(_FRESH_WHOLE, f"""select {_FLAT}, cast('2023-11-14' as date) as ingest_date
         from fresh where not contains(coalesce(val, ''), 'errorMessage') and off % 53 <> 7"""),
-    "sink_success_offsets": _with(_FRESH, f"""select {_KEYS}, off as "offset"
+    "sink_success_offsets": _with(_FRESH_WHOLE, f"""select {_KEYS}, off as "offset"
         from fresh where not contains(coalesce(val, ''), 'errorMessage') and off % 53 <> 7"""),
-    "sink_failed_rows": _with(_FRESH, f"""select {_FLAT}, 'refused by table' as error
+    "sink_failed_rows": _with(_FRESH_WHOLE, f"""select {_FLAT}, 'refused by table' as error
         from fresh where not contains(coalesce(val, ''), 'errorMessage') and off % 53 = 7"""),
     "checkpoint_lookup": _with(_COMMITS, """,
         keys as (select distinct topic, cast(part + 10 * (off % 2) as integer) as part from log)
@@ -151,7 +197,7 @@ SQL: dict[str, str] = {
     "checkpoint_upsert": _with(_COMMITS, f"""
         select {_KEYS}, max(next_off) as next_offset, max(acked) as last_acked, cast({V} as bigint) as updated_at_ms,
                'job-b' as updated_by from commits group by topic, part"""),
-    "resume_scan": _with(_ARRIVALS, f"""
+    "resume_scan": _with(_WHOLE, f"""
         select {_RECORD}, k as key, val as value from expected where off >= expected"""),
     "generate_records": """
         with r as (select event_id * 3 + i as n, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') as instant
@@ -162,7 +208,7 @@ SQL: dict[str, str] = {
     "routing_scan": _with(_ROUTES, """
         select topic, dataset, tbl as "table", secs as commit_interval_seconds, owner from routes
         where topic in ('src1', 'src3', 'src10', 'absent')"""),
-    "routing_lookup": _with(_ROUTES, "select topic, dataset from routes where contains('src17-eu', topic)"),
+    "routing_lookup": _with(_ROUTES, "select topic, dataset from routes where contains('src17-eu', topic) order by topic limit 1"),
     "route_destination": _with(_ROUTES, f"select topic, {_DESTINATION} as destination from routes"),
     "route_commit_interval": _with(_ROUTES, """
         select topic, cast(case when secs > 0 then secs else 60 end as bigint) as interval_seconds from routes"""),
@@ -179,6 +225,7 @@ SQL: dict[str, str] = {
     "dropped_offsets": _with(_LOG, f"""select {_KEYS}, off as "offset" from log
         where contains(coalesce(val, ''), 'errorMessage')"""),
     "raw_message_rows": _with(_LOG, f"select {_FLAT} from log"),
+    "raw_rows_versioned_by_record": _with(_LOG, f"select {_FLAT.replace(str(V), 'epoch_us(ts) // 1000')} from log"),
     "handled_from_rows": _with(_ROWS, f"""select {_KEYS}, off as "offset" from extracted"""),
     "handled_valid": _with(_ROWS, f"""select {_KEYS}, off as "offset" from extracted
         where trim(coalesce(topic, '')) <> '' and off is not null"""),
@@ -200,7 +247,7 @@ SQL: dict[str, str] = {
     "gap_audit": _with(_GAPS, f"""
         select {_KEYS}, s as missing_offset, e as last_missing_offset, e + 1 as next_available_offset,
                e - s + 1 as missing_count, cast(300000 as bigint) as timeout_ms from gaps"""),
-    "late_records": _with(_ARRIVALS, f"select {_RECORD}, expected from expected where off < expected"),
+    "late_records": _with(_WHOLE, f"select {_RECORD}, expected from expected where off < expected"),
     "contiguous_run_lengths": _with(_ARRIVALS, f""",
         islands as (select topic, part, off, off - row_number() over (partition by topic, part order by off) as g
                     from (select distinct topic, part, off from arrivals))
@@ -212,7 +259,7 @@ SQL: dict[str, str] = {
         select 'conv' as topic, cast(conv_id as integer) as "partition", min(turn) as start_offset,
                max(turn) as end_offset, max(turn) - min(turn) + 1 as run_length from islands group by conv_id, g""",
     # handled offsets and the frontier
-    "handled_from_sink": _with(_HANDLED, f"""select {_KEYS}, s as "offset", reason from points
+    "handled_from_sink": _with(_WHOLE + _POINTS, f"""select {_KEYS}, s as "offset", reason from points
         where reason <> 'dropped'"""),
     "handled_all": _with(_HANDLED, f"select {_RANGE}, reason from handled"),
     "commit_frontier": _with(_HANDLED + "," + _frontier("handled"), f"""
@@ -225,8 +272,13 @@ SQL: dict[str, str] = {
         select 'conv' as topic, cast(conv_id as integer) as "partition",
                count(*) filter (where turn = rn) as next_offset,
                count(*) filter (where turn = rn) - 1 as last_acked from n group by conv_id""",
-    "stale_handled": _with(_HANDLED, f"""
+    "stale_handled": _with(_WHOLE + _POINTS, f"""
         select {_RANGE}, reason from points join seed using (topic, part) where s < next_off"""),
+    "wide_range_frontier": _with(_ARRIVALS + ", points as (select topic, part, off as s, off as e from observed)," + _frontier("points"), f"""
+        select {_KEYS}, next_off * 16384 as next_offset, next_off * 16384 - 1 as last_acked from frontier"""),
+    "wide_range_runs": _with(_ARRIVALS, f""",
+        islands as (select topic, part, off, off - row_number() over (partition by topic, part order by off) as g from observed)
+        select {_KEYS}, min(off) * 16384 as start_offset, max(off) * 16384 + 16383 as end_offset from islands group by topic, part, g"""),
     "buffered_handled": _with(_HANDLED + "," + _frontier("points"), f"""
         select distinct {_KEYS}, w.off as "offset" from wanted w join frontier using (topic, part)
         where w.off >= next_off"""),
@@ -237,10 +289,10 @@ SQL: dict[str, str] = {
     "tumbling_counts": _with(_LOG, """
         select time_bucket(interval 10 seconds, ts) as window_start, part as "partition", count(*) as n
         from log group by 1, 2"""),
-    "tumbling_handled_counts": _with(_HANDLED, """
+    "tumbling_handled_counts": _with(_WHOLE + _POINTS, """
         select time_bucket(interval 10 seconds, ts) as window_start, reason, count(*) as n from points group by 1, 2"""),
     "gap_metrics": _with(_GAPS, """
-        select e.topic, e.part as "partition", count(*) filter (where off >= expected) as records_released,
+        select e.topic, e.part as "partition", count(distinct off) filter (where off >= expected) as records_released,
                cast(coalesce(any_value(n), 0) as bigint) as gap_timeout_skip,
                cast(coalesce(any_value(m), 0) as bigint) as offsets_missing,
                count(*) filter (where off < expected) as late_after_skip
@@ -259,9 +311,29 @@ SQL: dict[str, str] = {
     "key_metrics": _with(_PARSED, """
         select count(*) as handled_offsets_seen, count(*) filter (where topic is null) as invalid_partition_keys_dropped
         from refs"""),
-    "checkpoint_metrics": _with(_COMMITS, f"""
-        select {_KEYS}, count(*) as commits, min(acked % 30 + 1) as advance_min, max(acked % 30 + 1) as advance_max,
-               cast(sum(acked % 30 + 1) as bigint) as advance_sum from commits group by topic, part"""),
+    "checkpoint_metrics": _with(_COMMITS, f""",
+        moved as (select topic, part, acked - coalesce(max(acked) over (partition by topic, part order by hour
+                         rows between unbounded preceding and 1 preceding), -1) as advance from commits),
+        listed as (select topic, part, list_sort(list(advance)) as a from moved where advance > 0 group by topic, part)
+        select {_KEYS}, len(a) as advance_count, a[1] as advance_min, a[len(a)] as advance_max,
+               cast(list_sum(a) as bigint) as advance_sum, a[cast(ceil(0.5 * len(a)) as bigint)] as advance_p50,
+               a[cast(ceil(0.99 * len(a)) as bigint)] as advance_p99 from listed"""),
+    "commit_step_metrics": "with recursive " + _STEPS + """
+        select cast(m.b as bigint) as batch_id, m.topic, m.part as "partition", coalesce(seen, 0) as handled_offsets_seen,
+               cast(0 as bigint) as invalid_partition_keys_dropped,
+               coalesce(stale, 0) as stale_offsets_ignored, coalesce(beyond, 0) as no_progress_buffered,
+               now - was as offsets_contiguously_acked, cast(now > was as bigint) as pending_ack_updated,
+               cast(armed as bigint) as commit_timer_armed, cast(fired as bigint) as commit_timer_fired,
+               cast(fired and not tried as bigint) as commit_timer_fired_without_pending_ack,
+               cast(tried as bigint) as checkpoint_commit_attempted, held as buffered_state_size,
+               cast(tried as bigint) as checkpoint_update_requested, cast(tried as bigint) as checkpoint_update_success,
+               cast(0 as bigint) as checkpoint_update_failure
+        from moves m join timed t on m.topic = t.topic and m.part = t.part and m.b = t.b
+             left join counted c on m.topic = c.topic and m.part = c.part and m.b = c.b
+             left join placed p on m.topic = p.topic and m.part = p.part and m.b = p.b
+        where seeded or ever > 0
+        union all
+        select step, null, null, count(*), count(*), 0, 0, 0, 0, 0, 0, 0, 0, 0, 0, 0, 0 from came where topic is null group by step""",
     # schemas
     "typed_cast": "select event_id, ts, value, event_type from events",
     "raw_string_projection": f"""

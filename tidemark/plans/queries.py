@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import normalise_name
+from ..functions import epoch_millis, normalise_name, utc_instant
 from ..operators import conform as cf
 from ..operators import envelope as env
 from ..operators import frontier as fr
@@ -16,12 +16,16 @@ from ..operators import metrics as mt
 from ..operators import ordering as od
 from ..operators import routing as rt
 from ..operators import schema_defs as sd
+from ..operators.ranges import explode_ranges, merge_ranges
+from ..operators.sizes import with_known_size
 from ..schemas import KEY, META_OFFSET, META_PARTITION, META_TOPIC, RAW_METADATA
 from ..sources import checkpoint as cp
 from ..sources.generator import seeded_records
-from ..sources.log import LogSpec, read_log, resume, write_log
+from ..sources.log import LogSpec, read_log, write_log
+from ..sources.manifest import RAW_ADDRESS, PublishedTable
 from ..sources.shared import scratch_path
-from ..sources.tables import BatchTable, read_table, with_ingest_date
+from ..sources.tables import with_ingest_date
+from ..streaming.commit_flow import CommitFlow
 from . import fixtures as fx
 from .replay import account, classify, replay_rows, sink_rows
 
@@ -43,6 +47,10 @@ def _envelopes(spark: SparkSession, sf: str) -> DataFrame:
     return env.to_envelope(fx.arrivals(fx.log_records(spark, sf)), keep=("timestamp",))
 
 
+def _whole(spark: SparkSession, sf: str) -> DataFrame:
+    return env.to_envelope(fx.redelivered(fx.log_records(spark, sf)), keep=("timestamp",))
+
+
 def _seed(spark: SparkSession, sf: str) -> DataFrame:
     return fx.checkpoint_seed(fx.log_records(spark, sf))
 
@@ -53,34 +61,47 @@ def _gaps(spark: SparkSession, sf: str) -> DataFrame:
 
 # Sources and sinks
 
+def _logged(spark, records, format_="segments"):
+    """The records written as a log."""
+    spec = LogSpec(format_, scratch_path(spark, "log"), topics=("events",))
+    write_log(records.withColumn("timestamp", utc_instant("timestamp")), spec)
+    return spec
+
+
+def _in_utc(log):
+    zone = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col("timestamp").cast("timestamp_ntz"))
+    return log.withColumn("timestamp", zone)
+
+
 def log_scan(spark, sf):
-    return fx.log_records(spark, sf)
+    return _in_utc(read_log(spark, _logged(spark, fx.log_records(spark, sf))))
 
 
 def log_sink_roundtrip(spark, sf):
-    path = scratch_path(spark, "log")
-    instants = fx.log_records(spark, sf).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
-    write_log(instants, LogSpec("parquet", path))
-    back = read_log(spark, LogSpec("parquet", path, topics=("events",)))
-    return back.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+    return _in_utc(read_log(spark, _logged(spark, fx.log_records(spark, sf), "parquet")))
+
+
+def _replayed(spark, sf):
+    return replay_rows(fx.redelivered(fx.log_records(spark, sf)), _seed(spark, sf), fx.VERSION_MS, _refused())
 
 
 def raw_table_write(spark, sf):
-    table = BatchTable(scratch_path(spark, "raw"), "run")
-    ok, _ = replay_rows(fx.arrivals(fx.log_records(spark, sf)), _seed(spark, sf), fx.VERSION_MS, _refused())
-    dated = with_ingest_date(ok, fx.VERSION_MS)
+    table = PublishedTable(spark, scratch_path(spark, "raw"), "run", RAW_ADDRESS)
+    dated = with_ingest_date(_replayed(spark, sf)[0], fx.VERSION_MS)
     for _ in range(2):  # a retried batch replaces its first attempt
         table.write(dated, 0, ("ingest_date",))
-    return _flat(read_table(spark, table.path, dated.schema), "ingest_date")
+    return _flat(table.read(dated.schema), "ingest_date")
 
 
 def sink_success_offsets(spark, sf):
-    ok, _ = replay_rows(fx.arrivals(fx.log_records(spark, sf)), _seed(spark, sf), fx.VERSION_MS, _refused())
-    return hd.drop_invalid_handled(hd.extract_handled(ok))
+    """What the manifest of the published rows says, no row is read again."""
+    table = PublishedTable(spark, scratch_path(spark, "raw"), "run", RAW_ADDRESS)
+    written = table.write(_replayed(spark, sf)[0], 0)
+    return explode_ranges(written.select(*KEY, "start_offset", "end_offset"))
 
 
 def sink_failed_rows(spark, sf):
-    _, failed = replay_rows(fx.arrivals(fx.log_records(spark, sf)), _seed(spark, sf), fx.VERSION_MS, _refused())
+    _, failed = _replayed(spark, sf)
     return _flat(failed, "error")
 
 
@@ -99,14 +120,15 @@ def checkpoint_upsert(spark, sf):
     log = cp.CheckpointLog(spark, scratch_path(spark, "checkpoint"))
     log.append(entries.select(*KEY, "last_acked"), "job-b", fx.VERSION_MS)
     # An older writer comes second and must not move anything back.
-    behind = entries.where("last_acked % 20 = 9").select(*KEY, F.expr("last_acked - 5").alias("last_acked"))
+    behind = entries.where("last_acked % 2 = 1").select(*KEY, F.expr("last_acked - 5").alias("last_acked"))
     log.append(behind, "job-a", fx.VERSION_MS + 1)
     return log.current()
 
 
 def resume_scan(spark, sf):
-    log = fx.arrivals(fx.log_records(spark, sf))
-    return resume(log, _seed(spark, sf))
+    """The log is read from the checkpoint on; partition 4 has none and starts at its beginning."""
+    spec = _logged(spark, fx.redelivered(fx.log_records(spark, sf)))
+    return _in_utc(read_log(spark, spec, floors=_seed(spark, sf)))
 
 
 def generate_records(spark, sf):
@@ -160,6 +182,12 @@ def raw_message_rows(spark, sf):
     return _flat(env.to_raw_rows(env.to_envelope(fx.log_records(spark, sf)), fx.VERSION_MS))
 
 
+def raw_rows_versioned_by_record(spark, sf):
+    """The version of a row is its record's own time in milliseconds."""
+    records = env.to_envelope(fx.log_records(spark, sf), keep=("timestamp",))
+    return _flat(env.to_raw_rows(records, epoch_millis(utc_instant("timestamp"))))
+
+
 def handled_from_rows(spark, sf):
     return hd.extract_handled(fx.raw_row_variants(fx.log_records(spark, sf)))
 
@@ -209,7 +237,7 @@ def gap_audit(spark, sf):
 
 
 def late_records(spark, sf):
-    return od.late_records(_envelopes(spark, sf), _seed(spark, sf)).select(*KEY, "offset", "timestamp", "expected")
+    return od.late_records(_whole(spark, sf), _seed(spark, sf)).select(*KEY, "offset", "timestamp", "expected")
 
 
 def contiguous_run_lengths(spark, sf):
@@ -223,7 +251,7 @@ def many_key_runs(spark, sf):
 # Handled offsets and the frontier
 
 def _sink(spark, sf):
-    checked = sink_rows(env.to_envelope(fx.arrivals(fx.log_records(spark, sf))), fx.VERSION_MS, _refused())
+    checked = sink_rows(_whole(spark, sf), fx.VERSION_MS, _refused())
     return checked.where("error is null"), checked.where("error is not null")
 
 
@@ -256,7 +284,17 @@ def many_key_frontier(spark, sf):
 
 
 def stale_handled(spark, sf):
-    return fr.stale_handled(_handled_points(spark, sf), _seed(spark, sf))
+    return fr.stale_handled(hd.point_ranges(classify(_whole(spark, sf), _refused())), _seed(spark, sf))
+
+
+def wide_range_frontier(spark, sf):
+    """Frontiers over many buckets of offsets, so that what one bucket hands to the next decides."""
+    log = fx.log_records(spark, sf)
+    return fr.commit_frontier(fx.wide_ranges(log), fx.wide_seed(log))
+
+
+def wide_range_runs(spark, sf):
+    return merge_ranges(fx.wide_ranges(fx.log_records(spark, sf)))
 
 
 def buffered_handled(spark, sf):
@@ -281,20 +319,19 @@ def tumbling_counts(spark, sf):
 
 
 def tumbling_handled_counts(spark, sf):
-    return mt.tumbling_counts(classify(_envelopes(spark, sf), _refused()), keys=("reason",))
+    return mt.tumbling_counts(classify(_whole(spark, sf), _refused()), keys=("reason",))
 
 
 def gap_metrics(spark, sf):
-    arrived, floors = _envelopes(spark, sf), _seed(spark, sf)
-    expected = od.with_expected(arrived, floors)
-    records = expected.select(
-        *KEY, "offset", F.col("offset").alias("end_offset"),
-        F.when(F.col("offset") < F.col("expected"), "late").otherwise("record").alias("kind"),
-    )
-    gaps = od.gap_ranges(arrived, floors).select(
-        *KEY, F.col("start_offset").alias("offset"), "end_offset", F.lit("gap").alias("kind")
-    )
-    return mt.gap_metrics(records.unionByName(gaps))
+    """A record counts as released once, however often it was delivered."""
+    arrived, floors = _envelopes(spark, sf).select(*KEY, "offset"), _seed(spark, sf)
+
+    def tagged(rows, kind, end="offset"):
+        return rows.select(*KEY, F.col("offset"), F.col(end).alias("end_offset"), F.lit(kind).alias("kind"))
+
+    gaps = od.gap_ranges(arrived, floors).withColumnRenamed("start_offset", "offset")
+    records = tagged(od.contiguous_records(arrived, floors), "record")
+    return mt.gap_metrics(records.unionByName(tagged(od.late_records(arrived, floors), "late")).unionByName(tagged(gaps, "gap", "end_offset")))
 
 
 def commit_metrics(spark, sf):
@@ -307,8 +344,24 @@ def key_metrics(spark, sf):
 
 
 def checkpoint_metrics(spark, sf):
-    commits = fx.commit_entries(fx.log_records(spark, sf)).withColumn("advance", F.expr("last_acked % 30 + 1"))
-    return mt.advance_stats(commits)
+    """How far commits moved their keys: sketched per day, then merged, as a running flow does per batch."""
+    moved = mt.advances(fx.commit_entries(fx.log_records(spark, sf)), "hour")
+    days = mt.sketched(moved.withColumn("day", F.to_date("hour")), "advance", (*KEY, "day"))
+    return mt.distribution(mt.merged(days), "advance")
+
+
+def commit_step_metrics(spark, sf):
+    """The commit stage over the whole log in steps; another writer has moved one key far ahead in the store."""
+    log, root = fx.log_records(spark, sf), scratch_path(spark, "commit")
+    seed = with_known_size(fx.checkpoint_seed(log))
+    store = cp.CheckpointLog(spark, f"{root}/checkpoint")
+    store.append(seed.where("partition = 3").select(*KEY, F.lit(10**9).alias("last_acked")), "other", fx.VERSION_MS)
+    flow = CommitFlow(spark, root, "run", store)
+    flow.begin(seed)
+    steps = with_known_size(fx.handled_steps(log))
+    for n in range(fx.STEPS + 2):
+        flow.process(steps.where(F.col("step") == n), n, fx.VERSION_MS + n * fx.STEP_MS, 60_000)
+    return flow.metrics()
 
 
 # Schemas
@@ -350,13 +403,14 @@ ALL: dict[str, Query] = {
         log_scan, log_sink_roundtrip, raw_table_write, sink_success_offsets, sink_failed_rows,
         checkpoint_lookup, checkpoint_topic_offsets, checkpoint_upsert, resume_scan, generate_records,
         routing_scan, routing_lookup, route_destination, route_commit_interval, route_records,
-        envelope, partition_key, valid_payloads, dropped_offsets, raw_message_rows,
+        envelope, partition_key, valid_payloads, dropped_offsets, raw_message_rows, raw_rows_versioned_by_record,
         handled_from_rows, handled_valid, partition_key_parse, conform_ok, conform_failed,
         contiguous_prefix, contiguous_records, gap_ranges, gap_missing_offsets, gap_first_missing,
         gap_audit, late_records, contiguous_run_lengths, many_key_runs,
         handled_from_sink, handled_all, commit_frontier, commit_frontier_stalled, many_key_frontier,
-        stale_handled, buffered_handled, commit_pending,
+        stale_handled, buffered_handled, commit_pending, wide_range_frontier, wide_range_runs,
         tumbling_counts, tumbling_handled_counts, gap_metrics, commit_metrics, key_metrics, checkpoint_metrics,
+        commit_step_metrics,
         typed_cast, raw_string_projection, normalise_names, default_string_schema, schema_field_stats,
     )
 }

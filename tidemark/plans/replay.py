@@ -62,14 +62,10 @@ def replay_rows(
     version_ms: int = 0,
     rules: dict[str, Column] | None = None,
     keyword: str = INVALID_KEYWORD,
-    probe: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """(rows for the raw table, rows for quarantine) of everything above the checkpoint.
-
-    ``probe`` as in ``latest_per_offset``: for wide payloads with rare redelivery.
-    """
+    """(rows for the raw table, rows for quarantine) of everything above the checkpoint."""
     envelopes = to_envelope(log, keep=("timestamp",))
-    fresh = latest_per_offset(at_or_above(envelopes, checkpoint), probe=probe)
+    fresh = latest_per_offset(at_or_above(envelopes, checkpoint))
     checked = sink_rows(fresh, version_ms, rules, keyword)
     return checked.where("error is null").drop("error"), checked.where("error is not null")
 

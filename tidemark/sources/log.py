@@ -1,13 +1,15 @@
 """Reading and writing the log, as a batch or a stream.
 
-Kafka is one format among others: file logs in parquet or JSON carry the same
-columns (``schemas.LOG_RECORD``), which is what the tests use.
+Kafka is one format among others: ``segments`` (module ``segments``) is a log of
+published files that starts at a checkpoint by itself; plain file logs in parquet
+or JSON carry the same columns (``schemas.LOG_RECORD``).
 """
 
 from __future__ import annotations
 
 import json
 import re
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..operators.ordering import at_or_above
 from ..schemas import KEY, LOG_RECORD
+from .segments import append_segments, read_segments
 
 DEFAULT_PROTOCOL = "SASL_SSL"
 EARLIEST = -2
@@ -36,7 +39,10 @@ def security_protocol(brokers: str | None) -> str:
 
 @dataclass(frozen=True)
 class LogSpec:
-    """Where a log is. ``format`` is kafka, parquet or json; ``path`` for the file formats."""
+    """Where a log is. ``format`` is kafka, segments, parquet or json; ``path`` for the file formats.
+
+    ``max_offsets_per_trigger`` bounds a Kafka micro-batch, so a backlog is worked off in steps; None lifts it.
+    """
 
     format: str = "parquet"
     path: str | None = None
@@ -46,9 +52,15 @@ class LogSpec:
     password: str | None = None
     group_id: str | None = None
     client_id: str | None = None
+    max_offsets_per_trigger: int | None = 50_000_000
     options: dict[str, str] = field(default_factory=dict)
 
 
+def _quoted(value: str | None) -> str:
+    """Text as a quoted value of a login configuration."""
+    return '"' + (value or "").replace("\\", "\\\\").replace('"', '\\"') + '"'
+
+
 def kafka_connection(spec: LogSpec) -> dict[str, str]:
     """Connection options shared by Kafka source and sink."""
     options = {
@@ -59,7 +71,8 @@ def kafka_connection(spec: LogSpec) -> dict[str, str]:
     if options["kafka.security.protocol"].startswith("SASL"):
         login = "org.apache.kafka.common.security.plain.PlainLoginModule"
         options["kafka.sasl.mechanism"] = "PLAIN"
-        options["kafka.sasl.jaas.config"] = f"{login} required username='{spec.username}' password='{spec.password}';"
+        user, password = _quoted(spec.username), _quoted(spec.password)
+        options["kafka.sasl.jaas.config"] = f"{login} required username={user} password={password};"
     if spec.client_id:
         options["kafka.client.id"] = spec.client_id
     return options
@@ -77,6 +90,8 @@ def kafka_read_options(spec: LogSpec, starting: str = "earliest") -> dict[str, s
     }
     if spec.group_id:
         options["kafka.group.id"] = spec.group_id
+    if spec.max_offsets_per_trigger:
+        options["maxOffsetsPerTrigger"] = str(spec.max_offsets_per_trigger)
     return options | spec.options
 
 
@@ -87,7 +102,8 @@ def starting_offsets(current: DataFrame, topics: tuple[str, ...], partitions: di
     one number per log partition. ``partitions`` gives the partition count per
     topic, so that partitions without a checkpoint start at the earliest offset.
     The source wants every partition of every topic once offsets are named, so
-    with any checkpoint the counts of all topics must be given.
+    with any checkpoint the counts of all topics must be given; where they are not
+    known, read from the earliest offset and leave out what is committed (``resume``).
     """
     rows = current.where(F.col("topic").isin(list(topics))).select(*KEY, "next_offset")
     found: dict[str, dict[str, int]] = {
@@ -102,8 +118,15 @@ def starting_offsets(current: DataFrame, topics: tuple[str, ...], partitions: di
     return json.dumps(found, sort_keys=True) if found else "earliest"
 
 
-def read_log(spark: SparkSession, spec: LogSpec, streaming: bool = False, starting: str = "earliest") -> DataFrame:
-    """The log as a DataFrame of ``LOG_RECORD`` columns."""
+def read_log(
+    spark: SparkSession, spec: LogSpec, streaming: bool = False, starting: str = "earliest", floors: DataFrame | None = None
+) -> DataFrame:
+    """The log as a DataFrame of ``LOG_RECORD`` columns.
+
+    ``starting`` is Kafka's starting offsets; ``floors`` (``topic, partition, next_offset``) are those of a segment log.
+    """
+    if spec.format == "segments":
+        return read_segments(spark, spec.path, streaming, floors, spec.topics)
     reader = spark.readStream if streaming else spark.read
     if spec.format == "kafka":
         raw = reader.format("kafka").options(**kafka_read_options(spec, starting)).load()
@@ -116,10 +139,7 @@ def read_log(spark: SparkSession, spec: LogSpec, streaming: bool = False, starti
 
 
 def resume(log: DataFrame, current: DataFrame) -> DataFrame:
-    """The part of a file log that is not committed yet.
-
-    Kafka seeks instead, see ``starting_offsets``.
-    """
+    """The part of a log that is not committed yet, where the source itself cannot start there."""
     return at_or_above(log, current)
 
 
@@ -130,6 +150,12 @@ def write_log(records: DataFrame, spec: LogSpec, checkpoint: str | None = None,
     """
     if topic is not None:
         records = records.withColumn("topic", F.lit(topic))
+    if spec.format == "segments":
+        if not records.isStreaming:
+            return append_segments(records, spec.path)
+        run = uuid.uuid5(uuid.NAMESPACE_URL, checkpoint).hex
+        step = records.writeStream.foreachBatch(lambda batch, n: append_segments(batch, spec.path, run, n))
+        return step.option("checkpointLocation", checkpoint).start()
     if spec.format == "kafka":
         records = records.select("topic", F.col("key").cast("string"), F.col("value").cast("string"))
         options = kafka_connection(spec) | {"kafka.acks": "all"} | spec.options

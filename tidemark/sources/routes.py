@@ -19,13 +19,14 @@ _NAMED = {
 def parse_routes(df: DataFrame, text: str) -> DataFrame:
     """Routes from a column of JSON documents ``{"topicConfigs": [{…}, …]}``.
 
-    Properties without a column of their own are kept in the map ``extra``.
+    ``position`` is a route's place in its document. Properties without a column
+    of their own are kept in the map ``extra``.
     """
-    config = F.explode(F.from_json(text, _TOPIC_CONFIGS)["topicConfigs"]).alias("c")
+    config = F.posexplode(F.from_json(text, _TOPIC_CONFIGS)["topicConfigs"]).alias("position", "c")
     named = [F.col("c")[prop].alias(name) for prop, name in _NAMED.items()]
     known = list(_NAMED)
     return df.select(config).select(
-        *named, F.map_filter("c", lambda k, _: ~k.isin(known)).alias("extra")
+        *named, F.map_filter("c", lambda k, _: ~k.isin(known)).alias("extra"), "position"
     ).withColumn("commit_interval_seconds", F.col("commit_interval_seconds").try_cast("bigint"))
 
 

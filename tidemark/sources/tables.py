@@ -62,11 +62,11 @@ def with_ingest_date(df: DataFrame, now_ms: int | Column) -> DataFrame:
 def compact(spark: SparkSession, table: BatchTable, schema: T.StructType, upto: int, into: str) -> DataFrame:
     """Rewrite the batches up to ``upto`` of one run into fewer files at ``into``.
 
-    A rebalance by day sizes the files and splits a day that is too large.
+    ``destination`` and ``ingest_date`` stay partitions; a rebalance by them sizes the files and splits what is too large.
     """
     done = read_table(spark, table.path, schema).where(
         (F.col("run_id") == table.run_id) & (F.col("batch_id") <= upto)
     )
-    days = [c for c in ("ingest_date",) if c in done.columns]
-    done.hint("rebalance", *days).write.mode("overwrite").partitionBy(*days).parquet(into)
+    kept = [c for c in ("destination", "ingest_date") if c in done.columns]
+    done.hint("rebalance", *kept).write.mode("overwrite").partitionBy(*kept).parquet(into)
     return spark.read.schema(done.schema).parquet(into)

@@ -19,14 +19,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators import frontier as fr
 from ..operators import handled as hd
 from ..operators import metrics as mt
 from ..operators.conform import check, fit
 from ..operators.envelope import is_valid, to_envelope, to_raw_rows
-from ..operators.ordering import gap_audit
-from ..operators.ranges import merge_ranges, offsets_to_ranges
-from ..operators.routing import with_route
+from ..operators.ordering import gap_audit, in_a_log
+from ..operators.ranges import merge_words, pack_offsets, unpack_ranges
+from ..operators.routing import one_route_per_topic, with_route
 from ..operators.schema_defs import RAW_MESSAGE_FIELDS, struct_type
 from ..operators.sizes import Cached, with_known_size
 from ..schemas import (
@@ -38,30 +37,25 @@ from ..schemas import (
     INVALID_KEYWORD,
     KEY,
     LOG_RECORD,
+    OFFSET_RANGE,
+    RAW_METADATA,
 )
 from ..sources.checkpoint import CheckpointLog
 from ..sources.log import LogSpec, read_log, resume, starting_offsets
-from ..sources.tables import BatchTable, read_table, with_ingest_date
+from ..sources.manifest import RAW_ADDRESS, PublishedTable
+from ..sources.tables import BatchTable, with_ingest_date
+from ..sources.versions import Versions
 from . import micro_order as mo
+from .commit_flow import CommitFlow
 
-_KEY_FIELDS = [T.StructField("topic", T.StringType()), T.StructField("partition", T.IntegerType())]
+_KEY_FIELDS = OFFSET_RANGE.fields[:2]
 
-KEY_STATE = T.StructType(_KEY_FIELDS + [
-    T.StructField("next_offset", T.LongType()),
-    T.StructField("gap_since_ms", T.LongType()),
-    T.StructField("frontier", T.LongType()),
-    T.StructField("committed_next", T.LongType()),
-    T.StructField("pending_since_ms", T.LongType()),
+KEY_STATE = T.StructType([
+    *_KEY_FIELDS, T.StructField("next_offset", T.LongType()), T.StructField("gap_since_ms", T.LongType()),
 ])
 
-RANGE_STATE = T.StructType(_KEY_FIELDS + [
-    T.StructField("kind", T.StringType()),
-    T.StructField("start_offset", T.LongType()),
-    T.StructField("end_offset", T.LongType()),
-    T.StructField("batch_id", T.LongType()),
-])
-
-STAGED = T.StructType(_KEY_FIELDS + [
+STAGED = T.StructType([
+    *_KEY_FIELDS,
     T.StructField("offset", T.LongType()),
     T.StructField("payload", T.StringType()),
     T.StructField("timestamp", T.TimestampType()),
@@ -89,25 +83,29 @@ class Ingest:
     rules: dict[str, Column] = field(default_factory=dict)
     keyword: str = INVALID_KEYWORD
     clock: Callable[[], int] = _clock
+    compact_every: int | None = 50
 
     def __post_init__(self) -> None:
         self.checkpoint = CheckpointLog(self.spark, f"{self.root}/checkpoint")
-        self.raw = self._table("raw")
-        self.quarantine = self._table("quarantine")
+        self.commits = CommitFlow(self.spark, self.root, self.run_id, self.checkpoint, self.job_id)
+        # Without metadata in the table, its files do not tell what they hold.
+        in_table = RAW_METADATA in struct_type(self.fields).fieldNames()
+        self.raw = PublishedTable(self.spark, f"{self.root}/raw", self.run_id, RAW_ADDRESS if in_table else None)
+        self.quarantine = PublishedTable(self.spark, f"{self.root}/quarantine", self.run_id, RAW_ADDRESS)
+        self.staged = PublishedTable(self.spark, f"{self.root}/staged", self.run_id)
+        self.instants = Versions(self.spark, f"{self.root}/state/instants/run_id={self.run_id}")
         self.gaps = self._table("gap_audit")
         self.late = self._table("late")
         self.handled = self._table("handled")
-        self.staged = self._table("staged")
         self.keys = self._table("state/keys")
         self.ranges = self._table("state/ranges")
         self.decisions = self._table("state/decisions")
-        self._routes = None
+        self._routes = self._intervals = None
         if self.routing is not None:
-            routes = with_route(self.routing).select(
-                "topic", "destination", F.when(F.col("commit_interval_seconds") > 0, F.col("commit_interval_seconds"))
-                .alias("own_seconds"),
-            )
+            own = F.when(F.col("commit_interval_seconds") > 0, F.col("commit_interval_seconds") * 1000.0)
+            routes = one_route_per_topic(with_route(self.routing)).select("topic", "destination", own.alias("interval_ms"))
             self._routes = with_known_size(routes)
+            self._intervals = self._routes.select("topic", "interval_ms")
 
     def _table(self, name: str) -> BatchTable:
         return BatchTable(f"{self.root}/{name}", self.run_id)
@@ -115,30 +113,25 @@ class Ingest:
     # State
 
     def _state(self, batch_id: int) -> tuple[DataFrame, DataFrame]:
-        """Key and range state after ``batch_id``; for -1 that of the start of the run."""
+        """Keys and waiting ranges after ``batch_id``; for -1 those of the start of the run."""
         keys = self.keys.read_batch(self.spark, batch_id, KEY_STATE)
         if keys is None and batch_id >= 0:
             raise FileNotFoundError(f"no state of batch {batch_id} in run {self.run_id}: start a new run_id")
         if keys is None:
             # Kept as a batch of its own: a retry of batch 0 must not start from
             # what its first attempt committed.
-            none = F.lit(None).cast("bigint")
-            start = self.checkpoint.current().select(
-                *KEY, "next_offset", none.alias("gap_since_ms"), F.col("next_offset").alias("frontier"),
-                F.col("next_offset").alias("committed_next"), none.alias("pending_since_ms"),
-            )
-            self.ranges.write(self.spark.createDataFrame([], RANGE_STATE), batch_id)
+            start = self.checkpoint.current().select(*KEY, "next_offset", F.lit(None).cast("bigint").alias("gap_since_ms"))
+            self.ranges.write(self.spark.createDataFrame([], OFFSET_RANGE), batch_id)
             self.keys.write(start, batch_id)
             keys = self.keys.read_batch(self.spark, batch_id, KEY_STATE)
-        return keys, self.ranges.read_batch(self.spark, batch_id, RANGE_STATE)
+        self.commits.begin(self.keys.read_batch(self.spark, -1, KEY_STATE))
+        return keys, self.ranges.read_batch(self.spark, batch_id, OFFSET_RANGE)
 
-    def _staged_before(self, batch_id: int, oldest: int | None) -> DataFrame:
-        """Records staged by earlier batches, from ``oldest`` on, that may be released now."""
-        if oldest is None:
-            layout = T.StructType(STAGED.fields + [T.StructField("batch_id", T.LongType())])
-            return self.spark.createDataFrame([], layout)
-        mine = (F.col("run_id") == self.run_id) & F.col("batch_id").between(oldest, batch_id - 1)
-        return read_table(self.spark, self.staged.path, STAGED).where(mine).drop("run_id")
+    def _instant(self, batch_id: int) -> int:
+        """The time of a batch: that of its first attempt, so a repeated one writes equal rows."""
+        if not self.instants.has(batch_id):
+            self.instants.put(batch_id, {"now_ms": self.clock()})
+        return self.instants.get(batch_id)["now_ms"]
 
     # One batch
 
@@ -148,45 +141,67 @@ class Ingest:
             self._process(batch, batch_id, cached)
 
     def _process(self, batch: DataFrame, batch_id: int, cached: Cached) -> None:
-        now = self.clock()
+        now = self._instant(batch_id)
         arrivals = to_envelope(batch.where("topic is not null"), keep=("timestamp",))
         if self._routes is not None:
             arrivals = arrivals.join(self._routes.select("topic"), "topic")
-        arrivals = arrivals.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
-        arrivals = cached(arrivals.withColumn("batch_id", F.lit(batch_id).cast("bigint")))
-        keys, ranges = self._state(batch_id - 1)
-        waiting = ranges.where("kind = 'waiting'").drop("kind")
-        oldest = waiting.agg(F.min("batch_id")).first()[0]
-        fresh = cached(offsets_to_ranges(arrivals))
-
-        decided, all_gaps = mo.decide(
-            fresh, None if oldest is None else waiting, keys, now, int(self.gap_timeout_s * 1000), cached
-        )
+        arrivals = in_a_log(arrivals)
+        arrivals = cached(arrivals.withColumn("timestamp", F.col("timestamp").cast("timestamp")))
+        keys, waiting = self._state(batch_id - 1)
+        some_wait = not waiting.isEmpty()
+        words = cached(pack_offsets(arrivals))
+        fresh = cached(unpack_ranges(words))
+
+        decided, all_gaps = mo.decide(fresh, waiting if some_wait else None, keys, now, int(self.gap_timeout_s * 1000), cached)
         self.decisions.write(decided, batch_id)
         decisions = self.decisions.read_batch(self.spark, batch_id, mo.DECISION)
         found = decisions.agg(
             F.bool_or(F.col("gap_since_ms").isNotNull()).alias("waits"),
             F.bool_or(F.col("skipped") > 0).alias("skips"),
         ).first()
-        in_order = mo.released(arrivals, self._staged_before(batch_id, oldest), decisions)
-        tagged = cached(self._sink(in_order, now))
-        self._write_rows(tagged, batch_id, now)
+        arrived = arrivals.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        if some_wait:
+            # Of all that was ever staged, only files that hold offsets released now are opened.
+            moved = decisions.where("expected > expected_before").select(
+                *KEY, F.col("expected_before").alias("start_offset"), (F.col("expected") - 1).alias("end_offset")
+            )
+            again = self.staged.read_overlapping(moved, STAGED).where(F.col("batch_id") < batch_id).drop("run_id")
+            arrived, words = arrived.unionByName(again), merge_words(words, pack_offsets(again))
+        tagged = cached(self._sink(mo.released(arrived, decisions, words), now))
+        handled = self._write_rows(tagged, batch_id, now)
         late = mo.late(arrivals, decisions)
         if not late.isEmpty():
             self.late.write(late.select(*LATE.fieldNames()), batch_id)
-        # Written and rejected rows count as handled only now that both writes are done.
-        handled = hd.handled_ranges(tagged)
         if found.skips:
             gaps = mo.declared(all_gaps, decisions)
             self.gaps.write(gap_audit(gaps, int(self.gap_timeout_s * 1000)), batch_id)
             handled = hd.merge_handled(handled, hd.gap_ranges_handled(gaps))
+        # Written and rejected rows count as handled only now that both writes are done.
         self.handled.write(handled, batch_id)
 
-        still = None
+        still = self.spark.createDataFrame([], OFFSET_RANGE)
         if found.waits:
-            self.staged.write(mo.held_back(arrivals, decisions).select(*STAGED.fieldNames()), batch_id)
-            still = mo.still_waiting(fresh, waiting, decisions, batch_id)
-        self._commit(batch_id, now, keys, ranges, decisions, still, cached)
+            # Below what was expected before this batch nothing is read again, not even if the batch is repeated.
+            floors = decisions.select(*KEY, F.col("expected_before").alias("next_offset"))
+            self.staged.write(mo.held_back(arrivals, decisions).select(*STAGED.fieldNames()), batch_id, floors=floors)
+            still = mo.still_waiting(fresh, waiting, decisions)
+        self.ranges.write(still.select(*OFFSET_RANGE.fieldNames()), batch_id)
+        done = self.handled.read_batch(self.spark, batch_id, HANDLED_RANGE).select(*OFFSET_RANGE.fieldNames())
+        self.commits.process(done, batch_id, now, self.commit_interval_s * 1000, self._intervals, disjoint=True)
+        self.keys.write(decisions.select(*KEY, F.col("expected").alias("next_offset"), "gap_since_ms"), batch_id)
+        self._tidy(batch_id)
+
+    def _tidy(self, batch_id: int) -> None:
+        """Fewer files for batches that cannot be repeated any more."""
+        if self.compact_every and batch_id and batch_id % self.compact_every == 0:
+            self.raw.compact(self._row_layout(), batch_id - 1, ("destination", "ingest_date"))
+            self.quarantine.compact(self._bad_layout(), batch_id - 1, ("destination", "ingest_date"))
+
+    def _row_layout(self) -> T.StructType:
+        return struct_type(self.fields)
+
+    def _bad_layout(self) -> T.StructType:
+        return T.StructType(struct_type(RAW_MESSAGE_FIELDS).fields + [T.StructField("error", T.StringType())])
 
     def _sink(self, in_order: DataFrame, now: int) -> DataFrame:
         """Raw rows of all released records with ``reason`` and ``error``."""
@@ -202,76 +217,19 @@ class Ingest:
             return tagged.withColumn("destination", F.lit(DEFAULT_TABLE))
         return tagged.join(self._routes.select("topic", "destination"), "topic")
 
-    def _write_rows(self, tagged: DataFrame, batch_id: int, now: int) -> None:
-        ok = fit(tagged.where("reason = 'written'"), struct_type(self.fields), keep=("destination",))
-        self.raw.write(with_ingest_date(ok, now), batch_id, ("destination", "ingest_date"))
-        bad = tagged.where("reason = 'rejected'").drop(*KEY, "offset", "reason")
+    def _write_rows(self, tagged: DataFrame, batch_id: int, now: int) -> DataFrame:
+        """Write the rows that fit and those that don't; what is handled is what the published files hold."""
+        into = ("destination", "ingest_date")
+        ok = fit(tagged.where("reason = 'written'"), self._row_layout(), keep=("destination",))
+        written = self.raw.write(with_ingest_date(ok, now), batch_id, into)
+        bad = tagged.where("reason = 'rejected'").select(*self._bad_layout().fieldNames(), "destination")
+        told = [(written, "written")]
         if not bad.isEmpty():
-            self.quarantine.write(with_ingest_date(bad, now), batch_id, ("destination", "ingest_date"))
-
-    def _commit(
-        self, batch_id: int, now: int, keys: DataFrame, ranges: DataFrame, decisions: DataFrame,
-        waiting: DataFrame | None, cached: Cached,
-    ) -> None:
-        """Advance the frontier, commit what is due, write the state of this batch."""
-        handled = self.handled.read_batch(self.spark, batch_id, HANDLED_RANGE).select(*KEY, "start_offset", "end_offset")
-        before = ranges.where("kind = 'open'").select(*KEY, "start_offset", "end_offset")
-        frontier = self._frontier(keys, handled, before, decisions, cached)
-        pending = fr.pending_acks(frontier, keys, now)
-        own = F.lit(None).cast("bigint")
-        if self._routes is not None:
-            pending = pending.join(self._routes.select("topic", "own_seconds"), "topic", "left")
-            own = F.col("own_seconds")
-        interval_ms = F.coalesce(own, F.lit(self.commit_interval_s)) * 1000
-        pending = cached(pending.withColumn("due", fr.is_due(now, interval_ms)))
-        found = pending.agg(
-            F.bool_or("due").alias("due"), F.bool_or(F.col("last_covered") >= F.col("next_offset")).alias("open")
-        ).first()
-        if found.due:
-            self.checkpoint.append(pending.where("due"), self.job_id, now, tag=f"{self.run_id}-{batch_id}")
-
-        kept = self.spark.createDataFrame([], RANGE_STATE)
-        if waiting is not None:
-            kept = kept.unionByName(waiting.withColumn("kind", F.lit("waiting")))
-        if found.open:
-            open_now = merge_ranges(fr.buffered_handled(handled.unionByName(before), pending).select(*before.columns))
-            kept = kept.unionByName(
-                open_now.withColumn("kind", F.lit("open")).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-            )
-        self.ranges.write(kept, batch_id)
-        acked = pending.select(
-            *KEY, F.col("next_offset").alias("frontier"),
-            F.when(F.col("due"), F.col("next_offset")).otherwise(F.col("committed_next")).alias("committed_next"),
-            F.when(~F.col("due"), F.col("pending_since_ms")).alias("pending_since_ms"),
-        )
-        state = decisions.select(*KEY, F.col("expected").alias("next_offset"), "gap_since_ms").join(acked, KEY, "left")
-        state = state.withColumn("frontier", F.coalesce("frontier", F.lit(0).cast("bigint")))
-        state = state.withColumn("committed_next", F.coalesce("committed_next", F.lit(0).cast("bigint")))
-        self.keys.write(state.select(*KEY_STATE.fieldNames()), batch_id)
-
-    def _frontier(
-        self, keys: DataFrame, handled: DataFrame, before: DataFrame, decisions: DataFrame, cached: Cached
-    ) -> DataFrame:
-        """The commit frontier after this batch.
-
-        Each offset is handled once, so a key whose count equals the distance it
-        advanced is handled without a hole, and its frontier is what it expects
-        next. Only if some key's count differs is the frontier searched for.
-        """
-        counts = handled.groupBy(*KEY).agg(F.sum(F.expr("end_offset - start_offset + 1")).alias("n"))
-        at = keys.select(*KEY, "frontier")
-        whole = F.coalesce("frontier", F.lit(0)) + F.coalesce("n", F.lit(0)) == F.col("expected")
-        last = F.col("expected") - 1
-        summed = cached(
-            decisions.join(counts, KEY, "left").join(at, KEY, "left").select(
-                *KEY, F.col("expected").alias("next_offset"), last.alias("last_acked"), last.alias("last_covered"),
-                whole.alias("whole"),
-            )
-        )
-        if before.isEmpty() and summed.where("not whole").isEmpty():
-            return summed.drop("whole")
-        floors = at.withColumnRenamed("frontier", "next_offset")
-        return fr.commit_frontier(handled.unionByName(before), floors, with_last=True)
+            told.append((self.quarantine.write(with_ingest_date(bad, now), batch_id, into), "rejected"))
+        if self.raw.address is None:
+            return hd.handled_ranges(tagged)
+        held = [entries.where("start_offset is not null").select(*OFFSET_RANGE.fieldNames(), F.lit(r).alias("reason")) for entries, r in told]
+        return hd.merge_handled(hd.handled_ranges(tagged.where("reason = 'dropped'")), *held)
 
     # Running
 
@@ -286,11 +244,14 @@ class Ingest:
         trigger, so gap timeouts and commits come due on a silent log.
         """
         begin = self._state(-1)[0].select(*KEY, "next_offset")
-        if log.format == "kafka":
-            starting = starting_offsets(begin, log.topics, partitions)
-            records = read_log(self.spark, log, streaming=True, starting=starting)
+        if log.format == "segments":
+            records = read_log(self.spark, log, streaming=True, floors=begin)
+        elif log.format == "kafka" and (partitions or begin.isEmpty()):
+            records = read_log(self.spark, log, streaming=True, starting=starting_offsets(begin, log.topics, partitions))
         else:
+            # A file log is filtered, and so is Kafka where no counts of partitions are given.
             records = resume(read_log(self.spark, log, streaming=True), begin)
+        records = records.observe("arrivals", F.count(F.lit(1)).alias("records"), F.count_if(F.col("value").isNull()).alias("without_payload"))
         if heartbeat:
             empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in LOG_RECORD.fields]
             beats = self.spark.readStream.format("rate").option("rowsPerSecond", 1).load()
@@ -308,16 +269,19 @@ class Ingest:
         """Per key: what one batch did, from the tables it wrote."""
         done = self.handled.read_batch(self.spark, batch_id, HANDLED_RANGE)
         outcome = mt.gap_outcomes(self.decisions.read_batch(self.spark, batch_id, mo.DECISION))
-        before = self.keys.read_batch(self.spark, batch_id - 1, KEY_STATE)
-        after = self.keys.read_batch(self.spark, batch_id, KEY_STATE)
+        step = self.commits.state(batch_id)
+        was = self.commits.state(batch_id - 1)
         return (
             outcome.join(mt.handled_by_reason(done), KEY, "left")
-            .join(mt.frontier_progress(before, after), KEY, "left")
+            .join(mt.frontier_progress(was, step), KEY, "left")
+            .join(step.drop("frontier", "committed_next", "pending_since_ms", "offsets_contiguously_acked"), KEY, "left")
             .na.fill(0)
         )
 
     def raw_table(self) -> DataFrame:
-        layout = T.StructType(struct_type(self.fields).fields + [
-            T.StructField("destination", T.StringType()), T.StructField("ingest_date", T.DateType()),
-        ])
-        return read_table(self.spark, self.raw.path, layout)
+        """All published rows, with ``destination``, ``ingest_date``, ``run_id`` and ``batch_id``."""
+        return self.raw.read(self._row_layout(), ("destination", "ingest_date"))
+
+    def quarantine_table(self) -> DataFrame:
+        """All published rows that the table refused, with their ``error``."""
+        return self.quarantine.read(self._bad_layout(), ("destination", "ingest_date"))

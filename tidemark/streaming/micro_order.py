@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from ..operators.ordering import latest_per_offset
 from ..operators.ranges import floor_ranges, gaps_in, merge_ranges
 from ..operators.sizes import Cached
-from ..schemas import KEY
+from ..schemas import KEY, OFFSET_RANGE
 
 DECISION = T.StructType([
     T.StructField("topic", T.StringType()),
@@ -38,12 +38,18 @@ def _contiguous(fresh: DataFrame, keys: DataFrame) -> DataFrame:
     start = F.coalesce("next_offset", F.lit(0).cast("bigint"))
     width = F.greatest(F.col("end_offset") + 1 - F.greatest(F.col("start_offset"), start), F.lit(0))
     known = keys.select(*KEY, "next_offset", "gap_since_ms")
-    return (
-        fresh.join(known, KEY, "full_outer")
+    # ``keys`` comes from files, so its size is known and the ranges stay where they are; a full outer join would
+    # shuffle them by key. Keys without arrivals are added from the side of the keys.
+    moved = (
+        fresh.join(known, KEY, "left")
         .groupBy(*KEY, start.alias("expected_before"), F.col("gap_since_ms").alias("gap_since_before"))
         .agg(F.coalesce(F.sum(width), F.lit(0)).alias("n"), F.max("end_offset").alias("last"))
-        .withColumn("end", F.greatest(F.col("last") + 1, F.col("expected_before")))
     )
+    quiet = known.join(moved.select(*KEY), KEY, "left_anti").select(
+        *KEY, start.alias("expected_before"), F.col("gap_since_ms").alias("gap_since_before"), F.lit(0).cast("bigint").alias("n"),
+        F.lit(None).cast("bigint").alias("last"),
+    )
+    return moved.unionByName(quiet).withColumn("end", F.greatest(F.col("last") + 1, F.col("expected_before")))
 
 
 def decide(
@@ -134,15 +140,14 @@ def late(records: DataFrame, decisions: DataFrame) -> DataFrame:
     return _decided(records, decisions, F.col("offset") < F.col("expected_before"))
 
 
-def released(arrivals: DataFrame, staged: DataFrame, decisions: DataFrame) -> DataFrame:
-    """Records that are now in contiguous order, one per offset.
+def released(arrived: DataFrame, decisions: DataFrame, words: DataFrame) -> DataFrame:
+    """Records that are now in contiguous order, one per offset; ``words`` are the packed offsets of ``arrived``.
 
     ``batch_id`` tells when a record arrived: of several with one offset the
     newest arrival wins, then the later timestamp, then the payload.
     """
     ready = (F.col("offset") >= F.col("expected_before")) & (F.col("offset") < F.col("expected"))
-    both = arrivals.unionByName(staged)
-    return latest_per_offset(_decided(both, decisions, ready), ("batch_id", "timestamp", "payload"))
+    return latest_per_offset(_decided(arrived, decisions, ready), ("batch_id", "timestamp", "payload"), words)
 
 
 def held_back(arrivals: DataFrame, decisions: DataFrame) -> DataFrame:
@@ -150,11 +155,9 @@ def held_back(arrivals: DataFrame, decisions: DataFrame) -> DataFrame:
     return _decided(arrivals, decisions, F.col("offset") >= F.col("expected"))
 
 
-def still_waiting(fresh: DataFrame, waiting: DataFrame, decisions: DataFrame, batch_id: int) -> DataFrame:
-    """Ranges that wait after this batch, each with the batch its records were staged in."""
+def still_waiting(fresh: DataFrame, waiting: DataFrame, decisions: DataFrame) -> DataFrame:
+    """Ranges that wait after this batch."""
     marks = decisions.select(*KEY, "expected")
-    ranges = fresh.withColumn("batch_id", F.lit(batch_id).cast("bigint")).unionByName(waiting)
+    ranges = fresh.select(*OFFSET_RANGE.fieldNames()).unionByName(waiting)
     beyond = ranges.join(marks, KEY).where("end_offset >= expected")
-    beyond = beyond.withColumn("start_offset", F.greatest("start_offset", "expected"))
-    since = beyond.groupBy(*KEY).agg(F.min("batch_id").alias("batch_id"))
-    return merge_ranges(beyond, disjoint=True).join(since, KEY)
+    return merge_ranges(beyond.withColumn("start_offset", F.greatest("start_offset", "expected")), disjoint=True)
