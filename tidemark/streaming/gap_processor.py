@@ -1,10 +1,17 @@
-"""Offset order on a stream, as one arbitrary-state operator.
+"""Offset order on a stream, with state in the state store and timeouts that fire without input.
 
-``order_stream`` restores contiguous order per (topic, partition) with the
-lowest latency: state lives in the state store and timeouts fire without input.
-All rows of a key pass through one task, as the state of a key is in one place;
-``streaming.ingest`` applies the same rules with joins and windows instead, and
-splits a hot key over the cluster.
+Three steps, none of which brings the records of a key together:
+
+1. Offsets are packed where the records are: one bitmap per 64 offsets.
+2. One stateful step per (topic, partition) sees these bitmaps only. It keeps what
+   is expected next and the ranges that wait, skips gaps that have waited long
+   enough, and tells each *bucket* of 2^16 offsets up to where it may release.
+3. One stateful step per (topic, partition, bucket) keeps the payloads that wait,
+   in chunks, and lets go of what step 2 has cleared.
+
+Both stateful steps run in the same micro-batch, so a record in order is not
+delayed. A key with a third of all rows is spread over its buckets; what meets in
+one task for it is a 64th of its rows, without payloads.
 """
 
 from __future__ import annotations
@@ -17,19 +24,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from ..operators.ordering import in_a_log
 from ..schemas import DEFAULT_GAP_TIMEOUT_SECONDS, KEY
 
-ORDERED = (
-    "topic string, partition int, kind string, offset bigint, end_offset bigint, ts_us bigint, payload string"
-)
-_EMIT_ROWS = 10_000
-_HOLD_ROWS = 200_000  # rows of one key kept in memory before they go to the state store
-
-
-def leading_run(offsets: np.ndarray, expected: int) -> int:
-    """How many of the sorted distinct offsets continue ``expected`` without a hole."""
-    misses = np.flatnonzero(offsets != expected + np.arange(len(offsets)))
-    return int(misses[0]) if len(misses) else len(offsets)
+ORDERED = "topic string, partition int, kind string, offset bigint, end_offset bigint, ts_us bigint, payload string"
+#: What goes into step 3: records, and orders and gaps from step 2. An order's offsets are the expected one before
+#: the step and after it.
+_ROUTED = "topic string, partition int, bucket bigint, kind string, offset bigint, end_offset bigint, ts_us bigint, payload string"
+_PACKED = "topic string, partition int, word bigint, bits bigint"
+BUCKET_BITS = 16
+_CHUNK_ROWS = 4_096
 
 
 def add_to_ranges(starts: list[int], ends: list[int], offsets: np.ndarray) -> tuple[list[int], list[int]]:
@@ -47,25 +51,40 @@ def add_to_ranges(starts: list[int], ends: list[int], offsets: np.ndarray) -> tu
     return [m[0] for m in merged], [m[1] for m in merged]
 
 
-class GapAwareProcessor(StatefulProcessor):
-    """Releases records in offset order; skips a gap once it has waited ``timeout_ms``.
+def pack(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """``topic, partition, offset`` as one row per 64 offsets that came together."""
+    for part in parts:
+        if part.empty:
+            continue
+        offsets = part["offset"].to_numpy(np.int64)
+        frame = pd.DataFrame({"topic": part["topic"], "partition": part["partition"], "word": offsets >> 6, "bits": np.uint64(1) << (offsets & 63).astype(np.uint64)})
+        packed = frame.groupby(["topic", "partition", "word"], sort=False)["bits"].agg(lambda b: np.bitwise_or.reduce(b.to_numpy())).reset_index()
+        packed["bits"] = packed["bits"].to_numpy(np.uint64).view(np.int64)
+        yield packed.astype({"partition": "int32"})
+
+
+def unpack(words: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """The distinct offsets of packed words, sorted."""
+    octets = np.ascontiguousarray(bits.astype(np.int64)).view(np.uint8).reshape(-1, 8)
+    present = np.unpackbits(octets, axis=1, bitorder="little").astype(bool)
+    return np.unique((words.astype(np.int64)[:, None] * 64 + np.arange(64))[present])
+
+
+class FrontierProcessor(StatefulProcessor):
+    """Step 2: from bitmaps to orders and gaps.
 
     The wait belongs to the offset that is missing now: each time the expected
-    offset moves and later records are still buffered, a new full wait starts.
+    offset moves and later records still wait, a new full wait starts.
     """
 
-    def __init__(self, timeout_ms: int):
+    def __init__(self, timeout_ms: int, bucket_bits: int = BUCKET_BITS):
         if timeout_ms < 0:
             raise ValueError("timeout_ms must not be negative")
-        self.timeout_ms = timeout_ms
+        self.timeout_ms, self.bucket_bits = timeout_ms, bucket_bits
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        # What is buffered is known as ranges, so no step scans the buffer itself.
-        self.position = handle.getValueState(
-            "position", "expected bigint, gap_since bigint, starts array<bigint>, ends array<bigint>"
-        )
-        self.buffered = handle.getMapState("buffered", "offset bigint", "ts_us bigint, payload string")
+        self.position = handle.getValueState("position", "expected bigint, gap_since bigint, starts array<bigint>, ends array<bigint>")
 
     def close(self) -> None:
         pass
@@ -79,29 +98,22 @@ class GapAwareProcessor(StatefulProcessor):
         expected, since, starts, ends = self.position.get()
         return expected, since, list(starts), list(ends)
 
-    def _frame(self, key, kind: str, offsets, ends, ts_us, payload) -> pd.DataFrame:
-        n = len(offsets)
+    def _rows(self, key, rows: list[tuple]) -> pd.DataFrame:
+        buckets, kinds, offsets, ends = zip(*rows)
+        n = len(rows)
         return pd.DataFrame({
-            "topic": [key[0]] * n, "partition": np.full(n, key[1], dtype="int32"), "kind": [kind] * n,
-            "offset": np.asarray(offsets, dtype="int64"), "end_offset": np.asarray(ends, dtype="int64"),
-            "ts_us": pd.array(list(ts_us), dtype="Int64"), "payload": list(payload),
+            "topic": [key[0]] * n, "partition": np.full(n, key[1], dtype="int32"), "bucket": np.asarray(buckets, dtype="int64"),
+            "kind": kinds, "offset": np.asarray(offsets, dtype="int64"), "end_offset": np.asarray(ends, dtype="int64"),
+            "ts_us": pd.array([None] * n, dtype="Int64"), "payload": [None] * n,
         })
 
-    def _records(self, key, rows: pd.DataFrame, kind: str = "record") -> pd.DataFrame:
-        return self._frame(key, kind, rows["offset"], rows["offset"], rows["ts_us"], rows["payload"])
-
-    def _drain(self, key, start: int, end: int) -> Iterator[pd.DataFrame]:
-        """Release the buffered run ``start .. end``, a bounded number of rows at a time."""
-        for low in range(start, end + 1, _EMIT_ROWS):
-            offsets = range(low, min(end, low + _EMIT_ROWS - 1) + 1)
-            values = []
-            for o in offsets:
-                values.append(self.buffered.getValue((o,)))
-                self.buffered.removeKey((o,))
-            yield self._frame(key, "record", offsets, offsets, [v[0] for v in values], [v[1] for v in values])
-
-    def _gap(self, key, start: int, end: int) -> pd.DataFrame:
-        return self._frame(key, "gap", [start], [end], [None], [None])
+    def _told(self, key, before: int, after: int, buckets: set[int], passed: list[tuple[int, int]], gaps: list[tuple[int, int]]) -> Iterator[pd.DataFrame]:
+        """Gaps, and an order to each bucket that got records or holds some that are cleared now."""
+        for s, e in passed:
+            buckets.update(range(s >> self.bucket_bits, (e >> self.bucket_bits) + 1))
+        rows = [(s >> self.bucket_bits, "gap", s, e) for s, e in gaps] + [(b, "order", before, after) for b in sorted(buckets)]
+        for low in range(0, len(rows), _CHUNK_ROWS):
+            yield self._rows(key, rows[low : low + _CHUNK_ROWS])
 
     def _rearm(self, old_since, since) -> None:
         if old_since is not None:
@@ -109,83 +121,137 @@ class GapAwareProcessor(StatefulProcessor):
         if since is not None:
             self.handle.registerTimer(since + self.timeout_ms)
 
-    def _buffer(self, rows: pd.DataFrame) -> None:
-        for o, ts, payload in zip(rows["offset"], rows["ts_us"], rows["payload"]):
-            self.buffered.updateValue((int(o),), (None if pd.isna(ts) else int(ts), payload))
-
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        expected, since, starts, ends = self._load()
-        before = expected
-        held = None  # rows of this batch that a later chunk may still connect
+        before, since, starts, ends = self._load()
+        expected, buckets = before, set()
         for chunk in rows:
-            late = chunk[chunk["offset"] < expected]
-            if len(late):
-                yield self._records(key, late, "late")
-            fresh = chunk[chunk["offset"] >= expected]
-            held = fresh if held is None or held.empty else pd.concat([held, fresh], ignore_index=True)
-            held = held.sort_values("offset", kind="stable").drop_duplicates("offset", keep="last")
-            while True:
-                offsets = held["offset"].to_numpy()
-                # Rows below the buffered ones can be released as they are.
-                free = int(np.searchsorted(offsets, starts[0])) if starts else len(offsets)
-                run = leading_run(offsets[:free], expected)
-                if run:
-                    yield self._records(key, held.iloc[:run])
-                    expected, held = expected + run, held.iloc[run:]
-                if not starts or starts[0] != expected:
-                    break
-                again = held["offset"] <= ends[0]  # newer copies of buffered records
-                self._buffer(held[again])
-                held = held[~again]
-                yield from self._drain(key, starts[0], ends[0])
-                expected, starts, ends = ends[0] + 1, starts[1:], ends[1:]
-            if len(held) > _HOLD_ROWS:
-                self._buffer(held)
-                starts, ends = add_to_ranges(starts, ends, held["offset"].to_numpy())
-                held = None
-        if held is not None and len(held):
-            self._buffer(held)
-            starts, ends = add_to_ranges(starts, ends, held["offset"].to_numpy())
-        while starts and self.timeout_ms == 0:
-            yield self._gap(key, expected, starts[0] - 1)
-            yield from self._drain(key, starts[0], ends[0])
+            words = chunk["word"].to_numpy(np.int64)
+            buckets.update(np.unique(words >> (self.bucket_bits - 6)).tolist())
+            offsets = unpack(words, chunk["bits"].to_numpy(np.int64))
+            starts, ends = add_to_ranges(starts, ends, offsets[offsets >= before])
+        passed, gaps = [], []
+        while starts and (starts[0] == expected or self.timeout_ms == 0):
+            if starts[0] > expected:
+                gaps.append((expected, starts[0] - 1))
+            passed.append((starts[0], ends[0]))
             expected, starts, ends = ends[0] + 1, starts[1:], ends[1:]
         waiting = None
         if starts:
-            keeps = since is not None and expected == before
-            waiting = since if keeps else timerValues.getCurrentProcessingTimeInMs()
+            waiting = since if since is not None and expected == before else timerValues.getCurrentProcessingTimeInMs()
         if waiting != since:
             self._rearm(since, waiting)
         self.position.update((expected, waiting, starts, ends))
+        yield from self._told(key, before, expected, buckets, passed, gaps)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        expected, since, starts, ends = self._load()
+        before, since, starts, ends = self._load()
         now = timerValues.getCurrentProcessingTimeInMs()
         if not starts or since is None or now - since < self.timeout_ms:
             return
-        yield self._gap(key, expected, starts[0] - 1)
-        yield from self._drain(key, starts[0], ends[0])
+        gap, passed = (before, starts[0] - 1), (starts[0], ends[0])
         expected, starts, ends = ends[0] + 1, starts[1:], ends[1:]
         waiting = now if starts else None
         if waiting is not None:
             self.handle.registerTimer(waiting + self.timeout_ms)
         self.position.update((expected, waiting, starts, ends))
+        yield from self._told(key, before, expected, set(), [passed], [gap])
+
+
+def best_copies(rows: pd.DataFrame) -> pd.DataFrame:
+    """One row per offset, sorted: of copies the later one, then the larger payload; a missing value is least."""
+    ranked = rows.assign(_ts=rows["ts_us"].notna(), _payload=rows["payload"].notna(), _text=rows["payload"].fillna(""))
+    ranked = ranked.sort_values(["offset", "_ts", "ts_us", "_payload", "_text"], kind="stable")
+    return ranked.drop_duplicates("offset", keep="last")[list(rows.columns)].reset_index(drop=True)
+
+
+class BucketProcessor(StatefulProcessor):
+    """Step 3: keeps records of one bucket until they are cleared; a newer micro-batch's copy replaces an older one."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        # Chunks in order of arrival; only their least offset is looked at while nothing is cleared.
+        self.chunks = handle.getListState("chunks", "offsets array<bigint>, ts array<bigint>, payloads array<string>")
+        self.least = handle.getValueState("least", "offset bigint")
+
+    def close(self) -> None:
+        pass
+
+    def _keep(self, rows: pd.DataFrame) -> None:
+        chunks = []
+        for low in range(0, len(rows), _CHUNK_ROWS):
+            part = rows.iloc[low : low + _CHUNK_ROWS]
+            ts = [None if pd.isna(t) else int(t) for t in part["ts_us"]]
+            chunks.append(([int(o) for o in part["offset"]], ts, [None if pd.isna(p) else p for p in part["payload"]]))
+        if chunks:
+            self.chunks.appendList(chunks)
+            least = int(rows["offset"].min())
+            self.least.update((min(least, self.least.get()[0]) if self.least.exists() else least,))
+
+    def _take(self) -> pd.DataFrame:
+        """All that is kept, as one row per offset; the state is empty afterwards."""
+        parts = [pd.DataFrame({"offset": c[0], "ts_us": pd.array(list(c[1]), dtype="Int64"), "payload": list(c[2])}) for c in self.chunks.get()]
+        self.chunks.clear()
+        self.least.clear()
+        rows = pd.concat(parts, ignore_index=True)
+        return rows.sort_values("offset", kind="stable").drop_duplicates("offset", keep="last")
+
+    def _out(self, key, kind: str, rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        for low in range(0, len(rows), _CHUNK_ROWS):
+            part = rows.iloc[low : low + _CHUNK_ROWS]
+            n = len(part)
+            end = part["end_offset"] if kind == "gap" else part["offset"]
+            yield pd.DataFrame({
+                "topic": [key[0]] * n, "partition": np.full(n, key[1], dtype="int32"), "kind": [kind] * n,
+                "offset": part["offset"].to_numpy("int64"), "end_offset": end.to_numpy("int64"),
+                "ts_us": pd.array(part["ts_us"], dtype="Int64"), "payload": [None if pd.isna(p) else p for p in part["payload"]],
+            })
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        came, before, after = None, None, None
+        for chunk in rows:
+            yield from self._out(key, "gap", chunk[chunk["kind"] == "gap"])
+            orders = chunk[chunk["kind"] == "order"]
+            if len(orders):
+                before = min(int(orders["offset"].min()), 2**63 - 1 if before is None else before)
+                after = max(int(orders["end_offset"].max()), -1 if after is None else after)
+            fresh = chunk.loc[chunk["kind"] == "record", ["offset", "ts_us", "payload"]].astype({"ts_us": "Int64"})
+            if len(fresh):
+                # No more rows are held than the bucket has offsets, however many copies come.
+                came = best_copies(fresh if came is None else pd.concat([came, fresh], ignore_index=True))
+        if before is None:
+            return  # gaps only; every record comes with an order
+        if came is None:
+            came = pd.DataFrame({"offset": np.array([], "int64"), "ts_us": pd.array([], dtype="Int64"), "payload": []})
+        yield from self._out(key, "late", came[came["offset"] < before])
+        came = came[came["offset"] >= before]
+        if self.least.exists() and self.least.get()[0] < after:
+            came = pd.concat([self._take(), came], ignore_index=True).sort_values("offset", kind="stable").drop_duplicates("offset", keep="last")
+        yield from self._out(key, "record", came[came["offset"] < after])
+        self._keep(came[came["offset"] >= after])
 
 
 def order_stream(
-    envelopes: DataFrame, checkpoint: DataFrame | None = None, timeout_s: float = DEFAULT_GAP_TIMEOUT_SECONDS
+    envelopes: DataFrame, checkpoint: DataFrame | None = None, timeout_s: float = DEFAULT_GAP_TIMEOUT_SECONDS, bucket_bits: int = BUCKET_BITS,
 ) -> DataFrame:
     """Streaming envelopes as tagged rows ``kind`` in record, gap, late.
 
     ``checkpoint`` seeds the expected offset per key. Needs the RocksDB state
-    store. A gap row spans ``offset .. end_offset`` and has no payload.
+    store. A gap row spans ``offset .. end_offset`` and has no payload. Of several
+    copies of an offset that wait, the newest micro-batch's counts, and within one
+    the later timestamp, then the larger payload. A late offset is given once per
+    micro-batch. Rows of one bucket come in order of offsets; a bucket is 2^``bucket_bits`` offsets.
     """
     ts = F.unix_micros(F.col("timestamp").cast("timestamp")) if "timestamp" in envelopes.columns else F.lit(None)
-    keyed = envelopes.select(*KEY, "offset", ts.cast("bigint").alias("ts_us"), "payload").groupBy(*KEY)
-    seed = None
-    if checkpoint is not None:
-        seed = checkpoint.select(*KEY, "next_offset").groupBy(*KEY)
-    ordered = keyed.transformWithStateInPandas(
-        GapAwareProcessor(int(timeout_s * 1000)), ORDERED, "Append", "ProcessingTime", initialState=seed
+    log = in_a_log(envelopes)
+    seed = None if checkpoint is None else checkpoint.select(*KEY, "next_offset").groupBy(*KEY)
+    told = log.select(*KEY, "offset").mapInPandas(pack, _PACKED).groupBy(*KEY).transformWithStateInPandas(
+        FrontierProcessor(int(timeout_s * 1000), bucket_bits), _ROUTED, "Append", "ProcessingTime", initialState=seed
+    )
+    records = log.select(
+        *KEY, F.expr(f"shiftright(offset, {bucket_bits})").alias("bucket"), F.lit("record").alias("kind"), "offset",
+        F.col("offset").alias("end_offset"), ts.cast("bigint").alias("ts_us"), "payload",
+    )
+    ordered = records.unionByName(told).groupBy(*KEY, "bucket").transformWithStateInPandas(
+        BucketProcessor(), ORDERED, "Append", "ProcessingTime"
     )
     return ordered.withColumn("timestamp", F.timestamp_micros("ts_us")).drop("ts_us")
