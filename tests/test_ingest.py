@@ -162,3 +162,32 @@ def test_state_matches_batch_formula_on_any_arrival_order(spark, root):
     assert run.next() == {(r.topic, r.partition): r.next_offset for r in batch.frontier.select(*KEY, "next_offset").collect()}
     declared = {(r.topic, r.start_offset, r.end_offset) for r in batch.gaps.collect()}
     assert set(run.table(run.flow.gaps, "topic", "missing_offset", "last_missing_offset")) == declared
+
+
+@pytest.mark.parametrize("metadata", ["flat", "none"])
+def test_an_older_table_loses_no_offset(spark, root, metadata):
+    """The table was made without nested metadata; a newer flow goes on writing to it."""
+    flat = [{"name": f, "type": t, "mode": "NULLABLE"} for f, t in (("_meta_kafka_topic", "STRING"), ("_meta_kafka_partition", "INTEGER"), ("_meta_kafka_offset", "INTEGER"))]
+    older = [{"name": "raw_message", "type": "STRING", "mode": "REQUIRED"}] + (flat if metadata == "flat" else [])
+    Run(spark, root, run_id="old", fields=older)
+    run = Run(spark, root, run_id="new").feed({("t", 0): [0, 1, 3, 2], ("u", 1): [0]}, invalid={("t", 1)})
+    assert run.next() == {("t", 0): 4, ("u", 1): 1}
+    rows = run.flow.raw_table()
+    assert set(rows.columns) == {f["name"] for f in older} | {"version", "destination", "ingest_date", "run_id", "batch_id"} and rows.count() == 4
+    if metadata == "flat":
+        assert sorted((r["_meta_kafka_topic"], r["_meta_kafka_offset"]) for r in rows.collect()) == [("t", 0), ("t", 2), ("t", 3), ("u", 0)]
+
+
+def test_files_stay_few_and_no_staged_file_is_opened_in_vain(spark, root, monkeypatch):
+    """Behind an open gap batches stage their records; none of them is read again until the gap closes."""
+    run = Run(spark, root, gap_timeout_s=10_000, compact_every=3)
+    opened = []
+    read = run.flow.staged.read_overlapping
+    monkeypatch.setattr(run.flow.staged, "read_overlapping", lambda *a: (lambda df: opened.append(len(df.inputFiles())) or df)(read(*a)))
+    for n in range(5):
+        run.feed({("t", 0): range(1 + n * 3, 4 + n * 3), ("free", 0): range(n * 2, n * 2 + 2)})
+    assert opened == [0] * 4 and run.next() == {("free", 0): 10}
+    assert run.flow.raw.entries().select("file").distinct().count() <= 6
+    run.feed({("t", 0): [0]})
+    assert opened[-1] >= 5 and run.next() == {("free", 0): 10, ("t", 0): 16}
+    assert run.raw() == {"free": list(range(10)), "t": list(range(16))}

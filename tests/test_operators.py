@@ -1,6 +1,8 @@
 """Operators on literal inputs."""
 
 import json
+from datetime import datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +11,7 @@ from pyspark.sql import types as T
 from tidemark import functions as fn
 from tidemark.operators import conform as cf
 from tidemark.operators import envelope as env
+from tidemark.operators import evolution as ev
 from tidemark.operators import frontier as fr
 from tidemark.operators import handled as hd
 from tidemark.operators import metrics as mt
@@ -283,6 +286,63 @@ def test_conform(spark):
     assert failed.columns[-2:] == ["unknown", "error"]
 
 
+def reject(spark, schema, fields, *rows):
+    """Errors of each row, None for those that fit; and the rows as they fit."""
+    layout = sd.struct_type(fields, with_version=False)
+    df = spark.createDataFrame(list(rows), schema)
+    return [r.error for r in cf.check(df, layout).collect()], cf.fit(df, layout).collect()
+
+
+def test_required_fields_inside_arrays(spark):
+    fields = [{"name": "items", "type": "RECORD", "mode": "REPEATED", "fields": [{"name": "k", "type": "INTEGER", "mode": "REQUIRED"}, {"name": "s", "type": "STRING"}]}]
+    errors, rows = reject(spark, "items array<struct<k:string,s:int>>", fields, ([("1", 5), ("2", None)],), ([("x", 5)],), ([("1", 5), (None, 6)],), ([None],), (None,), ([],))
+    assert errors == [None, "cannot read field items.k as bigint", "missing required field items.k", None, None, None]
+    assert rows[0]["items"] == [(1, "5"), (2, None)]
+    errors, _ = reject(spark, "items array<struct<s:string>>", fields, ([("a",)],), ([],))
+    assert errors == ["missing required field items.k", None]
+
+
+def test_values_that_would_lose_something_are_refused(spark):
+    whole = [{"name": "v", "type": "INTEGER"}]
+    assert reject(spark, "v double", whole, (2.0,), (1.7,), (None,), (float("nan"),))[0] == [None, "cannot read field v as bigint", None, "cannot read field v as bigint"]
+    assert reject(spark, "v decimal(5,2)", whole, (Decimal("3.00"),), (Decimal("3.10"),))[0] == [None, "cannot read field v as bigint"]
+    day = [{"name": "v", "type": "DATE"}]
+    assert reject(spark, "v string", day, ("2024-02-29",), ("2024-02-29 10:00:00",), ("2023-02-29",))[0] == [None] + ["cannot read field v as date"] * 2
+    assert reject(spark, "v timestamp", day, (datetime(2024, 2, 29),), (datetime(2024, 2, 29, 10),))[0] == [None, "cannot read field v as date"]
+    number = [{"name": "v", "type": "NUMERIC"}]
+    assert reject(spark, "v string", number, ("1.123456789",), ("1.1234567891",), ("1.1234567890",))[0] == [None, "cannot read field v as decimal(38,9)", None]
+
+
+def test_shapes_that_do_not_fit_are_refused_row_by_row(spark):
+    for type_ in ("INTEGER", "TIMESTAMP", "BOOLEAN", "TIME", "BYTES"):
+        errors, rows = reject(spark, "v struct<a:int>", [{"name": "v", "type": type_}], ((1,),), (None,))
+        assert errors[0].startswith("cannot read field v as") and errors[1] is None and rows[1].v is None
+    errors, rows = reject(spark, "v struct<a:int>", [{"name": "v", "type": "STRING"}], ((1,),))
+    assert errors == [None] and rows[0].v == '{"a":1}'
+    assert reject(spark, "v string", [{"name": "v", "type": "INTEGER", "mode": "REPEATED"}], ("1",), (None,))[0] == ["cannot read field v as array<bigint>", None]
+    assert reject(spark, "v array<int>", [{"name": "v", "type": "INTEGER"}], ([1],))[0] == ["cannot read field v as bigint"]
+
+
+def test_an_older_table_decides_field_by_field(spark):
+    declared = sd.struct_type(sd.RAW_MESSAGE_FIELDS + [{"name": "extra", "type": "INTEGER"}])
+    flat = [{"name": "raw_message", "type": "STRING"}, {"name": "_meta_kafka_topic", "type": "STRING"}, {"name": "_meta_kafka_partition", "type": "STRING"}, {"name": "_meta_kafka_offset", "type": "INTEGER"}]
+    told = {d.field: d.decision for d in ev.compare(declared, sd.struct_type(flat + [{"name": "day", "type": "DATE"}, {"name": "must", "type": "DATE", "mode": "REQUIRED"}]))}
+    assert told == {"raw_message": "kept", "kafka_topic": "dropped", "__metadata": "moved", "extra": "dropped", "version": "kept", "day": "null", "must": "refused"}
+    part = sd.struct_type([{"name": "__metadata", "type": "RECORD", "fields": [{"name": "_meta_kafka_offset", "type": "STRING"}]}], with_version=False)
+    told = {d.field: d.decision for d in ev.compare(declared, part)}
+    assert told["__metadata._meta_kafka_offset"] == "cast" and told["__metadata._meta_kafka_topic"] == "dropped" and told["version"] == "dropped"
+    rows = env.to_raw_rows(envelopes(spark, ("t", 3, 17, "a"), ("t", 3, 18, None)), 1)
+    ok, failed = ev.fit_existing(rows, sd.struct_type(flat[1:] + [flat[0] | {"mode": "REQUIRED"}]))
+    assert tuple(one(ok)) == ("t", "3", 17, "a", 1) and one(failed).error == "missing required field raw_message"
+    assert sorted(r.offset for r in hd.handled_from_sink(ok, failed).collect()) == [17, 18]
+
+
+def test_the_first_schema_of_a_table_stays(spark, tmp_path):
+    first, second = sd.struct_type(FIELDS), sd.struct_type(sd.RAW_MESSAGE_FIELDS)
+    table = ev.RecordedSchema(spark, str(tmp_path))
+    assert table.of(first) == first and table.of(second) == first and ev.RecordedSchema(spark, str(tmp_path)).of(second) == first
+
+
 def test_raw_projection(spark):
     df = spark.createDataFrame([(1, (2,), 5)], "a int, b struct<c:int>, version long")
     row = one(sd.raw_projection(df, [{"name": "a"}, {"name": "b"}, {"name": "z"}]))
@@ -336,17 +396,26 @@ def test_gap_metrics_and_outcomes(spark):
     assert {tuple(r)[1:] for r in mt.gap_outcomes(decisions).collect()} == {(0, 1, 0, 0, 1), (1, 0, 1, 0, 4), (2, 0, 0, 1, 8)}
 
 
-def test_tumbling_counts_on_a_stream(spark, tmp_path):
-    source = str(tmp_path / "in")
-    stamps = ["00:00:01", "00:00:09", "00:00:10", "00:01:00"]
-    rows = [("t", 0, i, f"2024-01-01 {s}", "k", "v") for i, s in enumerate(stamps)]
-    df = spark.createDataFrame(rows, "topic string, partition int, offset long, timestamp string, key string, value string")
-    lg.write_log(df.withColumn("timestamp", F.col("timestamp").cast("timestamp")), lg.LogSpec("parquet", source))
-    stream = lg.read_log(spark, lg.LogSpec("parquet", source), streaming=True).withWatermark("timestamp", "0 seconds")
-    query = mt.tumbling_counts(stream).writeStream.format("memory").queryName("tumbling").outputMode("append")
-    query = query.trigger(availableNow=True).start()
-    query.awaitTermination(60)
-    assert sorted(r.n for r in spark.table("tumbling").collect()) == [1, 2]
+def test_windows_of_a_stream_close_and_late_rows_are_counted(spark, tmp_path):
+    spec = lg.LogSpec("segments", str(tmp_path / "log"))
+    counts = mt.event_time_counts(lg.read_log(spark, spec, streaming=True), lateness="5 seconds")
+    query = counts.writeStream.format("memory").queryName("tumbling").outputMode("append").start()
+
+    def feed(*stamps):
+        rows = [("t", 0, i, f"2024-01-01 {s}", "k", "v") for i, s in enumerate(stamps)]
+        df = spark.createDataFrame(rows, "topic string, partition int, offset long, timestamp string, key string, value string")
+        lg.write_log(df.withColumn("timestamp", F.col("timestamp").cast("timestamp")), spec)
+        query.processAllAvailable()
+        last = [p for p in query.recentProgress if p["stateOperators"]]
+        dropped = sum(p["stateOperators"][0]["numRowsDroppedByWatermark"] for p in last)
+        return sorted((r.window_start.second, r.n) for r in spark.table("tumbling").collect()), last[-1]["stateOperators"][0]["numRowsTotal"], dropped
+
+    try:
+        assert feed("00:00:01", "00:00:09", "00:00:10") == ([], 2, 0)
+        assert feed("00:00:04", "00:00:16") == ([(0, 3)], 1, 0)
+        assert feed("00:00:02", "00:00:12", "00:00:58") == ([(0, 3), (10, 3)], 1, 1)  # the first comes too late
+    finally:
+        query.stop()
 
 
 def test_latest_per_offset_moves_only_what_repeats(spark):

@@ -1,12 +1,15 @@
 """Make rows fit a table schema, and set apart those that cannot.
 
 Unknown columns are left out, missing nullable ones become NULL. A row that
-lacks a required value or holds one that does not cast is rejected with the
-reasons in ``error``. All in one projection: no shuffle, no Python.
+lacks a required value, at any depth, or holds one that cannot be read as the
+table's type without losing some of it, is rejected with the reasons in
+``error``. All in one projection: no shuffle, no Python.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +19,33 @@ from ..functions import strict_long
 _ROW, _ERROR = "_row", "error"
 
 
+def _fields(t: T.DataType) -> dict[str, T.DataType]:
+    return {f.name: f.dataType for f in t.fields}
+
+
+_NESTED = (T.StructType, T.ArrayType, T.MapType)
+
+
+def _scalar(value: Column, have: T.DataType, want: T.DataType) -> Column:
+    """``value`` as the scalar ``want``; NULL where it has no such value, or only one that loses some of it."""
+    if isinstance(have, _NESTED):
+        return F.to_json(value) if isinstance(want, T.StringType) else F.lit(None).cast(want)
+    read = value.try_cast(want)
+    if isinstance(want, T.LongType):
+        if isinstance(have, T.StringType):
+            return strict_long(value)
+        if isinstance(have, (T.FractionalType, T.DecimalType)):
+            return F.when(F.floor(value) == value, read)
+    if isinstance(want, T.DecimalType) and isinstance(have, T.StringType):
+        return F.when(~value.rlike(rf"\.[0-9]{{{want.scale}}}[0-9]*[1-9]"), read)
+    if isinstance(want, T.DateType):
+        if isinstance(have, T.StringType):
+            return F.when(value.rlike(r"^\s*[0-9]{1,4}-[0-9]{1,2}-[0-9]{1,2}\s*\z"), read)
+        if isinstance(have, (T.TimestampType, T.TimestampNTZType)):
+            return F.when(read.cast(have) == value, read)
+    return read
+
+
 def _cast(value: Column, have: T.DataType | None, want: T.DataType) -> Column:
     if have is None:
         return F.lit(None).cast(want)
@@ -24,7 +54,7 @@ def _cast(value: Column, have: T.DataType | None, want: T.DataType) -> Column:
     if isinstance(want, T.StructType):
         if not isinstance(have, T.StructType):
             return F.lit(None).cast(want)
-        known = {f.name: f.dataType for f in have.fields}
+        known = _fields(have)
         parts = [_cast(value[f.name] if f.name in known else F.lit(None), known.get(f.name), f.dataType).alias(f.name)
                  for f in want.fields]
         return F.when(value.isNotNull(), F.struct(*parts))
@@ -32,40 +62,45 @@ def _cast(value: Column, have: T.DataType | None, want: T.DataType) -> Column:
         if not isinstance(have, T.ArrayType):
             return F.lit(None).cast(want)
         return F.transform(value, lambda v: _cast(v, have.elementType, want.elementType))
-    if isinstance(want, T.LongType) and isinstance(have, T.StringType):
-        return strict_long(value)
-    if isinstance(want, T.StringType) and isinstance(have, (T.StructType, T.ArrayType, T.MapType)):
-        return F.to_json(value)
-    return value.try_cast(want)
+    return _scalar(value, have, want)
+
+
+#: What can be wrong with a value, and how to say it.
+Check = tuple[Callable[[Column], Column], str]
 
 
-def _problems(path: str, value: Column, have: T.DataType | None, want: T.StructField) -> list[Column]:
-    """One nullable text per check that the value can fail."""
-    missing = F.lit(True) if have is None else value.isNull()
+def _inside(known: dict[str, T.DataType], name: str, fails: Callable[[Column], Column]) -> Callable[[Column], Column]:
+    return lambda v: v.isNotNull() & fails(v[name] if name in known else F.lit(None))
+
+
+def _checks(path: str, have: T.DataType | None, want: T.StructField) -> list[Check]:
+    """Checks of a field: that it is there if required, and that it can be read, at every depth."""
+    found: list[Check] = []
     if not want.nullable:
-        required = [F.when(missing, F.lit(f"missing required field {path}"))]
-    else:
-        required = []
-    if have is not None and "pattern" in want.metadata:
-        misfit = ~F.coalesce(value.cast("string"), F.lit("")).rlike(want.metadata["pattern"])
-        return required + [F.when(value.isNotNull() & misfit, F.lit(f"cannot read field {path} as time"))]
-    if have is None or have == want.dataType:
-        return required
-    bad = F.lit(f"cannot read field {path} as {want.dataType.simpleString()}")
-    if isinstance(want.dataType, T.StructType) and isinstance(have, T.StructType):
-        known = {f.name: f.dataType for f in have.fields}
-        for f in want.dataType.fields:
-            inner = value[f.name] if f.name in known else F.lit(None)
-            required += [F.when(value.isNotNull(), p)
-                         for p in _problems(f"{path}.{f.name}", inner, known.get(f.name), f)]
-        return required
-    if isinstance(want.dataType, T.ArrayType) and isinstance(have, T.ArrayType):
-        unreadable = F.exists(
-            value, lambda v: v.isNotNull() & _cast(v, have.elementType, want.dataType.elementType).isNull()
-        )
-    else:
-        unreadable = value.isNotNull() & _cast(value, have, want.dataType).isNull()
-    return required + [F.when(unreadable, bad)]
+        found.append((lambda v: v.isNull(), f"missing required field {path}"))
+    if have is None:
+        return found
+    if "pattern" in want.metadata:
+        fits = lambda v: F.coalesce(v.cast("string"), F.lit("")).rlike(want.metadata["pattern"])
+        bad = lambda v: v.isNotNull() if isinstance(have, _NESTED) else v.isNotNull() & ~fits(v)
+        return found + [(bad, f"cannot read field {path} as time")]
+    to = want.dataType
+    if isinstance(to, T.StructType) and isinstance(have, T.StructType):
+        known = _fields(have)
+        for f in to.fields:
+            found += [(_inside(known, f.name, fails), text) for fails, text in _checks(f"{path}.{f.name}", known.get(f.name), f)]
+        return found
+    if isinstance(to, T.ArrayType) and isinstance(have, T.ArrayType) and isinstance(to.elementType, T.StructType):
+        element = T.StructField("element", to.elementType)
+        inner = _checks(path, have.elementType, element)
+        return found + [(lambda v, fails=fails: F.coalesce(F.exists(v, fails), F.lit(False)), text) for fails, text in inner]
+    if have == to:
+        return found
+    text = f"cannot read field {path} as {to.simpleString()}"
+    if isinstance(to, T.ArrayType) and isinstance(have, T.ArrayType):
+        unread = lambda v: v.isNotNull() & _cast(v, have.elementType, to.elementType).isNull()
+        return found + [(lambda v: F.coalesce(F.exists(v, unread), F.lit(False)), text)]
+    return found + [(lambda v: v.isNotNull() & _cast(v, have, to).isNull(), text)]
 
 
 def check(df: DataFrame, schema: T.StructType, rules: dict[str, Column] | None = None) -> DataFrame:
@@ -77,7 +112,7 @@ def check(df: DataFrame, schema: T.StructType, rules: dict[str, Column] | None =
     problems = []
     for f in schema.fields:
         value = F.col(f"`{f.name}`") if f.name in known else F.lit(None)
-        problems += _problems(f.name, value, known.get(f.name), f)
+        problems += [F.when(fails(value), F.lit(text)) for fails, text in _checks(f.name, known.get(f.name), f)]
     problems += [F.when(broken, F.lit(name)) for name, broken in (rules or {}).items()]
     if not problems:
         return df.withColumn(_ERROR, F.lit(None).cast("string"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import KEY
 from .ranges import disjoint_parts, explode_ranges, frontier_of
+from .sizes import with_known_size
 
 
 def commit_frontier(
@@ -26,7 +27,7 @@ def commit_frontier(
 
 def stale_handled(handled: DataFrame, checkpoint: DataFrame) -> DataFrame:
     """Parts of handled ranges that lie below the checkpoint."""
-    floor = checkpoint.select(*KEY, F.col("next_offset").alias("_floor"))
+    floor = with_known_size(checkpoint.select(*KEY, F.col("next_offset").alias("_floor")))
     return (
         handled.join(floor, KEY)
         .where("start_offset < _floor")
@@ -35,8 +36,12 @@ def stale_handled(handled: DataFrame, checkpoint: DataFrame) -> DataFrame:
     )
 
 
-def buffered_handled(handled: DataFrame, frontier: DataFrame) -> DataFrame:
-    """Handled ranges beyond the frontier: seen, but not committable yet."""
+def buffered_handled(handled: DataFrame, frontier: DataFrame, sized: bool = False) -> DataFrame:
+    """Handled ranges beyond the frontier: seen, but not committable yet.
+
+    ``sized`` says that ``frontier`` comes from files, so that Spark knows its size already.
+    """
+    frontier = frontier if sized else with_known_size(frontier.select(*KEY, "next_offset"))
     stop = frontier.select(*KEY, F.col("next_offset").alias("_next"))
     return (
         handled.join(stop, KEY, "left")

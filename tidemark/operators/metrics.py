@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..schemas import DEFAULT_WINDOW_SECONDS, KEY
+from .sizes import with_known_size
 
 
 def tumbling_counts(
@@ -20,6 +21,19 @@ def tumbling_counts(
     )
 
 
+def event_time_counts(
+    stream: DataFrame, ts: str = "timestamp", width: str = f"{DEFAULT_WINDOW_SECONDS} seconds", keys: tuple[str, ...] = (),
+    lateness: str = "1 minute",
+) -> DataFrame:
+    """``tumbling_counts`` of a stream, each window once, when it is complete.
+
+    A window is complete when a record has come that is ``lateness`` newer than its end; its state is dropped then, so
+    state holds open windows only. Records of complete windows are left out; the query's progress counts them
+    (``rows_dropped_by_watermark``, after records of one window and task were added up).
+    """
+    return tumbling_counts(stream.withWatermark(ts, lateness), ts, width, keys)
+
+
 def gap_metrics(ordered: DataFrame) -> DataFrame:
     """Per key: skipped gaps, missing offsets, late and released records.
 
@@ -90,7 +104,7 @@ def commit_metrics(handled: DataFrame, checkpoint: DataFrame, frontier: DataFram
     ``handled`` may repeat offsets; each occurrence counts as seen, and as stale
     if it lies below the checkpoint.
     """
-    floor = checkpoint.select(*KEY, F.col("next_offset").alias("_floor"))
+    floor = with_known_size(checkpoint.select(*KEY, F.col("next_offset").alias("_floor")))
     ahead = frontier.select(*KEY, "next_offset")
     # Join after the aggregate: only one row per key meets the frontier.
     seen = (

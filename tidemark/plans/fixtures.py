@@ -124,6 +124,16 @@ def raw_row_variants(log: DataFrame) -> DataFrame:
     )
 
 
+#: A table of the time before nested metadata: flat columns, no topic, and a date that newer rows do not have.
+OLDER_FIELDS = [
+    {"name": "raw_message", "type": "STRING", "mode": "REQUIRED"},
+    {"name": "_meta_kafka_topic", "type": "STRING", "mode": "NULLABLE"},
+    {"name": "_meta_kafka_partition", "type": "INTEGER", "mode": "NULLABLE"},
+    {"name": "_meta_kafka_offset", "type": "INTEGER", "mode": "REQUIRED"},
+    {"name": "loaded_on", "type": "DATE", "mode": "NULLABLE"},
+]
+
+
 def keyed_variants(log: DataFrame) -> DataFrame:
     """Text keys, well-formed and not."""
     partition = F.col("partition").cast("string")

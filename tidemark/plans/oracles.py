@@ -76,7 +76,7 @@ commits as (select topic, part, max(off) + 1 as next_off, max(off) as acked, cas
 top as (select topic, part, max(next_off) as next_off from commits group by topic, part)"""
 
 #: Steps 40 seconds apart, a wait of 60 seconds for each commit; the store holds 10^9 for partition 3 from the start.
-_STEPS = _WHOLE + f""",
+_MOVES = _WHOLE + """,
 total as (select count(*) as n from log),
 once as (select topic, part, off, cast(least(event_id * 2 // n, 1) as integer) + case when off % 10 = 7 then 1 else 0 end as step
          from log, total),
@@ -93,7 +93,9 @@ fronts as (select topic, part, b, f, seeded, f + count(*) filter (where done <=
                   count(*) filter (where step <= b) - count(*) filter (where done <= b) as held,
                   count(*) filter (where step <= b) as ever
            from covered, numbers group by topic, part, b, f, seeded),
-moves as (select *, lag(now, 1, f) over (partition by topic, part order by b) as was from fronts),
+moves as (select *, lag(now, 1, f) over (partition by topic, part order by b) as was from fronts)"""
+
+_STEPS = _MOVES + f""",
 timed as (select topic, part, -1 as b, f as committed, cast(null as bigint) as since, cast(null as bigint) as armed,
                  case when part = 3 then 1000000001 else 0 end as stored, false as fired, false as tried from floors
           union all
@@ -235,6 +237,11 @@ SQL: dict[str, str] = {
                cast(seen as boolean) as seen, cast(null as varchar) as absent, cast(k as bigint) as meta_k
         from judged where error = ''"""),
     "conform_failed": _with(_LOOSE, "select row_id, error from judged where error <> ''"),
+    "older_table_rows": _with(_LOG, f"""
+        select val as raw_message, topic as meta_kafka_topic, cast(part as bigint) as meta_kafka_partition, off as meta_kafka_offset,
+               cast(null as date) as loaded_on, cast({V} as bigint) as version from log where val is not null and off % 53 <> 7"""),
+    "older_table_handled": _with(_LOG, f"""
+        select {_KEYS}, off as "offset", case when val is null or off % 53 = 7 then 'rejected' else 'written' end as reason from log"""),
     # ordering and gaps
     "contiguous_prefix": _with(_FRESH, f""",
         numbered as (select *, row_number() over (partition by topic, part order by off) - 1 as rn from fresh),
@@ -334,6 +341,14 @@ SQL: dict[str, str] = {
         where seeded or ever > 0
         union all
         select step, null, null, count(*), count(*), 0, 0, 0, 0, 0, 0, 0, 0, 0, 0, 0, 0 from came where topic is null group by step""",
+    "gap_outcome_steps": _with(_MOVES, """
+        select topic, part as "partition", cast(b as bigint) as step, cast(had = 0 and held > 0 as bigint) as gap_detected,
+               cast(had > 0 and held = 0 as bigint) as gap_resolved_before_timeout, cast(0 as bigint) as gap_timeout_skip,
+               now - was as contiguous_advance_size
+        from (select *, lag(held, 1, 0) over (partition by topic, part order by b) as had from moves) where seeded or ever > 0"""),
+    "stream_window_counts": _with(_WHOLE, """
+        select time_bucket(interval 10 seconds, ts) as window_start, part as "partition", count(*) as n
+        from arrivals group by 1, 2"""),
     # schemas
     "typed_cast": "select event_id, ts, value, event_type from events",
     "raw_string_projection": f"""

@@ -10,14 +10,15 @@ from pyspark.sql import functions as F
 from ..functions import epoch_millis, normalise_name, utc_instant
 from ..operators import conform as cf
 from ..operators import envelope as env
+from ..operators import evolution as ev
 from ..operators import frontier as fr
 from ..operators import handled as hd
 from ..operators import metrics as mt
 from ..operators import ordering as od
 from ..operators import routing as rt
 from ..operators import schema_defs as sd
-from ..operators.ranges import explode_ranges, merge_ranges
-from ..operators.sizes import with_known_size
+from ..operators.ranges import explode_ranges, merge_ranges, offsets_to_ranges
+from ..operators.sizes import Cached, with_known_size
 from ..schemas import KEY, META_OFFSET, META_PARTITION, META_TOPIC, RAW_METADATA
 from ..sources import checkpoint as cp
 from ..sources.generator import seeded_records
@@ -25,6 +26,7 @@ from ..sources.log import LogSpec, read_log, write_log
 from ..sources.manifest import RAW_ADDRESS, PublishedTable
 from ..sources.shared import scratch_path
 from ..sources.tables import with_ingest_date
+from ..streaming import micro_order as mo
 from ..streaming.commit_flow import CommitFlow
 from . import fixtures as fx
 from .replay import account, classify, replay_rows, sink_rows
@@ -210,6 +212,21 @@ def conform_failed(spark, sf):
     return failed.select(F.col("_row").alias("row_id"), "error")
 
 
+def _evolved(spark, sf):
+    rows = env.to_raw_rows(env.to_envelope(fx.log_records(spark, sf)), fx.VERSION_MS)
+    return ev.fit_existing(rows, sd.struct_type(fx.OLDER_FIELDS), {"refused by table": F.expr("__metadata._meta_kafka_offset % 53 = 7")})
+
+
+def older_table_rows(spark, sf):
+    """Rows as a table with flat metadata takes them."""
+    return _evolved(spark, sf)[0].withColumnsRenamed({f: f.removeprefix("_") for f in (META_TOPIC, META_PARTITION, META_OFFSET)})
+
+
+def older_table_handled(spark, sf):
+    """Handled offsets of both paths into the older table: none is lost."""
+    return hd.handled_from_sink(*_evolved(spark, sf))
+
+
 # Ordering and gaps
 
 def contiguous_prefix(spark, sf):
@@ -322,6 +339,45 @@ def tumbling_handled_counts(spark, sf):
     return mt.tumbling_counts(classify(_whole(spark, sf), _refused()), keys=("reason",))
 
 
+def stream_window_counts(spark, sf):
+    """The same counts from a stream that reads the log in four appends, each window given once it is complete."""
+    path, log = scratch_path(spark, "windows"), fx.redelivered(fx.log_records(spark, sf))
+    spec = LogSpec("segments", f"{path}/log", topics=("events",), options={"maxVersionsPerTrigger": "1"})
+    times = log.withColumn("timestamp", utc_instant("timestamp"))
+    first, last = times.agg(F.unix_seconds(F.min("timestamp")), F.unix_seconds(F.max("timestamp"))).first()
+    slot = F.floor((F.unix_seconds("timestamp") - first) * 4 / F.lit(last - first + 1))
+    for n in range(4):
+        write_log(times.where(slot == n), spec)
+    # A record of the day after completes the last windows; its own stays open.
+    write_log(times.limit(1).withColumns({"timestamp": F.timestamp_seconds(F.lit(last + 86_400)), "partition": F.lit(-1)}), spec)
+    counts = mt.event_time_counts(read_log(spark, spec, streaming=True), keys=("partition",), lateness="1 hour")
+    query = counts.writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/state").start()
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    zone = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col("window_start").cast("timestamp_ntz"))
+    return spark.read.schema(counts.schema).parquet(f"{path}/out").withColumn("window_start", zone)
+
+
+def gap_outcome_steps(spark, sf):
+    """Gaps opened and closed as the log comes in steps, with a timeout that none of them reaches."""
+    log, waiting = fx.log_records(spark, sf), None
+    steps = with_known_size(fx.handled_steps(log).select("step", *KEY, F.col("start_offset").alias("offset")))
+    state = with_known_size(_seed(spark, sf).withColumn("gap_since_ms", F.lit(None).cast("bigint")))
+    told = []
+    with Cached() as cached:
+        for n in range(fx.STEPS + 2):
+            fresh = cached(offsets_to_ranges(steps.where(F.col("step") == n)))
+            decided, _ = mo.decide(fresh, waiting, state, fx.VERSION_MS + n * fx.STEP_MS, 10**9, cached)
+            decided = with_known_size(decided)
+            held = with_known_size(mo.still_waiting(fresh, fresh.where("false") if waiting is None else waiting, decided))
+            waiting = None if held.isEmpty() else held
+            state = decided.select(*KEY, F.col("expected").alias("next_offset"), "gap_since_ms")
+            told.append(mt.gap_outcomes(decided).withColumn("step", F.lit(n).cast("bigint")))
+    return hd.merge_handled(*told)
+
+
 def gap_metrics(spark, sf):
     """A record counts as released once, however often it was delivered."""
     arrived, floors = _envelopes(spark, sf).select(*KEY, "offset"), _seed(spark, sf)
@@ -404,13 +460,13 @@ ALL: dict[str, Query] = {
         checkpoint_lookup, checkpoint_topic_offsets, checkpoint_upsert, resume_scan, generate_records,
         routing_scan, routing_lookup, route_destination, route_commit_interval, route_records,
         envelope, partition_key, valid_payloads, dropped_offsets, raw_message_rows, raw_rows_versioned_by_record,
-        handled_from_rows, handled_valid, partition_key_parse, conform_ok, conform_failed,
+        handled_from_rows, handled_valid, partition_key_parse, conform_ok, conform_failed, older_table_rows, older_table_handled,
         contiguous_prefix, contiguous_records, gap_ranges, gap_missing_offsets, gap_first_missing,
         gap_audit, late_records, contiguous_run_lengths, many_key_runs,
         handled_from_sink, handled_all, commit_frontier, commit_frontier_stalled, many_key_frontier,
         stale_handled, buffered_handled, commit_pending, wide_range_frontier, wide_range_runs,
         tumbling_counts, tumbling_handled_counts, gap_metrics, commit_metrics, key_metrics, checkpoint_metrics,
-        commit_step_metrics,
+        commit_step_metrics, gap_outcome_steps, stream_window_counts,
         typed_cast, raw_string_projection, normalise_names, default_string_schema, schema_field_stats,
     )
 }

@@ -126,7 +126,7 @@ def read_log(
     ``starting`` is Kafka's starting offsets; ``floors`` (``topic, partition, next_offset``) are those of a segment log.
     """
     if spec.format == "segments":
-        return read_segments(spark, spec.path, streaming, floors, spec.topics)
+        return read_segments(spark, spec.path, streaming, floors, spec.topics, spec.options)
     reader = spark.readStream if streaming else spark.read
     if spec.format == "kafka":
         raw = reader.format("kafka").options(**kafka_read_options(spec, starting)).load()

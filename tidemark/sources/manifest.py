@@ -30,9 +30,10 @@ from ..operators.ranges import pack_offsets, unpack_ranges
 from ..schemas import KEY, META_OFFSET, META_PARTITION, META_TOPIC, OFFSET_RANGE, RAW_METADATA
 from .versions import Versions
 
-#: Where a row's offset stands: in columns of its own, or in the raw table's metadata.
+#: Where a row's offset stands: in columns of its own, or in the raw table's metadata, flat in older tables.
 RECORD_ADDRESS = ("topic", "partition", "offset")
-RAW_ADDRESS = tuple(f"{RAW_METADATA}.{f}" for f in (META_TOPIC, META_PARTITION, META_OFFSET))
+FLAT_ADDRESS = (META_TOPIC, META_PARTITION, META_OFFSET)
+RAW_ADDRESS = tuple(f"{RAW_METADATA}.{f}" for f in FLAT_ADDRESS)
 
 ENTRY = T.StructType([
     T.StructField("file", T.StringType()),

@@ -57,10 +57,12 @@ def append_segments(records: DataFrame, path: str, run_id: str | None = None, ba
 
 def read_segments(
     spark: SparkSession, path: str, streaming: bool = False, floors: DataFrame | None = None, topics: tuple[str, ...] = (),
+    options: dict[str, str] | None = None,
 ) -> DataFrame:
     """The log from ``floors`` (``topic, partition, next_offset``) on; without any, from the beginning.
 
-    The floors pass through the driver as the source's starting offsets: one number per log partition.
+    Option ``maxVersionsPerTrigger`` bounds what a micro-batch of a stream takes, but for the first one after a
+    restart, which takes all there is. The floors pass through the driver as the source's starting offsets: one number per log partition.
     """
     spark.dataSource.register(SegmentLog)
     starting: Offsets = {}
@@ -68,7 +70,7 @@ def read_segments(
         for r in floors.select(*KEY, "next_offset").toLocalIterator():
             starting.setdefault(r.topic, {})[str(r.partition)] = r.next_offset
     reader = spark.readStream if streaming else spark.read
-    return reader.format(FORMAT).option("startingOffsets", json.dumps(starting)).option("topics", json.dumps(list(topics))).load(path)
+    return reader.format(FORMAT).options(**(options or {})).option("startingOffsets", json.dumps(starting)).option("topics", json.dumps(list(topics))).load(path)
 
 
 def _storage(path: str) -> tuple[fs.FileSystem, str]:
@@ -162,6 +164,7 @@ class _Options:
         self.index = Index(options["path"])
         self.starting: Offsets = json.loads(options.get("startingoffsets", "{}"))
         self.topics: list[str] = json.loads(options.get("topics", "[]"))
+        self.at_once = int(options.get("maxversionspertrigger", 0))
 
 
 class SegmentReader(DataSourceReader):
@@ -184,12 +187,14 @@ class SegmentStreamReader(DataSourceStreamReader):
         self.known: dict | None = None
 
     def initialOffset(self) -> dict:
-        return {"version": -1, "next": _Options(self.options).starting}
+        self.known = {"version": -1, "next": _Options(self.options).starting}
+        return self.known
 
     def latestOffset(self) -> dict:
         o = _Options(self.options)
-        at = self.known or self.initialOffset()
-        version = o.index.latest()
+        bounded = self.known is not None and o.at_once > 0
+        at = self.known or {"version": -1, "next": o.starting}
+        version = min(o.index.latest(), at["version"] + o.at_once) if bounded else o.index.latest()
         reached: Offsets = {t: dict(p) for t, p in at["next"].items()}
         for e in o.index.between(at["version"], version):
             mine, key = reached.setdefault(e["topic"], {}), str(e["partition"])
@@ -198,6 +203,7 @@ class SegmentStreamReader(DataSourceStreamReader):
         return self.known
 
     def partitions(self, start: dict, end: dict) -> list[Segment]:
+        self.known = self.known if self.known and self.known["version"] >= end["version"] else end
         # What a segment brings is new by its version, whatever its offsets: one that is published late is read too.
         o = _Options(self.options)
         return segments_of(o.index.between(start["version"], end["version"]), o.starting, o.topics) or [Segment("", {})]

@@ -164,7 +164,7 @@ class CommitFlow:
             F.sum(_within(_zero(), F.col("was"))).alias("stale_offsets_ignored"),
             F.sum(_within(F.col("now"), F.lit(_END))).alias("no_progress_buffered"),
         )
-        beyond = fr.buffered_handled(known.unionByName(waiting), marks.select(*KEY, F.col("now").alias("next_offset")))
+        beyond = fr.buffered_handled(known.unionByName(waiting), marks.select(*KEY, F.col("now").alias("next_offset")), sized=True)
         self.open.write(merge_ranges(beyond.select(*OFFSET_RANGE.fieldNames()), disjoint), batch_id)
         held = self.open.read_batch(self.spark, batch_id, OFFSET_RANGE).groupBy(*KEY).agg(
             F.sum(F.col("end_offset") - F.col("start_offset") + 1).alias("buffered_state_size")

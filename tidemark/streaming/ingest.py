@@ -22,6 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators import handled as hd
 from ..operators import metrics as mt
 from ..operators.conform import check, fit
+from ..operators.evolution import RecordedSchema, with_flat_metadata
 from ..operators.envelope import is_valid, to_envelope, to_raw_rows
 from ..operators.ordering import gap_audit, in_a_log
 from ..operators.ranges import merge_words, pack_offsets, unpack_ranges
@@ -42,7 +43,7 @@ from ..schemas import (
 )
 from ..sources.checkpoint import CheckpointLog
 from ..sources.log import LogSpec, read_log, resume, starting_offsets
-from ..sources.manifest import RAW_ADDRESS, PublishedTable
+from ..sources.manifest import FLAT_ADDRESS, RAW_ADDRESS, PublishedTable
 from ..sources.tables import BatchTable, with_ingest_date
 from ..sources.versions import Versions
 from . import micro_order as mo
@@ -88,9 +89,11 @@ class Ingest:
     def __post_init__(self) -> None:
         self.checkpoint = CheckpointLog(self.spark, f"{self.root}/checkpoint")
         self.commits = CommitFlow(self.spark, self.root, self.run_id, self.checkpoint, self.job_id)
-        # Without metadata in the table, its files do not tell what they hold.
-        in_table = RAW_METADATA in struct_type(self.fields).fieldNames()
-        self.raw = PublishedTable(self.spark, f"{self.root}/raw", self.run_id, RAW_ADDRESS if in_table else None)
+        # An older table keeps the schema it was made with. Without metadata in it, its files do not tell what they hold.
+        self.layout = RecordedSchema(self.spark, f"{self.root}/raw").of(struct_type(self.fields))
+        names = self.layout.fieldNames()
+        address = RAW_ADDRESS if RAW_METADATA in names else FLAT_ADDRESS if set(FLAT_ADDRESS) <= set(names) else None
+        self.raw = PublishedTable(self.spark, f"{self.root}/raw", self.run_id, address)
         self.quarantine = PublishedTable(self.spark, f"{self.root}/quarantine", self.run_id, RAW_ADDRESS)
         self.staged = PublishedTable(self.spark, f"{self.root}/staged", self.run_id)
         self.instants = Versions(self.spark, f"{self.root}/state/instants/run_id={self.run_id}")
@@ -194,12 +197,9 @@ class Ingest:
     def _tidy(self, batch_id: int) -> None:
         """Fewer files for batches that cannot be repeated any more."""
         if self.compact_every and batch_id and batch_id % self.compact_every == 0:
-            self.raw.compact(self._row_layout(), batch_id - 1, ("destination", "ingest_date"))
+            self.raw.compact(self.layout, batch_id - 1, ("destination", "ingest_date"))
             self.quarantine.compact(self._bad_layout(), batch_id - 1, ("destination", "ingest_date"))
 
-    def _row_layout(self) -> T.StructType:
-        return struct_type(self.fields)
-
     def _bad_layout(self) -> T.StructType:
         return T.StructType(struct_type(RAW_MESSAGE_FIELDS).fields + [T.StructField("error", T.StringType())])
 
@@ -210,7 +210,7 @@ class Ingest:
             "*", is_valid(self.keyword).alias("_valid"), *[c.alias(broken[n]) for n, c in self.rules.items()]
         )
         rows = to_raw_rows(marked, now, keep=(*KEY, "offset", "_valid", *broken.values()))
-        checked = check(rows, struct_type(self.fields), {n: F.col(c) for n, c in broken.items()})
+        checked = check(with_flat_metadata(rows, self.layout), self.layout, {n: F.col(c) for n, c in broken.items()})
         reason = F.when(~F.col("_valid"), "dropped").when(F.col("error").isNotNull(), "rejected").otherwise("written")
         tagged = checked.withColumn("reason", reason).drop("_valid", *broken.values())
         if self._routes is None:
@@ -220,7 +220,7 @@ class Ingest:
     def _write_rows(self, tagged: DataFrame, batch_id: int, now: int) -> DataFrame:
         """Write the rows that fit and those that don't; what is handled is what the published files hold."""
         into = ("destination", "ingest_date")
-        ok = fit(tagged.where("reason = 'written'"), self._row_layout(), keep=("destination",))
+        ok = fit(tagged.where("reason = 'written'"), self.layout, keep=("destination",))
         written = self.raw.write(with_ingest_date(ok, now), batch_id, into)
         bad = tagged.where("reason = 'rejected'").select(*self._bad_layout().fieldNames(), "destination")
         told = [(written, "written")]
@@ -280,7 +280,7 @@ class Ingest:
 
     def raw_table(self) -> DataFrame:
         """All published rows, with ``destination``, ``ingest_date``, ``run_id`` and ``batch_id``."""
-        return self.raw.read(self._row_layout(), ("destination", "ingest_date"))
+        return self.raw.read(self.layout, ("destination", "ingest_date"))
 
     def quarantine_table(self) -> DataFrame:
         """All published rows that the table refused, with their ``error``."""
