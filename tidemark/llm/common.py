@@ -57,7 +57,7 @@ def likely(rows: DataFrame, key: str, wanted: DataFrame, inside: bool = True) ->
     words = wanted.select(word.alias("_word"), bit.alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
     met = rows.withColumn("_word", word).join(F.broadcast(words), "_word", "left")
     there = F.coalesce(F.col("_bits").bitwiseAND(bit) != 0, F.lit(False)) & F.col(key).isNotNull()
-    return met.where(there if inside else ~there).select(*rows.columns)
+    return met.where(there if inside else ~there).select(*[F.col(f"`{c}`") for c in rows.columns])
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import checkpointed, likely, slices, texts
 from tidemark.llm.decontam import windows
 from tidemark.llm.graph import components
-from tidemark.llm.line_dedup import linked
+from tidemark.llm.line_dedup import linked, verified_sets
 
 BITS = 64
 #: MinHash bands of ``keep_one``: of pairs with similarity 0.8 about 3 in a million share none.
@@ -268,7 +268,7 @@ def _shingle_sets(docs: DataFrame, places: DataFrame, named: DataFrame, shingle:
 
     one = named.join(places, "place", "left_semi").groupBy("place").agg(F.min("doc_id").alias("doc_id"))
     found = likely(docs.select("doc_id", "text"), "doc_id", checkpointed(one)).select("text").mapInArrow(run, "place long, raw array<long>")
-    return checkpointed(found.join(places, "place", "left_semi").dropDuplicates(["place"]).withColumn("n", F.size("raw")))
+    return checkpointed(found.join(places, "place", "left_semi").dropDuplicates(["place"]))
 
 
 def keep_one(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> DataFrame:
@@ -284,7 +284,8 @@ def keep_one(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> Data
     rows = checkpointed(shingle_classes(known, shingle))
     named = rows.select("doc_id", "place").distinct()
     classes = checkpointed(rows.dropDuplicates(["place"]).select("place", "keys"))
-    found = linked(classes, lambda places: _shingle_sets(known, places, named, shingle), similarity, F.col)
+    bands = classes.select("place", F.explode("keys").alias("key"))
+    found = linked(bands, lambda places: _shingle_sets(known, checkpointed(places), named, shingle), similarity, verified_sets, F.col)
     roots = named.join(found.withColumnRenamed("node", "place"), "place", "left").select("doc_id", F.coalesce("component", "place").alias("root"))
     chosen = roots.groupBy("root").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
     kept = known.join(chosen, "doc_id", "left_semi").dropDuplicates(["doc_id"])
