@@ -46,6 +46,15 @@ def test_token_counts_match_library(odd, docs):
         assert got == want
 
 
+def test_token_counts_of_any_letters_below_0300():
+    c, random = token_counts.PrefixCounter(WORDS), np.random.default_rng(8)
+    pool = [chr(i) for i in range(0x20, 0x300)]
+    words = ["İstanbul", "ȺȾ", "aİb", "İ", "Ⱥ1 Ⱦx"] + ["".join(random.choice(pool, random.integers(1, 30))) for _ in range(4000)]
+    words += ["".join(random.choice(["İ", "Ⱥ", "Ⱦ", "a", "B", "é", " ", "1", "'s", "<|endoftext|>"], random.integers(1, 12))) for _ in range(4000)]
+    wrong = [w for w in words if c.cut(w, 2048)[0] != len(c.library.encode(w, add_special_tokens=False).ids)]
+    assert not wrong
+
+
 def test_token_prefixes_and_budget():
     c = token_counts.PrefixCounter(WORDS)
     text = "Thntblere of then, it's edtioner 42x"

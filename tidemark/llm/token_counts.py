@@ -76,7 +76,9 @@ class PrefixCounter:
         self.special_split = re.compile("|".join(map(re.escape, self.special)))
         letters, numbers = _classes()
         self.words = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^\s{letters}{numbers}]+")
-        self.unusual = re.compile("[^\t\n\r\x20-\x7e\xa1-˿]")
+        # Letters below whose lower case isn't are left to the library too.
+        leaving = "".join(c for c in map(chr, range(0x300)) if any(ord(x) >= 0x300 for x in c.lower()))
+        self.unusual = re.compile(f"[^\t\n\r\x20-\x7e\xa1-˿]|[{leaving}]")
         self.agreed: dict[int, bool] = {}
         self.ids: dict[str, int] = {}
         self.starts = array("q", [0])
