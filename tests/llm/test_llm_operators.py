@@ -121,6 +121,55 @@ def test_pii_disclosing_terms(spark):
     assert clean == {0: "[term] [term] wrote alpha to [email] today", 100: "the [term] is here", 101: None}
 
 
+def told_terms(rows, share=0.8, support=2):
+    """Disclosing terms by counting over sets of different lines."""
+    lines = {line for _, t in rows if t is not None for line in t.split("\n")}
+    words = lambda line: set(re.findall(r"[^\W\d_]{4,}", line.lower()))
+    entity = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+    where, met, holds = {}, {}, {}
+    for line in lines:
+        for t in words(line):
+            holds.setdefault(t, set()).add(line)
+        for e in {m.lower() for m in entity.findall(line)}:
+            where.setdefault(e, set()).add(line)
+            for t in words(entity.sub(" ", line)):
+                met.setdefault((e, t), set()).add(line)
+    n, found = len(lines), {}
+    for (e, t), both in met.items():
+        own = np.log(n / len(where[e]))
+        if len(both) >= support and own > 0 and np.log(len(both) * n / (len(where[e]) * len(holds[t]))) >= share * own:
+            found[t] = max(found.get(t, 0), np.log(len(both) * n / (len(where[e]) * len(holds[t]))) / own)
+    return found
+
+
+def test_pii_terms_against_counting(spark):
+    random = np.random.default_rng(6)
+    pool = [f"{a}{b}" for a in ("alfa", "beta", "gamma", "delta") for b in ("one", "two", "ten", "six", "zoo")]
+    mails = [f"user{i}@mail.example" for i in range(6)]
+    line = lambda: " ".join([*random.choice(pool, 4), *([str(random.choice(mails))] if random.random() < 0.4 else [])])
+    rows = [(i, "\n".join(line() for _ in range(random.integers(0, 6)))) for i in range(60)]
+    rows += [(100 + i, f"secretword meets user9@mail.example in {p}") for i, p in enumerate(pool[:5])]
+    rows += [(200 + i, rows[i % 7][1]) for i in range(40)] + [(300, None), (301, "")]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = told_terms(rows)
+    got = {r.term: r.disclosed for r in pii.disclosing_terms(table).collect()}
+    assert got.keys() == want.keys() and all(abs(got[t] - want[t]) < 1e-9 for t in want) and "secretword" in want
+
+
+def test_pii_entity_in_every_line(spark):
+    table = spark.createDataFrame([(1, "alpha x@y.zz foo"), (2, "alpha x@y.zz bar")], "doc_id long, text string")
+    assert sorted((r.doc_id, r.n_email, r.spans) for r in pii.find(table).collect()) == [(1, 1, "email:6:12"), (2, 1, "email:6:12")]
+
+
+def test_pii_many_addresses_in_one_text(spark):
+    """Time by the number of matches, not by its square: 20,000 addresses in one text."""
+    many = " ".join(f"name{i}@host{i % 7}.org" for i in range(20_000))
+    table = spark.createDataFrame([(1, many), (2, "a@b.cc " * 64), (3, "a@b.cc " * 65), (4, "a@b.cc " * 63)], "doc_id long, text string")
+    for r in pii.find(table).collect():
+        text = many if r.doc_id == 1 else "a@b.cc " * (62 + {2: 2, 3: 3, 4: 1}[r.doc_id])
+        assert r.base_sha256 == hashlib.sha256(base_of(text).encode()).hexdigest()
+
+
 def print_of(text):
     import xxhash
 

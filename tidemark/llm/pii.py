@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import checkpointed, likely
+from tidemark.llm.ranks import kept
 
 # The base patterns, leftmost and non-overlapping. Possessive groups and the look-behinds change no match;
 # they keep the time linear and the stack flat in long runs.
@@ -32,6 +33,8 @@ GATES = {
     "phone": lambda t: F.contains(t, F.lit("+")),
 }
 TERM = r"\p{L}{4,}"
+#: Spans of a text that are built at a time.
+BLOCK = 64
 
 
 def _digits(m: Column) -> Column:
@@ -73,7 +76,13 @@ def found(text: Column, kind: str) -> Column:
         own = F.struct(start.alias("start"), F.lit(no).alias("no"), (start + s["m"]).alias("end"))
         return F.struct((start + s["m"]).alias("at"), F.concat(acc["out"], F.array(own)).alias("out"))
 
-    spans = F.aggregate(steps, F.struct(F.lit(0).alias("at"), nothing.alias("out")), walk, lambda acc: acc["out"])
+    # An array grows by being copied, so spans are built in blocks; where a block begins is summed over the blocks before.
+    once = lambda value, then: F.transform(F.array(value), then)[0]  # noqa: E731  evaluated once, however often it is used
+    cut = lambda st: F.transform(F.sequence(F.lit(0), (F.size(st) / BLOCK).cast("int")), lambda b: F.slice(st, b * BLOCK + 1, F.lit(BLOCK)))
+    width = lambda block: F.aggregate(block, F.lit(0), lambda n, s: n + s["g"] + s["m"])
+    upto = lambda widths, b: F.aggregate(F.slice(widths, F.lit(1), b), F.lit(0), lambda n, w: n + w)
+    spread = lambda widths, blocks: F.transform(blocks, lambda block, b: F.aggregate(block, F.struct(upto(widths, b).alias("at"), nothing.alias("out")), walk, lambda acc: acc["out"]))
+    spans = once(steps, lambda st: once(cut(st), lambda blocks: once(F.transform(blocks, width), lambda widths: F.flatten(spread(widths, blocks)))))
     both = F.zip_with(spans, matches, lambda s, m: F.struct(s["start"].alias("start"), s["no"].alias("no"), s["end"].alias("end"), m.alias("value")))
     empty = F.expr("cast(array() as array<struct<start:int,no:int,end:int,value:string>>)")
     return F.when(GATES[kind](text), F.filter(both, lambda s: VALID[kind](s["value"]))).otherwise(empty)
@@ -86,10 +95,10 @@ def base_spans(docs: DataFrame) -> DataFrame:
 
 
 def _entities(lines: DataFrame) -> DataFrame:
-    """entity and line of every protected value in the lines; e-mail in lower case, numbers by their digits."""
-    spans = lines.select("line", F.explode(F.concat(*(found(F.col("line"), k) for k in KINDS))).alias("s"))
+    """entity and line_hash of every protected value in the lines; e-mail in lower case, numbers by their digits."""
+    spans = lines.select("line_hash", F.explode(F.concat(*(found(F.col("line"), k) for k in KINDS))).alias("s"))
     value = F.when(F.col("s.no") == 0, F.lower("s.value")).when(F.col("s.no") == 1, F.col("s.value")).otherwise(_digits(F.col("s.value")))
-    return spans.select(F.concat_ws(":", F.col("s.no").cast("string"), value).alias("entity"), "line").distinct()
+    return spans.select(F.concat_ws(":", F.col("s.no").cast("string"), value).alias("entity"), "line_hash").distinct()
 
 
 def disclosing_terms(docs: DataFrame, share: float = 0.8, support: int = 2) -> DataFrame:
@@ -99,20 +108,30 @@ def disclosing_terms(docs: DataFrame, share: float = 0.8, support: int = 2) -> D
     some = F.lit(False)
     for k in KINDS:
         some = some | GATES[k](F.col("line"))
-    entities = checkpointed(_entities(lines.where(some)))
+    hashed = lines.select(F.xxhash64("line").alias("line_hash"), "line")
+    # Lines that may hold an entity, once each; from here on they go by their hash.
+    holding = kept(hashed.where(some).dropDuplicates(["line_hash"]), "holding")
+    entities = kept(_entities(holding), "entities")
     bare = F.col("line")
     for k in KINDS:
         bare = F.regexp_replace(bare, PATTERNS[k], " ")
     words = lambda c: F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit(TERM), 0))
-    met = entities.select("entity", F.explode(words(bare)).alias("term")).groupBy("entity", "term").agg(F.count("*").alias("n_et"))
-    met = checkpointed(met.where(F.col("n_et") >= support))
+    around = holding.join(entities.select("line_hash").distinct(), "line_hash", "left_semi").select("line_hash", F.explode(words(bare)).alias("term"))
+    met = entities.join(around, "line_hash").groupBy("entity", "term").agg(F.count("*").alias("n_et"))
+    met = kept(met.where(F.col("n_et") >= support), "met")
     n_e = entities.groupBy("entity").agg(F.count("*").alias("n_e"))
-    terms = met.select("term").distinct()
-    keyed = lines.select(F.xxhash64("line").alias("line_hash"), F.explode(words(F.col("line"))).alias("term"))
-    n_t = likely(keyed, "term", terms).join(terms, "term", "left_semi").distinct().groupBy("term").agg(F.count("*").alias("n_t"))
-    all_lines = lines.select(F.xxhash64("line").alias("h")).distinct().agg(F.count("*").alias("n"))
+    terms = kept(met.select("term").distinct(), "terms")
+    # A term's lines: all of them, less what repeated lines count too much. So no row per line and word is moved.
+    copies = kept(hashed.groupBy("line_hash").agg(F.count("*").alias("copies")), "line-copies")
+    repeats = copies.where("copies > 1")
+    repeated = likely(hashed, "line_hash", repeats.select("line_hash")).join(repeats, "line_hash").dropDuplicates(["line_hash"])
+    counted = lambda rows, n: likely(rows.select(F.explode(words(F.col("line"))).alias("term"), n.alias("n")), "term", terms)
+    every = counted(hashed, F.lit(1).cast("bigint")).unionByName(counted(repeated, F.lit(1) - F.col("copies")))
+    n_t = every.groupBy("term").agg(F.sum("n").alias("n_t"))
+    all_lines = copies.agg(F.count("*").alias("n"))
     pmi = F.log(F.col("n_et") * F.col("n") / (F.col("n_e") * F.col("n_t")))
-    told = met.join(n_e, "entity").join(n_t, "term").join(F.broadcast(all_lines)).withColumn("told", pmi / F.log(F.col("n") / F.col("n_e")))
+    # An entity that stands in every line carries no information that a term could tell.
+    told = met.join(n_e, "entity").join(n_t, "term").join(F.broadcast(all_lines)).withColumn("told", F.try_divide(pmi, F.log(F.col("n") / F.col("n_e"))))
     return told.where(F.col("told") >= share).groupBy("term").agg(F.max("told").alias("disclosed"))
 
 
