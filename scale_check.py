@@ -6,10 +6,9 @@ Usage: python scale_check.py [number of offsets, default 10000000]
 from __future__ import annotations
 
 import sys
-import tempfile
 import time
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 import bench
@@ -19,10 +18,20 @@ from tidemark.plans import fixtures as fx
 from tidemark.schemas import KEY
 from tidemark.sources.generator import random_records
 from tidemark.sources.log import LogSpec, read_log
+from tidemark.sources.shared import scratch_path
 from tidemark.streaming.gap_processor import order_stream
 from tidemark.streaming.ingest import Ingest
 
 
+#: Micro-batches in the test of a flow behind an open gap.
+BATCHES = 50
+
+
+def scratch() -> str:
+    """A fresh folder below the shared one that the session names; of this machine only where it names none."""
+    return scratch_path(SparkSession.getActiveSession(), "scale")
+
+
 def timed(label: str, rows: int, action) -> None:
     start = time.perf_counter()
     result = action()
@@ -60,18 +69,23 @@ def main() -> None:
     whole = fx.log_records(spark, folder).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
     records = fx.observed(whole)
     rows = records.count()
-    flow = Ingest(spark, tempfile.mkdtemp(prefix="tidemark-"), "scale", gap_timeout_s=0, commit_interval_s=0)
+    flow = Ingest(spark, scratch(), "scale", gap_timeout_s=0, commit_interval_s=0)
     timed("ingest, one micro-batch, all gaps declared", rows, lambda: flow.process(records, 0))
-    flow = Ingest(spark, tempfile.mkdtemp(prefix="tidemark-"), "open", gap_timeout_s=10_000, commit_interval_s=0)
-    for i in range(4):
-        part = records.where(f"offset >= {i * 9000} and offset < {(i + 1) * 9000}")
-        timed(f"ingest, micro-batch {i} behind an open gap", part.count(), lambda: flow.process(part, i))
+    flow = Ingest(spark, scratch(), "open", gap_timeout_s=10_000, commit_interval_s=0)
+    spans = []
+    for i in range(BATCHES):
+        part = whole.where(f"offset % {BATCHES} = {i} and offset <> 3")
+        start = time.perf_counter()
+        flow.process(part, i)
+        spans.append(time.perf_counter() - start)
+    fifths = [sum(spans[i : i + BATCHES // 5]) / (BATCHES // 5) for i in range(0, BATCHES, BATCHES // 5)]
+    print(f"ingest, {BATCHES} micro-batches behind open gaps: mean seconds by fifth {[round(f, 2) for f in fifths]}", flush=True)
 
     big = spark.range(2_000_000).selectExpr(
         "'t' as topic", "if(id % 3 = 0, 0, 1) as partition", "if(id % 3 = 0, id div 3, id - id div 3 - 1) as offset",
         "timestamp_seconds(id) as timestamp", "cast(id as string) as key", "repeat(md5(cast(id as string)), 8) as value",
     )
-    flow = Ingest(spark, tempfile.mkdtemp(prefix="tidemark-"), "big", commit_interval_s=0)
+    flow = Ingest(spark, scratch(), "big", commit_interval_s=0)
     timed("ingest, one micro-batch of 2 million rows", 2_000_000, lambda: flow.process(big, 0))
 
     spark.conf.set(
@@ -79,7 +93,7 @@ def main() -> None:
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     )
     for name, log in {"in order": whole, "behind open gaps": records}.items():
-        source = tempfile.mkdtemp(prefix="tidemark-")
+        source = scratch()
         log.repartitionByRange(8, "offset").sortWithinPartitions("offset").write.mode("overwrite").json(source)
         timed(f"order_stream, file log, {name}", log.count(), lambda: drain(spark, source, log.count()))
 
@@ -88,7 +102,7 @@ def drain(spark, source: str, rows: int) -> None:
     """Run ``order_stream`` over a file log until it has read all rows."""
     stream = read_log(spark, LogSpec("json", source), streaming=True)
     ordered = order_stream(to_envelope(stream, keep=("timestamp",)), timeout_s=10_000)
-    query = ordered.writeStream.format("noop").option("checkpointLocation", tempfile.mkdtemp()).start()
+    query = ordered.writeStream.format("noop").option("checkpointLocation", scratch()).start()
     deadline = time.time() + 120
     while sum(p["numInputRows"] for p in query.recentProgress) < rows and time.time() < deadline:
         time.sleep(0.1)
