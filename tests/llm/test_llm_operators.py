@@ -229,6 +229,43 @@ def test_decontamination_of_altered_items(spark):
     assert got == {(1, 1), (2, 1), (3, 2), (4, 3), (5, 4)}
 
 
+def test_decontamination_leaves_other_numbers_alone(spark):
+    story = "{} went to market with {} apples and {} pears and came home with {} coins {} plums and {} nuts in the evening"
+    items = spark.createDataFrame([(1, "2 4 6 8 10 12 14 16"), (2, story.format("then Anna", 3, 5, 7, 9, 11)), (3, "1 3 5 7 9 11 13 15")], "item_id long, text string")
+    docs = [
+        (1, "totals 31 55 72 81 90 14 77 65 12 8 and so on"), (2, "so " + story.format("then Bob", 40, 40, 40, 40, 40)), (3, "so " + story.format("then Bob", 13, 15, 17, 19, 21)),
+        (4, "the row 1 3 5 7 9 11 13 15 again"), (5, " ".join(map(str, range(100, 4100)))), (6, "the row 2 4 6 8 10 12 14 17 again"),
+    ]
+    got = {(r.doc_id, r.item_id) for r in decontam.contaminations(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()}
+    assert got == {(3, 2), (4, 3)}
+
+
+def test_altered_items_are_found(spark):
+    """Recall on every given item of twenty words or more: as it stands, with one word put in, and with its numbers changed."""
+    folder = "/root/testdata/sf0.01"
+    items = spark.read.parquet(f"{folder}/benchmark.parquet")
+    chosen = [(r.item_id, r.text) for r in items.collect() if r.text and len(r.text.split()) >= 20]
+    docs, wanted = [], []
+    for n, (item, text) in enumerate(chosen):
+        words = text.split()
+        ways = [words, [*words[: len(words) // 2], "indeed", *words[len(words) // 2 :]], [re.sub(r"\d+", lambda m: str(int(m[0]) + 7), w) for w in words]]
+        for k, way in enumerate(ways):
+            docs.append((10 * n + k, "before it stands this and then " + " ".join(way) + " and this comes after it"))
+            wanted.append((10 * n + k, item))
+    got = {(r.doc_id, r.item_id) for r in decontam.contaminations(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()}
+    assert len(wanted) > 30 and sum(w in got for w in wanted) >= 0.97 * len(wanted)
+
+
+def test_stages_take_columns_of_any_name(spark):
+    names = ["doc_id", "a.b", "text", "gone", "place", "root", "component", "doc", "c0", "lang"]
+    row = lambda d, t: tuple({"doc_id": d, "text": t, "lang": "en"}.get(c, f"{c}-{d}") for c in names)
+    docs = spark.createDataFrame([row(1, "one text of some words here"), row(2, "one text of some words here"), row(3, "another one")], ", ".join(f"`{c}` {'long' if c == 'doc_id' else 'string'}" for c in names))
+    items = spark.createDataFrame([(1, "another one")], "item_id long, text string")
+    assert sorted(map(tuple, simhash.keep_one(docs).collect())) == [row(1, "one text of some words here"), row(3, "another one")]
+    assert decontam.remove_contaminated(docs, items).columns == simhash.keep_one(docs).columns == langid.keep_identified(docs).columns == names
+    assert decontam.remove_contaminated(docs, items).count() == 3
+
+
 def test_line_dedup(spark, odd):
     line = "the quick brown fox jumps over the lazy dog while nine other animals of the wood look on from the hill and wait for the evening to come"
     near = line.replace("evening", "evenings")
@@ -270,6 +307,40 @@ def test_language(odd, spark, sf_small):
     assert kept.schema == odd.schema and {r.doc_id for r in kept.collect()} >= {1, 9} and not {2, 3, 4} & {r.doc_id for r in kept.collect()}
 
 
+def test_a_rare_language_is_learned_beside_a_common_one(spark):
+    """One language holds 99 of 100 texts; the model's bounds are far below what it alone would fill."""
+    random = np.random.default_rng(9)
+
+    def vocabulary(letters, n):
+        return ["".join(random.choice(list(letters), random.integers(3, 9))) for _ in range(n)]
+
+    common, rare = vocabulary("abcdefghij", 3000), vocabulary("fghijklmno", 200)
+    text = lambda words: " ".join(random.choice(words, 30))
+    rows = [(i, text(common), "common") for i in range(1980)] + [(5000 + i, text(rare), "rare") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = {r.doc_id: r.lang_pred for r in langid.identify(docs, sample=100, units=150).collect()}
+    assert all(found[i] == lang for i, _, lang in rows)
+
+
+def test_what_has_no_letter_is_undetermined_and_marks_belong_to_words(spark):
+    odd = [(1, "½ ² ① Ⅷ ٣ 12 _ !?"), (2, ""), (3, None), (4, "\u0301"), (5, "ab")]
+    labelled = [(10 + i, t, lang) for i in range(30) for t, lang in (("हिन्दी में लिखा हुआ", "hi"), ("written in letters", "en"))]
+    docs = spark.createDataFrame([(*r, None) for r in odd] + labelled + [(200, "हिन्दी हुआ", None), (201, "letters " + "z" * 5000, None)], "doc_id long, text string, lang string")
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(docs).collect()}
+    assert all(got[i] == ("und", 0.0) for i in (1, 2, 3, 4)) and got[5][0] != "und"
+    assert got[200][0] == "hi" and got[201][0] == "en"
+    assert langid._WORD.findall("हिन्दी e\u0301te\u0301 a²b") == ["हिन्दी", "e\u0301te\u0301", "a", "b"]
+
+
+def test_words_are_judged_over_their_whole_length(spark):
+    """Two unknown words that differ only beyond their first two hundred letters."""
+    docs = [(i, "abcde fghij " * 3, "one") for i in range(1, 30)] + [(100 + i, "vwxyz rstuq " * 3, "two") for i in range(1, 30)]
+    model = langid.fit(spark.createDataFrame(docs, "doc_id long, text string, lang string"))
+    scorer = langid.Scorer(model)
+    start = "abcde" * 40
+    assert langid.judge(model, scorer, start + "fghij" * 300)[0] == "one" and langid.judge(model, scorer, start + "vwxyz" * 300)[0] == "two"
+
+
 @pytest.mark.parametrize("module,label,least", [(quality, "quality", 0.9), (toxicity, "toxic", 0.85)])
 def test_classifiers(spark, odd, module, label, least):
     folder = "/root/testdata/sf0.01"

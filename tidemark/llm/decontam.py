@@ -2,10 +2,11 @@
 
 Texts become templates: numbers, units and capitalised words inside a sentence turn into typed placeholders, other
 words are lower-cased, punctuation goes. Windows of template words are hashed and hash-joined with the benchmark's.
-Matches on one diagonal (document place minus item place) belong together, and so do those on diagonals near to each
-other, as words put in or left out move the rest. There the values in slots decide: one benchmark value must always meet
-the same value in the document, or the windows where it has changed do not count. What counts must be enough of the
-item's windows, or a passage of 13 words or so as it stands.
+A window of hardly any plain words, such as a row of numbers, is no template: it only matches as it stands. Matches on
+one diagonal (document place minus item place) belong together, and so do those on diagonals near to each other, as words
+put in or left out move the rest. There the values in slots decide: values must meet one to one, one benchmark value
+always the same value in the document and the other way round, or the windows where they have changed do not count. What
+counts must be enough of the item's windows, or a passage of 13 words or so as it stands.
 """
 
 from __future__ import annotations
@@ -54,7 +55,7 @@ class Templates:
     def clear(self) -> None:
         self.ids: dict[str, int] = {}
         self.names: list[str] = []
-        self.kind_table, self.hash_table = np.zeros(1024, np.int8), np.zeros(1024, np.uint64)
+        self.kind_table, self.hash_table, self.literal_table = np.zeros(1024, np.int8), np.zeros(1024, np.uint64), np.zeros(1024, np.uint64)
 
     def _learn(self, token: str) -> int:
         low = token.lower()
@@ -68,13 +69,17 @@ class Templates:
             kind = NAME if len(token) > 1 and token[0].isupper() and token[1:].islower() else WORD
         at = self.ids[token] = len(self.names)
         if at == len(self.kind_table):
-            self.kind_table, self.hash_table = (np.concatenate([t, np.zeros_like(t)]) for t in (self.kind_table, self.hash_table))
+            self.kind_table, self.hash_table, self.literal_table = (np.concatenate([t, np.zeros_like(t)]) for t in (self.kind_table, self.hash_table, self.literal_table))
         self.names.append(low)
-        self.kind_table[at], self.hash_table[at] = kind, self.slot[kind] if kind in (NUMBER, UNIT) else _digest(low)
+        self.literal_table[at] = own = _digest(low)
+        self.kind_table[at], self.hash_table[at] = kind, self.slot[kind] if kind in (NUMBER, UNIT) else own
         return at
 
     def of(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(words' numbers, kinds with names only inside sentences, hashes with names as slots, hashes without)."""
+        """(words' numbers, kinds with names only inside sentences, hashes with names as slots, hashes without).
+
+        The hashes of the words as they stand are ``literal_table[ids]``.
+        """
         if len(self.names) > CACHED_WORDS:
             self.clear()
         tokens = (_LETTERS if not text.isascii() and _UNSPACED.search(text) else _TOKEN).findall(text)
@@ -91,8 +96,10 @@ class Templates:
         plain = self.hash_table[ids]
         return ids, kinds, np.where(kinds == NAME, self.slot[NAME], plain), plain
 
-    def slots(self, ids: np.ndarray, kinds: np.ndarray, named: bool) -> list[str]:
-        """kind:value of each slot among the words given; names only where they are slots."""
+    def slots(self, ids: np.ndarray, kinds: np.ndarray, named: bool | None) -> list[str]:
+        """kind:value of each slot among the words given; names only where they are slots, None: none is."""
+        if named is None:
+            return []
         return [f"{k}:{self.names[i]}" for i, k in zip(ids.tolist(), kinds.tolist()) if k != WORD and (named or k != NAME)]
 
 
@@ -115,11 +122,34 @@ def _emit(names: list[str], columns: list[list]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names)
 
 
-def _both(named: np.ndarray, plain: np.ndarray, size: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(places, hashes) of the windows with names as slots, and of those that differ with names as words."""
-    first, second = windows(named, size), windows(plain, size)
-    every, other = np.arange(len(first)), np.flatnonzero(first != second)
-    return [(every, first), (other, second[other])]
+#: Of eight words in a window so many must be no slots.
+PLAIN = 3
+_AS_IT_STANDS = np.uint64(0x5851F42D4C957F2D)
+
+
+def _ways(kinds: np.ndarray, named: np.ndarray, plain: np.ndarray, literal: np.ndarray, size: int) -> list[tuple[bool | None, np.ndarray, np.ndarray]]:
+    """(names are slots or not, None: nothing is; places, hashes by place) of the windows.
+
+    First those with names as slots, then those that differ with names as words, each with enough plain words; of the
+    rest, as it stands.
+    """
+    if len(kinds) < size:
+        return []
+    need = max(2, size * PLAIN // 8)
+
+    def words(which: np.ndarray) -> np.ndarray:
+        upto = np.concatenate([[0], np.cumsum(which)])
+        return upto[size:] - upto[:-size]
+
+    first, bare = windows(named, size), words(kinds == WORD) >= need
+    out = [(True, np.flatnonzero(bare), first)]
+    spoken = bare
+    if (kinds == NAME).any():
+        second, spoken = windows(plain, size), words((kinds == WORD) | (kinds == NAME)) >= need
+        out.append((False, np.flatnonzero((first != second) & spoken), second))
+    if not spoken.all():
+        out.append((None, np.flatnonzero(~spoken), windows(literal, size) ^ _AS_IT_STANDS))
+    return out
 
 
 def benchmark_windows(benchmark: DataFrame, size: int, least: int) -> DataFrame:
@@ -134,8 +164,8 @@ def benchmark_windows(benchmark: DataFrame, size: int, least: int) -> DataFrame:
                 own = min(size, len(ids))
                 if item is None or own < least:
                     continue
-                for as_slots, (places, hashes) in zip((True, False), _both(named, plain, own)):
-                    for at, h in zip(places.tolist(), hashes.view(np.int64).tolist()):
+                for as_slots, places, hashes in _ways(kinds, named, plain, cut.literal_table[ids], own):
+                    for at, h in zip(places.tolist(), hashes[places].view(np.int64).tolist()):
                         for column, v in zip(out, (item, h, at, own, cut.slots(ids[at : at + own], kinds[at : at + own], as_slots))):
                             column.append(v)
             yield _emit(["item_id", "hash", "place", "size", "slots"], out)
@@ -154,11 +184,13 @@ def document_windows(docs: DataFrame, wanted: bytes, sizes: list[int]) -> DataFr
                 out: list[list] = [[], [], [], [], []]
                 for doc, text in zip(part.column("doc_id").to_pylist(), texts(part)):
                     ids, kinds, named, plain = cut.of(text)
+                    literal = cut.literal_table[ids]
                     for size in sizes:
-                        for as_slots, (places, hashes) in zip((True, False), _both(named, plain, size)):
-                            low = (hashes & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+                        for as_slots, places, hashes in _ways(kinds, named, plain, literal, size):
+                            own = hashes[places]
+                            low = (own & np.uint64(FILTER_BITS - 1)).astype(np.int64)
                             hit = np.flatnonzero(bits[low >> 3] >> (low & 7).astype(np.uint8) & 1)
-                            for at, h in zip(places[hit].tolist(), hashes[hit].view(np.int64).tolist()):
+                            for at, h in zip(places[hit].tolist(), own[hit].view(np.int64).tolist()):
                                 for column, v in zip(out, (doc, h, at, size, cut.slots(ids[at : at + size], kinds[at : at + size], as_slots))):
                                     column.append(v)
                 yield _emit(["doc_id", "hash", "place", "size", "slots"], out)
@@ -171,7 +203,8 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, size: int = 8, share:
 
     matched and windows: different windows of the item found on the best diagonal, or on diagonals at most ``size`` and
     half of the item's windows apart from the next, and all it has; changed: slots whose value differs (0 for a plain
-    copy). A window does not count if a value in it has changed that meets several values there. Needed are ``share`` of
+    copy). A window does not count if a value in it has changed that meets several values there, or whose new value does.
+    Needed are ``share`` of
     the item's windows, or ``passage`` windows with nothing changed. Items below ``least`` template words are not looked
     for, as they stand in any text; null and empty texts hold nothing; repeated rows count once; rows without id have
     none to be named by. Other columns are not looked at.
@@ -196,11 +229,15 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, size: int = 8, share:
     ways = F.inline(F.array(F.struct(F.lit(False).alias("wide"), F.col("shift").alias("at")), F.struct(F.lit(True).alias("wide"), F.col("near").alias("at"))))
     placed = matches.join(near, ["doc_id", "item_id", "shift"]).select("doc_id", "item_id", "windows", "item_place", F.arrays_zip("slots", "item_slots").alias("met"), ways)
     met = placed.select(*group, F.explode("met").alias("x")).select(*group, F.col("x.item_slots").alias("a"), F.col("x.slots").alias("b"))
-    several = met.groupBy(*group, "a").agg(F.min("b").alias("low"), F.max("b").alias("high")).where("low <> high")
-    several = several.groupBy(*group).agg(F.collect_list("a").alias("several"))  # an item's own slots
-    altered = F.transform(F.filter("met", lambda x: x["slots"] != x["item_slots"]), lambda x: x["item_slots"])
-    counted = placed.join(several, group, "left").select(*group, "windows", "item_place", "several", altered.alias("altered"))
-    counted = counted.where(~F.arrays_overlap("altered", F.coalesce("several", F.array().cast("array<string>"))))
+    several = lambda one, other: met.groupBy(*group, one).agg(F.min(other).alias("low"), F.max(other).alias("high")).where("low <> high").select(*group, F.lit(one).alias("side"), F.col(one).alias("value"))
+    mixed = several("a", "b").union(several("b", "a")).groupBy(*group).agg(  # an item's own slots, and what they meet
+        F.collect_list(F.when(F.col("side") == "a", F.col("value"))).alias("mixed_a"), F.collect_list(F.when(F.col("side") == "b", F.col("value"))).alias("mixed_b")
+    )
+    changed = F.filter("met", lambda x: x["slots"] != x["item_slots"])
+    altered, into = F.transform(changed, lambda x: x["item_slots"]), F.transform(changed, lambda x: x["slots"])
+    none = F.array().cast("array<string>")
+    counted = placed.join(mixed, group, "left").select(*group, "windows", "item_place", altered.alias("altered"), into.alias("into"), F.coalesce("mixed_a", none).alias("mixed_a"), F.coalesce("mixed_b", none).alias("mixed_b"))
+    counted = counted.where(~F.arrays_overlap("altered", "mixed_a") & ~F.arrays_overlap("into", "mixed_b"))
     told = counted.groupBy(*group).agg(
         F.count_distinct("item_place").alias("matched"),
         F.count_distinct(F.when(F.size("altered") == 0, F.col("item_place"))).alias("same"),
@@ -213,6 +250,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, size: int = 8, share:
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
-    """The documents that hold no benchmark item, all columns as they came; those without doc_id stay."""
-    gone = contaminations(docs, benchmark, **how).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """The documents that hold no benchmark item, all columns as they came, whatever their names; those without doc_id stay."""
+    inner = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    gone = contaminations(docs.select("doc_id", "text"), benchmark, **how).select(F.col("doc_id").alias("gone")).distinct()
+    return inner.join(gone, F.col(f"c{docs.columns.index('doc_id')}") == F.col("gone"), "left_anti").toDF(*docs.columns)

@@ -1,12 +1,15 @@
 """Language of a document: known words by their log frequency, unknown ones by ever shorter character n-grams.
 
-A word of the model scores its log frequency in each language. A word that no language knows is cut into n-grams of
-the longest order; what is unknown there is cut into the next shorter ones, and so on down to letters.
+A word is a letter with the letters and combining marks that follow it. A word of the model scores its log frequency in
+each language. A word that no language knows is cut, over its whole length, into n-grams of the longest order; what is
+unknown there is cut into the next shorter ones, and so on down to letters. Every language has the same quotas of
+documents and units, so one that nearly all texts are written in leaves a rare one its words and its name.
 """
 
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections import Counter
 from dataclasses import dataclass
 
@@ -15,9 +18,28 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import checkpointed, fold, sample_by_hash, slices, texts
+from tidemark.llm.common import fold, slices, texts
+from tidemark.llm.ranks import kept
 
-_WORD = re.compile(r"[^\W\d_]+")
+
+
+def _class(*kinds: str) -> str:
+    """The characters of these general categories as ranges for a character class."""
+    out, start = [], None
+    for c in range(0x110001):
+        inside = c < 0x110000 and unicodedata.category(chr(c)) in kinds
+        if inside and start is None:
+            start = c
+        if not inside and start is not None:
+            out.append(f"\\U{start:08x}-\\U{c - 1:08x}")
+            start = None
+    return "".join(out)
+
+
+# ``\w`` also takes numbers that are no digits, such as fractions and numerals in circles.
+_LETTER = rf"[^\W\d_{_class('Nl', 'No')}]"
+_MARK = f"[{_class('Mn', 'Mc', 'Me')}]"
+_WORD = re.compile(f"{_LETTER}+(?:{_MARK}+{_LETTER}*)*")
 CACHED_WORDS = 300_000
 
 
@@ -37,18 +59,25 @@ def grams(unit: str, n: int) -> list[str]:
 
 
 def padded(word: str) -> str:
-    return f" {word} "[:200]
+    return f" {word} "
+
+
+def _quota(labelled: DataFrame, sample: int) -> DataFrame:
+    """About ``sample`` rows of each language, chosen by the hash of the id; all of a language that has fewer."""
+    sizes = kept(labelled.groupBy("lang").agg(F.count("*").alias("_all")), "languages")
+    share = F.lit(float(1 << 30)) * F.least(F.lit(1.0), F.lit(float(sample)) / F.col("_all"))
+    return labelled.join(sizes, "lang").where(F.pmod(F.xxhash64(F.lit(9), F.col("doc_id")), F.lit(1 << 30)) < share).drop("_all")
 
 
-def fit(docs: DataFrame, orders: tuple[int, ...] = (5, 4, 3, 2, 1), sample: int = 20_000, units: int = 30_000, least: int = 2) -> Model:
+def fit(docs: DataFrame, orders: tuple[int, ...] = (5, 4, 3, 2, 1), sample: int = 5_000, units: int = 7_500, least: int = 2) -> Model:
     """Count words and n-grams by language over the labelled rows given.
 
-    Bounds of the model, as for any classifier here: about ``sample`` labelled documents chosen by hash, and of each
-    order the ``units`` most frequent units. Rows without text or lang are left out. Counts of each language are
-    shares of that language, so a common language is no likelier than a rare one.
+    Bounds of the model, as for any classifier here: about ``sample`` labelled documents of each language, chosen by
+    hash, and of each order as many units as ``units`` for each language, those that are most frequent in some language
+    by their share of it. Rows without text or lang are left out. Counts are shares of a language, so a common one is no
+    likelier than a rare one.
     """
-    labelled = docs.where("lang is not null and text is not null").select("doc_id", "text", "lang")
-    labelled = sample_by_hash(labelled, "doc_id", sample, labelled.count(), 9)
+    labelled = _quota(docs.where("lang is not null and text is not null").select("doc_id", "text", "lang"), sample)
 
     def count(batches):
         held: dict[str, Counter] = {}
@@ -70,23 +99,26 @@ def fit(docs: DataFrame, orders: tuple[int, ...] = (5, 4, 3, 2, 1), sample: int
                 )
 
     counted = labelled.mapInArrow(count, "lang string, level int, unit string, n long").groupBy("lang", "level", "unit").agg(F.sum("n").alias("n"))
-    counted = checkpointed(counted)
+    counted = kept(counted, "units")
     totals: dict[tuple[str, int], int] = {(r.lang, r.level): r.n for r in counted.groupBy("lang", "level").agg(F.sum("n").alias("n")).collect()}
     languages = sorted({lang for lang, _ in totals})
     tables: dict[int, dict[str, np.ndarray]] = {}
     floors: dict[int, np.ndarray] = {}
+    sizes = kept(counted.groupBy("lang", "level").agg(F.sum("n").alias("whole")), "sizes")
     for level in (0, *orders):
-        shares = counted.where((F.col("level") == level) & (F.col("n") >= least))
-        by_unit = shares.groupBy("unit").agg(F.sum("n").alias("all"), F.collect_list(F.struct("lang", "n")).alias("by"))
-        rows = by_unit.orderBy(F.desc("all"), "unit").limit(units).collect()  # the model's size
+        shares = counted.where((F.col("level") == level) & (F.col("n") >= least)).join(sizes, ["lang", "level"]).withColumn("share", F.col("n") / F.col("whole"))
+        by_unit = shares.groupBy("unit").agg(F.max("share").alias("best"), F.collect_list(F.struct("lang", "n")).alias("by"))
+        rows = by_unit.orderBy(F.desc("best"), "unit").limit(units * len(languages)).collect()  # the model's size
         size = np.array([max(1, totals.get((lang, level), 0)) for lang in languages], float)
-        floors[level] = np.log(0.5 / size)
+        # One floor for all, or a language of few texts would seem likelier wherever nothing is known.
+        least_share = 0.5 / size.max() if len(size) else 1.0
+        floors[level] = np.log(np.full(len(languages), least_share))
         table = tables[level] = {}
         for r in rows:
-            n = np.full(len(languages), 0.5)
+            n = np.zeros(len(languages))
             for x in r.by:
                 n[languages.index(x.lang)] = x.n
-            table[r.unit] = np.log(n / size)
+            table[r.unit] = np.log(np.maximum(n / size, least_share))
     return Model(languages, tables, floors, orders)
 
 
@@ -178,7 +210,7 @@ def judge(model: Model, scorer: Scorer, text: str) -> tuple[str, float]:
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, lang_pred, score of every row; see ``judge``. Null text has no letter. Other columns are not looked at."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by ``units`` of each order
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by ``units`` of each order and language
 
     def run(batches):
         scorer = Scorer(shared.value)
@@ -217,4 +249,5 @@ def keep_identified(docs: DataFrame, least_score: float = 0.5, **bounds) -> Data
                     keep = [bool(_WORD.search(t)) for t in texts(part)]
                 yield part.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    inner = docs.toDF(*["text" if c == "text" else f"c{i}" for i, c in enumerate(docs.columns)])
+    return inner.mapInArrow(run, inner.schema).toDF(*docs.columns)

@@ -280,7 +280,9 @@ def keep_one(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> Data
     at similarity 0.8 some 10 of their 64 bits differ, and parts that let 16 pass hold nearly every pair. Of rows that
     repeat a kept doc_id one stays. Documents without doc_id have no group and stay.
     """
-    known = docs.where("doc_id is not null")
+    inner = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    own = F.col(f"c{docs.columns.index('doc_id')}")
+    known = docs.select("doc_id", "text").where("doc_id is not null")
     rows = checkpointed(shingle_classes(known, shingle))
     named = rows.select("doc_id", "place").distinct()
     classes = checkpointed(rows.dropDuplicates(["place"]).select("place", "keys"))
@@ -288,5 +290,5 @@ def keep_one(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> Data
     found = linked(bands, lambda places: _shingle_sets(known, checkpointed(places), named, shingle), similarity, verified_sets, F.col)
     roots = named.join(found.withColumnRenamed("node", "place"), "place", "left").select("doc_id", F.coalesce("component", "place").alias("root"))
     chosen = roots.groupBy("root").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
-    kept = known.join(chosen, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    one_each = inner.join(chosen, own == F.col("doc_id"), "left_semi").dropDuplicates([f"c{docs.columns.index('doc_id')}"])
+    return one_each.unionByName(inner.where(own.isNull())).toDF(*docs.columns)
