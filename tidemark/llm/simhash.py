@@ -286,8 +286,8 @@ def keep_one(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> Data
     rows = checkpointed(shingle_classes(known, shingle))
     named = rows.select("doc_id", "place").distinct()
     classes = checkpointed(rows.dropDuplicates(["place"]).select("place", "keys"))
-    bands = classes.select("place", F.explode("keys").alias("key"))
-    found = linked(bands, lambda places: _shingle_sets(known, checkpointed(places), named, shingle), similarity, verified_sets, F.col)
+    bands = classes.select("place", F.posexplode("keys").alias("band", "key"))
+    found = linked(bands, lambda places: _shingle_sets(known, checkpointed(places), named, shingle), similarity, verified_sets)
     roots = named.join(found.withColumnRenamed("node", "place"), "place", "left").select("doc_id", F.coalesce("component", "place").alias("root"))
     chosen = roots.groupBy("root").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
     one_each = inner.join(chosen, own == F.col("doc_id"), "left_semi").dropDuplicates([f"c{docs.columns.index('doc_id')}"])
