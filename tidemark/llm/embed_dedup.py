@@ -23,6 +23,8 @@ STRETCH = 16
 ROWS_AT_ONCE = 512
 #: Pairs this close to the threshold are decided by the vectors as they came.
 DOUBT = 1e-9
+#: More than single precision can err by in a product of some twenty coordinates of unit vectors.
+SINGLE = 1e-4
 
 
 def usable(column: str = "embedding"):
@@ -76,12 +78,15 @@ def linked(a: np.ndarray, b: np.ndarray, x: np.ndarray, y: np.ndarray, threshold
     rest_a = [np.linalg.norm(a[:, c:], axis=1) for c in cuts[1:]]
     rest_b = [np.linalg.norm(b[:, c:], axis=1) for c in cuts[1:]]
     out_r, out_c = [], []
+    # With the suffix norm as one more coordinate a single product of the leading ones is the bound. Single precision
+    # is enough for it: what it lets pass is computed anew.
+    head_a = np.concatenate([a[:, : cuts[1]], rest_a[0][:, None]], axis=1).astype(np.float32)
+    head_b = np.ascontiguousarray(np.concatenate([b[:, : cuts[1]], rest_b[0][:, None]], axis=1).astype(np.float32).T)
     for top in range(0, len(a), ROWS_AT_ONCE):
         part = a[top : top + ROWS_AT_ONCE]
-        dot = part[:, : cuts[1]] @ b[:, : cuts[1]].T
-        r, c = np.nonzero(dot + np.outer(rest_a[0][top : top + ROWS_AT_ONCE], rest_b[0]) >= threshold - DOUBT)
-        value = dot[r, c]
-        for k in range(1, len(cuts) - 1):
+        r, c = np.nonzero(head_a[top : top + ROWS_AT_ONCE] @ head_b >= np.float32(threshold - SINGLE))
+        value = np.zeros(len(r))
+        for k in range(len(cuts) - 1):
             if not len(r):
                 break
             value = value + np.concatenate([np.einsum("ij,ij->i", part[r[s : s + 65536], cuts[k] : cuts[k + 1]], b[c[s : s + 65536], cuts[k] : cuts[k + 1]]) for s in range(0, len(r), 65536)])
