@@ -104,7 +104,8 @@ def drain(spark, source: str, rows: int) -> None:
     ordered = order_stream(to_envelope(stream, keep=("timestamp",)), timeout_s=10_000)
     query = ordered.writeStream.format("noop").option("checkpointLocation", scratch()).start()
     deadline = time.time() + 120
-    while sum(p["numInputRows"] for p in query.recentProgress) < rows and time.time() < deadline:
+    # Each row is read twice, for its offset and for its payload.
+    while sum(p["numInputRows"] for p in query.recentProgress) < 2 * rows and time.time() < deadline:
         time.sleep(0.1)
     query.stop()
 

@@ -49,6 +49,11 @@ def test_out_of_order_offsets_are_committed_once(spark, root):
     tried = stage.flow.updates().collect()
     assert [(r.batch_id, r.checkpoint_update_requested, r.checkpoint_update_success) for r in tried] == [(2, 1, 1)]
     assert tried[0].checkpoint_update_dispatch_latency_ms > 0
+    spread = stage.flow.distributions().first()
+    assert (spread.contiguous_advance_size_count, spread.contiguous_advance_size_p50, spread.contiguous_advance_size_max) == (1, 3, 3)
+    assert (spread.buffered_state_size_count, spread.buffered_state_size_min, spread.buffered_state_size_p99, spread.buffered_state_size_sum) == (4, 0, 1, 1)
+    spent = stage.flow.update_latency().first()
+    assert spent.checkpoint_update_dispatch_latency_ms_count == 1 and spent.checkpoint_update_dispatch_latency_ms_p50 == tried[0].checkpoint_update_dispatch_latency_ms
 
 
 def test_stale_repeated_and_keyless_offsets(spark, root):

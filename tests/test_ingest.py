@@ -101,6 +101,13 @@ def test_scenarios(spark, root):
     last = run.next()
     assert last[("two", 0)] == 5 and last[("wide", 0)] == 6 and last[("double", 0)] == 4
 
+    told = {(r.batch_id, r.topic): r for r in run.flow.commits.metrics().where("partition = 0").collect()}
+    assert told[0, "success"].offsets_contiguously_acked == 2 and told[0, "success"].checkpoint_update_success == 1
+    assert (told[2, "gap"].handled_offsets_seen, told[2, "gap"].commit_timer_fired, told[1, "gap"].commit_timer_armed) == (2, 1, 0)
+    assert (told[1, "resolved"].offsets_contiguously_acked, told[2, "head"].handled_offsets_seen) == (2, 51)
+    assert (0, "head") not in told  # nothing of it was handled yet
+    assert not any(r.no_progress_buffered or r.checkpoint_update_failure or r.stale_offsets_ignored for r in told.values())
+
     raw = run.raw()
     assert raw["success"] == [0, 1] and raw["failed"] == [0, 2] and raw["gap_failed"] == [0]
     assert raw["invalid"] == [0, 2] and raw["resolved"] == [0, 1, 2] and raw["double"] == [0, 1, 2, 3]

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import frontier as fr
+from ..operators.metrics import distribution, sketched
 from ..operators.ranges import floor_ranges, merge_ranges
 from ..operators.sizes import Cached, with_known_size
 from ..schemas import KEY, OFFSET_RANGE
@@ -112,6 +113,17 @@ class CommitFlow:
         """All attempts to update the store, failed ones too."""
         return read_or_empty(self.spark, self.updates_path, UPDATE)
 
+    def distributions(self) -> DataFrame:
+        """Per key: how far steps moved its frontier, and how many offsets waited beyond it after each step."""
+        rows = self.metrics().where("topic is not null")
+        moved = distribution(sketched(rows.where("offsets_contiguously_acked > 0"), "offsets_contiguously_acked"), "contiguous_advance_size")
+        return distribution(sketched(rows, "buffered_state_size"), "buffered_state_size").join(moved, KEY, "left")
+
+    def update_latency(self) -> DataFrame:
+        """How long updates of the store took, over all attempts of all runs."""
+        timed = self.updates().withColumn("store", F.lit(self.checkpoint.path))
+        return distribution(sketched(timed, "checkpoint_update_dispatch_latency_ms", ("store",)), "checkpoint_update_dispatch_latency_ms", ("store",))
+
     def process(
         self, handled: DataFrame, batch_id: int, now_ms: int, interval_ms: float, intervals: DataFrame | None = None,
         disjoint: bool = False,
