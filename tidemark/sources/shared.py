@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import lru_cache
@@ -27,7 +28,7 @@ def shared_dir(spark: SparkSession) -> str:
     folder = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError(f"set {_SETTING} to a folder shared by all executors")
     return _local_dir()
 
