@@ -332,6 +332,14 @@ def test_what_has_no_letter_is_undetermined_and_marks_belong_to_words(spark):
     assert langid._WORD.findall("हिन्दी e\u0301te\u0301 a²b") == ["हिन्दी", "e\u0301te\u0301", "a", "b"]
 
 
+def test_words_of_plain_texts_are_the_same():
+    random = np.random.default_rng(4)
+    for pool in (range(0x20, 0x300), range(0x20, 0x700), [0x61, 0xB2, 0xBD, 0x301, 0x20, 0x915, 0x93F, 0x2167, 0x1D7D8, 0x5F]):
+        for _ in range(500):
+            text = "".join(chr(c) for c in random.choice(list(pool), 20))
+            assert langid.words_of(text) == langid._WORD.findall(text)
+
+
 def test_words_are_judged_over_their_whole_length(spark):
     """Two unknown words that differ only beyond their first two hundred letters."""
     docs = [(i, "abcde fghij " * 3, "one") for i in range(1, 30)] + [(100 + i, "vwxyz rstuq " * 3, "two") for i in range(1, 30)]

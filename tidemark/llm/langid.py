@@ -40,9 +40,17 @@ def _class(*kinds: str) -> str:
 _LETTER = rf"[^\W\d_{_class('Nl', 'No')}]"
 _MARK = f"[{_class('Mn', 'Mc', 'Me')}]"
 _WORD = re.compile(f"{_LETTER}+(?:{_MARK}+{_LETTER}*)*")
+# Below U+0300 the only such numbers and marks are these; without them and what is beyond, a plain class does the same.
+_FEW = "".join(chr(c) for c in range(0x300) if unicodedata.category(chr(c)) in ("Nl", "No", "Mn", "Mc", "Me"))
+_BEYOND = re.compile(f"[{_FEW}\u0300-\U0010ffff]")
+_PLAIN_WORD = re.compile(r"[^\W\d_]+")
 CACHED_WORDS = 300_000
 
 
+def words_of(text: str) -> list[str]:
+    return (_PLAIN_WORD if text.isascii() or not _BEYOND.search(text) else _WORD).findall(text)
+
+
 @dataclass
 class Model:
     """languages; for each order (0: whole words, n: n-grams) the log frequencies of its units by language, and those
@@ -83,7 +91,7 @@ def fit(docs: DataFrame, orders: tuple[int, ...] = (5, 4, 3, 2, 1), sample: int
         held: dict[str, Counter] = {}
         for batch in batches:
             for text, lang in zip(texts(batch), batch.column("lang").to_pylist()):
-                held.setdefault(lang, Counter()).update(_WORD.findall(text.lower()))
+                held.setdefault(lang, Counter()).update(words_of(text.lower()))
         for lang, words in held.items():
             tables = {0: words}
             for n in orders:
@@ -200,7 +208,7 @@ def judge(model: Model, scorer: Scorer, text: str) -> tuple[str, float]:
 
     `und` and 0 where there is no letter or the model knows no language. Ties go to the language first in order.
     """
-    words = _WORD.findall(text.lower())
+    words = words_of(text.lower())
     if not words or not model.languages:
         return "und", 0.0
     logs = scorer.sums(words) / len(words) * min(len(words), 20)
