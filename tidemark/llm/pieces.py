@@ -25,7 +25,7 @@ from tidemark.llm.common import slices, texts
 MARK = "▁"
 _CHUNK = re.compile(rf"{MARK}*[^{MARK}]+|{MARK}+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-CACHED_CHARACTERS, SLICE = 1_200_000, 1_000_000
+CACHED_CHARACTERS, SLICE = 1_000_000, 500_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -395,7 +395,7 @@ def encode(docs: DataFrame, path: str, k: int = 2, theta: float = 1.0, seed: int
                 cut = met.take([pieces.chunks(t) for t in rows])
                 encoded = [met.encoded(r) for r in cut]
                 trip = [met.round_trip(t, r) for t, r in zip(rows, cut)]
-                keys = mix(np.array([d or 0 for d in part.column("doc_id").to_pylist()], np.int64).view(np.uint64) + np.uint64(seed) * _BASE)
+                keys = mix(np.array([d or 0 for d in part.column("doc_id").to_pylist()], np.int64).view(np.uint64) + np.array([seed], np.uint64) * _BASE)
                 lattice = met.lattice
                 found = sample(lattice, cut, keys, k)
                 every = [s for f in found for s in f]
