@@ -133,3 +133,30 @@ def test_large_groups_of_near_copies(spark):
     apart = [(5000 + i, half + " " + " ".join(hashlib.md5(f"{i} {j}".encode()).hexdigest() for j in range(8))) for i in range(300)]
     docs = spark.createDataFrame(near + apart, "doc_id long, text string").repartition(8)
     assert {r.doc for r in ld.duplicates(docs).collect()} == set(range(1, 1500))
+
+
+def test_links_beside_a_buckets_first_and_last_place(spark):
+    """Similar sets that are unlike their bucket's first and last place, that are linked through others, in blocks too."""
+    sets = {1: [900, 901], 2: [1, 2, 3, 4, 5], 3: [1, 2, 3, 4, 5, 6], 4: [2, 3, 4, 5, 6, 7], 5: [50, 51], 9: [990, 991]}
+    apart = {100 + i: [10 * i + 1000, 10 * i + 1001] for i in range(12)}
+    raw = spark.createDataFrame([*sets.items(), *apart.items()], "place long, raw array<long>")
+    bands = spark.createDataFrame([(p, 7) for p in sets] + [(p, 8) for p in (2, 3, 4)] + [(p, 9) for p in [0, 3, 4, *apart, 999]], "place long, key long")
+    wanted = lambda places: raw.join(places, "place")
+    for block in (1024, 3):
+        ld.BLOCK, before = block, ld.BLOCK
+        try:
+            found = {r.node: r.component for r in ld.linked(bands, wanted, 5 / 7, ld.verified_sets).collect()}
+            assert found == {2: 2, 3: 2, 4: 2}
+            found = {r.node: r.component for r in ld.linked(bands.where("key = 7"), wanted, 0.8, ld.verified_sets).collect()}
+            assert found == {2: 2, 3: 2}
+        finally:
+            ld.BLOCK = before
+
+
+def test_lines_that_share_keys_with_unlike_lines(spark, monkeypatch):
+    """All lines in one bucket, so that most are unlike its first and last one: the result is that of all pairs."""
+    monkeypatch.setattr(ld, "signed_bands", lambda lines: lines.where("kinds > 0").select(ld.F.col("node").alias("place"), ld.F.lit(1).cast("long").alias("key"), ld.F.lit(0).cast("long").alias("sketch")))
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    rows = [tuple(r) for r in docs.collect()]
+    wanted = {p for p, first in plain(rows).items() if p != first}
+    assert {(r.doc, r.pos) for r in ld.duplicates(docs).collect()} == wanted

@@ -10,8 +10,9 @@ values are keys, and classes that share a key are candidates. Candidates are ver
 their shingle sets, verified links are united by star contraction, and of every component the line that comes first
 (by doc_id, then place) stays.
 
-Large groups are never expanded into pairs: a bucket's classes are compared with its first and its last class. Before
-texts are fetched, sketches of two bits per value are compared, which leaves out nearly all that meet by chance.
+Large groups are never expanded into pairs: a bucket's classes are compared with its first and its last class, and then
+only those with each other that these links have not united. Before texts are fetched, sketches of two bits per value are
+compared, which leaves out nearly all that meet by chance.
 
 Signatures and shingle sets are computed with numpy over whole batches of lines: one row per character, as DataFrame
 functions alone need it, took more than three times the CPU time and disk that there is (figures in the README).
@@ -400,12 +401,46 @@ def _agree(a: str, b: str) -> Column:
     return differing <= 32 - AGREEING
 
 
-def linked(bands: DataFrame, sets_of: Callable[[DataFrame], DataFrame], similarity: float, verify: Callable[[DataFrame, DataFrame, float], DataFrame]) -> DataFrame:
+#: A large bucket's places are dealt to blocks of about so many.
+BLOCK = 1024
+
+
+def _between(together: DataFrame, found: DataFrame, near: Callable[[str, str], Column] | None) -> DataFrame:
+    """a, b: the pairs within buckets, without their first and last places, that are in different components by now.
+
+    Places of the bucket's most frequent component are never compared with each other, so a large group of near copies
+    gives no pairs. The others meet all of the bucket's places, block by block.
+    """
+    inner = together.where("place <> first and place <> last").drop("first", "last")
+    inner = inner.join(found.withColumnRenamed("node", "place"), "place", "left").withColumn("component", F.coalesce("component", "place"))
+    inner = kept(inner, "inner")
+    sizes = inner.groupBy("key", "component").agg(F.count("*").alias("n"))
+    most = sizes.groupBy("key").agg(F.max(F.struct("n", "component")).alias("most"), F.sum("n").alias("n"), F.count("*").alias("kinds")).where("kinds > 1")
+    most = kept(most.select("key", F.col("most.component").alias("most"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "most")
+    split = kept(likely(inner, "key", most.select("key")).join(most, "key"), "split")
+    sketch = ["sketch"] if near else []
+    left = split.where("component <> most").select("key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("place").alias("a"), F.col("component").alias("own"), *sketch)
+    right = split.select("key", F.pmod(F.xxhash64("place"), "blocks").cast("int").alias("block"), F.col("place").alias("b"), "component", "most", *[F.col(c).alias("its") for c in sketch])
+    pairs = left.join(right, ["key", "block"]).where("own <> component and (a < b or component = most)")
+    if near:
+        pairs = pairs.where(near("sketch", "its"))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def linked(
+    bands: DataFrame,
+    sets_of: Callable[[DataFrame], DataFrame],
+    similarity: float,
+    verify: Callable[[DataFrame, DataFrame, float], DataFrame],
+    near: Callable[[str, str], Column] | None = None,
+) -> DataFrame:
     """node, component for the places that are linked with others; bands: place and key, rows may repeat.
 
-    Places that share a key are a bucket, and each is compared with the bucket's first and last one. Where bands have a
-    ``sketch``, those that agree too little are left out first. Pairs whose sets have at least this similarity are
-    linked. sets_of: place and ``raw`` of the places given, one row each; verify: the pairs a, b that are similar.
+    Places that share a key are a bucket. Each is compared with the bucket's first and last one, which joins large groups
+    of near copies; then all pairs of a bucket that are not in one component yet are compared, so that no link within a
+    bucket changes the components any more. With ``near`` bands have a ``sketch``, and pairs whose sketches are not near
+    are left out first. Pairs whose sets have at least this similarity are linked. sets_of: place and ``raw`` of the places
+    given, one row each; verify: the pairs a, b that are similar.
     """
     shared = bands.groupBy("key").agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first < last")
     shared = kept(shared, "shared")
@@ -413,13 +448,18 @@ def linked(bands: DataFrame, sets_of: Callable[[DataFrame], DataFrame], similari
     pairs = []
     for pivot in ("first", "last"):
         others = together.where(F.col("place") != F.col(pivot))
-        if "sketch" in bands.columns:
+        if near:
             its = together.where(F.col("place") == F.col(pivot)).select("key", F.col("sketch").alias("its"))
-            others = others.join(its, "key").where(_agree("sketch", "its"))
+            others = others.join(its, "key").where(near("sketch", "its"))
         pairs.append(others.select(F.least("place", pivot).alias("a"), F.greatest("place", pivot).alias("b")))
     pairs = kept(pairs[0].union(pairs[1]).distinct(), "pairs")
-    places = pairs.select(F.col("a").alias("place")).union(pairs.select("b")).distinct()
-    return components(kept(verify(pairs, sets_of(places), similarity), "links"))
+    places = lambda pairs: pairs.select(F.col("a").alias("place")).union(pairs.select("b")).distinct()
+    found = kept(components(kept(verify(pairs, sets_of(places(pairs)), similarity), "links")), "linked")
+    more = kept(_between(together, found, near).join(pairs, ["a", "b"], "left_anti"), "pairs")
+    if more.isEmpty():
+        return found
+    links = kept(verify(more, sets_of(places(more)), similarity), "links")
+    return components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(links))
 
 
 def duplicates(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
@@ -427,7 +467,7 @@ def duplicates(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     lines = kept(lines_of(docs), "lines")
     firsts = kept(lines.groupBy("node").agg(F.min(_place()).alias("place"), F.max(_place()).alias("last")), "firsts")
     wanted = lambda places: places.withColumnRenamed("place", "node").join(firsts.select("node", "place"), "node")
-    found = kept(linked(signed_bands(lines), lambda places: _texts(docs, wanted(places)), similarity, verified_lines), "found")
+    found = kept(linked(signed_bands(lines), lambda places: _texts(docs, wanted(places)), similarity, verified_lines, near=_agree), "found")
     stays = found.join(firsts, "node").groupBy("component").agg(F.min(F.struct("place", "node")).alias("first"))
     gone = found.join(stays, "component").where(F.col("first.node") != F.col("node")).select("node", F.lit(True).alias("gone"))
     touched = firsts.join(gone, "node", "left").where("gone or place <> last").select("node", F.when(F.col("gone").isNull(), F.col("place")).alias("stays"))
