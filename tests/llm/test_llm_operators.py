@@ -405,3 +405,15 @@ def test_samples_are_without_replacement():
         assert abs(np.mean([f[0] == a for f in names]) - q) < 0.04
         assert abs(np.mean([f[1] == a for f in names]) - sum(r * q / (1 - r) for b, r in prob.items() if b != a)) < 0.04
     assert abs(np.mean([sum(np.exp(s[1]) / s[3] for s in f) for f in found]) - 1) < 0.05  # inclusion scores are unbiased
+
+
+def test_vectors_are_read_without_an_object_for_each_number():
+    """Sliced batches and mixed dimensions give the rows they hold; numbers never become Python objects."""
+    import pyarrow as pa
+
+    held = [[1.0, 2.0], [3.0, 4.0, 5.0], [6.0, 7.0], [8.0, 9.0, 10.0], [11.0, 12.0]]
+    batch = pa.RecordBatch.from_arrays([pa.array(held, pa.list_(pa.float32()))], ["embedding"]).slice(1)
+    got = {d: (at.tolist(), x.tolist(), x.dtype) for d, at, x in embed_dedup.matrices(batch)}
+    assert got == {2: ([1, 3], [held[2], held[4]], np.float64), 3: ([0, 2], [held[1], held[3]], np.float64)}
+    split = pa.chunked_array([pa.array(held[::2], pa.list_(pa.float64())).slice(1), pa.array(held[::2], pa.list_(pa.float64()))])
+    assert embed_dedup.matrix(split).tolist() == [*held[2::2], *held[::2]]

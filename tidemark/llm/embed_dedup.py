@@ -11,8 +11,11 @@ vector of its component within the pair: never the links themselves, which a lar
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,8 +37,18 @@ def usable(column: str = "embedding"):
     return F.coalesce(x.isNotNull() & F.forall(x, finite) & F.exists(x, lambda v: v != 0), F.lit(False))
 
 
-def vectors(batch, column: str = "embedding") -> list[np.ndarray]:
-    return [np.asarray(v, float) for v in batch.column(column).to_pylist()]
+def matrix(column) -> np.ndarray:
+    """Usable vectors of one dimension, an Arrow column, as the rows of a matrix without an object for each number."""
+    parts = column.chunks if isinstance(column, pa.ChunkedArray) else [column]
+    return np.concatenate([p.flatten().to_numpy(zero_copy_only=False) for p in parts]).astype(float).reshape(len(column), -1)
+
+
+def matrices(batch, column: str = "embedding") -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(dimension, which rows, their vectors) of a batch."""
+    lengths = pc.list_value_length(batch.column(column)).to_numpy(zero_copy_only=False)
+    for d in np.unique(lengths).tolist():
+        at = np.flatnonzero(lengths == d)
+        yield d, at, matrix(batch.column(column).take(pa.array(at)))
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -49,9 +62,8 @@ def rotations(classes: DataFrame) -> dict[int, np.ndarray]:
     def moments(batches):
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            rows = vectors(batch)
-            for d in {len(r) for r in rows}:
-                x = unit(np.array([r for r in rows if len(r) == d]))
+            for d, _, x in matrices(batch):
+                x = unit(x)
                 sums[d] = sums.get(d, 0) + x.T @ x
         at = [(d, i) for d in sums for i in range(d)]
         yield pa.RecordBatch.from_arrays(
@@ -84,7 +96,8 @@ def linked(a: np.ndarray, b: np.ndarray, x: np.ndarray, y: np.ndarray, threshold
     head_b = np.ascontiguousarray(np.concatenate([b[:, : cuts[1]], rest_b[0][:, None]], axis=1).astype(np.float32).T)
     for top in range(0, len(a), ROWS_AT_ONCE):
         part = a[top : top + ROWS_AT_ONCE]
-        r, c = np.nonzero(head_a[top : top + ROWS_AT_ONCE] @ head_b >= np.float32(threshold - SINGLE))
+        # Places in the flat product: over two dimensions ``nonzero`` takes several times as long.
+        r, c = np.divmod(np.flatnonzero(head_a[top : top + ROWS_AT_ONCE] @ head_b >= np.float32(threshold - SINGLE)), len(b))
         value = np.zeros(len(r))
         for k in range(len(cuts) - 1):
             if not len(r):
@@ -134,9 +147,10 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.95, tile: int =
 
     def place(batches):
         for batch in batches:
-            x = vectors(batch)
-            first = [float(unit(v[None])[0] @ shared.value[len(v)][:, 0]) for v in x]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("rep", "size", "embedding")), pa.array([len(v) for v in x], pa.int32()), pa.array(first, pa.float64())], ["rep", "size", "embedding", "dim", "first"])
+            dims, first = np.zeros(batch.num_rows, np.int32), np.zeros(batch.num_rows)
+            for d, at, x in matrices(batch):
+                dims[at], first[at] = d, unit(x) @ shared.value[d][:, 0]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("rep", "size", "embedding")), pa.array(dims), pa.array(first)], ["rep", "size", "embedding", "dim", "first"])
 
     kind = dict(classes.dtypes)["embedding"]
     placed = classes.mapInArrow(place, f"rep long, size long, embedding {kind}, dim int, first double")
@@ -174,7 +188,7 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.95, tile: int =
     def compare(table):
         table = table.combine_chunks()
         rep, size = table.column("rep").to_numpy(), table.column("size").to_numpy()
-        x = unit(np.array(vectors(table)))
+        x = unit(matrix(table.column("embedding")))
         low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
         second = table.column("second").to_numpy().astype(bool)
         order = np.argsort(rep, kind="stable")
