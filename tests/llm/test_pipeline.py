@@ -32,3 +32,28 @@ def test_near_copies_go(spark):
     kept = {r.doc_id for r in corpus_pipeline.simhash_stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()}
     assert not {d for d in kept if 1000 <= d < 2000}
     assert len({d for d in kept if d >= 2000}) > 100
+
+
+def test_close_fingerprints_are_candidates(spark, monkeypatch):
+    """By fingerprints alone: all similar pairs within three bits are found, equal fingerprints alone make no link."""
+    import numpy as np
+
+    from tidemark.llm import simhash
+
+    random = np.random.default_rng(8)
+    pairs, rows = [], []
+    for i in range(40):
+        words = [f"w{n}" for n in random.integers(0, 100_000, 900)]
+        near = [*words[:450], f"new{i}", *words[451:]]
+        a, b = (simhash.majority(simhash.shingle_set(" ".join(w), 5, {})) for w in (words, near))
+        pairs.append((i, (a ^ b).bit_count()))
+        rows += [(i, " ".join(words)), (1000 + i, " ".join(near))]
+    close = {1000 + i for i, bits in pairs if bits <= 3}
+    assert len(close) > 15
+    real = simhash.linked
+    monkeypatch.setattr(simhash, "linked", lambda bands, *rest, **more: real(bands.where("sketch is not null"), *rest, **more))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r.doc_id for r in simhash.keep_one(docs).select("doc_id").collect()}
+    assert kept == {d for d, _ in rows} - close
+    monkeypatch.setattr(simhash, "value_of", lambda fp, bits: simhash.F.lit(0).cast("long"))
+    assert {r.doc_id for r in simhash.keep_one(docs).select("doc_id").collect()} == kept

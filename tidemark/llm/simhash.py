@@ -5,7 +5,8 @@ thresholds add up to distance - parts + 1, any such pair is within its threshold
 share a part, so that its few values do not weaken the others, and dynamic programming gives each part the threshold
 at which the estimated number of candidates over all parts is least; a part may be left out (threshold -1).
 
-``keep_one``, the pipeline's stage, goes by the documents' word shingles themselves: MinHash bands, then exact similarity.
+``keep_one``, the pipeline's stage, links documents by the exact similarity of their word shingles. Candidates are those
+with close fingerprints, by the same parts and thresholds, and beyond that distance those that share a MinHash band.
 """
 
 from __future__ import annotations
@@ -42,7 +43,11 @@ def fingerprint(text: str, shingle: int = 3) -> int:
     starts = [0, *(ends[:-1] + 1).tolist()]
     ends = ends[shingle - 1 :].tolist() or [len(joined)]
     digest = partial(xxhash.xxh64_intdigest, seed=42)
-    hashes = np.array([digest(joined[a:b]) for a, b in zip(starts, ends)], dtype="<u8")
+    return majority(np.array([digest(joined[a:b]) for a, b in zip(starts, ends)], dtype="<u8"))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The fingerprint of some hashes: a bit is set if it is set in over half of them."""
     set_in = np.zeros(BITS, np.int64)
     for part in range(0, len(hashes), 1 << 16):
         piece = hashes[part : part + (1 << 16)]
@@ -239,20 +244,29 @@ def band_keys(hashes: np.ndarray) -> np.ndarray:
 
 
 def shingle_classes(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, ``place`` (a hash of the text's shingle set) and the keys of its bands; texts without words have none."""
+    """doc_id, ``place`` (a hash of the text's shingle set), its fingerprint and bands' keys; texts without words have no keys."""
 
     def run(batches):
         known: dict[bytes, int] = {}
         for batch in batches:
             for part in slices(batch):
-                places, keys = [], []
+                places, prints, keys = [], [], []
                 for text in texts(part):
                     hashes = shingle_set(text, shingle, known)
                     places.append(place_of(hashes))
+                    prints.append(_signed(majority(hashes)))
                     keys.append(band_keys(hashes).view(np.int64) if len(hashes) else [])
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(places, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "place", "keys"])
+                columns = [part.column("doc_id"), pa.array(places, pa.int64()), pa.array(prints, pa.int64()), pa.array(keys, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "place", "fp", "keys"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, place long, fp long, keys array<long>")
+
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, place long, keys array<long>")
+def fingerprint_bands(classes: DataFrame, distance: int) -> DataFrame:
+    """place, key and ``sketch``, the fingerprint, of classes (place, fp): within ``distance`` bits two share a key."""
+    layout, thresholds = plan(classes.select("fp").distinct(), distance)
+    keys = [F.xxhash64(F.lit(k), value_of("fp", bits).bitwiseXOR(F.lit(m))) for k, (bits, t) in enumerate(zip(layout, thresholds)) for m in _flips(bits, t)]
+    return classes.select("place", F.explode(F.array(*keys)).alias("key"), F.col("fp").alias("sketch"))
 
 
 def _shingle_sets(docs: DataFrame, places: DataFrame, named: DataFrame, shingle: int) -> DataFrame:
@@ -271,23 +285,26 @@ def _shingle_sets(docs: DataFrame, places: DataFrame, named: DataFrame, shingle:
     return checkpointed(found.join(places, "place", "left_semi").dropDuplicates(["place"]))
 
 
-def keep_one(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> DataFrame:
+def keep_one(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, distance: int = 3) -> DataFrame:
     """The document with the smallest doc_id of each group, all columns as they came.
 
     Documents whose sets of ``shingle``-word shingles have at least this Jaccard similarity are linked, and groups are
-    what links reach; texts that differ only in ASCII case or white space, and those without words, are equal. Candidates
-    share a band of MinHashes and every link is verified on the whole sets. Fingerprints do not choose the candidates:
-    at similarity 0.8 some 10 of their 64 bits differ, and parts that let 16 pass hold nearly every pair. Of rows that
-    repeat a kept doc_id one stays. Documents without doc_id have no group and stay.
+    what links reach; texts that differ only in ASCII case or white space, and those without words, are equal. Every link is
+    verified on the whole sets. Candidates are all pairs whose fingerprints differ in at most ``distance`` bits. At
+    similarity 0.8 some 10 of the 64 bits differ, and parts that let 16 pass hold nearly every pair; so pairs further
+    apart, which fingerprints would lose, are those that share a band of MinHashes. Of rows that repeat a kept doc_id one
+    stays. Documents without doc_id have no group and stay.
     """
     inner = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
     own = F.col(f"c{docs.columns.index('doc_id')}")
     known = docs.select("doc_id", "text").where("doc_id is not null")
     rows = checkpointed(shingle_classes(known, shingle))
     named = rows.select("doc_id", "place").distinct()
-    classes = checkpointed(rows.dropDuplicates(["place"]).select("place", "keys"))
-    bands = classes.select("place", F.explode("keys").alias("key"))
-    found = linked(bands, lambda places: _shingle_sets(known, checkpointed(places), named, shingle), similarity, verified_sets)
+    classes = checkpointed(rows.dropDuplicates(["place"]).select("place", "fp", "keys").where(F.size("keys") > 0))
+    close = lambda a, b: F.coalesce(F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= distance, F.lit(True))
+    bands = classes.select("place", F.explode("keys").alias("key"), F.lit(None).cast("long").alias("sketch"))
+    bands = fingerprint_bands(classes.select("place", "fp"), distance).union(bands)
+    found = linked(bands, lambda places: _shingle_sets(known, checkpointed(places), named, shingle), similarity, verified_sets, near=close)
     roots = named.join(found.withColumnRenamed("node", "place"), "place", "left").select("doc_id", F.coalesce("component", "place").alias("root"))
     chosen = roots.groupBy("root").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
     one_each = inner.join(chosen, own == F.col("doc_id"), "left_semi").dropDuplicates([f"c{docs.columns.index('doc_id')}"])
