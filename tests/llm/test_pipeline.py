@@ -57,3 +57,25 @@ def test_close_fingerprints_are_candidates(spark, monkeypatch):
     assert kept == {d for d, _ in rows} - close
     monkeypatch.setattr(simhash, "value_of", lambda fp, bits: simhash.F.lit(0).cast("long"))
     assert {r.doc_id for r in simhash.keep_one(docs).select("doc_id").collect()} == kept
+
+
+def test_workers_give_back_what_is_free():
+    """Freed blocks below some that are still held go back to the system at a task's end; rows pass unchanged."""
+    from tidemark.llm.common import lean
+
+    def resident():
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * 4096
+
+    held = []
+
+    def run(batches):
+        blocks = [b"x" * 60_000 for _ in range(4000)]
+        held.extend(blocks[::50])
+        yield from batches
+
+    before = resident()
+    assert list(lean(run)(iter([1, 2, 3]))) == [1, 2, 3]
+    assert resident() - before < 100_000_000 and len(held) == 80
+    held.clear()
+    assert list(run(iter([1]))) == [1] and resident() - before > 150_000_000  # without it

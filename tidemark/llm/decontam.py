@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import checkpointed, slices, texts
+from tidemark.llm.common import checkpointed, lean, slices, texts
 
 _TOKEN = re.compile(r"[.!?:\n]|[^\W\d_]+|\d+(?:[.,]\d+)*|[%€$£°]")
 # Scripts without spaces: each letter counts as a word.
@@ -170,7 +170,7 @@ def benchmark_windows(benchmark: DataFrame, size: int, least: int) -> DataFrame:
                             column.append(v)
             yield _emit(["item_id", "hash", "place", "size", "slots"], out)
 
-    return benchmark.select("item_id", "text").mapInArrow(run, "item_id long, " + _WINDOW)
+    return benchmark.select("item_id", "text").mapInArrow(lean(run), "item_id long, " + _WINDOW)
 
 
 def document_windows(docs: DataFrame, wanted: bytes, sizes: list[int]) -> DataFrame:
@@ -195,7 +195,7 @@ def document_windows(docs: DataFrame, wanted: bytes, sizes: list[int]) -> DataFr
                                     column.append(v)
                 yield _emit(["doc_id", "hash", "place", "size", "slots"], out)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, " + _WINDOW)
+    return docs.select("doc_id", "text").mapInArrow(lean(run), "doc_id long, " + _WINDOW)
 
 
 def contaminations(docs: DataFrame, benchmark: DataFrame, size: int = 8, share: float = 0.5, least: int = 5, passage: int = 6) -> DataFrame:

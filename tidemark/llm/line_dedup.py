@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import likely, slices, texts
+from tidemark.llm.common import lean, likely, slices, texts
 from tidemark.llm.graph import components
 from tidemark.llm.ranks import kept
 
@@ -327,7 +327,7 @@ def lines_of(docs: DataFrame) -> DataFrame:
                 lists = [pa.ListArray.from_arrays(pa.array(ends * np.int32(BANDS)), pa.array(low)), pa.ListArray.from_arrays(pa.array(ends), pa.array(sketches))]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(kinds), *lists], ["doc", "text_hash", "pos", "node", "kinds", "keys", "sketches"])
 
-    return _named(docs).mapInArrow(run, "doc long, text_hash long, pos int, node long, kinds byte, keys array<int>, sketches array<long>")
+    return _named(docs).mapInArrow(lean(run), "doc long, text_hash long, pos int, node long, kinds byte, keys array<int>, sketches array<long>")
 
 
 def signed_bands(lines: DataFrame) -> DataFrame:
@@ -350,7 +350,7 @@ def raw_lines(named: DataFrame) -> DataFrame:
                 raw = pa.array([line.encode("utf-8", "surrogatepass") for line in lines.texts()[:n]], pa.binary())
                 yield pa.RecordBatch.from_arrays([part.column("doc").take(taken), part.column("text_hash").take(taken), pa.array(lines.pos[:n], pa.int32()), raw], ["doc", "text_hash", "pos", "raw"])
 
-    return named.select("doc", "text_hash", "text").mapInArrow(run, "doc long, text_hash long, pos int, raw binary")
+    return named.select("doc", "text_hash", "text").mapInArrow(lean(run), "doc long, text_hash long, pos int, raw binary")
 
 
 def _place() -> Column:
@@ -388,7 +388,7 @@ def verified_lines(pairs: DataFrame, sets: DataFrame, similarity: float) -> Data
             alike = similarities(left, right) >= similarity - 1e-9
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(alike)) for c in ("a", "b")], ["a", "b"])
 
-    return _paired(pairs, sets).mapInArrow(run, "a long, b long")
+    return _paired(pairs, sets).mapInArrow(lean(run), "a long, b long")
 
 
 #: Of the 32 cells of two sketches so many must agree: at similarity 0.8 some 27 do, and 1 pair of 20,000 has fewer.

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import slices, texts
+from tidemark.llm.common import lean, slices, texts
 
 MARK = "▁"
 _CHUNK = re.compile(rf"{MARK}*[^{MARK}]+|{MARK}+")
@@ -408,7 +408,7 @@ def encode(docs: DataFrame, path: str, k: int = 2, theta: float = 1.0, seed: int
                     ["doc_id", "n_pieces", "round_trip", "ids", "samples"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
+    return docs.select("doc_id", "text").mapInArrow(lean(run), SCHEMA)
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
@@ -420,4 +420,4 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
             spelt = [None if i is None else pieces.spell(i) for i in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(spelt, pa.string())], ["doc_id", "text"])
 
-    return encoded.selectExpr("doc_id", f"{ids} as ids").mapInArrow(run, "doc_id long, text string")
+    return encoded.selectExpr("doc_id", f"{ids} as ids").mapInArrow(lean(run), "doc_id long, text string")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import checkpointed, likely, slices, texts
+from tidemark.llm.common import checkpointed, lean, likely, slices, texts
 from tidemark.llm.decontam import windows
 from tidemark.llm.graph import components
 from tidemark.llm.line_dedup import linked, verified_sets
@@ -64,7 +64,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                 prints = np.array([fingerprint(t) for t in texts(part)], dtype=np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(prints)], ["doc_id", "fp"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select("doc_id", "text").mapInArrow(lean(run), "doc_id long, fp long")
 
 
 def bit_statistics(prints: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -85,7 +85,7 @@ def bit_statistics(prints: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             [pa.array(i, pa.int32()), pa.array(j, pa.int32()), pa.array(both), pa.array(np.full(len(both), n))], ["i", "j", "both", "n"]
         )
 
-    summed = prints.select("fp").mapInArrow(run, "i int, j int, both long, n long").groupBy("i", "j").agg(F.sum("both").alias("both"), F.sum("n").alias("n"))
+    summed = prints.select("fp").mapInArrow(lean(run), "i int, j int, both long, n long").groupBy("i", "j").agg(F.sum("both").alias("both"), F.sum("n").alias("n"))
     share, count = np.full((BITS, BITS), 0.25), 0
     for r in summed.collect():  # 64 x 64 rows
         share[r.i, r.j], count = r.both / r.n, r.n
@@ -259,7 +259,7 @@ def shingle_classes(docs: DataFrame, shingle: int) -> DataFrame:
                 columns = [part.column("doc_id"), pa.array(places, pa.int64()), pa.array(prints, pa.int64()), pa.array(keys, pa.list_(pa.int64()))]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "place", "fp", "keys"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, place long, fp long, keys array<long>")
+    return docs.select("doc_id", "text").mapInArrow(lean(run), "doc_id long, place long, fp long, keys array<long>")
 
 
 def fingerprint_bands(classes: DataFrame, distance: int) -> DataFrame:
@@ -281,7 +281,7 @@ def _shingle_sets(docs: DataFrame, places: DataFrame, named: DataFrame, shingle:
                 yield pa.RecordBatch.from_arrays(columns, ["place", "raw"])
 
     one = named.join(places, "place", "left_semi").groupBy("place").agg(F.min("doc_id").alias("doc_id"))
-    found = likely(docs.select("doc_id", "text"), "doc_id", checkpointed(one)).select("text").mapInArrow(run, "place long, raw array<long>")
+    found = likely(docs.select("doc_id", "text"), "doc_id", checkpointed(one)).select("text").mapInArrow(lean(run), "place long, raw array<long>")
     return checkpointed(found.join(places, "place", "left_semi").dropDuplicates(["place"]))
 
 
@@ -291,8 +291,8 @@ def keep_one(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, distanc
     Documents whose sets of ``shingle``-word shingles have at least this Jaccard similarity are linked, and groups are
     what links reach; texts that differ only in ASCII case or white space, and those without words, are equal. Every link is
     verified on the whole sets. Candidates are all pairs whose fingerprints differ in at most ``distance`` bits. At
-    similarity 0.8 some 10 of the 64 bits differ, and parts that let 16 pass hold nearly every pair; so pairs further
-    apart, which fingerprints would lose, are those that share a band of MinHashes. Of rows that repeat a kept doc_id one
+    similarity 0.8 some 10 of the 64 bits differ, and parts that let 16 pass hold 7 of 100 pairs of random bits; so
+    pairs further apart, which fingerprints would lose, are those that share a band of MinHashes. Of rows that repeat a kept doc_id one
     stays. Documents without doc_id have no group and stay.
     """
     inner = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
