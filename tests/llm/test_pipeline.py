@@ -79,3 +79,10 @@ def test_workers_give_back_what_is_free():
     assert resident() - before < 100_000_000 and len(held) == 80
     held.clear()
     assert list(run(iter([1]))) == [1] and resident() - before > 150_000_000  # without it
+
+
+def test_no_fingerprints_plan_few_probes(spark):
+    from tidemark.llm import simhash
+
+    layout, thresholds = simhash.plan(spark.createDataFrame([], "fp long"), 3)
+    assert sum(len(simhash._flips(bits, t)) for bits, t in zip(layout, thresholds) if t >= 0) <= 5

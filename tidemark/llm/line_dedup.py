@@ -391,7 +391,7 @@ def verified_lines(pairs: DataFrame, sets: DataFrame, similarity: float) -> Data
     return _paired(pairs, sets).mapInArrow(lean(run), "a long, b long")
 
 
-#: Of the 32 cells of two sketches so many must agree: at similarity 0.8 some 27 do, and 1 pair of 20,000 has fewer.
+#: Of the 32 cells of two sketches so many must agree: at similarity 0.8 some 27 do, and 1 pair of 10,000 has fewer.
 AGREEING = 19
 
 

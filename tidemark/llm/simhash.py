@@ -150,7 +150,7 @@ def plan(prints: DataFrame, distance: int) -> tuple[list[list[int]], list[int]]:
     for m, layout in enumerate(layouts):
         costs = []
         for k, bits in ((k, bits) for k, (of, _, bits) in enumerate(flat) if of == m):
-            pairs, rows = seen.get(k, (0.0, 0))
+            pairs, rows = seen.get(k, (0.0, 1))  # without rows the fewest probes are the plan
             row = [0.0]
             for t in range(distance + 1):
                 ways = [float(sum(np.prod(odds[list(c)]) for c in itertools.combinations(bits, r))) if r < 3 else 1e9 for r in range(t + 1)]
