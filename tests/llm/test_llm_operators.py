@@ -407,6 +407,23 @@ def test_samples_are_without_replacement():
     assert abs(np.mean([sum(np.exp(s[1]) / s[3] for s in f) for f in found]) - 1) < 0.05  # inclusion scores are unbiased
 
 
+def test_sampling_draws_once_for_each_set_and_finds_every_segmentation(monkeypatch):
+    """A path's priorities take one draw, however long it is; searched to the end, all segmentations come once."""
+    p = pieces.pieces_of(PIECES, 1.0)
+    lattice = pieces.Lattice(p, ["▁then", "▁of"])
+    key = pieces.mix(np.array([7], np.uint64))
+    found = pieces.sample(lattice, [np.array([0, 1])], key, 10_000)[0]
+    names = {tuple(lattice.ids(s[0]).tolist()) for s in found}
+    values = [s[2] for s in found]
+    assert 10 < len(names) == len(found) < 10_000 and values == sorted(values, reverse=True)
+    assert abs(sum(np.exp(s[1]) for s in found) - 1) < 1e-9 and all(s[3] == 1 for s in found)
+    drawn, plain = [], pieces.mix
+    monkeypatch.setattr(pieces, "mix", lambda x: drawn.append(np.size(x)) or plain(x))
+    (one, two), chunks = pieces.sample(lattice, [np.array([0, 1] * 500)], key, 2)[0], 1000
+    walked = len(one[0]) + len(two[0])
+    assert sum(drawn) <= walked + 6 * chunks  # ways take a draw for each arc, and their chunks' keys; sets none of these
+
+
 def test_vectors_are_read_without_an_object_for_each_number():
     """Sliced batches and mixed dimensions give the rows they hold; numbers never become Python objects."""
     import pyarrow as pa

@@ -5,16 +5,19 @@ follows) that are segmented independently; each distinct chunk of a slice is enc
 
 Sampling is Gumbel top-k without replacement over all segmentations of the text. Every segmentation has a Gumbel-perturbed
 log probability; the search goes best-first over sets of segmentations, each with the exact maximum of its perturbed
-values as priority. A set is popped, its best segmentation emitted, and the rest divided by the first arc at which a
-segmentation leaves the emitted one; a part's maximum is a Gumbel variable at the part's log mass, truncated at the
-parent's. So the order of emission is that of the perturbed values, and no segmentation comes twice. The priority of
+values as priority. A set is popped, its best segmentation emitted, and the rest divided in two: what leaves the emitted
+one after the arc at which it left the set's own path, and what is left of the set. What leaves a path stays one set; at
+which arc is drawn when it is popped, by the masses. A part's maximum is a Gumbel variable at the part's log mass, truncated
+at the parent's. So the order of emission is that of the perturbed values, and no segmentation comes twice. The priority of
 the first set not popped is the threshold from which inclusion probabilities follow. All draws come from the row's key.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from functools import lru_cache
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -36,12 +39,22 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def counted(x: np.ndarray, counter) -> np.ndarray:
+    """The mixed bits ``x`` mixed with a counter."""
+    return mix(x + _BASE * (np.asarray(counter, np.uint64) + np.uint64(1)))
+
+
+def share(x: np.ndarray) -> np.ndarray:
+    """Mixed bits as numbers in (0, 1)."""
+    return ((x >> np.uint64(12)).astype(np.float64) + 0.5) / 2.0**52
+
+
 def uniform(key: np.ndarray, *counters) -> np.ndarray:
     """A number in (0, 1) for each key and counters."""
     x = mix(key)
     for c in counters:
-        x = mix(x + _BASE * (np.asarray(c, np.uint64) + np.uint64(1)))
-    return ((x >> np.uint64(12)).astype(np.float64) + 0.5) / 2.0**52
+        x = counted(x, c)
+    return share(x)
 
 
 def uniform_one(key: int, *counters: int) -> float:
@@ -59,9 +72,29 @@ def uniform_one(key: int, *counters: int) -> float:
     return ((x >> 12) + 0.5) / 2.0**52
 
 
-def truncated(mass: np.ndarray, bound, u: np.ndarray) -> np.ndarray:
-    """Gumbel variables at ``mass``, given that they are at most ``bound``."""
-    return mass - np.log(np.exp(np.minimum(mass - bound, 700)) - np.log(u))
+class Numbers:
+    """A table from 64-bit hashes to numbers of -1 or more, for whole arrays: open addressing, a quarter full at most."""
+
+    def __init__(self, held: dict[int, int]):
+        bits = (4 * len(held)).bit_length()
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.held = np.zeros(1 << bits, np.uint64), np.full(1 << bits, -2, np.int32)
+        for h, number in held.items():
+            at = (h * int(_BASE) & (1 << 64) - 1) >> (64 - bits)
+            while self.held[at] != -2:
+                at = (at + 1) & self.mask
+            self.keys[at], self.held[at] = h, number
+
+    def get(self, hashes: np.ndarray) -> np.ndarray:
+        """The numbers; -2 for hashes that are not held."""
+        at = ((hashes * _BASE) >> self.shift).astype(np.int32)
+        found = self.held[at]
+        other = np.flatnonzero((found != -2) & (self.keys[at] != hashes))
+        while len(other):
+            at[other] = (at[other] + 1) & self.mask
+            found[other] = self.held[at[other]]
+            other = other[(found[other] != -2) & (self.keys[at[other]] != hashes[other])]
+        return found
 
 
 class Pieces:
@@ -87,10 +120,8 @@ class Pieces:
                 h = (h * int(_BASE) + ord(c)) & (1 << 64) - 1
                 by_length.setdefault(n, {}).setdefault(h, -1)
             by_length[len(self.text[i])][h] = i
-        self.tables = []  # by length: hashes of pieces and of their beginnings, in order, with the piece or -1
-        for n in range(1, max(by_length) + 1):
-            hashes = np.array(sorted(by_length[n]), np.uint64)
-            self.tables.append((hashes, np.array([by_length[n][int(h)] for h in hashes], np.int64)))
+        #: By length: hashes of pieces and of their beginnings, with the piece or -1.
+        self.tables = [Numbers(by_length[n]) for n in range(1, max(by_length) + 1)]
 
     def chunks(self, text: str) -> list[str]:
         return _CHUNK.findall(MARK + text.replace(" ", MARK)) if text else []
@@ -98,7 +129,7 @@ class Pieces:
     def encode(self, chunks: list[str]) -> list[list[int]]:
         """The library's encoding of each chunk; the library puts the first mark back."""
         found = self.model.encode([c[1:].replace(MARK, " ") for c in chunks], num_threads=1)
-        return [ids if len(c) > 1 else [self.space] for c, ids in zip(chunks, found)]
+        return [ids or [self.space] for ids in found]
 
     def spell(self, ids: list[int]) -> str:
         """The text of the pieces, without the space that the model puts before every text."""
@@ -114,38 +145,38 @@ class Lattice:
 
     def __init__(self, pieces: Pieces, chunks: list[str]):
         self.pieces = pieces
-        lengths = np.array([len(c) for c in chunks], np.int64)
-        codes = np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-        self.codes = codes
-        last = np.repeat(np.cumsum(lengths), lengths)  # where each character's chunk ends
+        lengths = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        self.codes = np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), np.uint32)
+        codes = self.codes.astype(np.uint64)
+        last = np.repeat(np.cumsum(lengths).astype(np.int32), lengths)  # where each character's chunk ends
         self.first = np.cumsum(lengths) - lengths
         starts, ranks, lengths, ids = [], [], [], []
-        at, h = np.arange(len(codes)), np.zeros(len(codes), np.uint64)
-        degree = np.zeros(len(codes), np.int64)
+        at, h = np.arange(len(codes), dtype=np.int32), np.zeros(len(codes), np.uint64)
+        degree = np.zeros(len(codes), np.int32)
 
         def put(nodes, length, own):
             starts.append(nodes)
             ranks.append(degree[nodes])
-            lengths.append(np.full(len(nodes), length))
+            lengths.append(length)
             ids.append(own)
             degree[nodes] += 1
 
-        for n, (hashes, own) in enumerate(pieces.tables, 1):
+        for n, table in enumerate(pieces.tables, 1):
             inside = at + n <= last[at]
             at, h = at[inside], h[inside]
             if not len(at):
                 break
             h = h * _BASE + codes[at + n - 1]
-            place = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
-            known = hashes[place] == h
-            at, h, place = at[known], h[known], own[place[known]]
-            whole = place >= 0
-            put(at[whole], n, place[whole])
+            own = table.get(h)
+            known = own > -2
+            at, h, own = at[known], h[known], own[known]
+            whole = own >= 0
+            put(at[whole], n, own[whole])
             if n == 1:  # characters that are no piece go by bytes
                 other = np.flatnonzero(degree == 0)
                 put(other, 1, np.where(codes[other] < 128, pieces.ascii[np.minimum(codes[other], 127).astype(np.int64)], -1))
-        self.last = last.astype(np.int32)
-        self.ptr = np.r_[0, np.cumsum(degree)]
+        self.last = last
+        self.ptr = np.concatenate([[0], np.cumsum(degree)]).astype(np.int32)
         self.start, self.end, self.id = np.zeros((3, self.ptr[-1]), np.int32)
         for nodes, rank, length, own in zip(starts, ranks, lengths, ids):  # in order of start, then of end
             to = self.ptr[nodes] + rank
@@ -153,7 +184,7 @@ class Lattice:
         weight = pieces.weight[self.id]
         # backward: nodes by distance from their chunk's end
         beta = np.zeros(len(codes) + 1)
-        distance = (last - np.arange(len(codes)))[self.start]
+        distance = (last - np.arange(len(codes), dtype=np.int32))[self.start]
         by = np.argsort(distance.astype(np.min_scalar_type(int(distance.max()))) if len(distance) else distance, kind="stable")
         cuts = np.searchsorted(distance[by], np.arange(1, (distance.max() if len(by) else 0) + 2))
         inner = np.where(self.end == last[self.start], -1, self.end) if len(by) else self.end
@@ -170,8 +201,7 @@ class Lattice:
         self.upto = p.copy()  # shares summed within a node, so that draws depend on the node's arcs alone
         degree = np.diff(self.ptr)
         nodes = np.flatnonzero(degree > 1)
-        self.widest = int(degree.max()) if len(degree) else 0
-        for d in range(1, self.widest):
+        for d in range(1, int(degree.max()) if len(degree) else 0):
             at = self.ptr[nodes] + d
             self.upto[at] += self.upto[at - 1]
             nodes = nodes[degree[nodes] > d + 1]
@@ -187,32 +217,34 @@ class Lattice:
         more, nodes, arcs = Lattice(self.pieces, chunks), len(self.codes), len(self.start)
         for name, by in (("codes", 0), ("last", nodes), ("first", nodes), ("start", nodes), ("end", nodes), ("id", 0), ("log_p", 0), ("upto", 0)):
             own = getattr(more, name)
-            setattr(self, name, np.concatenate([getattr(self, name), own + own.dtype.type(by)]))
-        self.ptr = np.concatenate([self.ptr[:-1], more.ptr + arcs])
-        self.widest = max(self.widest, more.widest)
+            setattr(self, name, np.concatenate([getattr(self, name), own + own.dtype.type(by) if by else own]))
+        self.ptr = np.concatenate([self.ptr[:-1], more.ptr + np.int32(arcs)])
 
     def step(self, node: np.ndarray, u: np.ndarray) -> np.ndarray:
         """An arc from each node, drawn by ``u``."""
-        low, high = self.ptr[node], self.ptr[node + 1] - 1
-        for _ in range(max(0, self.widest - 1).bit_length()):
-            middle = (low + high) >> 1
-            beyond = (self.upto[middle] <= u) & (low < high)
-            low, high = np.where(beyond, middle + 1, low), np.where(beyond, high, middle)
-        return low
-
-    def walk(self, chunk: np.ndarray, key: np.ndarray, place: np.ndarray, path: int) -> tuple[np.ndarray, np.ndarray]:
-        """(arcs, how many of each): a segmentation drawn for each occurrence of a chunk."""
-        node, alive, count = self.first[chunk], np.arange(len(chunk)), np.zeros(len(chunk), np.int64)
+        arc, last = self.ptr[node], self.ptr[node + 1] - 1
+        beyond = np.flatnonzero((arc < last) & (self.upto[arc] <= u))
+        while len(beyond):
+            arc[beyond] += 1
+            now = arc[beyond]
+            beyond = beyond[(now < last[beyond]) & (self.upto[now] <= u[beyond])]
+        return arc
+
+    def walk(self, node: np.ndarray, key: np.ndarray, place: np.ndarray, path: int) -> tuple[np.ndarray, np.ndarray]:
+        """(arcs, how many of each): a way drawn from each node to its chunk's end; ``place``: the chunk's in its text."""
+        alive, count = np.arange(len(node)), np.zeros(len(node), np.int64)
+        bits = counted(counted(mix(key), path), place)
         steps = []
         while len(alive):
-            arc = self.step(node, uniform(key[alive], path, place[alive], count[alive]))
-            steps.append((alive, count[alive], arc))
+            arc = self.step(node, share(counted(bits, len(steps))))
+            steps.append((alive, arc))
+            node = self.end[arc]
+            going = node != self.last[self.start[arc]]
             count[alive] += 1
-            going = self.end[arc] != self.last[self.start[arc]]
-            alive, node = alive[going], self.end[arc[going]]
+            alive, node, bits = alive[going], node[going], bits[going]
         out = np.zeros(count.sum(), np.int64)
         first = np.cumsum(count) - count
-        for who, n, arc in steps:
+        for n, (who, arc) in enumerate(steps):
             out[first[who] + n] = arc
         return out, count
 
@@ -228,56 +260,61 @@ class Lattice:
 
 
 class Search:
-    """Gumbel top-k for one text: paths emitted so far and the open sets along each."""
+    """Gumbel top-k for one text: paths emitted so far, and of each the open set of segmentations that leave it."""
 
     def __init__(self, lattice: Lattice, key: int):
         self.lattice, self.key = lattice, key
         self.paths: list[np.ndarray] = []
-        self.open: list[np.ndarray] = []
+        self.counts: list[np.ndarray] = []  # arcs of each chunk
+        self.values: list[float] = []
+        self.log_p: list[float] = []
         self.before: list[np.ndarray] = []
+        self.mass: list[np.ndarray] = []  # log mass of what leaves the path at each arc
+        self.open: list[float] = []  # priorities
         self.left_out: dict[tuple[int, int], list[int]] = {}
-        self.values: list[float] = []
 
-    def emit(self, path: np.ndarray, value: float, since: int) -> None:
-        """Take a path; its sets begin at the arc after place ``since``."""
-        n, own = len(self.paths), self.lattice.log_p[path]
+    def emit(self, path: np.ndarray, counts: np.ndarray, value: float, since: int, own: np.ndarray, rest: np.ndarray) -> None:
+        """Take a path, with its arcs' log p and ``log_rest``; its set begins at the arc after place ``since``."""
         before = np.cumsum(own) - own
-        mass = before + self.lattice.log_rest(path)
-        u = uniform(np.full(1, self.key, np.uint64), 1000 + n, np.arange(len(path)))
-        with np.errstate(invalid="ignore"):
-            priority = np.where(np.isfinite(mass), truncated(mass, value, u), -np.inf)
-        priority[: since + 1] = -np.inf
+        mass = before + rest
+        mass[: since + 1] = -np.inf
         self.paths.append(path)
-        self.open.append(priority)
-        self.before.append(before)
+        self.counts.append(counts)
         self.values.append(value)
-
-    def best(self) -> tuple[float, int, int]:
-        """(priority, path, place) of the open set that comes next; -inf if there is none."""
-        found = (-np.inf, -1, -1)
-        for r, priority in enumerate(self.open):
-            if len(priority):
-                j = int(priority.argmax())
-                found = max(found, (float(priority[j]), r, j))
-        return found
-
-    def leave(self, value: float, r: int, j: int) -> list[int]:
-        """Arcs of a new path from place j on to the end of its chunk, away from path r; what is left keeps a priority."""
-        lat, n = self.lattice, len(self.paths)
-        out = self.left_out.setdefault((r, j), [int(self.paths[r][j])])
-        node = int(lat.start[self.paths[r][j]])
-        arcs = np.setdiff1d(np.arange(lat.ptr[node], lat.ptr[node + 1]), out)
-        share = np.exp(lat.log_p[arcs] - lat.log_p[arcs].max()).cumsum()
-        draw = uniform_one(self.key, 2000 + n, j) * share[-1]
-        taken = [int(arcs[min(int(np.searchsorted(share, draw, side="right")), len(arcs) - 1)])]
-        out.append(taken[0])
-        rest = np.setdiff1d(arcs, taken)
-        mass = self.before[r][j] + np.logaddexp.reduce(lat.log_p[rest]) if len(rest) else -np.inf
-        self.open[r][j] = truncated(mass, value, uniform_one(self.key, 3000 + n, j)) if len(rest) else -np.inf
-        while (at := int(lat.end[taken[-1]])) != lat.last[node]:
-            u = uniform_one(self.key, 4000 + n, j, len(taken))
-            taken.append(int(lat.step(np.array([at]), np.array([u]))[0]))
-        return taken
+        self.log_p.append(float(own.sum()))
+        self.before.append(before)
+        self.mass.append(mass)
+        self.open.append(self.priority(len(self.paths) - 1, value, 1000 + len(self.paths)))
+
+    def priority(self, r: int, bound: float, draw: int) -> float:
+        """A draw of the greatest perturbed value in the set of path r: Gumbel at its log mass, at most ``bound``."""
+        most = self.mass[r].max(initial=-np.inf)
+        if most == -np.inf:
+            return -np.inf
+        total = float(most) + math.log(np.exp(self.mass[r] - most).sum())
+        return total - math.log(math.exp(min(total - bound, 700.0)) - math.log(uniform_one(self.key, draw, r)))
+
+    def best(self) -> tuple[float, int]:
+        """(priority, path) of the open set that comes next; -inf if there is none."""
+        return max(zip(self.open, range(len(self.open))), default=(-np.inf, -1))
+
+    def leave(self, value: float, r: int) -> tuple[int, int]:
+        """(place, arc) at which a new path leaves path r; what is left of the set keeps a priority."""
+        lat, n, mass = self.lattice, len(self.paths), self.mass[r]
+        chances = np.exp(mass - mass.max()).cumsum()
+        j = int(np.searchsorted(chances, uniform_one(self.key, 2000 + n, 0) * chances[-1], side="right"))
+        own = int(self.paths[r][j])
+        low, high = (int(x) for x in lat.ptr[lat.start[own] : lat.start[own] + 2])
+        out = self.left_out.setdefault((r, j), [own])
+        logs = lat.log_p[low:high].copy()
+        logs[[a - low for a in out]] = -np.inf
+        chances = np.exp(logs - logs.max()).cumsum()
+        at = int(np.searchsorted(chances, uniform_one(self.key, 2000 + n, 1) * chances[-1], side="right"))
+        out.append(low + at)
+        logs[at] = -np.inf
+        mass[j] = self.before[r][j] + np.logaddexp.reduce(logs)
+        self.open[r] = self.priority(r, value, 3000 + n)
+        return j, low + at
 
 
 class Chunks:
@@ -290,36 +327,28 @@ class Chunks:
     def clear(self) -> None:
         self.number: dict[str, int] = {}
         self.lattice = Lattice(self.pieces, [])
-        self.size = self.first = self.flat = np.zeros(0, np.int64)
-        self.same = np.zeros(0, bool)  # whether the chunk's encoding is decoded to the chunk
+        self.size = self.first = np.zeros(0, np.int64)
+        self.flat = np.zeros(0, np.int32)
 
     def take(self, rows: list[list[str]]) -> list[np.ndarray]:
-        """The rows' chunks by number; new ones are encoded, decoded and given a lattice."""
+        """The rows' chunks by number; new ones are encoded and given a lattice."""
         if len(self.lattice.codes) > self.kept:
             self.clear()
-        new = list(dict.fromkeys(c for r in rows for c in r if c not in self.number))
+        new = list(dict.fromkeys(filterfalse(self.number.__contains__, chain.from_iterable(rows))))
         if new:
             self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
             best = self.pieces.encode(new)
-            size = np.array([len(b) for b in best], np.int64)
+            size = np.fromiter(map(len, best), np.int64, len(best))
             self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(size) - size])
             self.size = np.concatenate([self.size, size])
-            self.flat = np.concatenate([self.flat, np.array([i for b in best for i in b], np.int64)])
-            spelt = self.pieces.model.decode(best)
-            self.same = np.concatenate([self.same, np.array([c[1:].replace(MARK, " ") == t for c, t in zip(new, spelt)], bool)])
+            self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(best), np.int32, int(size.sum()))])
             self.lattice.grow(new)
-        return [np.array(list(map(self.number.__getitem__, r)), np.int64) for r in rows]
+        return [np.fromiter(map(self.number.__getitem__, r), np.int64, len(r)) for r in rows]
 
     def encoded(self, row: np.ndarray) -> np.ndarray:
         n = self.size[row]
         return self.flat[np.repeat(self.first[row] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
 
-    def round_trip(self, text: str, row: np.ndarray) -> bool:
-        """Whether decoding gives the text back. Every chunk begins with a mark, so chunks are decoded independently."""
-        if MARK not in text and self.same[row].all():
-            return True
-        return self.pieces.spell(self.encoded(row).tolist()) == text
-
 
 def sample(lattice: Lattice, rows: list[np.ndarray], keys: np.ndarray, k: int) -> list[list[tuple[np.ndarray, float, float, float]]]:
     """For each row (numbers of its chunks): up to k segmentations (arcs, log p, perturbed log p, inclusion probability)."""
@@ -329,36 +358,53 @@ def sample(lattice: Lattice, rows: list[np.ndarray], keys: np.ndarray, k: int) -
     place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     bounds = np.r_[0, np.cumsum(sizes)]
     searches = [Search(lattice, int(x)) for x in keys]
-    arcs, count = lattice.walk(flat, key, place, 0)
-    ends = np.r_[0, np.cumsum(count)]
-    for s, a, b in zip(searches, bounds[:-1], bounds[1:]):
-        s.counts = [count[a:b]]
-        s.emit(arcs[ends[a] : ends[b]], -np.log(-np.log(uniform_one(s.key, 999))), -1)
-    for n in range(1, k):
-        going = []  # what each search leaves: value, path, place, number of the chunk, first and last occurrence after it
+    for n in range(k):
+        going = []  # what each search leaves: path and place, the arc taken, the chunk's number and its arcs so far
+        nodes, walked = [], []  # where ways are drawn from, and for which occurrences of chunks
         for s, a, b in zip(searches, bounds[:-1].tolist(), bounds[1:].tolist()):
-            value, r, j = s.best()
-            if value > -np.inf:
-                upto = np.cumsum(s.counts[r])
-                chunk = int(np.searchsorted(upto, j, side="right"))
-                going.append((s, value, r, j, chunk, j - (int(upto[chunk - 1]) if chunk else 0), a + chunk + 1, b))
-        after = np.concatenate([np.arange(g[-2], g[-1]) for g in going]) if going else np.zeros(0, np.int64)
-        arcs, count = lattice.walk(flat[after], key[after], place[after], n)
-        ends, at = np.r_[0, np.cumsum(count)], 0
-        for s, value, r, j, chunk, head, a, b in going:
-            taken, upto = s.leave(value, r, j), at + b - a
-            path = np.concatenate([s.paths[r][:j], taken, arcs[ends[at] : ends[upto]]]).astype(np.int64)
-            s.counts.append(np.concatenate([s.counts[r][:chunk], [head + len(taken)], count[at:upto]]).astype(np.int64))
-            s.emit(path, value, j)
-            at = upto
+            if n == 0:
+                going.append((s, -math.log(-math.log(uniform_one(s.key, 999))), -1, -1, -1, 0, 0, b - a))
+                nodes.append(lattice.first[flat[a:b]])
+                walked.append(np.arange(a, b))
+                continue
+            value, r = s.best()
+            if value == -np.inf:
+                continue
+            j, arc = s.leave(value, r)
+            upto = np.cumsum(s.counts[r])
+            chunk = int(np.searchsorted(upto, j, side="right"))
+            head = lattice.end[arc : arc + 1]  # the way to the end of the chunk that was left, if that is not there yet
+            head = head[head != lattice.last[lattice.start[arc]]]
+            more = a + chunk + 1 - len(head)
+            nodes += [head, lattice.first[flat[a + chunk + 1 : b]]]
+            walked.append(np.arange(more, b))
+            going.append((s, value, r, j, arc, chunk, j - (int(upto[chunk - 1]) if chunk else 0) + 1, b - more))
+        if not going:
+            break
+        walked = np.concatenate(walked)
+        arcs, count = lattice.walk(np.concatenate(nodes), key[walked], place[walked], n)
+        ends, at, paths, counts = np.r_[0, np.cumsum(count)].tolist(), 0, [], []
+        for s, _, r, j, arc, chunk, own, size in going:
+            path, more = arcs[ends[at] : ends[at + size]], count[at : at + size]
+            if n:
+                path = np.concatenate([s.paths[r][:j], [arc], path])
+                whole = len(s.counts[r]) - chunk  # chunks from the one that was left on
+                more = np.concatenate([s.counts[r][:chunk], np.zeros(whole - size, np.int64), more])
+                more[chunk] += own
+            paths.append(path)
+            counts.append(more)
+            at += size
+        every = np.concatenate(paths)
+        logs, rest = lattice.log_p[every], lattice.log_rest(every)
+        at = 0
+        for (s, value, _, j, *_), path, more in zip(going, paths, counts):
+            s.emit(path, more, value, j, logs[at : at + len(path)], rest[at : at + len(path)])
+            at += len(path)
     out = []
     for s in searches:
         threshold = s.best()[0]
-        found = []
-        for path, value in zip(s.paths, s.values):
-            log_p = float(lattice.log_p[path].sum())
-            found.append((path, log_p, float(value), float(-np.expm1(-np.exp(min(log_p - threshold, 700.0)))) if threshold > -np.inf else 1.0))
-        out.append(found)
+        inclusion = lambda log_p: float(-np.expm1(-np.exp(min(log_p - threshold, 700.0)))) if threshold > -np.inf else 1.0  # noqa: B023, E731
+        out.append([(path, log_p, float(value), inclusion(log_p)) for path, log_p, value in zip(s.paths, s.log_p, s.values)])
     return out
 
 
@@ -394,7 +440,8 @@ def encode(docs: DataFrame, path: str, k: int = 2, theta: float = 1.0, seed: int
                 rows = texts(part)
                 cut = met.take([pieces.chunks(t) for t in rows])
                 encoded = [met.encoded(r) for r in cut]
-                trip = [met.round_trip(t, r) for t, r in zip(rows, cut)]
+                spelt = pieces.model.decode([e.tolist() for e in encoded], num_threads=1) if encoded else []
+                trip = [s == t for s, t in zip(spelt, rows)]
                 keys = mix(np.array([d or 0 for d in part.column("doc_id").to_pylist()], np.int64).view(np.uint64) + np.array([seed], np.uint64) * _BASE)
                 lattice = met.lattice
                 found = sample(lattice, cut, keys, k)
