@@ -160,3 +160,28 @@ def test_lines_that_share_keys_with_unlike_lines(spark, monkeypatch):
     rows = [tuple(r) for r in docs.collect()]
     wanted = {p for p, first in plain(rows).items() if p != first}
     assert {(r.doc, r.pos) for r in ld.duplicates(docs).collect()} == wanted
+
+
+def test_unlike_pairs_of_a_bucket_are_left_out_before_their_texts_are_compared(spark, monkeypatch):
+    """Lines just below the threshold with all others: the bits rule out nearly all pairs, and no similar one."""
+    common = " ".join(f"word{i}" for i in range(24))
+    apart = [(i, common + " " + hashlib.md5(f"{i}".encode()).hexdigest() * 2) for i in range(60)]
+    rows = [*apart, (70, apart[30][1] + "x"), (71, apart[40][1][:-1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    compared, verify = [], ld.verified_lines
+    monkeypatch.setattr(ld, "verified_lines", lambda pairs, *more: compared.append(pairs.count()) or verify(pairs, *more))
+    monkeypatch.setattr(ld, "_agree", lambda a, b: ld.F.lit(True))
+    assert {r.doc for r in ld.duplicates(docs).collect()} == {70, 71}
+    assert 2 <= sum(compared) < 60
+
+
+def test_bits_never_rule_out_similar_lines():
+    random = np.random.default_rng(4)
+    for size in (1, 4, 40, 400, 4000):
+        a = ["".join(random.choice(list("abcdefgh "), size)) for _ in range(20)]
+        b = [x[: len(x) // 2] + "zz" + x[len(x) // 2 + int(n) :] for n, x in enumerate(a)]
+        (n_a, bits_a), (n_b, bits_b) = ld.flipped(a), ld.flipped(b)
+        differing = np.bitwise_count((bits_a ^ bits_b).view(np.uint64)).sum(axis=1)
+        alike = ld.similarities(a, b)
+        assert (n_a == [len(shingles(x)) for x in a]).all()
+        assert (differing * (1 + alike) <= (n_a + n_b) * (1 - alike) + 1e-6).all()

@@ -12,7 +12,8 @@ their shingle sets, verified links are united by star contraction, and of every
 
 Large groups are never expanded into pairs: a bucket's classes are compared with its first and its last class, and then
 only those with each other that these links have not united. Before texts are fetched, sketches of two bits per value are
-compared, which leaves out nearly all that meet by chance.
+compared, which leaves out nearly all that meet by chance. Before pairs get their texts they must pass an exact bound: each
+shingle flips one of 64 times ``WORDS`` bits, and the sets of two lines differ in no fewer shingles than these bits.
 
 Signatures and shingle sets are computed with numpy over whole batches of lines: one row per character, as DataFrame
 functions alone need it, took more than three times the CPU time and disk that there is (figures in the README).
@@ -303,6 +304,43 @@ def similarities(left: list[str], right: list[str]) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0)
 
 
+#: Words of the bits that a line's shingles flip.
+WORDS = 8
+
+
+def flipped(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(different shingles, ``WORDS`` words of bits) of each line; each shingle flips one bit."""
+    sizes, words, start, held = [], [], 0, 0
+    for i in range(len(lines) + 1):
+        size = len(lines[i]) if i < len(lines) else 0
+        if i > start and (i == len(lines) or held + size > CHARS or i - start == 4096):
+            part, n = lines[start:i], i - start
+            keys = shingles(part) if held <= CHARS or n > 1 else shingles_of_long(part[0])
+            index = (keys >> np.uint64(_HASH_BITS)).astype(np.int64)
+            bits = np.bincount(index * (64 * WORDS) + (keys & np.uint64(64 * WORDS - 1)).astype(np.int64), minlength=n * 64 * WORDS) & 1
+            sizes.append(np.bincount(index, minlength=n))
+            words.append(np.packbits(bits.astype(np.uint8).reshape(n, -1), axis=1).view(np.int64))
+            start, held = i, 0
+        held += size
+    return (np.concatenate(sizes), np.concatenate(words)) if sizes else (np.zeros(0, np.int64), np.zeros((0, WORDS), np.int64))
+
+
+def line_bits(sets: DataFrame) -> DataFrame:
+    """place, ``size`` and words ``w0``, ``w1``, ... of lines given by their normal form ``raw``."""
+
+    def run(batches):
+        for batch in batches:
+            sizes, words = flipped([raw.decode("utf-8", "surrogatepass") for raw in batch.column("raw").to_pylist()])
+            columns = [batch.column("place"), pa.array(sizes), *(pa.array(np.ascontiguousarray(words[:, i])) for i in range(WORDS))]
+            yield pa.RecordBatch.from_arrays(columns, ["place", "size", *_words()])
+
+    return sets.select("place", "raw").mapInArrow(lean(run), f"place long, size long, {', '.join(f'{w} long' for w in _words())}")
+
+
+def _words() -> list[str]:
+    return [f"w{i}" for i in range(WORDS)]
+
+
 def _named(docs: DataFrame) -> DataFrame:
     return docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc"), F.xxhash64("text").alias("text_hash"), "text")
 
@@ -427,19 +465,32 @@ def _between(together: DataFrame, found: DataFrame, near: Callable[[str, str], C
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _possible(pairs: DataFrame, bits: DataFrame, similarity: float) -> DataFrame:
+    """The pairs a, b whose bits do not rule this similarity out: their sets differ in no fewer shingles than bits."""
+    its = bits.toDF(*["b" if c == "place" else f"its_{c}" for c in bits.columns])
+    both = pairs.join(bits.withColumnRenamed("place", "a"), "a").join(its, "b")
+    differing = sum((F.bit_count(F.col(w).bitwiseXOR(F.col(f"its_{w}"))) for w in _words()), F.lit(0))
+    sizes = F.col("size") + F.col("its_size")
+    # Sets of this similarity differ in sizes * (1 - similarity) / (1 + similarity) shingles at most.
+    least = F.greatest(differing.cast("long"), F.abs(F.col("size") - F.col("its_size")))
+    return both.where(least * (1 + similarity) <= sizes * (1 - similarity) + 1e-6).select("a", "b")
+
+
 def linked(
     bands: DataFrame,
     sets_of: Callable[[DataFrame], DataFrame],
     similarity: float,
     verify: Callable[[DataFrame, DataFrame, float], DataFrame],
     near: Callable[[str, str], Column] | None = None,
+    bits_of: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """node, component for the places that are linked with others; bands: place and key, rows may repeat.
 
     Places that share a key are a bucket. Each is compared with the bucket's first and last one, which joins large groups
     of near copies; then all pairs of a bucket that are not in one component yet are compared, so that no link within a
     bucket changes the components any more. With ``near`` bands have a ``sketch``, and pairs whose sketches are not near
-    are left out first. Pairs whose sets have at least this similarity are linked. sets_of: place and ``raw`` of the places
+    are left out first; with ``bits_of`` (as ``line_bits``) those whose bits rule the similarity out, too, which leaves
+    out no link. Pairs whose sets have at least this similarity are linked. sets_of: place and ``raw`` of the places
     given, one row each; verify: the pairs a, b that are similar.
     """
     shared = bands.groupBy("key").agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first < last")
@@ -454,11 +505,18 @@ def linked(
         pairs.append(others.select(F.least("place", pivot).alias("a"), F.greatest("place", pivot).alias("b")))
     pairs = kept(pairs[0].union(pairs[1]).distinct(), "pairs")
     places = lambda pairs: pairs.select(F.col("a").alias("place")).union(pairs.select("b")).distinct()
-    found = kept(components(kept(verify(pairs, sets_of(places(pairs)), similarity), "links")), "linked")
+
+    def alike(pairs):
+        sets = sets_of(places(pairs))
+        if bits_of:
+            pairs = kept(_possible(pairs, kept(bits_of(sets), "bits"), similarity), "possible")
+        return kept(verify(pairs, sets, similarity), "links")
+
+    found = kept(components(alike(pairs)), "linked")
     more = kept(_between(together, found, near).join(pairs, ["a", "b"], "left_anti"), "pairs")
     if more.isEmpty():
         return found
-    links = kept(verify(more, sets_of(places(more)), similarity), "links")
+    links = alike(more)
     return components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(links))
 
 
@@ -467,7 +525,7 @@ def duplicates(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     lines = kept(lines_of(docs), "lines")
     firsts = kept(lines.groupBy("node").agg(F.min(_place()).alias("place"), F.max(_place()).alias("last")), "firsts")
     wanted = lambda places: places.withColumnRenamed("place", "node").join(firsts.select("node", "place"), "node")
-    found = kept(linked(signed_bands(lines), lambda places: _texts(docs, wanted(places)), similarity, verified_lines, near=_agree), "found")
+    found = kept(linked(signed_bands(lines), lambda places: _texts(docs, wanted(places)), similarity, verified_lines, near=_agree, bits_of=line_bits), "found")
     stays = found.join(firsts, "node").groupBy("component").agg(F.min(F.struct("place", "node")).alias("first"))
     gone = found.join(stays, "component").where(F.col("first.node") != F.col("node")).select("node", F.lit(True).alias("gone"))
     touched = firsts.join(gone, "node", "left").where("gone or place <> last").select("node", F.when(F.col("gone").isNull(), F.col("place")).alias("stays"))
